@@ -1,8 +1,8 @@
 """Raw JSON records to typed rows, with a reason for every reject (I-1 to I-12).
 
-Input is one JSON object per row in a text column. It is parsed to VARIANT, not to a declared schema,
-because any field may hold a wrong type and must then reject its own record only. Everything is a
-column expression: no Python runs per row.
+Input is one JSON object per row in a text column. Fields that are text in any case are read as text,
+the others as VARIANT, because any of them may hold a wrong type and must then reject its own record
+only. Each record is parsed once and no Python runs per row.
 
 A normaliser returns the columns `raw, dt, mark, error, record`: `error` is NULL exactly for valid
 rows, `record` is the typed struct, `mark` the version read from the raw record (also of rejects) and
@@ -21,7 +21,9 @@ from activity_engine.functions.nested import EMPTY_SAMPLES, zip_streams
 from activity_engine.functions.scalars import plus_seconds
 from activity_engine.schemas import CANONICAL_SOURCE, ENTITIES, THIRD_PARTY_SOURCE
 
-PARSED = "_v"
+# The parsed record, and the member that holds the text of a record that is no JSON object.
+PARSED = "_record"
+BROKEN = "_broken"
 
 # The third-party activity vocabulary and ours.
 TYPE_MAP = {
@@ -65,37 +67,54 @@ REQUIRED = {
     "activities": ["id", "athlete", "type", "start_date", "elapsed_time"],
 }
 
+# How the fields of a raw record are read.
+RAW_SCHEMA = {
+    "users": "user_id string, display_name string, email string, age variant, weight_kg variant, "
+    "height_cm variant, fitness_goal string, updated_at string",
+    "friendships": "user_id string, friend_user_id string, created_at string",
+    "workouts": "workout_id string, user_id string, workout_type string, start_time string, end_time string, "
+    "device_id string, synced_at string, distance_meters variant, calories variant, samples variant",
+    "athletes": "id string, firstname string, lastname string, email string, weight variant, updated_at string",
+    "activities": "id string, athlete variant, type string, start_date string, elapsed_time variant, "
+    "distance variant, calories variant, device_name string, _synced_at string, _streams variant",
+}
+
 INTEGER_TEXT = r"^\s*[+-]?\d+\s*$"
 
 
-def field(path: str, dtype: str = "string") -> Column:
-    return F.try_variant_get(F.col(PARSED), f"$.{path}", dtype)
+def field(name: str) -> Column:
+    return F.col(f"{PARSED}.{name}")
+
 
+def inside(name: str, path: str, dtype: str) -> Column:
+    """Part of a VARIANT field, or NULL where it is absent or of another type."""
+    return F.try_variant_get(field(name), path, dtype)
 
-def kind_of(path: str) -> Column:
-    """Type name of a field as stored: NULL when absent, VOID for an explicit null."""
-    return F.schema_of_variant(F.try_variant_get(F.col(PARSED), f"$.{path}", "variant"))
 
+def number(name: str) -> Column:
+    return inside(name, "$", "double")
 
-def is_given(path: str) -> Column:
-    """Present and not null."""
-    return F.coalesce(kind_of(path) != "VOID", F.lit(False))
+
+def whole_number(name: str) -> Column:
+    """Numbers are cut to whole ones; text must hold an integer."""
+    is_text = F.coalesce(F.schema_of_variant(field(name)) == "STRING", F.lit(False))
+    return F.when(~is_text | inside(name, "$", "string").rlike(INTEGER_TEXT), inside(name, "$", "bigint"))
 
 
-def instant(path: str) -> Column:
+def instant(name: str) -> Column:
     """ISO-8601 text to a UTC instant; no offset means UTC, text that is no timestamp gives NULL."""
-    return field(path).try_cast("timestamp")
+    return field(name).try_cast("timestamp")
 
 
-def whole_number(path: str) -> Column:
-    """Numbers are cut to whole ones; text must hold an integer."""
-    text_ok = (kind_of(path) != "STRING") | field(path).rlike(INTEGER_TEXT)
-    return F.when(text_ok, field(path, "bigint"))
+def is_given(name: str, raw: str) -> Column:
+    """Present and not null, for a field of the raw record kind `raw`."""
+    present = field(name).isNotNull()
+    return present & ~F.is_variant_null(field(name)) if f"{name} variant" in RAW_SCHEMA[raw] else present
 
 
-def missing_fields(names: Sequence[str]) -> Column:
-    """Names of the required fields that are absent or null."""
-    return F.array_compact(F.array(*(F.when(~is_given(n), F.lit(n)) for n in names)))
+def missing_fields(raw: str) -> Column:
+    """Quoted names of the required fields that are absent or null; empty when none is."""
+    return F.concat_ws(", ", *(F.when(~is_given(n, raw), F.lit(f"'{n}'")) for n in REQUIRED[raw]))
 
 
 def first_error(*problems: tuple[Column, Column]) -> Column:
@@ -106,63 +125,62 @@ def first_error(*problems: tuple[Column, Column]) -> Column:
     return message
 
 
-def _quoted(values: Column) -> Column:
-    return F.concat(F.lit("['"), F.array_join(values, "', '"), F.lit("']"))
-
-
-def _subject(what: str, id_path: str | None) -> Column:
-    if id_path is None:
-        return F.lit(f"malformed {what} record")
-    shown = F.when(
-        is_given(id_path),
-        F.when(kind_of(id_path) == "STRING", F.concat(F.lit("'"), field(id_path), F.lit("'"))).otherwise(field(id_path)),
-    ).otherwise(F.lit("None"))
-    return F.concat(F.lit(f"malformed {what} record "), shown)
-
-
-def _problems(
-    what: str, id_path: str | None, required: Sequence[str], missing_word: str, checks: Sequence[tuple[Column, str]]
-) -> Column:
-    subject = _subject(what, id_path)
-    missing = missing_fields(required)
-    listed = F.concat(subject, F.lit(f": {missing_word} "), _quoted(missing))
+def _problems(raw: str, subject: Column, missing_word: str, checks: Sequence[tuple[Column, str]]) -> Column:
+    missing = missing_fields(raw)
     return first_error(
-        (F.col(PARSED).isNull() | ~F.coalesce(F.schema_of_variant(PARSED).startswith("OBJECT"), F.lit(False)),
-         F.lit("not a JSON object")),
-        (F.size(missing) > 0, listed),
+        (field(BROKEN).isNotNull(), F.lit("not a JSON object")),
+        (missing != "", F.concat(subject, F.lit(f": {missing_word} ["), missing, F.lit("]"))),
         *((condition, F.concat(subject, F.lit(f": {text}"))) for condition, text in checks),
     )
 
 
-def _unreadable(path: str, value: Column) -> tuple[Column, str]:
+def _unreadable(raw: str, name: str, value: Column) -> tuple[Column, str]:
     """Given, but not convertible to the declared type."""
-    return is_given(path) & value.isNull(), f"bad {path} value"
+    return is_given(name, raw) & value.isNull(), f"bad {name} value"
+
+
+def _subject(what: str, name: str, quote: str = "'") -> Column:
+    shown = F.concat(F.lit(quote), field(name), F.lit(quote))
+    return F.concat(F.lit(f"malformed {what} record "), F.coalesce(shown, F.lit("None")))
 
 
 def _shape(
-    raw: DataFrame, text: str, entity: str, error: Column, values: dict[str, Column], version_path: str,
+    records: DataFrame,
+    text: str,
+    raw: str,
+    entity: str,
+    error: Column,
+    values: dict[str, Column],
+    version: str,
     version_default: Column | None = None,
 ) -> DataFrame:
-    spec = ENTITIES[entity]
-    record = F.struct(*(values[f.name].cast(f.dataType).alias(f.name) for f in spec.schema.fields))
-    version_text = field(version_path)
-    given = F.when(F.length(version_text) > 0, version_text)
-    day = F.substring(given, 1, 10)
-    mark = given.try_cast("timestamp")
+    record = F.struct(*(values[f.name].cast(f.dataType).alias(f.name) for f in ENTITIES[entity].schema.fields))
+    given = F.nullif(field(version), F.lit(""))
+    day, mark = F.substring(given, 1, 10), given.try_cast("timestamp")
     if version_default is not None:
         day = F.coalesce(day, F.date_format(version_default, "yyyy-MM-dd"))
         mark = F.when(given.isNull(), version_default.cast("timestamp")).otherwise(mark)
-    parsed = raw.withColumn(PARSED, F.try_parse_json(F.col(text)))
-    shaped = parsed.select(
-        F.col(text).alias("raw"), day.alias("dt"), mark.alias("mark"), error.alias("error"), record.alias("record")
-    )
-    return shaped.withColumn("record", F.when(F.col("error").isNull(), F.col("record")))
+    schema = f"{RAW_SCHEMA[raw]}, {BROKEN} string"
+    parsed = F.from_json(F.col(text), schema, {"columnNameOfCorruptRecord": BROKEN})
+    fields = _fenced(records.select(F.col(text).alias("raw"), parsed.alias(PARSED)))
+    shaped = fields.select("raw", day.alias("dt"), mark.alias("mark"), error.alias("error"), record.alias("record"))
+    return _fenced(shaped.withColumn("record", F.when(F.col("error").isNull(), F.col("record"))))
+
 
+def _fenced(df: DataFrame) -> DataFrame:
+    """The same rows, with the columns worked out exactly once.
 
-def normalize_users(raw: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
-    numbers = {"age": whole_number("age"), "weight_kg": field("weight_kg", "double"), "height_cm": field("height_cm", "double")}
-    checks = [_unreadable(name, value) for name, value in numbers.items()]
-    checks.append(_unreadable("updated_at", instant("updated_at")))
+    A filter on a computed column is pushed below the projection as a copy of its expression. Here
+    that would parse each record again for every field the error message looks at. The optimizer does
+    not push filters through a generator, so the columns pass through one of a single element.
+    """
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("_row")).select("_row.*")
+
+
+def normalize_users(records: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
+    numbers = {"age": whole_number("age"), "weight_kg": number("weight_kg"), "height_cm": number("height_cm")}
+    checks = [_unreadable("users", name, value) for name, value in numbers.items()]
+    checks.append(_unreadable("users", "updated_at", instant("updated_at")))
     values = {
         "user_id": field("user_id"),
         "source": F.lit(source),
@@ -172,32 +190,30 @@ def normalize_users(raw: DataFrame, source: str = CANONICAL_SOURCE, text: str =
         "fitness_goal": field("fitness_goal"),
         "updated_at": instant("updated_at"),
     }
-    error = _problems("user", "user_id", REQUIRED["users"], "missing/null", checks)
-    return _shape(raw, text, "users", error, values, "updated_at")
+    error = _problems("users", _subject("user", "user_id"), "missing/null", checks)
+    return _shape(records, text, "users", "users", error, values, "updated_at")
 
 
-def normalize_friendships(raw: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
+def normalize_friendships(records: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
     values = {
         "user_id": field("user_id"),
         "friend_user_id": field("friend_user_id"),
         "source": F.lit(source),
         "created_at": instant("created_at"),
     }
-    checks = [_unreadable("created_at", instant("created_at"))]
-    error = _problems("friendship", None, REQUIRED["friendships"], "missing/null", checks)
-    return _shape(raw, text, "friendships", error, values, "created_at")
+    checks = [_unreadable("friendships", "created_at", instant("created_at"))]
+    error = _problems("friendships", F.lit("malformed friendship record"), "missing/null", checks)
+    return _shape(records, text, "friendships", "friendships", error, values, "created_at")
 
 
-def normalize_workouts(raw: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
+def normalize_workouts(records: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
     """An absent sample list becomes an empty one; an explicit null or anything else is a reject."""
-    samples = field("samples", EMPTY_SAMPLES)
-    not_a_list = kind_of("samples").isNotNull() & ~kind_of("samples").startswith("ARRAY")
-    calories, distance = field("calories", "double"), field("distance_meters", "double")
+    not_a_list = field("samples").isNotNull() & inside("samples", "$", "array<variant>").isNull()
     checks = [
         (not_a_list, "samples is not a list"),
-        _unreadable("calories", calories),
-        _unreadable("distance_meters", distance),
-        *(_unreadable(name, instant(name)) for name in ("start_time", "end_time", "synced_at")),
+        _unreadable("workouts", "calories", number("calories")),
+        _unreadable("workouts", "distance_meters", number("distance_meters")),
+        *(_unreadable("workouts", name, instant(name)) for name in ("start_time", "end_time", "synced_at")),
     ]
     values = {
         "workout_id": field("workout_id"),
@@ -208,12 +224,12 @@ def normalize_workouts(raw: DataFrame, source: str = CANONICAL_SOURCE, text: str
         "end_time": instant("end_time"),
         "device_id": field("device_id"),
         "synced_at": instant("synced_at"),
-        "distance_meters": distance,
-        "calories": calories,
-        "samples": F.coalesce(samples, F.array().cast(EMPTY_SAMPLES)),
+        "distance_meters": number("distance_meters"),
+        "calories": number("calories"),
+        "samples": F.coalesce(inside("samples", "$", EMPTY_SAMPLES), F.array().cast(EMPTY_SAMPLES)),
     }
-    error = _problems("workout", "workout_id", REQUIRED["workouts"], "missing/null", checks)
-    return _shape(raw, text, "workouts", error, values, "synced_at")
+    error = _problems("workouts", _subject("workout", "workout_id"), "missing/null", checks)
+    return _shape(records, text, "workouts", "workouts", error, values, "synced_at")
 
 
 def map_type(activity_type: Column) -> Column:
@@ -222,11 +238,6 @@ def map_type(activity_type: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), activity_type), F.lower(activity_type))
 
 
-def _text_or_null(path: str) -> Column:
-    """Empty text counts as absent."""
-    return F.nullif(field(path), F.lit(""))
-
-
 def athlete_values(
     athlete_id: Column, first: Column, last: Column, email: Column, weight: Column, updated_at: Column, source: str
 ) -> dict[str, Column]:
@@ -246,22 +257,26 @@ def athlete_values(
     }
 
 
+def _or_as_of(name: str, as_of: Column) -> Column:
+    """A version instant; absent or empty text means `as_of`."""
+    return F.when(F.coalesce(field(name), F.lit("")) == "", as_of.cast("timestamp")).otherwise(instant(name))
+
+
 def normalize_athletes(
-    raw: DataFrame, as_of: Column, source: str = THIRD_PARTY_SOURCE, text: str = "value"
+    records: DataFrame, as_of: Column, source: str = THIRD_PARTY_SOURCE, text: str = "value"
 ) -> DataFrame:
     """`as_of` stands in for an absent `updated_at`."""
-    weight = field("weight", "double")
-    updated = F.coalesce(instant("updated_at"), F.when(_text_or_null("updated_at").isNull(), as_of.cast("timestamp")))
+    weight, updated = number("weight"), _or_as_of("updated_at", as_of)
     values = athlete_values(
         field("id"), field("firstname"), field("lastname"), field("email"), weight, updated, source
     )
-    given_weight = is_given("weight") & (F.length(field("weight")) > 0)
+    weight_text = inside("weight", "$", "string")
     checks = [
-        (given_weight & weight.isNull(), "bad weight value"),
-        (_text_or_null("updated_at").isNotNull() & updated.isNull(), "bad updated_at value"),
+        ((weight_text != "") & weight.isNull(), "bad weight value"),
+        (updated.isNull(), "bad updated_at value"),
     ]
-    error = _problems("athlete", "id", REQUIRED["athletes"], "missing", checks)
-    return _shape(raw, text, "users", error, values, "updated_at", as_of)
+    error = _problems("athletes", _subject("athlete", "id", ""), "missing", checks)
+    return _shape(records, text, "athletes", "users", error, values, "updated_at", as_of)
 
 
 def activity_values(
@@ -285,34 +300,33 @@ def activity_values(
 
 
 def normalize_activities(
-    raw: DataFrame, as_of: Column, source: str = THIRD_PARTY_SOURCE, text: str = "value"
+    records: DataFrame, as_of: Column, source: str = THIRD_PARTY_SOURCE, text: str = "value"
 ) -> DataFrame:
     """`as_of` stands in for an absent sync time."""
-    start = instant("start_date")
-    elapsed = field("elapsed_time", "double")
-    distance, calories = field("distance", "double"), field("calories", "double")
-    synced = F.coalesce(instant("_synced_at"), F.when(_text_or_null("_synced_at").isNull(), as_of.cast("timestamp")))
+    start, synced = instant("start_date"), _or_as_of("_synced_at", as_of)
+    athlete_id = inside("athlete", "$.id", "string")
+    elapsed, distance, calories = number("elapsed_time"), number("distance"), number("calories")
     samples = zip_streams(
-        field("_streams.time.data", "array<double>"),
-        field("_streams.heartrate.data", "array<bigint>"),
-        field("_streams.latlng.data", "array<array<double>>"),
-        field("_streams.altitude.data", "array<double>"),
+        inside("_streams", "$.time.data", "array<double>"),
+        inside("_streams", "$.heartrate.data", "array<bigint>"),
+        inside("_streams", "$.latlng.data", "array<array<double>>"),
+        inside("_streams", "$.altitude.data", "array<double>"),
         start,
     )
     values = activity_values(
-        field("id"), field("athlete.id"), field("type"), start, elapsed, synced,
+        field("id"), athlete_id, field("type"), start, elapsed, synced,
         distance, calories, field("device_name"), samples, source,
     )
     checks = [
-        (field("athlete.id").isNull(), "athlete has no id"),
-        _unreadable("start_date", start),
-        _unreadable("elapsed_time", elapsed),
-        _unreadable("distance", distance),
-        _unreadable("calories", calories),
-        (_text_or_null("_synced_at").isNotNull() & synced.isNull(), "bad _synced_at value"),
+        (athlete_id.isNull(), "athlete has no id"),
+        _unreadable("activities", "start_date", start),
+        _unreadable("activities", "elapsed_time", elapsed),
+        _unreadable("activities", "distance", distance),
+        _unreadable("activities", "calories", calories),
+        (synced.isNull(), "bad _synced_at value"),
     ]
-    error = _problems("activity", "id", REQUIRED["activities"], "missing", checks)
-    return _shape(raw, text, "workouts", error, values, "_synced_at", as_of)
+    error = _problems("activities", _subject("activity", "id", ""), "missing", checks)
+    return _shape(records, text, "activities", "workouts", error, values, "_synced_at", as_of)
 
 
 def normalizer(entity: str, source: str, as_of: Column) -> Callable[[DataFrame], DataFrame]:

@@ -334,7 +334,7 @@ VIEWS["workout_records"] = """
 select event_id, k, 'w-' || event_id as workout_id, 'u-' || user_id as user_id, 'app' as source, event_type as workout_type,
   ts as start_time, ts + to_seconds(cast(round(value * 60) as bigint)) as end_time, 'device-' || user_id as device_id,
   ts + to_minutes(k) as synced_at, case when k <> 15 then value end as distance_meters, value as calories,
-  case when k in (18, 19) then 0 else 1 end as n_samples, case when k not in (18, 19) then ts end as first_ts,
+  cast(case when k in (18, 19) then 0 else 1 end as bigint) as n_samples, case when k not in (18, 19) then ts end as first_ts,
   case when k not in (18, 19) then ts end as last_ts, case when k in (18, 19) then '' else cast(k as varchar) end as rates,
   case when k = 10 then 'malformed workout record ''w-' || event_id || ''': missing/null [''device_id'']'
        when k = 11 then 'malformed workout record ''w-' || event_id || ''': missing/null [''user_id'']'
@@ -423,7 +423,7 @@ select case when ok then 'strava-' || o_orderkey end as workout_id, case when ok
   case when not ok then null when o_orderpriority = '3-MEDIUM' then (select this_moment from last_day) else o_orderdate + interval 1 day end as synced_at,
   case when ok and o_orderpriority <> '5-LOW' then o_totalprice end as distance_meters,
   case when ok and o_orderstatus <> 'F' then o_totalprice end as calories,
-  case when not ok then null when urgent then 3 when bare then 0 else 1 end as n_samples,
+  cast(case when not ok then null when urgent then 3 when bare then 0 else 1 end as bigint) as n_samples,
   case when not ok or bare then null when urgent then o_orderdate else o_orderdate + interval 1500 millisecond end as first_ts,
   case when not ok or bare then null when urgent then o_orderdate + interval 10 second else o_orderdate + interval 1500 millisecond end as last_ts,
   case when not ok then null when urgent then '120,130,-' when bare then '' else '-' end as rates,
@@ -590,8 +590,8 @@ from thin_days, (select avg(n) as mean, count(*) as days from thin_days
 where day = (select today from last_day) and days >= 3 and n / mean < 0.5"""
 
 SQL["q4_volume_dense"] = """
-select today + 1 as date, 0 as today_count, round((select sum(n) from thin_days where day >= today - 7) / 8, 1) as trailing_avg,
-  8 as trailing_days, cast(0 as double) as ratio
+select today + 1 as date, cast(0 as bigint) as today_count, round((select sum(n) from thin_days where day >= today - 7) / 8, 1) as trailing_avg,
+  cast(8 as bigint) as trailing_days, cast(0 as double) as ratio
 from last_day"""
 
 SQL["q5_anomaly"] = """
@@ -623,8 +623,8 @@ select event_id, {key('event_id', "case when k > 9 then event_type end")} as key
   date_sub('minute', ts, gap) as minutes, date_sub('hour', ts, gap) as hours,
   date_diff('day', cast(ts as date), cast(gap as date)) as days, cast(ts as date) - date '1970-01-01' as day_number,
   cast(strftime(ts, '%U') as bigint) as week, dayofweek(ts) + 1 as weekday, cast(cast(ts as date) + interval 1 year as date) as next_year,
-  cast(ts as date) - 6 as week_ago, round(case when k <> 0 then value / k end, 6) as safe,
-  round(case when k <> 0 then (value - k) / k end, 6) as change,
+  cast(ts as date) - 6 as week_ago, round(case when k > 0 then value / (k + 0.1::double) end, 6) as safe,
+  round(case when k > 0 then (value - (k + 0.1::double)) / (k + 0.1::double) end, 6) as change,
   case when event_type = 'view' then '' else event_type || ' ' end || lower(props) as words, strftime(ts, '%Y-%m-%d') as first_ten
 from (select *, ts + to_seconds((k - 50) * 977) as gap from ev)"""
 

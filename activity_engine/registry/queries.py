@@ -749,6 +749,7 @@ def f_scalars(spark: SparkSession, d: str) -> DataFrame:
     """Keys, time differences of both signs, calendar numbers and safe ratios on every event."""
     start, end = signed_gap()
     day = F.to_date("ts")
+    divisor = F.when(F.col("k") > 0, F.col("k") + F.lit(0.1).cast("double")).otherwise(F.lit(0.0))
     return si.events(spark, d).select(
         "event_id",
         sc.surrogate_key("event_id", F.when(F.col("k") > 9, F.col("event_type"))).alias("key"),
@@ -761,8 +762,8 @@ def f_scalars(spark: SparkSession, d: str) -> DataFrame:
         F.dayofweek(day).cast("bigint").alias("weekday"),
         F.add_months(day, 12).alias("next_year"),
         F.date_sub(day, 6).alias("week_ago"),
-        F.try_divide(F.col("value"), F.col("k").cast("double")).alias("safe"),
-        sc.ratio_change(F.col("value"), F.col("k").cast("double")).alias("change"),
+        F.try_divide(F.col("value"), divisor).alias("safe"),
+        sc.ratio_change(F.col("value"), divisor).alias("change"),
         F.concat_ws(" ", F.nullif(F.col("event_type"), F.lit("view")), F.lower("props")).alias("words"),
         F.substring(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), 1, 10).alias("first_ten"),
     )
