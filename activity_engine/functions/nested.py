@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,19 +38,30 @@ def sample_stats(samples: str = "samples") -> dict[str, Column]:
     }
 
 
+def bound_once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` worked out once, however often a lambda inside refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def zip_streams(time: Column, heart_rate: Column, latlng: Column, altitude: Column, start: Column) -> Column:
-    """Parallel arrays to one array of samples, as long as `time`; shorter arrays give NULLs."""
-    def at(values: Column, i: Column) -> Column:
-        return F.get(values, i)
-
-    samples = F.transform(
-        time,
-        lambda offset, i: F.struct(
-            plus_seconds(start, offset).alias("ts"),
-            at(heart_rate, i).cast("bigint").alias("heart_rate_bpm"),
-            at(at(latlng, i), F.lit(0)).cast("double").alias("lat"),
-            at(at(latlng, i), F.lit(1)).cast("double").alias("lon"),
-            at(altitude, i).cast("double").alias("elevation_m"),
-        ),
-    )
+    """Parallel arrays to one array of samples, as long as `time`; shorter arrays give NULLs.
+
+    The arrays are zipped first and each sample sees only its own element: an array expression inside
+    the lambda would be worked out again for every sample.
+    """
+    streams = {"time": time, "rate": heart_rate, "place": latlng, "height": altitude}
+    present = [F.coalesce(c, F.array()).alias(name) for name, c in streams.items()]
+    length = F.coalesce(F.size(time), F.lit(0))
+    zipped = F.slice(F.arrays_zip(*present), 1, F.greatest(length, F.lit(0)))
+
+    def sample(first: Column) -> Callable[[Column], Column]:
+        return lambda x: F.struct(
+            plus_seconds(first, x["time"]).alias("ts"),
+            x["rate"].cast("bigint").alias("heart_rate_bpm"),
+            F.get(x["place"], F.lit(0)).cast("double").alias("lat"),
+            F.get(x["place"], F.lit(1)).cast("double").alias("lon"),
+            x["height"].cast("double").alias("elevation_m"),
+        )
+
+    samples = bound_once(start, lambda first: F.transform(zipped, sample(first)))
     return F.coalesce(samples, F.array().cast(EMPTY_SAMPLES))

@@ -49,8 +49,9 @@ def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
 
 
 def plus_seconds(ts: ColumnOrName, seconds: ColumnOrName) -> Column:
-    """`ts` plus a possibly fractional number of seconds."""
-    return _c(ts) + F.make_dt_interval(secs=_c(seconds).cast("decimal(18,6)"))
+    """`ts` plus a possibly fractional number of seconds, to the microsecond."""
+    micros = F.round(_c(seconds).cast("double") * 1_000_000).cast("bigint")
+    return F.timestamp_micros(F.unix_micros(_c(ts)) + micros)
 
 
 def week_of_year_sunday(day: ColumnOrName) -> Column:

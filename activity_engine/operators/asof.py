@@ -60,11 +60,10 @@ def asof_validity_join(
 
     moments = facts.select(*on, "_at").unionByName(versions.select(*on, "_at"))
     hot = hot_keys(moments, on, "_at", hot_rows)
-    carried = _carried_in(facts.select(*on, "_at"), versions, hot, on)
-
-    merged = assign_chunks(
-        facts.unionByName(versions, allowMissingColumns=True), hot, on, "_at"
-    ).unionByName(carried, allowMissingColumns=True)
+    merged = assign_chunks(facts.unionByName(versions, allowMissingColumns=True), hot, on, "_at")
+    if hot is not None:
+        carried = _carried_in(facts.select(*on, "_at"), versions, hot, on)
+        merged = merged.unionByName(carried, allowMissingColumns=True)
     so_far = (
         Window.partitionBy(*on, CHUNK)
         .orderBy(F.col("_at").asc(), F.col("_is_fact").asc())

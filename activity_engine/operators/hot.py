@@ -32,15 +32,16 @@ def position(order: str, dtype: str) -> Column:
     return c.cast("double")
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than `hot_rows` rows: lowest position and chunk width.
+def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more than `hot_rows` rows, with their lowest position and chunk width, or None.
 
-    One pass over two columns; the counts are combined before the shuffle. The result has at most
-    MAX_HOT_KEYS rows.
+    Runs one job over the key and order columns, counting before the shuffle, so that the usual case
+    without hot keys gets a plain plan. At most MAX_HOT_KEYS rows come to the driver.
     """
     spot = position(order, dict(rows.dtypes)[order])
     counts = (
         rows.select(*keys, spot.alias("_at"))
+        .dropna(subset=[*keys])
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
         .where(F.col("_rows") > hot_rows)
@@ -48,24 +49,28 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = H
         .limit(MAX_HOT_KEYS)
     )
     chunks = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("double")
-    return counts.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / chunks).alias("_width"))
+    hot = counts.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / chunks).alias("_width"))
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def assign_chunks(
-    rows: DataFrame, hot: DataFrame, keys: Sequence[str], order: str, only_hot: bool = False
+    rows: DataFrame, hot: DataFrame | None, keys: Sequence[str], order: str, only_hot: bool = False
 ) -> DataFrame:
     """Add the chunk number; it never decreases as the order column grows within a key.
 
-    `only_hot` keeps just the rows of hot keys, for the border pass.
-    Rows with a NULL key or position match nothing anyway and are spread over many chunks, by a hash
-    of their leading columns only, so that unused wide columns can still be pruned.
+    `only_hot` keeps just the rows of hot keys, for the border pass. Rows with a NULL key
+    or position match nothing anyway and are spread over many chunks, by a hash of their leading columns
+    only, so that unused wide columns can still be pruned.
     """
     spot = position(order, dict(rows.dtypes)[order])
-    joined = rows.join(F.broadcast(hot), list(keys), "inner" if only_hot else "left")
-    steps = F.floor((spot - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    chunk = F.coalesce(steps, F.lit(0))
+    chunk = F.lit(0).cast("bigint")
+    if hot is not None:
+        rows = rows.join(F.broadcast(hot), list(keys), "inner" if only_hot else "left")
+        steps = F.floor((spot - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
+        chunk = F.coalesce(steps, chunk)
     unmatched = spot.isNull()
     for key in keys:
         unmatched = unmatched | F.col(key).isNull()
     spread = F.pmod(F.xxhash64(*dict.fromkeys([*rows.columns[:4], order])), F.lit(4096))
-    return joined.withColumn(CHUNK, F.when(unmatched, spread).otherwise(chunk)).drop("_lo", "_width")
+    return rows.withColumn(CHUNK, F.when(unmatched, spread).otherwise(chunk)).drop("_lo", "_width")

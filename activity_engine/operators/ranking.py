@@ -15,10 +15,19 @@ def rank_desc(
 ) -> DataFrame:
     """`rank() over (partition by group order by measure desc)`: ties share a rank, gaps follow.
 
-    The rank is one plus the number of rows with a higher measure, so it is worked out on the distinct
-    values of each group with their counts (combined before the shuffle: a million equal rows become
-    one) and joined back. Groups with many distinct values are split into chunks. `measure` must not
-    be NULL.
+    Where a group has more than `hot_rows` rows, ranks are worked out on distinct values instead.
+    `measure` must not be NULL.
+    """
+    if hot_keys(df, group, measure, hot_rows) is None:
+        order = Window.partitionBy(*group).orderBy(F.col(measure).desc())
+        return df.withColumn(name, F.rank().over(order).cast("bigint"))
+    return _rank_by_values(df, group, measure, name, hot_rows)
+
+
+def _rank_by_values(df: DataFrame, group: Sequence[str], measure: str, name: str, hot_rows: int) -> DataFrame:
+    """The rank is one plus the number of rows with a higher measure, so it can be worked out on the
+    distinct values of each group with their counts (combined before the shuffle: a million equal rows
+    become one) and joined back. Groups with many distinct values are split into chunks.
     """
     values = df.groupBy(*group, measure).agg(F.count(F.lit(1)).alias("_n"))
     # Measures pile up near zero; the log scale spreads them and keeps their order.
@@ -26,18 +35,9 @@ def rank_desc(
     hot = hot_keys(scaled, group, "_scaled", hot_rows)
     chunked = assign_chunks(scaled, hot, group, "_scaled")
 
-    higher_chunks = (
-        Window.partitionBy(*group).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    totals = (
-        assign_chunks(scaled, hot, group, "_scaled", only_hot=True)
-        .groupBy(*group, CHUNK)
-        .agg(F.sum("_n").alias("_total"))
-        .withColumn("_above", F.sum("_total").over(higher_chunks))
-        .where(F.col("_above").isNotNull())
-        # A border row sorts before every value of its chunk and stands for all rows above it.
-        .select(*group, CHUNK, F.col("_above").alias("_n"), F.lit(True).alias("_border"))
-    )
+    ranked = chunked.drop("_scaled").withColumn("_border", F.lit(False))
+    if hot is not None:
+        ranked = ranked.unionByName(_rows_above(scaled, hot, group), allowMissingColumns=True)
 
     higher_values = (
         Window.partitionBy(*group, CHUNK)
@@ -45,16 +45,29 @@ def rank_desc(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = (
-        chunked.drop("_scaled")
-        .withColumn("_border", F.lit(False))
-        .unionByName(totals, allowMissingColumns=True)
-        .withColumn(name, (F.coalesce(F.sum("_n").over(higher_values), F.lit(0)) + 1).cast("bigint"))
+        ranked.withColumn(name, (F.coalesce(F.sum("_n").over(higher_values), F.lit(0)) + 1).cast("bigint"))
         .where(~F.col("_border"))
         .select(*group, measure, name)
     )
     return df.join(ranks, [*group, measure], "inner").select(*df.columns, name)
 
 
+def _rows_above(scaled: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
+    """For each chunk of a hot group, a border row that counts the rows of all higher chunks."""
+    higher_chunks = (
+        Window.partitionBy(*group).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        assign_chunks(scaled, hot, group, "_scaled", only_hot=True)
+        .groupBy(*group, CHUNK)
+        .agg(F.sum("_n").alias("_total"))
+        .withColumn("_above", F.sum("_total").over(higher_chunks))
+        .where(F.col("_above").isNotNull())
+        # A border row sorts before every value of its chunk and stands for all rows above it.
+        .select(*group, CHUNK, F.col("_above").alias("_n"), F.lit(True).alias("_border"))
+    )
+
+
 def best_per_group(
     df: DataFrame, group: Sequence[str], maxima: Mapping[str, str], minima: Mapping[str, Column]
 ) -> DataFrame:

@@ -47,12 +47,20 @@ def scd2_history(
     `valid_to` is the next version of the key, NULL on the last one.
     """
     hot = hot_keys(log, keys, version, hot_rows)
-    plain = assign_chunks(log, hot, keys, version).withColumn("_border", F.lit(False))
+    if hot is None:
+        versions = Window.partitionBy(*keys).orderBy(version)
+        followed = log.withColumn("valid_to", F.lead(version).over(versions))
+    else:
+        followed = _followed_in_chunks(log, hot, keys, version)
+    return followed.withColumn("valid_from", F.col(version)).select(*log.columns, "valid_from", "valid_to")
+
 
-    # The last version of a chunk is followed by the first one of the key's next chunk.
-    narrow = log.select(*keys, version)
+def _followed_in_chunks(log: DataFrame, hot: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
+    """`valid_to` with hot keys split: the last version of a chunk is followed by the first one of the
+    key's next chunk, which is put at its end as a border row."""
+    plain = assign_chunks(log, hot, keys, version).withColumn("_border", F.lit(False))
     firsts = (
-        assign_chunks(narrow, hot, keys, version, only_hot=True)
+        assign_chunks(log.select(*keys, version), hot, keys, version, only_hot=True)
         .groupBy(*keys, CHUNK)
         .agg(F.min(version).alias("_first"))
     )
@@ -62,14 +70,11 @@ def scd2_history(
         .where(F.col("_next").isNotNull())
         .select(*keys, F.col("_next").alias(version), CHUNK, F.lit(True).alias("_border"))
     )
-
     versions = Window.partitionBy(*keys, CHUNK).orderBy(F.col(version).asc(), F.col("_border").asc())
     return (
         plain.unionByName(borders, allowMissingColumns=True)
         .withColumn("valid_to", F.lead(version).over(versions))
         .where(~F.col("_border"))
-        .withColumn("valid_from", F.col(version))
-        .select(*log.columns, "valid_from", "valid_to")
     )
 
 
