@@ -54,6 +54,12 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = H
     return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
+def has_hot_key(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
+    """Whether any key has more than `hot_rows` rows; one job over the keys."""
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counts.where(F.col("_rows") > hot_rows).isEmpty()
+
+
 def assign_chunks(
     rows: DataFrame, hot: DataFrame | None, keys: Sequence[str], order: str, only_hot: bool = False
 ) -> DataFrame:

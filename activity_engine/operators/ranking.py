@@ -7,18 +7,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from activity_engine.operators.hot import CHUNK, HOT_ROWS, assign_chunks, hot_keys
+from activity_engine.operators.hot import CHUNK, HOT_ROWS, assign_chunks, has_hot_key, hot_keys
 
 
 def rank_desc(
-    df: DataFrame, group: Sequence[str], measure: str, name: str, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    group: Sequence[str],
+    measure: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """`rank() over (partition by group order by measure desc)`: ties share a rank, gaps follow.
 
     Where a group has more than `hot_rows` rows, ranks are worked out on distinct values instead.
-    `measure` must not be NULL.
+    `measure` must not be NULL. Groups are counted on `sized_by` where given: something cheaper than
+    `df` that has no fewer rows per group, such as its rows before a join.
     """
-    if hot_keys(df, group, measure, hot_rows) is None:
+    if not has_hot_key(df if sized_by is None else sized_by, group, hot_rows):
         order = Window.partitionBy(*group).orderBy(F.col(measure).desc())
         return df.withColumn(name, F.rank().over(order).cast("bigint"))
     return _rank_by_values(df, group, measure, name, hot_rows)

@@ -43,13 +43,15 @@ def leaderboard(
     )
     friends = friendships.select("user_id", F.col("friend_user_id").alias("member_user_id"))
     themselves = users.select("user_id", F.col("user_id").alias("member_user_id"))
-    groups = friends.unionByName(themselves).join(members, "member_user_id", "inner")
+    edges = friends.unionByName(themselves)
+    groups = edges.join(members, "member_user_id", "inner")
     return rank_desc(
         groups.select("user_id", "member_user_id", "member_name", "distance_7d", "workouts_7d"),
         ["user_id"],
         "distance_7d",
         "rank_by_distance",
         hot_rows,
+        sized_by=edges,
     )
 
 

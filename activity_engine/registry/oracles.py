@@ -292,6 +292,8 @@ from day_facts"""
 
 SQL["m6_leaderboard"] = "select * replace (round(distance_7d, 6) as distance_7d) from board"
 
+SQL["m6_leaderboard_split"] = SQL["m6_leaderboard"]
+
 SQL["m7_records"] = f"select * replace ({rounded('best_pace_min_per_km')}) from records"
 
 SQL["a3_best_per_group"] = """

@@ -20,11 +20,26 @@ GOALS = ["lose_weight", "build_endurance", "build_strength", "maintain"]
 PACE = {"click": ("run", 170.0), "view": ("walk", 80.0), "purchase": ("ride", 450.0)}
 
 
+# Declared columns of the given tables. Their zoneless timestamps are read as UTC instants, so that
+# time filters still reach the Parquet scan.
+TABLES = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp",
+    "events": "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table, its zoneless timestamps read as UTC instants."""
-    df = tune(spark).read.parquet(f"{sf_dir}/{table}.parquet")
-    zoneless = [name for name, dtype in df.dtypes if dtype == "timestamp_ntz"]
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
+    return tune(spark).read.schema(TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,26 +117,26 @@ def first_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First deliveries, plus a corrected second one, an hour later, where k is under 10."""
-    first = first_deliveries(spark, sf_dir)
-    again = first.where(F.col("k") < 10).withColumns(
-        {"synced_at": plus_seconds("synced_at", F.lit(3600)), "calories": F.col("calories") + 1}
-    )
-    return first.unionByName(again).select(*ENTITIES["workouts"].columns)
+    deliveries = F.when(F.col("k") < 10, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    sent = first_deliveries(spark, sf_dir).withColumn("again", F.explode(deliveries))
+    corrected = {
+        "synced_at": plus_seconds("synced_at", F.col("again") * 3600),
+        "calories": F.col("calories") + F.col("again"),
+    }
+    return sent.withColumns(corrected).select(*ENTITIES["workouts"].columns)
 
 
 def raw_friendships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event ties its user to the user numbered k, in both directions, again and again."""
     e = events(spark, sf_dir).where(F.col("user_id") != F.col("k"))
-    one_way = e.select(
-        prefixed("u-", "user_id").alias("user_id"),
-        prefixed("u-", "k").alias("friend_user_id"),
-        F.lit("app").alias("source"),
-        F.col("ts").alias("created_at"),
+    one, other = prefixed("u-", "user_id"), prefixed("u-", "k")
+    ways = F.array(
+        F.struct(one.alias("user_id"), other.alias("friend_user_id")),
+        F.struct(other.alias("user_id"), one.alias("friend_user_id")),
     )
-    back = one_way.select(
-        F.col("friend_user_id").alias("user_id"), F.col("user_id").alias("friend_user_id"), "source", "created_at"
+    return e.select(F.explode(ways).alias("way"), F.lit("app").alias("source"), F.col("ts").alias("created_at")).select(
+        "way.*", "source", "created_at"
     )
-    return one_way.unionByName(back)
 
 
 def last_day(spark: SparkSession, sf_dir: str) -> Column:
