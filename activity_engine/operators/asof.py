@@ -102,7 +102,7 @@ def _broadcast_join(
     return f.join(d, match, how).select("f.*", *added)
 
 
-def _carried_in(facts: DataFrame, versions: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
+def _carried_in(facts: DataFrame, versions: DataFrame, hot: list[DataFrame], on: Sequence[str]) -> DataFrame:
     """For each chunk of a hot key: the version in force when the chunk begins."""
     rows = facts.unionByName(versions.drop("_is_fact"), allowMissingColumns=True)
     is_version = F.col("_version").isNotNull()

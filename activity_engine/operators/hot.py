@@ -4,7 +4,10 @@ A window ordered by time (or by a measure) puts all rows of a key into one task.
 ordinary keys and ruinous for one that holds a third of the data. Keys with more than `hot_rows`
 rows are therefore cut into chunks, contiguous ranges of the order column, and the window runs per
 (key, chunk). What has to cross a chunk border (a next version, a version carried in, a count) is
-worked out on one row per chunk. Ordinary keys stay in chunk 0, so they cost one shuffle as before.
+worked out on one row per chunk. Without hot keys the plan stays a single window.
+
+Chunks of a key are equally wide. Where rows crowd into one of them, that chunk is cut again, up to
+MAX_LEVELS times; only rows with the very same position cannot be parted.
 """
 
 from __future__ import annotations
@@ -15,9 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
-HOT_ROWS = 2_000_000
-# Bounds the broadcast below. A key past this rank is small beside the data and is simply not split.
-MAX_HOT_KEYS = 10_000
+HOT_ROWS = 500_000
+# Bounds what is collected and broadcast. A key past this rank is small beside the data and is simply
+# not split; the result is the same.
+MAX_HOT_KEYS = 50_000
+MAX_LEVELS = 3
 
 
 def position(order: str, dtype: str) -> Column:
@@ -32,26 +37,46 @@ def position(order: str, dtype: str) -> Column:
     return c.cast("double")
 
 
-def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than `hot_rows` rows, with their lowest position and chunk width, or None.
+def _step(level: int) -> str:
+    return f"_c{level}"
+
+
+def _chunk_number(spot: Column) -> Column:
+    return F.floor((spot - F.col("_lo")) / F.col("_width"))
+
+
+def hot_keys(
+    rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
+) -> list[DataFrame] | None:
+    """How to split the keys with more than `hot_rows` rows, or None if there are none.
 
-    Runs one job over the key and order columns, counting before the shuffle, so that the usual case
-    without hot keys gets a plain plan. At most MAX_HOT_KEYS rows come to the driver.
+    The first frame has the lowest position and the chunk width of each such key, the next one those
+    of chunks that are still too large, and so on. Each takes one job over the key and order columns,
+    which counts before the shuffle; the later jobs read hot keys only and run only if there are any.
     """
     spot = position(order, dict(rows.dtypes)[order])
-    counts = (
-        rows.select(*keys, spot.alias("_at"))
-        .dropna(subset=[*keys])
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
-        .where(F.col("_rows") > hot_rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
-    )
-    chunks = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("double")
-    hot = counts.select(*keys, "_lo", ((F.col("_hi") - F.col("_lo")) / chunks).alias("_width"))
-    found = hot.collect()
-    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+    spots = rows.select(*keys, spot.alias("_at")).dropna()
+    by, levels = list(keys), []
+    while len(levels) < MAX_LEVELS:
+        counts = (
+            spots.groupBy(*by)
+            .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+            .where((F.col("_rows") > hot_rows) & (F.col("_hi") > F.col("_lo")))
+            .orderBy(F.desc("_rows"), *by)
+            .limit(MAX_HOT_KEYS)
+        )
+        chunks = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("double")
+        level = counts.select(*by, "_lo", ((F.col("_hi") - F.col("_lo")) / chunks).alias("_width"))
+        found = level.collect()
+        if not found:
+            break
+        levels.append(rows.sparkSession.createDataFrame(found, level.schema))
+        step = _step(len(levels) - 1)
+        spots = spots.join(F.broadcast(levels[-1]), by, "inner").select(
+            *by, _chunk_number(F.col("_at")).alias(step), "_at"
+        )
+        by.append(step)
+    return levels or None
 
 
 def has_hot_key(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
@@ -61,22 +86,29 @@ def has_hot_key(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS)
 
 
 def assign_chunks(
-    rows: DataFrame, hot: DataFrame | None, keys: Sequence[str], order: str, only_hot: bool = False
+    rows: DataFrame, hot: list[DataFrame] | None, keys: Sequence[str], order: str, only_hot: bool = False
 ) -> DataFrame:
-    """Add the chunk number; it never decreases as the order column grows within a key.
+    """Add the chunk; it never decreases as the order column grows within a key.
 
-    `only_hot` keeps just the rows of hot keys, for the border pass. Rows with a NULL key
-    or position match nothing anyway and are spread over many chunks, by a hash of their leading columns
-    only, so that unused wide columns can still be pruned.
+    `only_hot` keeps just the rows of hot keys, for the border pass. Rows with a NULL key or position
+    match nothing anyway and are spread over many chunks, by a hash of their leading columns only, so
+    that unused wide columns can still be pruned.
     """
     spot = position(order, dict(rows.dtypes)[order])
-    chunk = F.lit(0).cast("bigint")
-    if hot is not None:
-        rows = rows.join(F.broadcast(hot), list(keys), "inner" if only_hot else "left")
-        steps = F.floor((spot - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
-        chunk = F.coalesce(steps, chunk)
     unmatched = spot.isNull()
     for key in keys:
         unmatched = unmatched | F.col(key).isNull()
     spread = F.pmod(F.xxhash64(*dict.fromkeys([*rows.columns[:4], order])), F.lit(4096))
-    return rows.withColumn(CHUNK, F.when(unmatched, spread).otherwise(chunk)).drop("_lo", "_width")
+    if hot is None:
+        return rows.withColumn(CHUNK, F.when(unmatched, spread).otherwise(F.lit(0).cast("bigint")))
+    by = list(keys)
+    for number, level in enumerate(hot):
+        rows = rows.join(F.broadcast(level), by, "inner" if only_hot and number == 0 else "left")
+        chunk = F.coalesce(_chunk_number(spot), F.lit(0))
+        if number == 0:
+            chunk = F.when(unmatched, spread).otherwise(chunk)
+        rows = rows.withColumn(_step(number), chunk).drop("_lo", "_width")
+        by.append(_step(number))
+    steps = by[len(keys) :]
+    # A struct compares field by field, so a finer step only orders rows of the same coarser one.
+    return rows.withColumn(CHUNK, F.struct(*steps)).drop(*steps)

@@ -58,7 +58,7 @@ def _rank_by_values(df: DataFrame, group: Sequence[str], measure: str, name: str
     return df.join(ranks, [*group, measure], "inner").select(*df.columns, name)
 
 
-def _rows_above(scaled: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
+def _rows_above(scaled: DataFrame, hot: list[DataFrame], group: Sequence[str]) -> DataFrame:
     """For each chunk of a hot group, a border row that counts the rows of all higher chunks."""
     higher_chunks = (
         Window.partitionBy(*group).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)

@@ -160,7 +160,9 @@ def build_models(spark: SparkSession, wh: Warehouse, as_of: datetime) -> dict[st
     # The stored fact holds the same workouts as staging, already deduplicated.
     by_month = facts.fact_daily_metrics(workouts, users, now).withColumn("month", F.date_format("date_day", "yyyy-MM"))
     daily = store("fact_daily_metrics", by_month, ("month",))
-    store("leaderboard", marts.leaderboard(tables["stg_friendships"], users, daily, now))
+    first_month = F.date_format(F.date_sub(now.cast("date"), marts.WEEK_DAYS - 1), "yyyy-MM")
+    recent = daily.where(F.col("month") >= first_month)
+    store("leaderboard", marts.leaderboard(tables["stg_friendships"], users, recent, now))
     store("personal_records", marts.personal_records(workouts))
     return tables
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,7 +88,16 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, entity: Entit
     """
     keys, version = list(entity.keys), entity.version
     fresh = latest_per_key(source.select(*entity.columns), keys, version)
-    fresh = fresh.withColumn(DAY, F.date_format(version, "yyyy-MM-dd"))
+    # Read three times below; kept on disk, and worked out again where an executor is lost.
+    fresh = fresh.withColumn(DAY, F.date_format(version, "yyyy-MM-dd")).persist(StorageLevel.DISK_ONLY)
+    try:
+        _merge(spark, path, fresh, entity)
+    finally:
+        fresh.unpersist()
+
+
+def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity) -> None:
+    keys, version = list(entity.keys), entity.version
     number, dirs = _state(spark, path)
     target = read_entity(spark, path, entity)
 
@@ -102,9 +112,7 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, entity: Entit
 
     touched = target.where(F.col(DAY).isin(days)).drop(DAY)
     # A stale source row must not come in again beside its newer target row on an untouched day.
-    applied = fresh.join(
-        news.where(newer).select(*keys), keys, "left_semi"
-    ).drop(DAY)
+    applied = fresh.join(news.where(newer).select(*keys), keys, "left_semi").drop(DAY)
     merged = upsert_newest(touched, applied, keys, version)
     gen = f"gen={number + 1}"
     (

@@ -17,6 +17,7 @@ from activity_engine.operators import quality as qa
 from activity_engine.operators.asof import asof_validity_join
 from activity_engine.operators.dedupe import latest_per_key
 from activity_engine.operators.grid import densify
+from activity_engine.operators.hot import CHUNK, assign_chunks, hot_keys
 from activity_engine.operators.ranking import best_per_group, rank_desc
 from activity_engine.operators.rolling import days_since_active, period_over_period, rolling_avg
 from activity_engine.operators.scd2 import first_snapshot, scd2_history, snapshot_timestamp
@@ -172,6 +173,20 @@ def test_asof_join_matches_brute_force(spark, hot_rows):
     assert rows(asof_validity_join(f, d, ["k"], "ts", how="inner", hot_rows=hot_rows)) == matched
 
 
+def test_crowded_chunks_are_cut_again(spark):
+    # One outlier far away, so that equal widths leave nearly all rows in the first chunk.
+    data = [("k", at(i / 60), i) for i in range(500)] + [("k", at(1_000_000), 500)]
+    levels = hot_keys(log(spark, data), ["k"], "v", 50)
+    assert len(levels) > 1
+    chunked = assign_chunks(log(spark, data), levels, ["k"], "v")
+    sizes = [r["count"] for r in chunked.groupBy(CHUNK).count().collect()]
+    assert sum(sizes) == 501 and max(sizes) <= 60
+    assert [r.x for r in chunked.orderBy(CHUNK, "v").collect()] == list(range(501))
+    history = scd2_history(log(spark, data), ["k"], "v", hot_rows=50)
+    assert history.where("valid_to is null").count() == 1
+    assert history.where("timestampdiff(MINUTE, v, valid_to) = 1").count() == 499
+
+
 def test_asof_join_broadcasts_only_a_small_dimension(spark):
     facts, dims = asof_input(3)
     f = spark.createDataFrame(facts, "k string, ts timestamp, id int")
