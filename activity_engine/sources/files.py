@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -24,11 +26,15 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it exists, so of two writers one wins."""
+    """Create a small file that is seen whole or not at all; an error if it exists."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
     out.write(bytearray(text.encode()))
     out.close()
+    if fs.exists(p) or not fs.rename(draft, p):
+        fs.delete(draft, False)
+        raise FileExistsError(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

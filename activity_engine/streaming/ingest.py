@@ -6,6 +6,7 @@ keeps late rows and the newest version. The state is the raw table itself.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,16 +27,16 @@ def raw_stream(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def split_and_merge(
-    base: str, table: str, entity: str, source: str, as_of: Column
+    base: str, table: str, entity: str, source: str, as_of: Column, name: str
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: land valid rows and rejects, then upsert what was landed.
 
-    The run is named after the batch and written in replace mode, and the upsert changes nothing the
-    second time, so a retried batch leaves the same state.
+    The run is named after the stream and the batch and written in replace mode, and the upsert changes
+    nothing the second time, so a retried batch leaves the same state.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        run = f"stream-{batch_id:010d}"
+        run = f"stream-{name}-{batch_id:010d}"
         landing.land(batch, base, entity, source, as_of, run, replay=True)
         landed = landing.read_landing(batch.sparkSession, base, entity, source, run=run)
         merge_table(batch.sparkSession, table, landed, ENTITIES[entity])
@@ -55,9 +56,11 @@ def stream_ingest(
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Take in all files not seen before and stop."""
+    # Batch numbers begin again with a new checkpoint, so the runs are told apart by its name.
+    name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     shaped = normalizer(entity, source, as_of)(raw_stream(spark, raw_path, files_per_batch))
     return (
-        shaped.writeStream.foreachBatch(split_and_merge(base, table, entity, source, as_of))
+        shaped.writeStream.foreachBatch(split_and_merge(base, table, entity, source, as_of, name))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
