@@ -35,7 +35,7 @@ def test_asof_join_sorts_once_and_joins_nothing(spark):
 
 
 def test_unused_samples_are_not_read(spark):
-    assert "embedding" not in plan(spark, "m5_daily_metrics")
+    assert "embedding:array" not in plan(spark, "m5_daily_metrics")
 
 
 def test_dense_grid_is_not_shuffled(spark):
