@@ -29,7 +29,7 @@ from activity_engine.schemas import ENTITIES
 from activity_engine.session import scratch_dir
 from activity_engine.sources import landing
 from activity_engine.sources.seeds import exercise_types
-from activity_engine.sources.tables import merge_table, read_entity
+from activity_engine.sources.tables import merge_table, read_entity, replace_table
 from activity_engine.streaming.ingest import stream_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -613,10 +613,18 @@ def t2_stream_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 
 def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Every table the declared tests name."""
-    workouts, users = stg_workouts(spark, d), dim_user(spark, d)
-    fact, daily = fact_workout(spark, d, users), daily_metrics(spark, d, users)
-    edges = staging.stg_friendships(si.raw_friendships(spark, d))
+    """Every table the declared tests name. Models are stored as in the full run, so that each is made
+    once and not anew for every test."""
+    base = scratch_dir(spark, "models")
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        return replace_table(df, f"{base}/{name}")
+
+    workouts = stored("stg_workouts", stg_workouts(spark, d))
+    users = stored("dim_user", dim_user(spark, d))
+    edges = stored("stg_friendships", staging.stg_friendships(si.raw_friendships(spark, d)))
+    types, days = dims.dim_exercise_type(exercise_types(spark)), spine(spark, d)
+    daily = stored("daily", facts.fact_daily_metrics(workouts, users, si.last_day(spark, d)))
     return {
         "raw_workouts": si.raw_workouts(spark, d),
         "raw_users": si.raw_users(spark, d),
@@ -625,9 +633,9 @@ def models(spark: SparkSession, d: str) -> dict[str, DataFrame]:
         "stg_users": staging.stg_users(si.raw_users(spark, d)),
         "stg_friendships": edges,
         "dim_user": users,
-        "dim_date": spine(spark, d),
-        "dim_exercise_type": dims.dim_exercise_type(exercise_types(spark)),
-        "fact_workout": fact,
+        "dim_date": days,
+        "dim_exercise_type": types,
+        "fact_workout": stored("fact_workout", facts.fact_workout(workouts, users, types, days)),
         "fact_daily_metrics": daily,
         "leaderboard": marts.leaderboard(edges, users, daily, si.last_day(spark, d)),
         "personal_records": marts.personal_records(workouts),
