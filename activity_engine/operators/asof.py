@@ -43,7 +43,7 @@ def asof_validity_join(
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
 
-    if broadcast_rows and _is_small(dim, on, broadcast_rows):
+    if broadcast_rows and is_small(dim, on, broadcast_rows):
         return _broadcast_join(fact, dim, on, ts, valid_from, valid_to, how)
 
     facts = fact.withColumn("_at", F.col(ts).cast("timestamp")).withColumn("_is_fact", F.lit(True))
@@ -84,7 +84,8 @@ def asof_validity_join(
     )
 
 
-def _is_small(dim: DataFrame, on: Sequence[str], rows: int) -> bool:
+def is_small(dim: DataFrame, on: Sequence[str], rows: int) -> bool:
+    """Whether a dimension, counted now, may be broadcast."""
     per_key = dim.groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
     total, most = per_key.agg(F.sum("n"), F.max("n")).first()
     return total is None or (total <= rows and most <= BROADCAST_VERSIONS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from activity_engine.functions.nested import sample_stats
 from activity_engine.functions.scalars import surrogate_key
-from activity_engine.operators.asof import asof_validity_join
+from activity_engine.operators.asof import asof_validity_join, is_small
 from activity_engine.operators.grid import densify
 from activity_engine.operators.hot import HOT_ROWS
 from activity_engine.operators.rolling import days_since_active, period_over_period, rolling_avg
@@ -45,16 +45,23 @@ def fact_workout(
     hot_rows: int = HOT_ROWS,
     broadcast_rows: int = 0,
 ) -> DataFrame:
-    """One row per workout, with the user version that held when it started.
+    """One row per workout, with the user version that held when it started; `workout_id` is unique.
 
-    Heart-rate measures come from the nested samples in place, so the only exchange of the workouts
-    is the one of the as-of join (none when the user dimension proves small).
+    Heart-rate measures come from the nested samples in place. The samples are nearly all of the bytes,
+    so they stay out of the as-of join: it runs on three narrow columns and is joined back on
+    `workout_id`, by which staging has the workouts partitioned and sorted already. When the user
+    dimension proves small it is broadcast instead and nothing moves.
     """
     measured = workouts.withColumns(sample_stats("samples"))
     versions = dim_user.select("user_id", "user_sk", "valid_from", "valid_to")
-    with_user = asof_validity_join(
-        measured, versions, ["user_id"], "start_time", hot_rows=hot_rows, broadcast_rows=broadcast_rows
-    )
+    if broadcast_rows and is_small(versions, ["user_id"], broadcast_rows):
+        with_user = asof_validity_join(
+            measured, versions, ["user_id"], "start_time", hot_rows=hot_rows, broadcast_rows=broadcast_rows
+        )
+    else:
+        moments = workouts.select("workout_id", "user_id", "start_time")
+        linked = asof_validity_join(moments, versions, ["user_id"], "start_time", hot_rows=hot_rows)
+        with_user = measured.join(linked.select("workout_id", "user_sk"), "workout_id", "left")
     types = dim_exercise_type.select("workout_type", "exercise_type_sk")
     days = dim_date.select(F.col("date_day").alias("_day"), F.col("date_sk").alias("workout_date_sk"))
     return (

@@ -42,3 +42,9 @@ def test_dense_grid_is_not_shuffled(spark):
     text = plan(spark, "m5_daily_metrics")
     grid = text.index("Generate posexplode")
     assert "Exchange" not in text[:grid]
+
+
+def test_samples_are_shuffled_once(spark):
+    text = plan(spark, "m4_fact_workout")
+    # The dedupe moves the samples; type and date are broadcast, the user link is joined in place.
+    assert text.count("SortMergeJoin") == 1 and "SortMergeJoin [workout_id" in text
