@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,3 +86,13 @@ def bounded_sample(rows: DataFrame, label: str, key: str, most: int) -> DataFram
     for value, n in sorted(counts.items()):
         kept = kept | ((F.col(label) == F.lit(value)) & (spot < F.lit(min(1.0, most / n) * (1 + 1e-9))))
     return rows.where(kept)
+
+
+class Shared:
+    """Something of bounded size that is sent to each executor once."""
+
+    def __init__(self, value: object) -> None:
+        self._sent = SparkSession.getActiveSession().sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> object:
+        return cloudpickle.loads(self._sent.value)

@@ -67,7 +67,7 @@ def _shuffled(docs: DataFrame, seed: int) -> DataFrame:
     sizes = docs.groupBy("source").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / CHUNK_ROWS)).alias("chunks"))
     unit = spot / F.lit(2.0**64) + F.lit(0.5)
     placed = (
-        docs.join(F.broadcast(sizes.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s")))
+        docs.join(sizes.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s")))
         .withColumn("spot", spot)
         .withColumn("chunk", F.least(F.floor(unit * F.col("chunks")), F.col("chunks") - 1))
         .drop("_s", "chunks")

@@ -5,15 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from activity_engine.llm import mixture
-from activity_engine.llm.common import table
+from activity_engine.llm import language, licenses, mixture
+from activity_engine.llm.common import bucket, table
+
+
+def _held_out(modulus: int, value: int):
+    """Whether a row is kept from training; a row without an id is neither learned from nor held out."""
+    return F.coalesce(bucket("doc_id", modulus) == value, F.lit(False))
+
+
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", licenses.scan(F.col("text")).alias("r")).select("doc_id", "r.*")
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.where(bucket("doc_id", 4) != 2))
+    found = docs.select("doc_id", _held_out(4, 2).alias("held_out"), language.identify(F.col("text"), model).alias("r"))
+    return found.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.entropy", "r.rejected")
 
 
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op10_mixture": op10_mixture}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_licenses": op2_licenses,
+    "op4_language": op4_language,
+    "op10_mixture": op10_mixture,
+}
 
 ORACLE_SQL: dict[str, str] = {}
