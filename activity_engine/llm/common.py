@@ -96,3 +96,26 @@ class Shared:
 
     def get(self) -> object:
         return cloudpickle.loads(self._sent.value)
+
+
+def labelled_sample(
+    documents: DataFrame,
+    labels: DataFrame,
+    label: str,
+    most: int,
+    chars: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> list[tuple[str, int]]:
+    """(text, 0 or 1) of about `most` rows per label, brought to the driver.
+
+    Only labels are sampled and joined, so documents without a sampled label never move. Texts longer
+    than `chars` characters, nulls and labels other than 0 and 1 are left out; of several labels of one
+    document the largest counts. The bound is `2 * most` texts of `chars` characters.
+    """
+    known = labels.select(F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")).where("y in (0, 1)")
+    sample = bounded_sample(known, "y", "id", most).groupBy("id").agg(F.max("y").alias("y"))
+    texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = texts.where(F.col("text").isNotNull() & (F.length("text") <= chars))
+    found = texts.join(F.broadcast(sample), "id").select("id", "y", "text").orderBy("id", "text").collect()
+    return [(r["text"], r["y"]) for r in found]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import language, licenses, mixture
+from activity_engine.llm import language, licenses, mixture, quality, toxicity
 from activity_engine.llm.common import bucket, table
 
 
-def _held_out(modulus: int, value: int):
+def _held_out(modulus: int, value: int) -> Column:
     """Whether a row is kept from training; a row without an id is neither learned from nor held out."""
     return F.coalesce(bucket("doc_id", modulus) == value, F.lit(False))
 
@@ -28,6 +28,23 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.entropy", "r.rejected")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(bucket("doc_id", 5) != 0))
+    return _scored(docs, toxicity.score(F.col("text"), model), 0.5)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(bucket("doc_id", 5) != 0))
+    return _scored(docs, quality.score(F.col("text"), model), 0.3)
+
+
+def _scored(docs: DataFrame, score: Column, least: float) -> DataFrame:
+    found = docs.select("doc_id", _held_out(5, 0).alias("held_out"), score.alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= least).cast("int"))
+
+
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -35,6 +52,8 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op4_language": op4_language,
+    "op6_toxicity": op6_toxicity,
+    "op8_quality": op8_quality,
     "op10_mixture": op10_mixture,
 }
 
