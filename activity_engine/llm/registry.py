@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import language, licenses, mixture, quality, toxicity
+from activity_engine.llm import jaccard, language, licenses, mixture, quality, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -28,6 +28,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "r.lang_pred", "r.score", "r.entropy", "r.rejected")
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join_digest(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(bucket("doc_id", 5) != 0))
@@ -52,6 +56,7 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
     "op4_language": op4_language,
+    "op5_jaccard": op5_jaccard,
     "op6_toxicity": op6_toxicity,
     "op8_quality": op8_quality,
     "op10_mixture": op10_mixture,
