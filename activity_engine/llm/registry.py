@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import jaccard, language, licenses, mixture, quality, toxicity
+from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, quality, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -21,6 +21,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", licenses.scan(F.col("text")).alias("r")).select("doc_id", "r.*")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.train(docs.where(bucket("doc_id", 4) != 2))
@@ -55,6 +59,7 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_licenses": op2_licenses,
+    "op3_decontaminate": op3_decontaminate,
     "op4_language": op4_language,
     "op5_jaccard": op5_jaccard,
     "op6_toxicity": op6_toxicity,
