@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, quality, toxicity
+from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, ppm, quality, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -42,6 +42,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(docs, toxicity.score(F.col("text"), model), 0.5)
 
 
+def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_digest(table(spark, sf_dir, "documents"), bucket("doc_id", 7) != 2, _held_out(7, 2))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality.train(docs, labels.where(bucket("doc_id", 5) != 0))
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_jaccard": op5_jaccard,
     "op6_toxicity": op6_toxicity,
+    "op7_ppm": op7_ppm,
     "op8_quality": op8_quality,
     "op10_mixture": op10_mixture,
 }
