@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, ppm, quality, toxicity
+from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -57,6 +57,11 @@ def _scored(docs: DataFrame, score: Column, least: float) -> DataFrame:
     return found.withColumn("predicted", (F.col("score") >= least).cast("int"))
 
 
+def op9_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = table(spark, sf_dir, "pages").select("page_id", "url", pages.extract(F.col("html"), pages.train()).alias("r"))
+    return found.select("page_id", "url", "r.text", "r.n_chars")
+
+
 def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_digest(table(spark, sf_dir, "documents"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_ppm": op7_ppm,
     "op8_quality": op8_quality,
+    "op9_pages": op9_pages,
     "op10_mixture": op10_mixture,
 }
 
