@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, toxicity
+from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, search, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -16,6 +16,12 @@ def _held_out(modulus: int, value: int) -> Column:
     return F.coalesce(bucket("doc_id", modulus) == value, F.lit(False))
 
 
+def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: the whole texts of the documents whose id is divisible by 20."""
+    docs = table(spark, sf_dir, "documents")
+    return search.search(search.build(docs), search.query_terms(docs.where(F.col("doc_id") % 20 == 0)))
+
+
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", licenses.scan(F.col("text")).alias("r")).select("doc_id", "r.*")
@@ -67,6 +73,7 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_search": op1_search,
     "op2_licenses": op2_licenses,
     "op3_decontaminate": op3_decontaminate,
     "op4_language": op4_language,

@@ -46,14 +46,19 @@ class WordHasher:
 
     def texts(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The word hashes of each text, in order; null has none."""
-        lowered = [(t or "").encode("utf-8", "replace").lower() for t in texts]
+        yield from self.parts([(t or "").encode("utf-8", "replace").lower() for t in texts])
+
+    def parts(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """The hashes of what stands between white space in each text, in order."""
         group: list[bytes] = []
         size = 0
-        for data in lowered:
+        for data in texts:
             if group and size + len(data) + 1 > CHUNK_BYTES:
                 yield from self._group(group)
                 group, size = [], 0
             if len(data) >= CHUNK_BYTES:
+                yield from self._group(group)
+                group, size = [], 0
                 yield self._long(data)
             else:
                 group.append(data)
