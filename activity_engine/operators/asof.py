@@ -26,7 +26,9 @@ def asof_validity_join(
 ) -> DataFrame:
     """Attach to each fact row the dimension version with `valid_from <= ts < valid_to`.
 
-    Intervals of a key must not overlap, so there is at most one match. A NULL `valid_to` is open.
+    The newest version that has begun decides, whichever way the join is made: where intervals of a key
+    overlap, a version ends when the next one begins. Of versions that begin together the one that is
+    greatest by its columns counts. A NULL `valid_to` is open.
 
     Written as a merge, not as an equi-join with a range condition: facts and versions of a key are
     sorted together once and the last version seen is carried forward. Work per key is linear, where
@@ -60,13 +62,13 @@ def asof_validity_join(
 
     moments = facts.select(*on, "_at").unionByName(versions.select(*on, "_at"))
     hot = hot_keys(moments, on, "_at", hot_rows)
-    merged = assign_chunks(facts.unionByName(versions, allowMissingColumns=True), hot, on, "_at")
+    merged = assign_chunks(facts.unionByName(versions, allowMissingColumns=True), hot, on, "_at", scatter=True)
     if hot is not None:
         carried = _carried_in(facts.select(*on, "_at"), versions, hot, on)
         merged = merged.unionByName(carried, allowMissingColumns=True)
     so_far = (
         Window.partitionBy(*on, CHUNK)
-        .orderBy(F.col("_at").asc(), F.col("_is_fact").asc())
+        .orderBy(F.col("_at").asc(), F.col("_is_fact").asc(), F.col("_version").asc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     last = F.last("_version", ignorenulls=True).over(so_far)
@@ -94,16 +96,19 @@ def is_small(dim: DataFrame, on: Sequence[str], rows: int) -> bool:
 def _broadcast_join(
     fact: DataFrame, dim: DataFrame, on: Sequence[str], ts: str, valid_from: str, valid_to: str, how: str
 ) -> DataFrame:
-    f, d = fact.alias("f"), F.broadcast(dim).alias("d")
-    start, end, at = F.col(f"d.{valid_from}"), F.col(f"d.{valid_to}"), F.col(f"f.{ts}").cast("timestamp")
-    match = (at >= start.cast("timestamp")) & (end.isNull() | (at < end.cast("timestamp")))
+    added = [c for c in dim.columns if c not in on]
+    begins = Window.partitionBy(*on).orderBy(F.col(valid_from).cast("timestamp"), F.struct(*added))
+    following = F.lead(F.col(valid_from).cast("timestamp")).over(begins)
+    clipped = dim.where(F.col(valid_from).isNotNull()).withColumn("_until", F.least(F.col(valid_to).cast("timestamp"), following))
+    f, d = fact.alias("f"), F.broadcast(clipped).alias("d")
+    start, end, at = F.col(f"d.{valid_from}"), F.col("d._until"), F.col(f"f.{ts}").cast("timestamp")
+    match = (at >= start.cast("timestamp")) & (end.isNull() | (at < end))
     for key in on:
         match = match & (F.col(f"f.{key}") == F.col(f"d.{key}"))
-    added = [F.col(f"d.{c}") for c in dim.columns if c not in on]
-    return f.join(d, match, how).select("f.*", *added)
+    return f.join(d, match, how).select("f.*", *(F.col(f"d.{c}") for c in added))
 
 
-def _carried_in(facts: DataFrame, versions: DataFrame, hot: list[DataFrame], on: Sequence[str]) -> DataFrame:
+def _carried_in(facts: DataFrame, versions: DataFrame, hot: DataFrame, on: Sequence[str]) -> DataFrame:
     """For each chunk of a hot key: the version in force when the chunk begins."""
     rows = facts.unionByName(versions.drop("_is_fact"), allowMissingColumns=True)
     is_version = F.col("_version").isNotNull()
@@ -111,7 +116,7 @@ def _carried_in(facts: DataFrame, versions: DataFrame, hot: list[DataFrame], on:
     per_chunk = (
         assign_chunks(rows, hot, on, "_at", only_hot=True)
         .groupBy(*on, CHUNK)
-        .agg(F.max_by(newest, F.when(is_version, F.col("_at"))).alias("_newest"))
+        .agg(F.max(F.when(is_version, newest)).alias("_newest"))
     )
     before = Window.partitionBy(*on).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     return (

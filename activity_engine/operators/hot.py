@@ -4,10 +4,12 @@ A window ordered by time (or by a measure) puts all rows of a key into one task.
 ordinary keys and ruinous for one that holds a third of the data. Keys with more than `hot_rows`
 rows are therefore cut into chunks, contiguous ranges of the order column, and the window runs per
 (key, chunk). What has to cross a chunk border (a next version, a version carried in, a count) is
-worked out on one row per chunk. Without hot keys the plan stays a single window.
+worked out on one row per chunk. Without hot keys the plan stays a single window; the rows that come
+out are the same either way.
 
-Chunks of a key are equally wide. Where rows crowd into one of them, that chunk is cut again, up to
-MAX_LEVELS times; only rows with the very same position cannot be parted.
+The borders are quantiles of the key's own positions, worked out by Spark with partial sketches per
+task and joined to the rows as a table, so neither rows nor borders pass through the driver. Only rows
+with the very same position cannot be parted. A NULL key is a key like any other.
 """
 
 from __future__ import annotations
@@ -19,10 +21,10 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 HOT_ROWS = 500_000
-# Bounds what is collected and broadcast. A key past this rank is small beside the data and is simply
-# not split; the result is the same.
-MAX_HOT_KEYS = 50_000
-MAX_LEVELS = 3
+# A hot key has at most so many chunks. This bounds the borders that a row of it carries for a moment;
+# it leaves no key unsplit.
+MAX_CHUNKS = 1024
+SCATTERED = 4096
 
 
 def position(order: str, dtype: str) -> Column:
@@ -37,46 +39,31 @@ def position(order: str, dtype: str) -> Column:
     return c.cast("double")
 
 
-def _step(level: int) -> str:
-    return f"_c{level}"
+def _same_key(keys: Sequence[str]) -> tuple[list[Column], Column]:
+    """The keys under names of their own, and the condition that joins them, NULL to NULL."""
+    renamed = [F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)]
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_hot_{i}"))
+    return renamed, same
 
 
-def _chunk_number(spot: Column) -> Column:
-    return F.floor((spot - F.col("_lo")) / F.col("_width"))
+def hot_keys(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The chunk borders (`_borders`, ascending) of the keys with more than `hot_rows` rows, or None.
 
-
-def hot_keys(
-    rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS
-) -> list[DataFrame] | None:
-    """How to split the keys with more than `hot_rows` rows, or None if there are none.
-
-    The first frame has the lowest position and the chunk width of each such key, the next one those
-    of chunks that are still too large, and so on. Each takes one job over the key and order columns,
-    which counts before the shuffle; the later jobs read hot keys only and run only if there are any.
+    One job counts the rows per key, before the shuffle; only its largest count comes to the driver.
+    The borders are worked out from the rows of hot keys, and only if there are any.
     """
-    spot = position(order, dict(rows.dtypes)[order])
-    spots = rows.select(*keys, spot.alias("_at")).dropna()
-    by, levels = list(keys), []
-    while len(levels) < MAX_LEVELS:
-        counts = (
-            spots.groupBy(*by)
-            .agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
-            .where((F.col("_rows") > hot_rows) & (F.col("_hi") > F.col("_lo")))
-            .orderBy(F.desc("_rows"), *by)
-            .limit(MAX_HOT_KEYS)
-        )
-        chunks = F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("double")
-        level = counts.select(*by, "_lo", ((F.col("_hi") - F.col("_lo")) / chunks).alias("_width"))
-        found = level.collect()
-        if not found:
-            break
-        levels.append(rows.sparkSession.createDataFrame(found, level.schema))
-        step = _step(len(levels) - 1)
-        spots = spots.join(F.broadcast(levels[-1]), by, "inner").select(
-            *by, _chunk_number(F.col("_at")).alias(step), "_at"
-        )
-        by.append(step)
-    return levels or None
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    most = counts.agg(F.max("_rows")).first()[0] or 0
+    if most <= hot_rows:
+        return None
+    chunks = min(MAX_CHUNKS, -(-most // max(1, hot_rows)) + 1)
+    renamed, same = _same_key(keys)
+    hot = counts.where(F.col("_rows") > hot_rows).select(*renamed)
+    spots = rows.select(*keys, position(order, dict(rows.dtypes)[order]).alias("_at")).join(hot, same, "left_semi")
+    shares = F.array(*(F.lit(i / chunks) for i in range(1, chunks)))
+    return spots.groupBy(*keys).agg(F.percentile_approx("_at", shares, 10_000).alias("_borders"))
 
 
 def has_hot_key(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> bool:
@@ -85,30 +72,42 @@ def has_hot_key(rows: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS)
     return not counts.where(F.col("_rows") > hot_rows).isEmpty()
 
 
+def _chunk_of(spot: Column) -> Column:
+    """How many borders are at or below the position (binary search); 0 for a NULL one."""
+    steps = F.array(*(F.lit(MAX_CHUNKS >> i) for i in range(1, MAX_CHUNKS.bit_length())))
+
+    def further(at: Column, step: Column) -> Column:
+        reached = (at + step <= F.size("_borders")) & (F.try_element_at("_borders", at + step) <= spot)
+        return F.when(reached, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), further).cast("bigint")
+
+
 def assign_chunks(
-    rows: DataFrame, hot: list[DataFrame] | None, keys: Sequence[str], order: str, only_hot: bool = False
+    rows: DataFrame,
+    hot: DataFrame | None,
+    keys: Sequence[str],
+    order: str,
+    only_hot: bool = False,
+    scatter: bool = False,
 ) -> DataFrame:
-    """Add the chunk; it never decreases as the order column grows within a key.
+    """Add the chunk; it never decreases as the order column grows within a key, NULLs first.
 
-    `only_hot` keeps just the rows of hot keys, for the border pass. Rows with a NULL key or position
-    match nothing anyway and are spread over many chunks, by a hash of their leading columns only, so
-    that unused wide columns can still be pruned.
+    `only_hot` keeps just the rows of hot keys, for the border pass. With `scatter`, rows with a NULL key
+    or position, which then must match nothing, are spread over many chunks by a hash of their flat
+    columns.
     """
     spot = position(order, dict(rows.dtypes)[order])
-    unmatched = spot.isNull()
-    for key in keys:
-        unmatched = unmatched | F.col(key).isNull()
-    spread = F.pmod(F.xxhash64(*dict.fromkeys([*rows.columns[:4], order])), F.lit(4096))
-    if hot is None:
-        return rows.withColumn(CHUNK, F.when(unmatched, spread).otherwise(F.lit(0).cast("bigint")))
-    by = list(keys)
-    for number, level in enumerate(hot):
-        rows = rows.join(F.broadcast(level), by, "inner" if only_hot and number == 0 else "left")
-        chunk = F.coalesce(_chunk_number(spot), F.lit(0))
-        if number == 0:
-            chunk = F.when(unmatched, spread).otherwise(chunk)
-        rows = rows.withColumn(_step(number), chunk).drop("_lo", "_width")
-        by.append(_step(number))
-    steps = by[len(keys) :]
-    # A struct compares field by field, so a finer step only orders rows of the same coarser one.
-    return rows.withColumn(CHUNK, F.struct(*steps)).drop(*steps)
+    flat = [c for c, t in rows.dtypes if not t.startswith(("array", "map", "struct", "variant"))]
+    chunk = F.lit(0).cast("bigint")
+    joined = rows
+    if hot is not None:
+        renamed, same = _same_key(keys)
+        joined = rows.join(hot.select(*renamed, "_borders"), same, "inner" if only_hot else "left")
+        chunk = F.when(F.col("_borders").isNull(), chunk).otherwise(_chunk_of(spot))
+    if scatter:
+        unmatched = spot.isNull()
+        for key in keys:
+            unmatched = unmatched | F.col(key).isNull()
+        chunk = F.when(unmatched, -1 - F.pmod(F.xxhash64(*flat), F.lit(SCATTERED))).otherwise(chunk)
+    return joined.select(*rows.columns, chunk.alias(CHUNK))

@@ -139,6 +139,45 @@ def _unreadable(raw: str, name: str, value: Column) -> tuple[Column, str]:
     return is_given(name, raw) & value.isNull(), f"bad {name} value"
 
 
+def _given(part: Column) -> Column:
+    """Whether a VARIANT is there and no JSON null."""
+    return part.isNotNull() & ~F.is_variant_null(part)
+
+
+def _bad_samples(raw: Column, typed: Column) -> Column:
+    """Whether a list of samples has an element that is no object, or a member that its type cannot hold.
+
+    The cast makes NULLs of both; here they are told apart from members that are absent or null.
+    """
+    members = ("ts", "heart_rate_bpm", "lat", "lon", "elevation_m")
+
+    def bad(sample: Column, cast: Column) -> Column:
+        lost = ~_given(sample) | cast.isNull()
+        for name in members:
+            lost = lost | (_given(F.try_variant_get(sample, f"$.{name}", "variant")) & cast[name].isNull())
+        return F.coalesce(lost, F.lit(True))
+
+    return F.exists(F.zip_with(raw, typed, bad), lambda x: x)
+
+
+def _bad_stream(path: str, nested: bool = False) -> Column:
+    """Whether a third-party stream is given but is no list, or has an element that is no number."""
+    given = _given(inside("_streams", path, "variant"))
+    raw = inside("_streams", path, "array<variant>")
+    lists = inside("_streams", path, "array<array<variant>>")
+
+    def no_number(x: Column) -> Column:
+        return _given(x) & F.try_variant_get(x, "$", "double").isNull()
+
+    if nested:
+        # A place is a list of numbers, or missing.
+        pairs = F.zip_with(raw, lists, lambda x, xs: (_given(x) & xs.isNull()) | F.coalesce(F.exists(xs, no_number), F.lit(False)))
+        wrong = F.exists(pairs, lambda x: x)
+    else:
+        wrong = F.exists(raw, no_number)
+    return given & (raw.isNull() | F.coalesce(wrong, F.lit(False)))
+
+
 def _subject(what: str, name: str, quote: str = "'") -> Column:
     shown = F.concat(F.lit(quote), field(name), F.lit(quote))
     return F.concat(F.lit(f"malformed {what} record "), F.coalesce(shown, F.lit("None")))
@@ -207,10 +246,15 @@ def normalize_friendships(records: DataFrame, source: str = CANONICAL_SOURCE, te
 
 
 def normalize_workouts(records: DataFrame, source: str = CANONICAL_SOURCE, text: str = "value") -> DataFrame:
-    """An absent sample list becomes an empty one; an explicit null or anything else is a reject."""
-    not_a_list = field("samples").isNotNull() & inside("samples", "$", "array<variant>").isNull()
+    """An absent sample list becomes an empty one; an explicit null or anything else is a reject.
+
+    So is a list with a sample that is no object, or one of whose members cannot be read.
+    """
+    listed, typed = inside("samples", "$", "array<variant>"), inside("samples", "$", EMPTY_SAMPLES)
+    not_a_list = field("samples").isNotNull() & listed.isNull()
     checks = [
         (not_a_list, "samples is not a list"),
+        (listed.isNotNull() & F.coalesce(_bad_samples(listed, typed), F.lit(True)), "bad samples value"),
         _unreadable("workouts", "calories", number("calories")),
         _unreadable("workouts", "distance_meters", number("distance_meters")),
         *(_unreadable("workouts", name, instant(name)) for name in ("start_time", "end_time", "synced_at")),
@@ -226,7 +270,7 @@ def normalize_workouts(records: DataFrame, source: str = CANONICAL_SOURCE, text:
         "synced_at": instant("synced_at"),
         "distance_meters": number("distance_meters"),
         "calories": number("calories"),
-        "samples": F.coalesce(inside("samples", "$", EMPTY_SAMPLES), F.array().cast(EMPTY_SAMPLES)),
+        "samples": F.coalesce(typed, F.array().cast(EMPTY_SAMPLES)),
     }
     error = _problems("workouts", _subject("workout", "workout_id"), "missing/null", checks)
     return _shape(records, text, "workouts", "workouts", error, values, "synced_at")
@@ -324,6 +368,10 @@ def normalize_activities(
         _unreadable("activities", "distance", distance),
         _unreadable("activities", "calories", calories),
         (synced.isNull(), "bad _synced_at value"),
+        *(
+            (_bad_stream(f"$.{name}.data", name == "latlng"), f"bad {name} stream")
+            for name in ("time", "heartrate", "latlng", "altitude")
+        ),
     ]
     error = _problems("activities", _subject("activity", "id", ""), "missing", checks)
     return _shape(records, text, "activities", "workouts", error, values, "_synced_at", as_of)

@@ -21,7 +21,7 @@ def rank_desc(
     """`rank() over (partition by group order by measure desc)`: ties share a rank, gaps follow.
 
     Where a group has more than `hot_rows` rows, ranks are worked out on distinct values instead.
-    `measure` must not be NULL. Groups are counted on `sized_by` where given: something cheaper than
+    Rows without a measure come last and share a rank; a NULL group is a group. Groups are counted on `sized_by` where given: something cheaper than
     `df` that has no fewer rows per group, such as its rows before a join.
     """
     if not has_hot_key(df if sized_by is None else sized_by, group, hot_rows):
@@ -55,10 +55,14 @@ def _rank_by_values(df: DataFrame, group: Sequence[str], measure: str, name: str
         .where(~F.col("_border"))
         .select(*group, measure, name)
     )
-    return df.join(ranks, [*group, measure], "inner").select(*df.columns, name)
+    renamed = ranks.select(*(F.col(c).alias(f"_r_{i}") for i, c in enumerate([*group, measure])), name)
+    same = F.lit(True)
+    for i, c in enumerate([*group, measure]):
+        same = same & F.col(c).eqNullSafe(F.col(f"_r_{i}"))
+    return df.join(renamed, same, "inner").select(*df.columns, name)
 
 
-def _rows_above(scaled: DataFrame, hot: list[DataFrame], group: Sequence[str]) -> DataFrame:
+def _rows_above(scaled: DataFrame, hot: DataFrame, group: Sequence[str]) -> DataFrame:
     """For each chunk of a hot group, a border row that counts the rows of all higher chunks."""
     higher_chunks = (
         Window.partitionBy(*group).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)

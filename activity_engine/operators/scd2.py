@@ -44,7 +44,7 @@ def scd2_history(
 ) -> DataFrame:
     """Every logged version with its validity, in one pass; (keys, version) must be unique.
 
-    `valid_to` is the next version of the key, NULL on the last one.
+    `valid_to` is the next version of the key, NULL on the last one. A NULL key is a key like any other.
     """
     hot = hot_keys(log, keys, version, hot_rows)
     if hot is None:
@@ -55,7 +55,7 @@ def scd2_history(
     return followed.withColumn("valid_from", F.col(version)).select(*log.columns, "valid_from", "valid_to")
 
 
-def _followed_in_chunks(log: DataFrame, hot: list[DataFrame], keys: Sequence[str], version: str) -> DataFrame:
+def _followed_in_chunks(log: DataFrame, hot: DataFrame, keys: Sequence[str], version: str) -> DataFrame:
     """`valid_to` with hot keys split: the last version of a chunk is followed by the first one of the
     key's next chunk, which is put at its end as a border row."""
     plain = assign_chunks(log, hot, keys, version).withColumn("_border", F.lit(False))

@@ -14,6 +14,8 @@ from activity_engine.schemas import ENTITIES
 
 def _latest(raw: DataFrame, entity: str, tie: Sequence[str]) -> DataFrame:
     spec = ENTITIES[entity]
+    # Without a tie-break of the caller's, equal versions go by the remaining columns.
+    tie = tie or [c for c in spec.columns if c not in (*spec.keys, spec.version)]
     return latest_per_key(raw, spec.keys, spec.version, tie).withColumnRenamed("source", "source_system")
 
 

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 import re
 
-from activity_engine.plans.checks import DECLARED
-
 VIEWS: dict[str, str] = {}
 SQL: dict[str, str] = {}
 
@@ -55,7 +53,7 @@ VIEWS["app_users"] = """
 select 'u-' || user_id as user_id, 'app' as source, 'User ' || user_id as display_name,
   'user' || user_id || '@example.com' as email, 18 + k % 50 as age,
   50 + value / 10 as weight_kg, 150 + k / 2 as height_cm,
-  (['lose_weight', 'build_endurance', 'build_strength', 'maintain'])[k % 4 + 1] as fitness_goal,
+  (['run_a_marathon', 'sleep_better', 'lift_more'])[k % 3 + 1] as fitness_goal,
   ts as updated_at
 from ev where event_type = 'signup'"""
 
@@ -67,7 +65,7 @@ select 'w-' || event_id as workout_id, 'u-' || user_id as user_id, 'app' as sour
   'device-' || user_id as device_id,
   ts + to_seconds(case when k >= 85 then (k - 84) * 86400 else k * 60 end) as synced_at,
   round(case when k = 0 then -value else value end
-    * case event_type when 'click' then 170 when 'view' then 80 when 'purchase' then 450 end, 3) as distance_meters,
+    * case event_type when 'click' then 155 when 'view' then 72 when 'purchase' then 390 end, 3) as distance_meters,
   case when k <> 2 then round(value * 8, 2) end as calories,
   case when embedding is null then [] else [cast(round(130 + 100 * cast(x as double)) as bigint) for x in embedding] end as rates,
   k
@@ -106,67 +104,77 @@ VIEWS["spine"] = f"""
 select {key('date_day')} as date_sk, date_day from (
   select cast(unnest(generate_series(timestamp '2024-01-01', (select today from last_day) + interval 1 year, interval 1 day)) as date) as date_day)"""
 
+# The seven types of the seed.
 VIEWS["kinds"] = f"""
 select {key('workout_type')} as exercise_type_sk, * from (values ('run', 'cardio', true, 9.8), ('ride', 'cardio', true, 7.5),
   ('swim', 'cardio', true, 8.3), ('walk', 'cardio', true, 3.5), ('hike', 'cardio', true, 6.0),
   ('strength', 'strength', false, 5.0), ('rower', 'cardio', true, 7.0)) t(workout_type, category, is_cardio, met_value)"""
 
+# Times and rates of a workout's samples, as one text for comparison.
+SAMPLE_TEXT = (
+    "array_to_string([strftime(start_time + to_minutes(i - 1), '%d %H:%M:%S') || '=' || rates[i] for i in range(1, len(rates) + 1)], ' ')"
+)
+
 VIEWS["sample_rows"] = "select workout_id, unnest(rates) as rate from clean_workouts"
 
-VIEWS["sample_agg"] = """
-select workout_id, avg(rate) as avg_hr, max(rate) as max_hr, min(rate) as min_hr, count(*) as n from sample_rows group by 1"""
+VIEWS["pulse"] = """
+select workout_id, list_avg(rates) as mean_rate, list_max(rates) as top_rate, list_min(rates) as low_rate, len(rates) as readings
+from clean_workouts where len(rates) > 0"""
 
+# The user's version at a time is the newest that is not later; types and days are looked up one by one.
 VIEWS["workout_facts"] = f"""
-select {key('w.workout_id')} as workout_sk, w.workout_id, w.user_id, u.user_sk, t.exercise_type_sk, s.date_sk as workout_date_sk,
-  w.workout_type, w.source_system, w.start_time, w.end_time, w.duration_minutes, w.device_id, w.distance_meters, w.calories,
-  a.avg_hr as avg_heart_rate_bpm, a.max_hr as max_heart_rate_bpm, a.min_hr as min_heart_rate_bpm, a.n as sample_count,
-  len(w.rates) as samples
-from clean_workouts w
-left join sample_agg a on a.workout_id = w.workout_id
-left join user_versions u on u.user_id = w.user_id and w.start_time >= u.valid_from and w.start_time < u.valid_to
-left join kinds t on t.workout_type = w.workout_type
-left join spine s on s.date_day = cast(w.start_time as date)"""
-
-VIEWS["user_grid"] = """
-select u.user_id, u.user_sk, s.date_day from user_versions u, spine s
-where u.is_current and s.date_day between (select min(cast(start_time as date)) from clean_workouts) and (select today from last_day)"""
-
-VIEWS["per_day"] = """
-select user_id, cast(start_time as date) as date_day, count(*) as n, sum(duration_minutes) as minutes,
-  sum(distance_meters) as metres, sum(calories) as calories
-from clean_workouts group by 1, 2"""
-
-VIEWS["filled"] = """
-select g.*, coalesce(n, 0) as workout_count, cast(coalesce(minutes, 0) as bigint) as total_duration_minutes,
-  coalesce(metres, 0) as total_distance_meters, coalesce(p.calories, 0) as total_calories
-from user_grid g left join per_day p on p.user_id = g.user_id and p.date_day = g.date_day"""
-
-VIEWS["weeks"] = """
-select *, avg(total_duration_minutes) over recent as rolling, sum(total_duration_minutes) over recent as this_week,
-  sum(total_duration_minutes) over earlier as week_before,
-  max(case when workout_count > 0 then date_day end) over past as active_before
-from filled
-window recent as (partition by user_id order by date_day range between interval 6 day preceding and current row),
-  earlier as (partition by user_id order by date_day range between interval 13 day preceding and interval 7 day preceding),
-  past as (partition by user_id order by date_day rows between unbounded preceding and 1 preceding)"""
+select {key('workout_id')} as workout_sk, workout_id, user_id,
+  (select arg_max(v.user_sk, v.valid_from) from user_versions v where v.user_id = c.user_id and v.valid_from <= c.start_time) as user_sk,
+  (select exercise_type_sk from kinds where kinds.workout_type = c.workout_type) as exercise_type_sk,
+  (select date_sk from spine where date_day = cast(c.start_time as date)) as workout_date_sk,
+  workout_type, source_system, start_time, end_time, duration_minutes, device_id, distance_meters, calories,
+  (select mean_rate from pulse where pulse.workout_id = c.workout_id) as avg_heart_rate_bpm,
+  (select top_rate from pulse where pulse.workout_id = c.workout_id) as max_heart_rate_bpm,
+  (select low_rate from pulse where pulse.workout_id = c.workout_id) as min_heart_rate_bpm,
+  (select readings from pulse where pulse.workout_id = c.workout_id) as sample_count,
+  {SAMPLE_TEXT} as samples
+from clean_workouts c"""
+
+# A user's figures of a day, each straight from the workouts of the days it spans.
+VIEWS["member_days"] = """
+select user_id, user_sk, first_day, unnest(range(first_day, today + interval 1 day, interval 1 day)) as moment
+from user_versions, last_day, (select min(cast(start_time as date)) as first_day from clean_workouts) where is_current"""
 
 VIEWS["day_facts"] = f"""
 select {key('user_id', 'date_day')} as daily_metric_sk, user_id, user_sk, date_day, workout_count, total_duration_minutes,
-  total_distance_meters, total_calories, rolling as rolling_7d_avg_duration_minutes,
-  case when week_before <> 0 then (this_week - week_before) / week_before end as week_over_week_duration_pct_change,
-  case when workout_count > 0 then date_diff('day', active_before, date_day) end as days_since_previous_workout
-from weeks"""
+  total_distance_meters, total_calories, week_minutes / least(7, date_day - first_day + 1) as rolling_7d_avg_duration_minutes,
+  case when old_minutes <> 0 then (week_minutes - old_minutes) / old_minutes end as week_over_week_duration_pct_change,
+  case when workout_count > 0 then date_day - last_before end as days_since_previous_workout
+from (
+  select m.user_id, any_value(m.user_sk) as user_sk, cast(m.moment as date) as date_day, any_value(m.first_day) as first_day,
+    count(*) filter (age = 0) as workout_count,
+    cast(coalesce(sum(duration_minutes) filter (age = 0), 0) as bigint) as total_duration_minutes,
+    coalesce(sum(distance_meters) filter (age = 0), 0) as total_distance_meters,
+    coalesce(sum(calories) filter (age = 0), 0) as total_calories,
+    coalesce(sum(duration_minutes) filter (age between 0 and 6), 0) as week_minutes,
+    coalesce(sum(duration_minutes) filter (age between 7 and 13), 0) as old_minutes,
+    max(cast(start_time as date)) filter (age > 0) as last_before
+  from (select m.*, w.* exclude (user_id), cast(m.moment as date) - cast(w.start_time as date) as age
+        from member_days m left join clean_workouts w on w.user_id = m.user_id) m
+  group by m.user_id, m.moment)"""
+
+# A member's place is one more than the number of members of the same board with a longer distance.
+VIEWS["circle"] = """
+select user_id, friend_user_id as member_user_id from clean_edges union all select user_id, user_id from user_versions where is_current"""
+
+VIEWS["week_of"] = """
+select user_id as member_user_id, display_name as member_name,
+  (select coalesce(sum(distance_meters), 0) from clean_workouts w, last_day where w.user_id = v.user_id
+   and cast(w.start_time as date) between today - 6 and today) as distance_7d,
+  (select count(*) from clean_workouts w, last_day where w.user_id = v.user_id
+   and cast(w.start_time as date) between today - 6 and today) as workouts_7d
+from user_versions v where is_current"""
 
 VIEWS["board"] = """
-select g.user_id, g.member_user_id, u.display_name as member_name, coalesce(m.distance_7d, 0) as distance_7d,
-  cast(coalesce(m.workouts_7d, 0) as bigint) as workouts_7d,
-  rank() over (partition by g.user_id order by coalesce(m.distance_7d, 0) desc) as rank_by_distance
-from (select user_id, friend_user_id as member_user_id from clean_edges
-      union all select user_id, user_id from user_versions where is_current) g
-join user_versions u on u.user_id = g.member_user_id and u.is_current
-left join (select user_id, sum(total_distance_meters) as distance_7d, sum(workout_count) as workouts_7d from day_facts
-           where date_day between (select today from last_day) - 6 and (select today from last_day) group by 1) m
-  on m.user_id = g.member_user_id"""
+select c.user_id, c.member_user_id, member_name, distance_7d, workouts_7d,
+  1 + (select count(*) from circle o join week_of x on x.member_user_id = o.member_user_id
+       where o.user_id = c.user_id and x.distance_7d > m.distance_7d) as rank_by_distance
+from circle c join week_of m on m.member_user_id = c.member_user_id"""
 
 VIEWS["records"] = """
 select user_id, workout_type, max(distance_meters) as best_distance_meters, max(duration_minutes) as longest_duration_minutes,
@@ -192,9 +200,9 @@ SQL["u1_latest_per_key"] = """
 select * exclude (rn) from (
   select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events) where rn = 1"""
 
-SQL["u4_stg_workouts"] = """
+SQL["u4_stg_workouts"] = f"""
 select workout_id, user_id, source_system, workout_type, start_time, end_time, duration_minutes, device_id, synced_at,
-  distance_meters, calories, len(rates) as n_samples from clean_workouts"""
+  distance_meters, calories, {SAMPLE_TEXT} as samples from clean_workouts"""
 
 SQL["u5_stg_users"] = f"select * replace ({rounded('weight_kg, height_cm')}) from clean_users"
 
@@ -258,11 +266,11 @@ left join (select user_id, cast(ts as date) as date_day, count(*) as n, sum(valu
 where g.date_day <= (select today from last_day)"""
 
 SQL["n1_unnest_agg"] = """
-select workout_id, round(avg_hr, 6) as avg_heart_rate_bpm, max_hr as max_heart_rate_bpm, min_hr as min_heart_rate_bpm,
-  n as sample_count from sample_agg"""
+select workout_id, round(mean_rate, 6) as avg_heart_rate_bpm, top_rate as max_heart_rate_bpm, low_rate as min_heart_rate_bpm,
+  readings as sample_count from pulse"""
 SQL["n2_sample_stats"] = """
-select workout_id, round(avg_hr, 6) as avg_heart_rate_bpm, max_hr as max_heart_rate_bpm, min_hr as min_heart_rate_bpm,
-  n as sample_count from clean_workouts left join sample_agg using (workout_id)"""
+select workout_id, round(mean_rate, 6) as avg_heart_rate_bpm, top_rate as max_heart_rate_bpm, low_rate as min_heart_rate_bpm,
+  readings as sample_count from clean_workouts left join pulse using (workout_id)"""
 SQL["n2_array_stats"] = """
 select vec_id, round(list_avg([cast(x as double) for x in embedding]), 6) as mean,
   round(cast(list_max(embedding) as double), 6) as highest, round(cast(list_min(embedding) as double), 6) as lowest,
@@ -343,6 +351,7 @@ select event_id, k, 'w-' || event_id as workout_id, 'u-' || user_id as user_id,
        when k = 12 then 'malformed workout record ''w-' || event_id || ''': missing/null [''workout_type'']'
        when k = 13 then 'malformed workout record ''w-' || event_id || ''': bad calories value'
        when k in (14, 17) then 'malformed workout record ''w-' || event_id || ''': samples is not a list'
+       when k in (21, 22, 23) then 'malformed workout record ''w-' || event_id || ''': bad samples value'
        when k = 20 then 'not a JSON object' end as error
 from ev"""
 
@@ -362,9 +371,11 @@ select r.*, case when r.k = 20 then 'broken ' else '' end || '{{"workout_id":"'
   || case when r.k <> 10 then ',"device_id":"' || device_id || '"' else '' end
   || ',"synced_at":"' || {ISO.format('synced_at')} || '","distance_meters":'
   || case when r.k = 15 then 'null' else cast(ev.value as varchar) end || ',"calories":'
-  || case when r.k = 13 then '"unknown"' when r.k = 16 then '"' || cast(ev.value as varchar) || '"' else cast(ev.value as varchar) end
-  || case when r.k = 14 then ',"samples":"not-a-list"' when r.k = 17 then ',"samples":null' when r.k = 18 then ''
-          when r.k = 19 then ',"samples":[]'
+  || case when r.k = 13 then '"n/a"' when r.k = 16 then '"' || cast(ev.value as varchar) || '"' else cast(ev.value as varchar) end
+  || case when r.k = 14 then ',"samples":"three"' when r.k = 17 then ',"samples":null' when r.k = 18 then ''
+          when r.k = 19 then ',"samples":[]' when r.k = 23 then ',"samples":[1,2]'
+          when r.k = 21 then ',"samples":[{{"ts":"noon","heart_rate_bpm":21}}]'
+          when r.k = 22 then ',"samples":[{{"ts":"' || {ISO.format('start_time')} || '","heart_rate_bpm":"fast"}}]'
           else ',"samples":[{{"ts":"' || {ISO.format('start_time')} || '","heart_rate_bpm":' || cast(r.k as varchar) || '}}]' end
   || '}}' as raw
 from workout_records r join ev using (event_id)"""
@@ -381,7 +392,7 @@ from workout_records group by 2"""
 
 VIEWS["user_records"] = """
 select 'u-' || user_id as user_id, 'app' as source, 'User ' || user_id as display_name, 'mail-' || user_id as email, k as age,
-  value as weight_kg, value as height_cm, 'maintain' as fitness_goal, ts as updated_at, k,
+  value as weight_kg, value as height_cm, 'sleep_better' as fitness_goal, ts as updated_at, k,
   case when k = 30 then 'missing/null [''display_name'', ''fitness_goal'']' when k = 31 then 'missing/null [''email'']'
        when k = 32 then 'bad age value' when k = 35 then 'bad height_cm value' when k = 36 then 'missing/null [''fitness_goal'']'
        when k = 37 then 'bad updated_at value' end as fault
@@ -429,9 +440,11 @@ select case when ok then 'strava-' || o_orderkey end as workout_id, case when ok
   case when not ok or bare then null when urgent then o_orderdate else o_orderdate + interval 1500 millisecond end as first_ts,
   case when not ok or bare then null when urgent then o_orderdate + interval 10 second else o_orderdate + interval 1500 millisecond end as last_ts,
   case when not ok then null when urgent then '120,130,-' when bare then '' else '-' end as rates,
-  case when not ok then 'malformed activity record ' || o_orderkey || ': missing [''athlete'']' end as error,
+  case when o_orderstatus = 'P' then 'malformed activity record ' || o_orderkey || ': missing [''athlete'']'
+       when o_orderkey % 50 = 0 then 'malformed activity record ' || o_orderkey || ': bad time stream'
+       when o_orderkey % 50 = 1 then 'malformed activity record ' || o_orderkey || ': bad heartrate stream' end as error,
   strftime(case when o_orderpriority = '3-MEDIUM' then (select today from last_day) else cast(o_orderdate as date) + 1 end, '%Y-%m-%d') as dt
-from (select *, o_orderstatus <> 'P' as ok, o_orderpriority = '1-URGENT' as urgent,
+from (select *, o_orderstatus <> 'P' and o_orderkey % 50 > 1 as ok, o_orderpriority = '1-URGENT' as urgent,
         o_orderpriority in ('2-HIGH', '3-MEDIUM') as bare from orders)"""
 
 SQL["i6_type_map"] = """
@@ -519,32 +532,50 @@ DECLARED_VIEW = {
 }
 
 
-def checks_sql(spec: dict, view: dict[str, str]) -> str:
-    """One SELECT per declared test."""
-    parts = []
+# The tests each table must pass, as kind and columns; written out here and not taken from the engine.
+EXPECTED_TESTS = {
+    "raw_workouts": "not_null workout_id user_id synced_at",
+    "raw_users": "not_null user_id updated_at",
+    "raw_friendships": "not_null user_id friend_user_id",
+    "stg_workouts": "not_null workout_id user_id start_time end_time; unique workout_id",
+    "stg_users": "not_null user_id source_system updated_at",
+    "stg_friendships": "not_null user_id friend_user_id",
+    "dim_user": "not_null user_sk user_id valid_from valid_to; unique user_sk",
+    "dim_date": "not_null date_sk date_day; unique date_sk date_day",
+    "dim_exercise_type": "not_null exercise_type_sk workout_type; unique exercise_type_sk workout_type",
+    "fact_workout": "not_null workout_sk workout_id user_id duration_minutes; at_most duration_minutes=1440; unique workout_sk workout_id; relationships user_sk=dim_user.user_sk exercise_type_sk=dim_exercise_type.exercise_type_sk workout_date_sk=dim_date.date_sk",
+    "leaderboard": "not_null user_id member_user_id rank_by_distance",
+    "personal_records": "not_null user_id workout_type",
+    "fact_daily_metrics": "not_null daily_metric_sk user_id date_day; unique daily_metric_sk; relationships user_sk=dim_user.user_sk",
+}
 
-    def add(table: str, column: str, test: str, count: str) -> None:
-        parts.append(
-            f"select '{table}' as \"table\", '{column}' as \"column\", '{test}' as test, cast(({count}) as bigint) as failing_rows"
-        )
 
-    for table, checks in spec.items():
+def checks_sql(spec: dict[str, str], view: dict[str, str]) -> str:
+    """One SELECT per expected test."""
+    parts = []
+    for table, tests in spec.items():
         t = view[table]
-        for c in checks.not_null:
-            add(table, c, "not_null", f"select count(*) from {t} where {c} is null")
-        for c, limit in checks.at_most.items():
-            add(table, c, "at_most", f"select count(*) from {t} where {c} > {limit}")
-        for c in checks.unique:
-            add(table, c, "unique", f"select count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)")
-        for c, (parent, p) in checks.relationships.items():
-            add(
-                table, c, "relationships",
-                f"select count(*) from {t} x where x.{c} is not null and not exists (select 1 from {view[parent]} y where y.{p} = x.{c})",
-            )
+        for kind, *columns in (group.split() for group in tests.split("; ")):
+            for entry in columns:
+                c, _, rule = entry.partition("=")
+                if kind == "not_null":
+                    count = f"select count(*) from {t} where {c} is null"
+                elif kind == "at_most":
+                    count = f"select count(*) from {t} where {c} > {rule}"
+                elif kind == "unique":
+                    count = f"select count(*) from (select {c} from {t} where {c} is not null group by 1 having count(*) > 1)"
+                else:
+                    parent, p = rule.split(".")
+                    count = (
+                        f"select count(*) from {t} x where x.{c} is not null "
+                        f"and not exists (select 1 from {view[parent]} y where y.{p} = x.{c})"
+                    )
+                head = f"select '{table}' as \"table\", '{c}' as \"column\", '{kind}' as test"
+                parts.append(f"{head}, cast(({count}) as bigint) as failing_rows")
     return "select *, failing_rows = 0 as passed from (\n" + "\nunion all ".join(parts) + ")"
 
 
-SQL["q1_declared"] = checks_sql(DECLARED, DECLARED_VIEW)
+SQL["q1_declared"] = checks_sql(EXPECTED_TESTS, DECLARED_VIEW)
 
 SQL["q1_run_checks"] = """
 select *, failing_rows = 0 as passed from (
@@ -578,8 +609,8 @@ from (select 'raw_workouts' as name, max(synced_at) as newest, 24 as warn, 48 as
   (select max(ts) + interval 16 day + interval 1 hour as now from events)"""
 
 SQL["q3_user_freshness"] = """
-select user_id, max(updated_at) as last_synced_at, date_sub('hour', max(updated_at), (select this_moment from last_day)) as hours_since_sync
-from app_users group by 1 having hours_since_sync > 48"""
+select user_id, max(synced_at) as last_synced_at, date_sub('hour', max(synced_at), (select this_moment from last_day)) as hours_since_sync
+from app_workouts group by 1 having hours_since_sync > 48"""
 
 VIEWS["thin_days"] = """
 select cast(ts as date) as day, count(*) as n from events

@@ -52,6 +52,12 @@ def presented(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def sample_text() -> Column:
+    """Times and rates of the nested samples as one text, so that they are compared one by one."""
+    one = lambda x: F.concat(F.date_format(x["ts"], "dd HH:mm:ss"), F.lit("="), x["heart_rate_bpm"].cast("string"))
+    return F.array_join(F.transform("samples", one), " ")
+
+
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return presented(fn(spark, sf_dir))
@@ -72,8 +78,7 @@ def u1_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
 @query
 def u4_stg_workouts(spark: SparkSession, d: str) -> DataFrame:
     """Re-delivered workouts are collapsed to the corrected version."""
-    stg = stg_workouts(spark, d)
-    return stg.withColumn("samples", F.size("samples").cast("bigint")).withColumnRenamed("samples", "n_samples")
+    return stg_workouts(spark, d).withColumn("samples", sample_text())
 
 
 @query
@@ -293,7 +298,7 @@ def m2_dim_type(spark: SparkSession, d: str) -> DataFrame:
 @query
 def m4_fact_workout(spark: SparkSession, d: str) -> DataFrame:
     """Staging, nested measures, as-of join, type and date lookups."""
-    return fact_workout(spark, d).withColumn("samples", F.size("samples").cast("bigint"))
+    return fact_workout(spark, d).withColumn("samples", sample_text())
 
 
 @query
@@ -694,8 +699,8 @@ def q2_table_freshness(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def q3_user_freshness(spark: SparkSession, d: str) -> DataFrame:
-    """Users by their last signup, as of the last event; the order is for reading only."""
-    stale = qa.stale_keys(si.raw_users(spark, d), "user_id", "updated_at", si.last_moment(spark, d))
+    """Users by the last sync of a workout, as of the last event; the order is for reading only."""
+    stale = qa.stale_keys(si.raw_workouts(spark, d), "user_id", "synced_at", si.last_moment(spark, d))
     return stale.orderBy(F.desc("hours_since_sync"), "user_id")
 
 

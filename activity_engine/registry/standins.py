@@ -15,9 +15,9 @@ from activity_engine.functions.scalars import plus_seconds
 from activity_engine.schemas import ENTITIES
 from activity_engine.session import tune
 
-GOALS = ["lose_weight", "build_endurance", "build_strength", "maintain"]
+GOALS = ["run_a_marathon", "sleep_better", "lift_more"]
 # Event type to workout type and metres per minute; "error" is left as a type no dimension knows.
-PACE = {"click": ("run", 170.0), "view": ("walk", 80.0), "purchase": ("ride", 450.0)}
+PACE = {"click": ("run", 155.0), "view": ("walk", 72.0), "purchase": ("ride", 390.0)}
 
 
 # Declared columns of the given tables. Their zoneless timestamps are read as UTC instants, so that
@@ -60,7 +60,7 @@ def by_type(values: dict[str, object]) -> Column:
 
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile log: each signup is a new version of the user."""
-    goal = F.element_at(F.array(*map(F.lit, GOALS)), (F.col("k") % 4 + 1).cast("int"))
+    goal = F.element_at(F.array(*map(F.lit, GOALS)), (F.col("k") % len(GOALS) + 1).cast("int"))
     return events(spark, sf_dir).where(F.col("event_type") == "signup").select(
         prefixed("u-", "user_id").alias("user_id"),
         F.lit("app").alias("source"),
@@ -194,12 +194,15 @@ def damaged_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         member("device_id", quoted(prefixed("device-", "user_id")), k != 10),
         member("synced_at", iso(plus_seconds("ts", k * 60))),
         member("distance_meters", F.when(k == 15, F.lit("null")).otherwise(value)),
-        member("calories", F.when(k == 13, F.lit('"unknown"')).when(k == 16, quoted(value)).otherwise(value)),
+        member("calories", F.when(k == 13, F.lit('"n/a"')).when(k == 16, quoted(value)).otherwise(value)),
         member(
             "samples",
-            F.when(k == 14, F.lit('"not-a-list"'))
+            F.when(k == 14, F.lit('"three"'))
             .when(k == 17, F.lit("null"))
             .when(k == 19, F.lit("[]"))
+            .when(k == 21, F.lit('[{"ts":"noon","heart_rate_bpm":21}]'))
+            .when(k == 22, F.concat(F.lit('[{"ts":'), iso("ts"), F.lit(',"heart_rate_bpm":"fast"}]')))
+            .when(k == 23, F.lit("[1,2]"))
             .otherwise(reading),
             k != 18,
         ),
@@ -218,7 +221,7 @@ def damaged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         member("age", F.when(k == 32, F.lit('"old"')).when(k == 33, quoted(k.cast("string"))).otherwise(k.cast("string"))),
         member("weight_kg", F.when(k == 34, quoted(value)).otherwise(value)),
         member("height_cm", F.when(k == 35, F.lit("[]")).otherwise(value)),
-        member("fitness_goal", quoted(F.lit("maintain")), ~k.isin(30, 36)),
+        member("fitness_goal", quoted(F.lit("sleep_better")), ~k.isin(30, 36)),
         member("updated_at", F.when(k == 37, F.lit('"yesterday"')).otherwise(iso("ts"))),
     )
     return e.select(body.alias("value"))
@@ -259,8 +262,11 @@ def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     is missing."""
     o = read(spark, sf_dir, "orders")
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
+    odd = F.col("o_orderkey") % 50
     streams = (
-        F.when(
+        F.when(odd == 0, F.lit('{"time":{"data":["late"]}}'))
+        .when(odd == 1, F.lit('{"time":{"data":[0]},"heartrate":{"data":["fast"]}}'))
+        .when(
             priority == "1-URGENT",
             F.lit(
                 '{"time":{"data":[0,5,10]},"heartrate":{"data":[120,130]},'

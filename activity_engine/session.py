@@ -36,11 +36,16 @@ def build_session(app: str = "activity-engine", master: str | None = None, **con
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared `spark.checkpoint.dir`.
+    """A fresh folder under the cluster's shared `spark.checkpoint.dir`, removed when the driver ends.
 
-    Only where that setting is absent (tests, a laptop) is a local temporary folder used.
+    Only a local master may go without that setting (tests, a laptop); a temporary folder serves there.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"{label}-")
+    if not shared and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix=f"{label}-")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return path

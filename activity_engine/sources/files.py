@@ -26,7 +26,10 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 
 def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file that is seen whole or not at all; an error if it exists."""
+    """Create a small file that is seen whole or not at all; an error if it exists.
+
+    Two writers are told apart by the rename, which must fail where the target exists (HDFS does so).
+    """
     fs, p = _fs(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
     out = fs.create(draft, False)
@@ -39,3 +42,14 @@ def create_text(spark: SparkSession, path: str, text: str) -> None:
 
 def read_text(spark: SparkSession, path: str) -> str:
     return "\n".join(r.value for r in spark.read.text(path).collect())
+
+
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file or folder last changed, in seconds."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() / 1000
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -1,15 +1,21 @@
 """Parquet tables that are replaced or merged safely (S-7, K-5 to K-7).
 
 Plain Parquet has no MERGE, and a folder must not be overwritten while it is read. A table is
-therefore a folder of generations, `gen=<n>[/dt=<day>]`, and a list of the directories that count.
-A write fills a new generation and then creates the next list, which is the commit: a job that dies
-before it leaves the table as it was, and running it again is safe. A merge rewrites only the days
-that hold a touched key.
+therefore a folder of generations, `gen=<n>-<attempt>[/dt=<day>]`, and a list of the directories that
+count. A write fills a generation of its own, which no other attempt shares, and then creates the next
+list, which is the commit: a job that dies before it leaves the table as it was, and running it again is
+safe. Of two writers one commits first; a merge that comes second starts again from the new state, a
+replace that comes second fails, and neither touches a committed file. A merge rewrites only the days
+that hold a touched key. Files that no list names any more are removed when they are RETENTION_HOURS old.
+
+The commit needs a file system whose rename fails where the target exists, as HDFS's does.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -20,9 +26,12 @@ from pyspark.sql import types as T
 from activity_engine.operators.dedupe import latest_per_key
 from activity_engine.operators.upsert import upsert_newest
 from activity_engine.schemas import Entity
-from activity_engine.sources.files import create_text, list_names, read_text
+from activity_engine.sources.files import create_text, list_names, modified, read_text, remove
 
 DAY = "dt"
+# Readers of an older state have so long before its files go.
+RETENTION_HOURS = 7 * 24
+MERGE_ATTEMPTS = 5
 
 
 def _lists(spark: SparkSession, path: str) -> list[str]:
@@ -57,18 +66,37 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(*(f"{path}/{d}" for d in dirs)).drop("gen")
 
 
+def _new_generation(number: int) -> str:
+    return f"gen={number + 1}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_old(spark: SparkSession, path: str, hours: float = RETENTION_HOURS) -> None:
+    """Remove generations that the current list does not name, and earlier lists, once they are that old."""
+    _, dirs = _state(spark, path)
+    named = {d.split("/")[0] for d in dirs}
+    before = time.time() - hours * 3600
+    for name in list_names(spark, path):
+        if name.startswith("gen=") and name not in named and modified(spark, f"{path}/{name}") < before:
+            remove(spark, f"{path}/{name}")
+    for name in _lists(spark, path)[:-1]:
+        if modified(spark, f"{path}/_lists/{name}") < before:
+            remove(spark, f"{path}/_lists/{name}")
+
+
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write the whole table as a new generation, switch to it, and read it back.
 
-    Reading it back also cuts the lineage: later models start from these files.
+    Reading it back also cuts the lineage: later models start from these files. Raises FileExistsError
+    when another writer committed meanwhile; its table stays as it is.
     """
     spark = df.sparkSession
     number, _ = _state(spark, path)
-    gen = f"gen={number + 1}"
+    gen = _new_generation(number)
     writer = df.hint("rebalance", *partition_by) if partition_by else df
-    writer.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{gen}")
+    writer.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path}/{gen}")
     _commit(spark, path, number + 1, [gen])
-    return read_table(spark, path)
+    remove_old(spark, path)
+    return read_table(spark, path, df.schema)
 
 
 def _with_day(schema: T.StructType) -> T.StructType:
@@ -84,14 +112,24 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, entity: Entit
     """Newest-wins upsert of `source` into the raw table, partitioned by the day of the version.
 
     The first pass reads only keys and versions and finds the days to rewrite. Days are few, so their
-    list may come to the driver; rows never do.
+    list may come to the driver; rows never do. Of source rows with a key's same version the one that is
+    greatest by its columns counts.
     """
     keys, version = list(entity.keys), entity.version
-    fresh = latest_per_key(source.select(*entity.columns), keys, version)
+    rest = [c for c in entity.columns if c not in (*keys, version)]
+    fresh = latest_per_key(source.select(*entity.columns), keys, version, rest)
     # Read three times below; kept on disk, and worked out again where an executor is lost.
     fresh = fresh.withColumn(DAY, F.date_format(version, "yyyy-MM-dd")).persist(StorageLevel.DISK_ONLY)
     try:
-        _merge(spark, path, fresh, entity)
+        for attempt in range(1, MERGE_ATTEMPTS + 1):
+            try:
+                _merge(spark, path, fresh, entity)
+                break
+            except FileExistsError:
+                # Another writer committed first; the merge starts again from what is there now.
+                if attempt == MERGE_ATTEMPTS:
+                    raise
+        remove_old(spark, path)
     finally:
         fresh.unpersist()
 
@@ -101,7 +139,9 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity) ->
     number, dirs = _state(spark, path)
     target = read_entity(spark, path, entity)
 
+    # The batch's keys thin out the target before anything is joined to it; Spark broadcasts few keys.
     found = target.select(*keys, F.col(version).alias("_old"), F.col(DAY).alias("_old_day"))
+    found = found.join(fresh.select(*keys), keys, "left_semi")
     # Rows that are not newer than the target change nothing.
     news = fresh.select(*keys, version, DAY).join(found, keys, "left")
     newer = F.col("_old").isNull() | (F.col(version) > F.col("_old"))
@@ -114,11 +154,11 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity) ->
     # A stale source row must not come in again beside its newer target row on an untouched day.
     applied = fresh.join(news.where(newer).select(*keys), keys, "left_semi").drop(DAY)
     merged = upsert_newest(touched, applied, keys, version)
-    gen = f"gen={number + 1}"
+    gen = _new_generation(number)
     (
         merged.withColumn(DAY, F.date_format(version, "yyyy-MM-dd"))
         .hint("rebalance", DAY)
-        .write.mode("overwrite")
+        .write.mode("errorifexists")
         .partitionBy(DAY)
         .parquet(f"{path}/{gen}")
     )

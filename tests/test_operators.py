@@ -173,12 +173,12 @@ def test_asof_join_matches_brute_force(spark, hot_rows):
     assert rows(asof_validity_join(f, d, ["k"], "ts", how="inner", hot_rows=hot_rows)) == matched
 
 
-def test_crowded_chunks_are_cut_again(spark):
-    # One outlier far away, so that equal widths leave nearly all rows in the first chunk.
+def test_chunks_are_even_where_positions_crowd(spark):
+    # One outlier far away, so that equal widths would leave nearly all rows in the first chunk.
     data = [("k", at(i / 60), i) for i in range(500)] + [("k", at(1_000_000), 500)]
-    levels = hot_keys(log(spark, data), ["k"], "v", 50)
-    assert len(levels) > 1
-    chunked = assign_chunks(log(spark, data), levels, ["k"], "v")
+    borders = hot_keys(log(spark, data), ["k"], "v", 50)
+    assert hot_keys(log(spark, data), ["k"], "v", 501) is None
+    chunked = assign_chunks(log(spark, data), borders, ["k"], "v")
     sizes = [r["count"] for r in chunked.groupBy(CHUNK).count().collect()]
     assert sum(sizes) == 501 and max(sizes) <= 60
     assert [r.x for r in chunked.orderBy(CHUNK, "v").collect()] == list(range(501))
@@ -198,6 +198,45 @@ def test_asof_join_broadcasts_only_a_small_dimension(spark):
     assert rows(small) == rows(large) == brute_asof(facts, dims)
 
 
+@pytest.mark.parametrize("hot_rows", [2, 7, 1_000_000])
+def test_null_keys_and_versions_do_not_depend_on_the_split(spark, hot_rows):
+    data = change_log(keys=2, hot=40) + [(None, at(n), 1000 + n) for n in range(9)] + [("k0", None, -1)]
+    history = scd2_history(log(spark, data), ["k"], "v", hot_rows=hot_rows)
+    by_key: dict = {}
+    for k, v, x in sorted(data, key=lambda r: (r[0] or "", r[1] is not None, r[1] or at(0))):
+        by_key.setdefault(k, []).append((v, x))
+    expected = [
+        (k, v, x, v, versions[i + 1][0] if i + 1 < len(versions) else None)
+        for k, versions in by_key.items()
+        for i, (v, x) in enumerate(versions)
+    ]
+    assert rows(history) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [2, 7, 1_000_000])
+def test_null_groups_and_measures_are_ranked(spark, hot_rows):
+    data = [("g", 5.0, 1), ("g", None, 2), ("g", None, 3), (None, 1.0, 4), (None, 1.0, 5), (None, None, 6), (None, 9.0, 7)]
+    data += [("g", float(i % 6), 10 + i) for i in range(20)]
+    above = lambda a, b: a is not None and (b is None or a > b)
+    expected = [(g, m, i, 1 + sum(1 for h, o, _ in data if h == g and above(o, m))) for g, m, i in data]
+    df = spark.createDataFrame(data, "g string, m double, id int")
+    assert rows(rank_desc(df, ["g"], "m", "r", hot_rows)) == sorted(expected, key=repr)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_overlapping_versions_give_one_match_either_way(spark, how):
+    dims = [("a", at(0), at(10), 1), ("a", at(5), at(7), 2), ("a", at(5), None, 3), ("a", at(8), at(9), 4), (None, at(0), None, 5)]
+    facts = [("a", at(h + 0.5), h) for h in range(12)] + [(None, at(1), 99), ("a", None, 98)]
+    f = spark.createDataFrame(facts, "k string, ts timestamp, id int")
+    d = spark.createDataFrame(dims, "k string, valid_from timestamp, valid_to timestamp, n int")
+    # Of the two that begin at 5, the one with an end is greater (NULL is least), and it decides until 8.
+    match = {**{h: 1 for h in range(5)}, 5: 2, 6: 2, 8: 4}
+    expected = sorted((i, match.get(i)) for _, _, i in facts if how == "left" or i in match)
+    for settings in ({"broadcast_rows": 1000}, {"hot_rows": 3}, {}):
+        found = asof_validity_join(f, d, ["k"], "ts", how=how, **settings)
+        assert sorted((r.id, r.n) for r in found.collect()) == expected, settings
+
+
 # --- grid and windows --------------------------------------------------------------------------
 
 
