@@ -25,11 +25,13 @@ from activity_engine.operators.quality import (
 )
 from activity_engine.operators.scd2 import first_snapshot, snapshot_timestamp
 from activity_engine.plans import dims, facts, marts, staging
-from activity_engine.plans.checks import DECLARED
+from activity_engine.plans.checks import DECLARED, source_freshness
 from activity_engine.schemas import ENTITIES, MARKS, entities_for
 from activity_engine.sources import landing
+from activity_engine.sources.files import exists
 from activity_engine.sources.seeds import exercise_types
 from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_table, table_exists
+from activity_engine.streaming.ingest import stream_ingest
 
 # The user dimension is broadcast in the as-of join only when it is counted to be no larger.
 SMALL_USER_VERSIONS = 200_000
@@ -87,8 +89,11 @@ def ingest(
     shaped = normalizer(entity, source, now_column(as_of))(landing.read_raw(spark, raw_path))
     in_window = window_scan(shaped, "mark", lower, until)
     if lower is not None and not replay:
-        # A record without a readable version has no place in time; a live run must still reject it.
-        in_window = shaped.where((F.col("mark") > F.lit(lower)) | F.col("mark").isNull())
+        # A record without a readable version has no place in time; a live run must still reject it, but
+        # only the first one that meets it.
+        known = landing.read_rejects(spark, wh.landing, entity, source).select("raw").distinct()
+        undated = shaped.where(F.col("mark").isNull()).join(known, "raw", "left_anti")
+        in_window = in_window.unionByName(undated.select(*in_window.columns))
     # Parsed once, used for both sides and the mark. Lost blocks are recomputed from the raw files.
     batch = in_window.persist(StorageLevel.DISK_ONLY)
     landing.land(batch, wh.landing, entity, source, now_column(as_of), run, replay)
@@ -110,6 +115,18 @@ def load(
     return rows
 
 
+def take_in(spark: SparkSession, wh: Warehouse, raw_path: str, entity: str, source: str, as_of: datetime) -> None:
+    """Land and merge the raw files that no earlier run has read, and move the mark. An absent folder is none."""
+    if entity not in entities_for(source, entity):
+        raise ValueError(f"{source} does not offer {entity}")
+    if not exists(spark, raw_path):
+        return
+    state = f"{wh.root}/state/files/{source}/{entity}"
+    stream_ingest(
+        spark, raw_path, wh.landing, wh.raw(entity), entity, source, now_column(as_of), state, marks=wh.marks
+    ).awaitTermination()
+
+
 def backfill(
     spark: SparkSession, wh: Warehouse, raw_paths: dict[str, str], source: str, start: date, end: date, as_of: datetime
 ) -> dict[str, str]:
@@ -171,6 +188,7 @@ def verify(tables: dict[str, DataFrame], as_of: datetime) -> None:
     """The declared tests, then the operational checks. The first failing group raises."""
     gate(run_checks(tables, DECLARED).where(~F.col("passed")), "declared tests")
     now = now_column(as_of)
+    gate(source_freshness(tables, now).where(F.col("status") == "error"), "source freshness")
     gate(stale_keys(tables["raw_workouts"], "user_id", "synced_at", now), "stale users")
     gate(volume_anomaly(tables["raw_workouts"], "synced_at", now), "volume")
 
@@ -178,12 +196,14 @@ def verify(tables: dict[str, DataFrame], as_of: datetime) -> None:
 def run_pipeline(
     spark: SparkSession, root: str, raw_paths: dict[str, dict[str, str]], as_of: datetime, check: bool = True
 ) -> dict[str, DataFrame]:
-    """One refresh. `raw_paths` maps source to entity to raw folder; an absent source is skipped."""
+    """One refresh. `raw_paths` maps source to entity to raw folder; an absent source is skipped.
+
+    Only raw files that are new since the last refresh are read; `ingest` and `load` serve replays.
+    """
     wh = Warehouse(root)
     for source, paths in raw_paths.items():
         for entity, path in paths.items():
-            run = ingest(spark, wh, path, entity, source, as_of)
-            load(spark, wh, entity, source, run=run)
+            take_in(spark, wh, path, entity, source, as_of)
     tables = build_models(spark, wh, as_of)
     if check:
         verify(tables, as_of)

@@ -9,13 +9,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from activity_engine.operators.marks import advance_mark, high_water
 from activity_engine.operators.normalize import normalizer
-from activity_engine.schemas import ENTITIES
+from activity_engine.schemas import ENTITIES, MARKS
 from activity_engine.sources import landing
-from activity_engine.sources.tables import merge_table
+from activity_engine.sources.tables import merge_table, read_table, replace_table
 
 
 def raw_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
@@ -27,19 +30,26 @@ def raw_stream(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def split_and_merge(
-    base: str, table: str, entity: str, source: str, as_of: Column, name: str
+    base: str, table: str, entity: str, source: str, as_of: Column, name: str, marks: str | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function: land valid rows and rejects, then upsert what was landed.
+    """Batch function: land valid rows and rejects, upsert what was landed, and move the mark.
 
-    The run is named after the stream and the batch and written in replace mode, and the upsert changes
-    nothing the second time, so a retried batch leaves the same state.
+    The run is named after the stream and the batch and written in replace mode, and neither the upsert
+    nor the mark changes anything the second time, so a retried batch leaves the same state. Records are
+    parsed once: both sides and the mark read the kept batch, which is worked out again where it is lost.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         run = f"stream-{name}-{batch_id:010d}"
-        landing.land(batch, base, entity, source, as_of, run, replay=True)
-        landed = landing.read_landing(batch.sparkSession, base, entity, source, run=run)
-        merge_table(batch.sparkSession, table, landed, ENTITIES[entity])
+        kept = batch.persist(StorageLevel.DISK_ONLY)
+        landing.land(kept, base, entity, source, as_of, run, replay=True)
+        landed = landing.read_landing(spark, base, entity, source, run=run)
+        merge_table(spark, table, landed, ENTITIES[entity])
+        if marks is not None:
+            seen = high_water(kept, "mark").select(F.lit(source).alias("source"), F.lit(entity).alias("entity"), "mark")
+            replace_table(advance_mark(read_table(spark, marks, MARKS), seen), marks)
+        kept.unpersist()
 
     return apply
 
@@ -54,13 +64,14 @@ def stream_ingest(
     as_of: Column,
     checkpoint: str,
     files_per_batch: int | None = None,
+    marks: str | None = None,
 ) -> StreamingQuery:
-    """Take in all files not seen before and stop."""
+    """Take in all files not seen before and stop. With `marks`, a table of marks, the mark moves along."""
     # Batch numbers begin again with a new checkpoint, so the runs are told apart by its name.
     name = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     shaped = normalizer(entity, source, as_of)(raw_stream(spark, raw_path, files_per_batch))
     return (
-        shaped.writeStream.foreachBatch(split_and_merge(base, table, entity, source, as_of, name))
+        shaped.writeStream.foreachBatch(split_and_merge(base, table, entity, source, as_of, name, marks))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

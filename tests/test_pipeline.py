@@ -14,6 +14,7 @@ from activity_engine.operators.quality import ChecksFailed
 from activity_engine.plans import pipeline as pl
 from activity_engine.schemas import ENTITIES, MARKS
 from activity_engine.sources import landing
+from activity_engine.sources import tables as tables_module
 from activity_engine.sources.seeds import EXERCISE_TYPES, exercise_types, read_seed
 from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_table
 from activity_engine.streaming.ingest import stream_ingest
@@ -126,6 +127,57 @@ def test_an_uncommitted_write_is_not_seen(spark, tmp_path):
     assert rows(again) == [(1,), (2,)]
 
 
+def test_the_losing_writer_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    state = tables_module._state
+    with monkeypatch.context() as m:
+        # B looks at the table, A commits, then B writes.
+        stale = state(spark, path)
+        replace_table(spark.range(10), path)
+        m.setattr(tables_module, "_state", lambda *_: stale)
+        with pytest.raises(FileExistsError):
+            replace_table(spark.range(1), path)
+    assert read_table(spark, path).count() == 10
+
+
+def test_a_merge_that_comes_second_starts_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    merge_table(spark, path, valid(spark, [workout(1)]), WORKOUTS)
+    state, calls = tables_module._state, []
+
+    def late(*args):
+        found = state(*args)
+        calls.append(1)
+        if len(calls) == 1:
+            with monkeypatch.context() as m:
+                m.setattr(tables_module, "_state", state)
+                merge_table(spark, path, valid(spark, [workout(2)]), WORKOUTS)
+        return found
+
+    monkeypatch.setattr(tables_module, "_state", late)
+    merge_table(spark, path, valid(spark, [workout(3)]), WORKOUTS)
+    assert [r[0] for r in table_rows(spark, path)] == ["w-1", "w-2", "w-3"]
+
+
+def test_old_generations_go_when_they_are_old(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1, 2, 3):
+        replace_table(spark.range(n), path)
+    count = lambda: len(list((tmp_path / "t").glob("gen=*")))
+    assert count() == 3
+    tables_module.remove_old(spark, path, hours=-1)
+    assert count() == 1 and read_table(spark, path).count() == 3
+
+
+def test_equal_versions_go_by_the_other_columns(spark, tmp_path):
+    same = [workout(1, calories=c) for c in (5, 9, 7)]
+    for order in (same, same[::-1]):
+        path = str(tmp_path / f"t{order[0]['calories']}")
+        merge_table(spark, path, valid(spark, order), WORKOUTS)
+        assert [r[2] for r in table_rows(spark, path)] == [9.0]
+
+
 def test_seed_file(spark, tmp_path):
     lines = ["workout_type,category,is_cardio,met_value"] + [f"{a},{b},{str(c).lower()},{d}" for a, b, c, d in EXERCISE_TYPES]
     (tmp_path / "seed.csv").write_text("\n".join(lines))
@@ -236,6 +288,21 @@ def test_backfill_replays_and_leaves_the_mark(spark, tmp_path):
         pl.ingest(spark, wh, path, "workouts", "synthetic", NOW, until=edge)
 
 
+def test_live_runs_reject_an_undated_record_once(spark, tmp_path):
+    wh = pl.Warehouse(str(tmp_path / "wh"))
+    path = put(tmp_path / "raw", "1.jsonl", [workout(1), "broken"])
+    for _ in range(3):
+        pl.ingest(spark, wh, path, "workouts", "synthetic", NOW)
+    assert landing.read_rejects(spark, wh.landing, "workouts").count() == 1
+
+
+def test_a_run_without_users(spark, tmp_path):
+    paths = raw_records(tmp_path)
+    del paths["synthetic"]["users"], paths["synthetic"]["friendships"]
+    tables = pl.run_pipeline(spark, str(tmp_path / "wh"), paths, NOW, check=False)
+    assert tables["fact_workout"].count() == 13 and tables["fact_daily_metrics"].isEmpty()
+
+
 def test_dry_run_changes_nothing(spark, tmp_path):
     wh = pl.Warehouse(str(tmp_path / "wh"))
     path = put(tmp_path / "raw", "1.jsonl", [workout(1)])
