@@ -85,9 +85,12 @@ def node_counts(tokens: list[bytes], weights: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Trie:
-    """Kept nodes by order, with what each context needs for escapes and exclusion."""
+    """Kept nodes by order, with what each context needs for escapes and exclusion.
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    `symbols` and `tokens` are the numbers of training symbols and tokens, kept or not.
+    """
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray, symbols: float = 0.0, tokens: float = 0.0) -> None:
         order = np.argsort(keys)
         keys, counts = keys[order], counts[order].astype(np.float64)
         level = (keys >> np.uint64(56)).astype(np.int64)
@@ -99,12 +102,13 @@ class Trie:
             context, owner = np.unique(self.nodes[k] >> _CODE, return_inverse=True)
             kept = np.bincount(owner, self.counts[k], len(context))
             if k == 0:
-                total, shorter = kept.copy(), np.zeros(len(self.nodes[0]))
+                total, shorter = np.maximum(kept, symbols), np.zeros(len(self.nodes[0]))
             else:
                 # What follows a context is as frequent as the context itself, as a node one order below;
-                # the opening space is no symbol at its own place, so its own children count.
+                # the opening space is followed by something once in each token.
                 below, found = _find(self.nodes[k - 1], context)
-                total = np.where(found & (context != _SPACE), self.counts[k - 1][below] if len(below) else 0.0, kept)
+                total = np.where(found, self.counts[k - 1][below] if len(below) else 0.0, kept)
+                total = np.where(context == _SPACE, tokens, total)
                 total = np.maximum(total, kept)
                 drop = np.uint64((1 << (8 * k)) - 1)
                 at, there = _find(self.nodes[k - 1], self.nodes[k] & drop)
@@ -199,8 +203,9 @@ def train(counts: DataFrame, node_bits: int = NODE_BITS) -> Trie:
     rows = counts.where("trained > 0").select("token", "trained").mapInArrow(run, "node bigint, n bigint")
     nodes = cut(rows.groupBy("node").agg(F.sum("n").alias("n")))
     symbols = nodes.where(F.shiftrightunsigned("node", 56) == 0).agg(F.sum("n")).first()[0] or 0
+    tokens = counts.agg(F.sum("trained")).first()[0] or 0
     kept = nodes.where(F.col("n") >= symbols / (1 << node_bits)).toArrow()
-    return Trie(kept.column("node").to_numpy().view(np.uint64), kept.column("n").to_numpy())
+    return Trie(kept.column("node").to_numpy().view(np.uint64), kept.column("n").to_numpy(), symbols, tokens)
 
 
 def _node_rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
