@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,6 +98,22 @@ class Shared:
         return cloudpickle.loads(self._sent.value)
 
 
+def fit_in_task(rows: DataFrame, fit: Callable[[list[tuple]], object]) -> object:
+    """`fit` applied to all of `rows`, a bounded sample, inside one task; only the model comes to the driver.
+
+    The rows are sorted first, so the model does not depend on how they were dealt out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[tuple] = []
+        for batch in batches:
+            gathered += zip(*(c.to_pylist() for c in batch.columns), strict=True)
+        yield pa.RecordBatch.from_pydict({"model": pa.array([cloudpickle.dumps(fit(sorted(gathered)))], pa.binary())})
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    return cloudpickle.loads(bytes(found[0][0])) if found else fit([])
+
+
 def labelled_sample(
     documents: DataFrame,
     labels: DataFrame,
@@ -106,8 +122,8 @@ def labelled_sample(
     chars: int,
     id_col: str = "doc_id",
     text_col: str = "text",
-) -> list[tuple[str, int]]:
-    """(text, 0 or 1) of about `most` rows per label, brought to the driver.
+) -> DataFrame:
+    """(text, y) of about `most` rows per label, y being 0 or 1.
 
     Only labels are sampled and joined, so documents without a sampled label never move. Texts longer
     than `chars` characters, nulls and labels other than 0 and 1 are left out; of several labels of one
@@ -117,5 +133,4 @@ def labelled_sample(
     sample = bounded_sample(known, "y", "id", most).groupBy("id").agg(F.max("y").alias("y"))
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.where(F.col("text").isNotNull() & (F.length("text") <= chars))
-    found = texts.join(F.broadcast(sample), "id").select("id", "y", "text").orderBy("id", "text").collect()
-    return [(r["text"], r["y"]) for r in found]
+    return texts.join(F.broadcast(sample), "id").select("text", "y")

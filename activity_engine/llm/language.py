@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, bounded_sample, mix64, pieces, slices
+from activity_engine.llm.common import Shared, bounded_sample, fit_in_task, mix64, pieces, slices
 
 UNKNOWN = "und"
 ORDER = 4
@@ -188,21 +188,25 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _fit_rows(rows: list[tuple[str, bytes, int]]) -> Model:
+    counts: dict[str, dict[bytes, int]] = {}
+    for lang, word, n in rows:
+        counts.setdefault(lang, {})[word] = n
+    return fit(counts)
+
+
 def train(
     labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs: int = SAMPLE_DOCS
 ) -> Model:
     """Models from at most about `docs` rows per language; rows without id, text or language teach nothing.
 
-    Words are counted on the executors and the sample's counts come to the driver, as do the sample's
-    entropies, from which the rejection is calibrated.
+    Words are counted on the executors and fitted in one task; the model comes to the driver, as do the
+    sample's entropies, from which the rejection is calibrated.
     """
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     sample = bounded_sample(rows.where("text is not null"), "lang", "id", docs)
     counted = sample.select("lang", "text").mapInArrow(_word_counts, "lang string, word binary, n bigint")
-    counts: dict[str, dict[bytes, int]] = {}
-    for lang, word, n in counted.groupBy("lang", "word").agg(F.sum("n")).collect():
-        counts.setdefault(lang, {})[bytes(word)] = n
-    model = fit(counts)
+    model = fit_in_task(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")), _fit_rows)
     if not model.langs:
         return model
     scored = sample.select("lang", identify(F.col("text"), model).alias("r")).where("lang = r.lang_pred")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, labelled_sample, mix64, pieces
+from activity_engine.llm.common import Shared, fit_in_task, labelled_sample, mix64, pieces
 
 BITS = 18
 # Labelled rows per class, and characters of a row, that are learned from at most.
@@ -93,7 +93,7 @@ def fit(
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "quality", docs: int = SAMPLE_DOCS) -> np.ndarray:
-    return fit(labelled_sample(documents, labels, label, docs, SAMPLE_CHARS))
+    return fit_in_task(labelled_sample(documents, labels, label, docs, SAMPLE_CHARS), fit)
 
 
 def score(text: Column, weights: np.ndarray) -> Column:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, labelled_sample, mix64, pieces
+from activity_engine.llm.common import Shared, fit_in_task, labelled_sample, mix64, pieces
 
 WINDOW, STRIDE = 32, 16
 WORD_BITS, CHAR_BITS = 14, 16
@@ -293,7 +293,7 @@ def _calibrate(logit: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
 
 
 def train(documents: DataFrame, labels: DataFrame, label: str = "toxic", docs: int = SAMPLE_DOCS) -> Network:
-    return fit(labelled_sample(documents, labels, label, docs, SAMPLE_CHARS))
+    return fit_in_task(labelled_sample(documents, labels, label, docs, SAMPLE_CHARS), fit)
 
 
 def score(text: Column, network: Network) -> Column:
