@@ -182,6 +182,10 @@ select user_id, workout_type, max(distance_meters) as best_distance_meters, max(
   min(case when distance_meters > 0 then duration_minutes / (distance_meters / 1000) end) as best_pace_min_per_km
 from clean_workouts group by 1, 2"""
 
+VIEWS["keyed"] = "select distinct case when k >= 33 then user_id end as key, ts from ev"
+
+VIEWS["placed"] = "select event_id, case when k < 70 then event_type end as grp, case when k % 3 > 0 then k end as m from ev"
+
 VIEWS["buyer_log"] = """
 select o_custkey as custkey, o_orderdate as changed_at, max(o_totalprice) as price, min(o_orderpriority) as priority
 from orders group by 1, 2"""
@@ -239,6 +243,10 @@ from (select distinct b.custkey, b.changed_at, b.price, b.priority
       where b.changed_at = (select max(c.changed_at) from buyer_log c where c.custkey = b.custkey and c.changed_at <= run.moment))"""
 
 SQL["v2_scd2_history"] = "select * from buyer_versions"
+SQL["v2_null_keys_split"] = """
+select key, ts, ts as valid_from, (select min(o.ts) from keyed o where o.key is not distinct from k.key and o.ts > k.ts) as valid_to
+from keyed k"""
+
 SQL["v2_scd2_history_split"] = SQL["v2_scd2_history"]
 
 USER_TEXT = f"""
@@ -254,6 +262,12 @@ from lineitem join orders on o_orderkey = l_orderkey
 {how} join buyer_versions v on v.custkey = o_custkey and l_shipdate >= v.valid_from
   and (v.valid_to is null or l_shipdate < v.valid_to)"""
 SQL["j2_asof_scd2"] = ASOF.format(how="left")
+SQL["j2_overlap_both"] = """
+select way, event_id, case when ts < since + interval 10 day then version end as version
+from (select b.event_id, b.ts, max(s.ts) as since, arg_max(s.event_id, (s.ts, s.event_id)) as version
+      from events b left join events s on s.event_type = 'signup' and s.user_id = b.user_id and s.ts <= b.ts
+      where b.event_type = 'purchase' group by 1, 2), (values ('broadcast'), ('merge')) w(way)"""
+
 SQL["j2_asof_split"] = SQL["j2_asof_scd2"]
 SQL["j2_asof_small_dim"] = ASOF.format(how="inner")
 
@@ -313,6 +327,11 @@ SQL["x2_rank_with_ties"] = """
 select l_orderkey, l_linenumber, l_partkey, l_linestatus, l_quantity,
   rank() over (partition by l_linestatus order by l_quantity desc) as position from lineitem"""
 
+SQL["x2_null_rank_split"] = """
+select event_id, p.grp, p.m, 1 + coalesce(sum(o.n) filter (o.m is not null and (p.m is null or o.m > p.m)), 0) as place
+from placed p left join (select grp, m, count(*) as n from placed group by 1, 2) o on o.grp is not distinct from p.grp
+group by event_id, p.grp, p.m"""
+
 SQL["x2_rank_split"] = """
 select o_orderkey, o_orderpriority, o_totalprice,
   rank() over (partition by o_orderpriority order by o_totalprice desc) as position from orders"""
@@ -510,7 +529,33 @@ union all select * from workout_records where k not in (14, 17, 18, 19) and (k =
 SQL["w7_late"] = """
 select workout_id, start_time, synced_at from app_workouts where synced_at - start_time > interval 1 day"""
 
-SQL["t2_stream_upsert"] = SQL["i8_valid"]
+SQL["t2_stream_upsert"] = f"""
+select * replace (strftime(synced_at, '%Y-%m-%d') as dt) from (
+  select {WORKOUT_COLUMNS.replace("synced_at,", "synced_at + to_hours(case when k < 14 then 1 else 0 end) as synced_at,")}, '' as dt
+  from workout_records where error is null)"""
+
+SQL["t3_stream_rejects"] = """
+select error, 'app' as source, sum(case when k < 14 then 2 else 1 end) as n from workout_records where error is not null group by 1"""
+
+SQL["k8_dry_run"] = "select count(*) as shown, cast(0 as bigint) as stored from workout_records where error is null"
+
+SQL["i9_required"] = """
+select name as "column", name in ('workout_id', 'user_id', 'source', 'synced_at') as stopped
+from (select unnest(['workout_id', 'user_id', 'source', 'workout_type', 'start_time', 'end_time', 'device_id', 'synced_at',
+  'distance_meters', 'calories', 'samples']) as name), (select count(*) as n from first_workouts where k = 5) where n > 0"""
+
+SQL["s5_seed_file"] = """
+select lower(p_type) as workout_type, min(p_brand) as category, max(p_size) > 25 as is_cardio, max(p_retailprice) as met_value
+from part group by 1"""
+
+SQL["w1_mark_read"] = """
+select event_type as entity, max(ts) as mark from events group by 1 union all select 'never', null"""
+
+SQL["q7_gate"] = """
+select 'l_orderkey' as "column", 'not_null' as test, (select count(*) from lineitem where l_orderkey is null) > 0 as stopped
+union all select 'l_orderkey', 'unique', (select count(*) - count(distinct l_orderkey) from lineitem) > 0
+union all select 'l_quantity', 'at_most', (select max(l_quantity) from lineitem) > 40
+union all select 'l_tax', 'at_most', (select max(l_tax) from lineitem) > 0.5"""
 
 # --- quality -----------------------------------------------------------------------------------
 

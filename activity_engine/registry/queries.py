@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +25,12 @@ from activity_engine.operators.scd2 import current_versions, first_snapshot, scd
 from activity_engine.operators.upsert import upsert_newest
 from activity_engine.plans import dims, facts, feeds, marts, staging
 from activity_engine.plans.checks import DECLARED, source_freshness
+from activity_engine.plans.pipeline import Warehouse, load
 from activity_engine.registry import standins as si
-from activity_engine.schemas import ENTITIES
+from activity_engine.schemas import CANONICAL_SOURCE, ENTITIES
 from activity_engine.session import scratch_dir
 from activity_engine.sources import landing
-from activity_engine.sources.seeds import exercise_types
+from activity_engine.sources.seeds import exercise_types, read_seed
 from activity_engine.sources.tables import merge_table, read_entity, replace_table
 from activity_engine.streaming.ingest import stream_ingest
 
@@ -139,6 +141,13 @@ def v2_scd2_history(spark: SparkSession, d: str) -> DataFrame:
     return scd2_history(si.customer_log(spark, d), ["custkey"], "changed_at")
 
 
+@query
+def v2_null_keys_split(spark: SparkSession, d: str) -> DataFrame:
+    """Keys that are NULL for a third of the rows, with a threshold that they pass."""
+    log = si.events(spark, d).select(F.when(F.col("k") >= 33, F.col("user_id")).alias("key"), "ts").distinct()
+    return scd2_history(log, ["key"], "ts", hot_rows=20)
+
+
 @query
 def v2_scd2_history_split(spark: SparkSession, d: str) -> DataFrame:
     """The same with a threshold that the busiest customers pass, so their histories run in chunks."""
@@ -190,6 +199,21 @@ def j2_asof_scd2(spark: SparkSession, d: str) -> DataFrame:
     return joined.drop("valid_to")
 
 
+@query
+def j2_overlap_both(spark: SparkSession, d: str) -> DataFrame:
+    """Versions that last ten days and overlap, joined by broadcast and by merge."""
+    e = si.read(spark, d, "events")
+    versions = e.where(F.col("event_type") == "signup").select(
+        "user_id", F.col("ts").alias("valid_from"), sc.plus_seconds("ts", F.lit(864000)).alias("valid_to"), F.col("event_id").alias("version")
+    )
+    bought = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    ways = [
+        asof_validity_join(bought, versions, ["user_id"], "ts", **settings).withColumn("way", F.lit(way))
+        for way, settings in (("broadcast", {"broadcast_rows": 10**9}), ("merge", {"hot_rows": 5}))
+    ]
+    return ways[0].unionByName(ways[1]).select("way", "event_id", "version")
+
+
 @query
 def j2_asof_split(spark: SparkSession, d: str) -> DataFrame:
     """The same with the busiest customers hot, so versions are carried across chunk borders."""
@@ -284,15 +308,18 @@ def m1_dim_date(spark: SparkSession, d: str) -> DataFrame:
     return dims.dim_date(spark, ends.select("hi").scalar(), ends.select("lo").scalar())
 
 
-@query
-def m2_dim_type(spark: SparkSession, d: str) -> DataFrame:
-    """Part types as the looked-up vocabulary."""
-    kinds = si.read(spark, d, "part").groupBy(F.lower("p_type").alias("workout_type")).agg(
+def part_types(spark: SparkSession, d: str) -> DataFrame:
+    return si.read(spark, d, "part").groupBy(F.lower("p_type").alias("workout_type")).agg(
         F.min("p_brand").alias("category"),
         (F.max("p_size") > 25).alias("is_cardio"),
         F.max("p_retailprice").alias("met_value"),
     )
-    return dims.dim_exercise_type(kinds)
+
+
+@query
+def m2_dim_type(spark: SparkSession, d: str) -> DataFrame:
+    """Part types as the looked-up vocabulary."""
+    return dims.dim_exercise_type(part_types(spark, d))
 
 
 @query
@@ -348,6 +375,14 @@ def x2_rank_with_ties(spark: SparkSession, d: str) -> DataFrame:
     return rank_desc(lines, ["l_linestatus"], "l_quantity", "position")
 
 
+@query
+def x2_null_rank_split(spark: SparkSession, d: str) -> DataFrame:
+    """Groups and measures that are NULL, ranked value by value."""
+    e = si.events(spark, d)
+    rows = e.select("event_id", F.when(F.col("k") < 70, F.col("event_type")).alias("grp"), F.when(F.col("k") % 3 > 0, F.col("k")).alias("m"))
+    return rank_desc(rows, ["grp"], "m", "place", hot_rows=10)
+
+
 @query
 def x2_rank_split(spark: SparkSession, d: str) -> DataFrame:
     """Orders ranked by price within their priority, each priority split into chunks."""
@@ -600,18 +635,78 @@ def w7_late(spark: SparkSession, d: str) -> DataFrame:
     return mk.late_rows(feed(spark, d), "start_time", "synced_at").select("workout_id", "start_time", "synced_at")
 
 
-@query
-def t2_stream_upsert(spark: SparkSession, d: str) -> DataFrame:
-    """Raw text files taken in as a stream, two files a batch, split, landed and merged."""
+def streamed(spark: SparkSession, d: str) -> str:
+    """A folder after three stream runs: first deliveries, corrected and repeated ones, and nothing new."""
     base = scratch_dir(spark, "stream")
-    si.damaged_workouts(spark, d).write.mode("overwrite").text(f"{base}/raw")
     as_of = F.lit("2024-02-01").cast("timestamp")
-    spec = ENTITIES["workouts"]
-    done = stream_ingest(
-        spark, f"{base}/raw", f"{base}/landing", f"{base}/table", "workouts", SOURCE, as_of, f"{base}/state", 2
-    )
-    done.awaitTermination()
-    return nested_as_numbers(read_entity(spark, f"{base}/table", spec))
+    for again in (False, True, None):
+        if again is not None:
+            si.damaged_workouts(spark, d, again).write.mode("append").text(f"{base}/raw")
+        stream_ingest(
+            spark, f"{base}/raw", f"{base}/landing", f"{base}/table", "workouts", SOURCE, as_of, f"{base}/state", 4
+        ).awaitTermination()
+    return base
+
+
+@query
+def t2_stream_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """Raw text files taken in as a stream, some files a batch, split, landed and merged."""
+    return nested_as_numbers(read_entity(spark, f"{streamed(spark, d)}/table", ENTITIES["workouts"]))
+
+
+@query
+def t3_stream_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """The other side of the same stream."""
+    rejects = landing.read_rejects(spark, f"{streamed(spark, d)}/landing", "workouts")
+    return rejects.groupBy("error", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def k8_dry_run(spark: SparkSession, d: str) -> DataFrame:
+    """A dry run shows what it would merge and merges nothing."""
+    wh = Warehouse(scratch_dir(spark, "dry"))
+    landing.land(
+        nz.normalize_workouts(si.damaged_workouts(spark, d), CANONICAL_SOURCE), wh.landing, "workouts", CANONICAL_SOURCE,
+        si.last_day(spark, d), "run-1",
+    )
+    shown = load(spark, wh, "workouts", CANONICAL_SOURCE, run="run-1", dry_run=True)
+    stored = read_entity(spark, wh.raw("workouts"), ENTITIES["workouts"])
+    return shown.agg(F.count(F.lit(1)).alias("shown")).join(stored.agg(F.count(F.lit(1)).alias("stored")))
+
+
+@query
+def i9_required(spark: SparkSession, d: str) -> DataFrame:
+    """Landed workouts in which one column is NULL are read again: a required one must stop the read."""
+    rows = si.first_deliveries(spark, d)
+    found = []
+    for column in ENTITIES["workouts"].columns:
+        broken = rows.withColumn(column, F.when(F.col("k") != 5, F.col(column)))
+        try:
+            nz.enforce_required(broken.select(*ENTITIES["workouts"].columns), ENTITIES["workouts"].required).write.format(
+                "noop"
+            ).mode("overwrite").save()
+            found.append((column, False))
+        except PySparkException:
+            found.append((column, True))
+    return spark.createDataFrame(found, "column string, stopped boolean")
+
+
+@query
+def s5_seed_file(spark: SparkSession, d: str) -> DataFrame:
+    """Types made from parts, written as CSV with a header and read as a seed."""
+    path = scratch_dir(spark, "seed")
+    part_types(spark, d).write.mode("overwrite").option("header", True).csv(path)
+    return read_seed(spark, path)
+
+
+@query
+def w1_mark_read(spark: SparkSession, d: str) -> DataFrame:
+    """The mark of each kind of event, as if each were an entity, and of one that has never run."""
+    e = si.read(spark, d, "events")
+    marks = e.groupBy(F.lit(SOURCE).alias("source"), F.col("event_type").alias("entity")).agg(F.max("ts").alias("mark"))
+    names = [r[0] for r in e.select("event_type").distinct().orderBy("event_type").collect()]
+    found = [(name, mk.read_mark(marks, SOURCE, name)) for name in [*names, "never"]]
+    return spark.createDataFrame(found, "entity string, mark timestamp")
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -674,6 +769,23 @@ def q1_run_checks(spark: SparkSession, d: str) -> DataFrame:
     return qa.run_checks(tables, spec)
 
 
+@query
+def q7_gate(spark: SparkSession, d: str) -> DataFrame:
+    """Which tests stop a run: every declared test of some line columns is put to the gate."""
+    checks = qa.TableChecks(not_null=["l_orderkey"], unique=["l_orderkey"], at_most={"l_quantity": 40, "l_tax": 0.5})
+    results = qa.run_checks({"lineitem": si.read(spark, d, "lineitem")}, {"lineitem": checks}).persist()
+    found = []
+    for r in results.select("column", "test").collect():
+        own = results.where((F.col("column") == r[0]) & (F.col("test") == r[1]) & ~F.col("passed"))
+        try:
+            qa.gate(own, "lineitem")
+            found.append((*r, False))
+        except qa.ChecksFailed:
+            found.append((*r, True))
+    results.unpersist()
+    return spark.createDataFrame(found, "column string, test string, stopped boolean")
+
+
 @query
 def q1_unique(spark: SparkSession, d: str) -> DataFrame:
     return qa.duplicate_keys(si.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])

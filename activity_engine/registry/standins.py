@@ -177,10 +177,14 @@ def json_object(*members: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}"))
 
 
-def damaged_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def damaged_workouts(spark: SparkSession, sf_dir: str, again: bool = False) -> DataFrame:
     """Raw workout JSON, one text per event; k decides what is wrong with a record: one of the known
-    faults, an explicit null for samples, text that is no JSON, or nothing."""
+    faults, an explicit null for samples, text that is no JSON, or nothing. `again` gives a second delivery
+    of those with k under 14, an hour later."""
     e = events(spark, sf_dir)
+    hours = F.lit(0)
+    if again:
+        e, hours = e.where(F.col("k") < 14), F.lit(1)
     k, value = F.col("k"), F.col("value").cast("string")
     reading = F.concat(
         F.lit('[{"ts":'), iso("ts"), F.lit(',"heart_rate_bpm":'), k.cast("string"), F.lit("}]")
@@ -192,7 +196,7 @@ def damaged_workouts(spark: SparkSession, sf_dir: str) -> DataFrame:
         member("start_time", iso("ts")),
         member("end_time", iso(plus_seconds("ts", F.round(F.col("value") * 60)))),
         member("device_id", quoted(prefixed("device-", "user_id")), k != 10),
-        member("synced_at", iso(plus_seconds("ts", k * 60))),
+        member("synced_at", iso(plus_seconds("ts", k * 60 + hours * 3600))),
         member("distance_meters", F.when(k == 15, F.lit("null")).otherwise(value)),
         member("calories", F.when(k == 13, F.lit('"n/a"')).when(k == 16, quoted(value)).otherwise(value)),
         member(
