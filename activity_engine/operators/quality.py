@@ -77,6 +77,38 @@ def check_relationship(df: DataFrame, table: str, column: str, parent: DataFrame
     return failing.select(*_result(table, F.lit(column), F.lit("relationships"), F.col("n")))
 
 
+def check_keys(
+    df: DataFrame, table: str, unique: Sequence[str], parents: Mapping[str, tuple[DataFrame, str]]
+) -> DataFrame:
+    """All unique and relationship tests of a table in one pass.
+
+    Every tested value becomes a (column, value) pair; pairs are counted before the shuffle, and the keys
+    of all parents are joined to the counts at once. NULL is no value and passes.
+    """
+    columns = list(dict.fromkeys([*unique, *parents]))
+    named = [F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]
+    pairs = df.select(F.explode(F.array(*named)).alias("p")).select("p.*").where("value is not null")
+    counts = pairs.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = [
+        parent.select(F.lit(c).alias("column"), F.col(key).cast("string").alias("value")).distinct()
+        for c, (parent, key) in parents.items()
+    ]
+    if known:
+        counts = counts.join(reduce(DataFrame.unionByName, known).withColumn("known", F.lit(True)), ["column", "value"], "left")
+    else:
+        counts = counts.withColumn("known", F.lit(None).cast("boolean"))
+    failing = counts.groupBy("column").agg(
+        F.count_if(F.col("n") > 1).alias("unique"), F.sum(F.when(F.col("known").isNull(), F.col("n"))).alias("relationships")
+    )
+    tests = [F.struct(F.lit(c).alias("column"), F.lit("unique").alias("test")) for c in unique]
+    tests += [F.struct(F.lit(c).alias("column"), F.lit("relationships").alias("test")) for c in parents]
+    wanted = df.sparkSession.range(1).select(F.inline(F.array(*tests)))
+    found = F.when(F.col("test") == "unique", F.col("unique")).otherwise(F.col("relationships"))
+    return wanted.join(failing, "column", "left").select(
+        *_result(table, F.col("column"), F.col("test"), F.coalesce(found, F.lit(0)))
+    )
+
+
 def run_checks(tables: Mapping[str, DataFrame], spec: Mapping[str, TableChecks]) -> DataFrame:
     """`table, column, test, failing_rows, passed`, one row per declared test of the given tables."""
     parts: list[DataFrame] = []
@@ -86,12 +118,9 @@ def run_checks(tables: Mapping[str, DataFrame], spec: Mapping[str, TableChecks])
         df = tables[name]
         if checks.not_null or checks.at_most:
             parts.append(check_rows(df, name, checks.not_null, checks.at_most))
-        parts += [check_unique(df, name, c) for c in checks.unique]
-        parts += [
-            check_relationship(df, name, c, tables[parent], parent_column)
-            for c, (parent, parent_column) in checks.relationships.items()
-            if parent in tables
-        ]
+        parents = {c: (tables[p], key) for c, (p, key) in checks.relationships.items() if p in tables}
+        if checks.unique or parents:
+            parts.append(check_keys(df, name, checks.unique, parents))
     return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("failing_rows") == 0)
 
 

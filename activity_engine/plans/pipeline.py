@@ -13,6 +13,7 @@ from datetime import date, datetime
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from activity_engine.operators.marks import advance_mark, backfill_bounds, high_water, read_mark, window_scan
 from activity_engine.operators.normalize import normalizer
@@ -30,7 +31,7 @@ from activity_engine.schemas import ENTITIES, MARKS, entities_for
 from activity_engine.sources import landing
 from activity_engine.sources.files import exists
 from activity_engine.sources.seeds import exercise_types
-from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_table, table_exists
+from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_partitions, replace_table, table_exists
 from activity_engine.streaming.ingest import stream_ingest
 
 # The user dimension is broadcast in the as-of join only when it is counted to be no larger.
@@ -146,21 +147,29 @@ def raw_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
 
 
 def take_snapshot(spark: SparkSession, wh: Warehouse, users: DataFrame) -> DataFrame:
-    """Run the user snapshot. Two rows for one user would fork its timeline, so that fails loudly."""
+    """Run the user snapshot. Two rows for one user would fork its timeline, so that fails loudly.
+
+    Closed versions never change: only the open ones are read and written, and what a run closes is put
+    beside what earlier runs have closed.
+    """
     gate(duplicate_keys(users, ["user_id"]), "user_id is not unique across sources")
     path = wh.model("users_snapshot")
+    after = first_snapshot(users, "updated_at")
     if table_exists(spark, path):
-        return replace_table(snapshot_timestamp(read_table(spark, path), users, "user_id", "updated_at"), path)
-    return replace_table(first_snapshot(users, "updated_at"), path)
+        schema = T.StructType([*after.schema.fields, T.StructField("state", T.StringType())])
+        is_open = read_table(spark, path, schema).where("state = 'open'").drop("state")
+        after = snapshot_timestamp(is_open, users, "user_id", "updated_at")
+    state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
+    return replace_partitions(after.withColumn("state", state), path, "state", "closed").drop("state")
 
 
 def build_models(spark: SparkSession, wh: Warehouse, as_of: datetime) -> dict[str, DataFrame]:
     """Build every model from the raw tables; returns raw, staging and mart tables by name."""
     now = now_column(as_of)
     tables = raw_tables(spark, wh)
-    tables["stg_workouts"] = staging.stg_workouts(tables["raw_workouts"])
-    tables["stg_users"] = staging.stg_users(tables["raw_users"])
-    tables["stg_friendships"] = staging.stg_friendships(tables["raw_friendships"])
+    tables["stg_workouts"] = staging.stg_workouts(tables["raw_workouts"], unique=True)
+    tables["stg_users"] = staging.stg_users(tables["raw_users"], unique=True)
+    tables["stg_friendships"] = staging.stg_friendships(tables["raw_friendships"], unique=True)
 
     def store(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         tables[name] = replace_table(df, wh.model(name), partition_by)

@@ -99,6 +99,18 @@ def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     return read_table(spark, path, df.schema)
 
 
+def replace_partitions(df: DataFrame, path: str, partition: str, kept: str) -> DataFrame:
+    """Like `replace_table`, but directories of the partition value `kept` stay and `df` comes beside them."""
+    spark = df.sparkSession
+    number, dirs = _state(spark, path)
+    gen = _new_generation(number)
+    df.hint("rebalance", partition).write.mode("errorifexists").partitionBy(partition).parquet(f"{path}/{gen}")
+    written = [f"{gen}/{name}" for name in list_names(spark, f"{path}/{gen}") if name.startswith(f"{partition}=")]
+    _commit(spark, path, number + 1, [*(d for d in dirs if d.endswith(f"/{partition}={kept}")), *written])
+    remove_old(spark, path)
+    return read_table(spark, path, df.schema)
+
+
 def _with_day(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(DAY, T.StringType())])
 
