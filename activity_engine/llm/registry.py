@@ -19,7 +19,8 @@ def _held_out(modulus: int, value: int) -> Column:
 def op1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: the whole texts of the documents whose id is divisible by 20."""
     docs = table(spark, sf_dir, "documents")
-    return search.search(search.build(docs), search.query_terms(docs.where(F.col("doc_id") % 20 == 0)))
+    found = search.search(search.build(docs), search.query_terms(docs.where(F.col("doc_id") % 20 == 0)))
+    return found.withColumn("score", F.round("score", 6))
 
 
 def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,4 +86,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixture": op10_mixture,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# The others have no SQL: fitted models, edits, alignments, a trie, and an order by Spark's own hash.
+ORACLE_SQL: dict[str, str] = {
+    "op1_search": f"""
+with words as (
+  select doc_id, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) as word
+  from documents where text is not null),
+counts as (select doc_id, word, count(*) as tf from words group by 1, 2),
+lengths as (select doc_id, sum(tf) as n from counts group by 1),
+everything as (select (select count(*) from documents) as docs, (select sum(n) from lengths) / (select count(*) from documents) as mean),
+weights as (select word, ln(1 + (docs - count(*) + 0.5) / (count(*) + 0.5)) as idf from counts, everything group by word, docs),
+scores as (
+  select q.doc_id as query_id, c.doc_id, round(sum(idf * c.tf * 2.2 / (c.tf + 1.2 * (0.25 + 0.75 * n / mean))), 9) as score
+  from counts q join weights using (word) join counts c using (word) join lengths l on l.doc_id = c.doc_id, everything
+  where q.doc_id % 20 = 0 group by 1, 2)
+select query_id, rank, doc_id, round(score, 6) as score
+from (select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from scores) where rank <= 10""",
+    "op5_jaccard": f"""
+with recursive texts as (
+  select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) < 3 then [array_to_string(w, ' ')]
+    else [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] for i in range(1, len(w) - 1)] end) as s
+  from texts where len(w) > 0),
+sizes as (select doc_id, len(s) as n from sets),
+shingles as (select doc_id, unnest(s) as x from sets),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as shared from shingles a join shingles b on a.x = b.x and a.doc_id <> b.doc_id group by 1, 2),
+links as (
+  select a, b from common join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * shared >= 90 * (p.n + q.n - shared)),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, l.b from reach r join links l on l.a = r.b)
+select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(b) as component_id
+from documents d join reach on a = d.doc_id left join sizes z on z.doc_id = d.doc_id group by 1""",
+}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from compare import connect, difference
 from pyspark.sql import functions as F
 from test_decontaminate import smith_waterman
 from test_jaccard import brute
@@ -86,6 +87,13 @@ def test_rows_keep_all_columns_and_odd_rows_pass(spark, kept):
     assert corpus_pipeline.mix_sources(spark, odd, SF_DIR).count() == 6
 
 
+@pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
+def test_query_agrees_with_sql(spark, name):
+    con = connect(SF_DIR)
+    assert difference(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
+    con.close()
+
+
 COLUMNS = {
     "op2_licenses": "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, score double",
     "op4_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
