@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from activity_engine.llm.common import cut
 
 # Words of a slot at most, rows of a chunk on average, and slots of a chunk.
-BLOCK_WORDS = 256
+BLOCK_WORDS = 64
 CHUNK_ROWS = 4096
 CHUNK_SLOTS = 1 << 12
 
