@@ -49,6 +49,8 @@ VIEWS["ev"] = "select *, cast(props ->> '$.k' as bigint) as k from events"
 
 VIEWS["last_day"] = "select cast(max(ts) as date) as today, max(ts) as this_moment from events"
 
+VIEWS["first_day"] = "select cast(min(ts) as date) as first_event from events"
+
 VIEWS["app_users"] = """
 select 'u-' || user_id as user_id, 'app' as source, 'User ' || user_id as display_name,
   'user' || user_id || '@example.com' as email, 18 + k % 50 as age,
@@ -489,12 +491,13 @@ from (select 'c' as p, c_custkey as id, c_name as name, c_acctbal as weight from
 # --- scans, marks, backfill --------------------------------------------------------------------
 
 SQL["s1_landing_scan"] = f"""
-select {WORKOUT_COLUMNS}, '2024-01-15' as dt from workout_records where error is null and cast(synced_at as date) = date '2024-01-15'"""
+select {WORKOUT_COLUMNS}, strftime(first_event + 14, '%Y-%m-%d') as dt from workout_records, first_day
+where error is null and cast(synced_at as date) = first_event + 14"""
 
 SQL["k2_replay_landing"] = """
 select strftime(synced_at, '%Y-%m-%d') as dt, run, count(*) filter (error is null) as valid, count(*) filter (error is not null) as rejected
-from workout_records, (values ('live-1'), ('backfill-1')) r(run)
-where k <> 20 and synced_at > timestamp '2024-01-05' and synced_at <= timestamp '2024-01-09' group by 1, 2"""
+from workout_records, first_day, (values ('live-1'), ('backfill-1')) r(run)
+where k <> 20 and synced_at > first_event + 4 and synced_at <= first_event + 8 group by 1, 2"""
 
 SQL["k6_merge_table"] = """
 select workout_id, workout_type, synced_at, calories, strftime(synced_at, '%Y-%m-%d') as dt from clean_workouts"""
@@ -512,7 +515,7 @@ select 'other', 'users', (select min(ts) from ev)"""
 
 SQL["w4_backfill_range"] = """
 select workout_id, user_id, source, workout_type, start_time, end_time, device_id, synced_at, distance_meters, calories
-from app_workouts where synced_at > timestamp '2024-01-10' and synced_at <= timestamp '2024-01-13'"""
+from app_workouts, first_day where synced_at > first_event + 9 and synced_at <= first_event + 12"""
 
 SQL["w6_batch_stats"] = """
 select count(*) as total,

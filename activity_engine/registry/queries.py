@@ -535,13 +535,19 @@ def feed(spark: SparkSession, d: str) -> DataFrame:
     return si.raw_workouts(spark, d).drop("samples")
 
 
+def nth_day(spark: SparkSession, d: str, n: int) -> date:
+    """The day n days after the first event's."""
+    return si.read(spark, d, "events").select(F.date_add(F.to_date(F.min("ts")), n)).first()[0]
+
+
 @query
 def s1_landing_scan(spark: SparkSession, d: str) -> DataFrame:
     """Valid rows are landed as JSON in day folders and one day is read back."""
     base = scratch_dir(spark, "landing")
     shaped = nz.normalize_workouts(si.damaged_workouts(spark, d), SOURCE)
     landing.land(shaped, base, "workouts", SOURCE, si.last_day(spark, d), "run-1")
-    return nested_as_numbers(landing.read_landing(spark, base, "workouts", SOURCE, dt="2024-01-15").drop("run"))
+    day = nth_day(spark, d, 14).isoformat()
+    return nested_as_numbers(landing.read_landing(spark, base, "workouts", SOURCE, dt=day).drop("run"))
 
 
 @query
@@ -550,7 +556,7 @@ def k2_replay_landing(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_dir(spark, "replay")
     shaped = nz.normalize_workouts(si.damaged_workouts(spark, d), SOURCE)
     today = si.last_day(spark, d)
-    replay = mk.window_scan(shaped, "mark", "2024-01-05", "2024-01-09")
+    replay = mk.window_scan(shaped, "mark", nth_day(spark, d, 4).isoformat(), nth_day(spark, d, 8).isoformat())
     landing.land(replay, base, "workouts", SOURCE, today, "live-1")
     for _ in range(2):
         landing.land(replay, base, "workouts", SOURCE, today, "backfill-1", replay=True)
@@ -607,7 +613,7 @@ def w2_high_water(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def w4_backfill_range(spark: SparkSession, d: str) -> DataFrame:
-    since, until = mk.backfill_bounds(date(2024, 1, 10), date(2024, 1, 12))
+    since, until = mk.backfill_bounds(nth_day(spark, d, 9), nth_day(spark, d, 11))
     return mk.window_scan(feed(spark, d), "synced_at", since, until)
 
 
