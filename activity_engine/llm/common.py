@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,11 +47,6 @@ def bucket(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
-def crc_bucket(value: int, modulus: int) -> int:
-    """`bucket` for one id, on the driver."""
-    return zlib.crc32(str(value).encode()) % modulus
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):

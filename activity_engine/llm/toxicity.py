@@ -46,8 +46,7 @@ def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     """Hashed place of each word; places of all character n-grams, and the word that each belongs to."""
     own = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(64 - WORD_BITS)
     joined = np.frombuffer(b"\x01" + b"\x02\x01".join(words) + b"\x02", dtype=np.uint8)
-    begin, stop = joined == 1, joined == 2
-    word = np.cumsum(begin) - 1
+    word = np.cumsum(joined == 1) - 1
     places, owners = [], []
     h = np.zeros(len(joined), dtype=np.uint64)
     inside = np.ones(len(joined), dtype=bool)
@@ -62,8 +61,7 @@ def word_inputs(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
             at = np.flatnonzero(inside)
             places.append((h[at] >> np.uint64(64 - CHAR_BITS)).astype(np.int64))
             owners.append(word[at])
-    del stop
-    # A word of one byte makes exactly one n-gram, with its two marks.
+    # Every word has an n-gram: one of a single byte makes one with its two marks.
     return own.astype(np.int64), np.concatenate(places), np.concatenate(owners)
 
 
