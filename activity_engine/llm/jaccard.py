@@ -34,6 +34,10 @@ PERCENT = 90
 SKETCH_BITS = 20
 # The filter that picks the texts to verify has this many bits at most.
 FILTER_BITS = 25
+# So has the filter that picks the prefix shingles that two texts may have.
+TOKEN_BITS = 27
+# Ranges whose counts travel together, and groups of tasks that are summed up first.
+_COUNTS, _SHARES = 4096, 64
 _BLOCK = 4096 * 8  # bits of one of Spark's bitmaps
 
 
@@ -59,22 +63,43 @@ def _spot(node: bytes) -> int:
 
 
 def rarity(documents: DataFrame, n: int = SHINGLE_WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many texts have a shingle of each of 2^bits hash ranges; counted by task, then summed up."""
+    """How many texts have a shingle of each of 2^bits hash ranges; counted by task, then summed up.
+
+    Counts travel as blocks of neighbouring ranges, summed over a share of the tasks first.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << bits, dtype=np.int64)
-        for _, found, _ in _sets(batches, n):
+        seen = np.zeros(1 << bits, dtype=np.uint32)
+        task = 0
+        for task, found, _ in _sets(batches, n):
             np.add.at(seen, np.concatenate([*found, np.zeros(0, np.uint64)]) >> np.uint64(64 - bits), 1)
-        places = np.flatnonzero(seen)
-        for start in range(0, len(places), 1 << 16):
-            part = places[start : start + (1 << 16)]
-            yield pa.RecordBatch.from_pydict({"place": pa.array(part, pa.int32()), "n": pa.array(seen[part], pa.int64())})
-
-    counted = documents.select(F.lit(0).alias("id"), "text").mapInArrow(count, "place int, n bigint")
-    sums = counted.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, dtype=np.int64)
-    out[sums.column("place").to_numpy()] = sums.column("n").to_numpy()
-    return np.minimum(out, np.iinfo(np.uint32).max).astype(np.uint32)
+        size = min(_COUNTS, 1 << bits)
+        parts = [(i // size, seen[i : i + size]) for i in range(0, len(seen), size) if seen[i : i + size].any()]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "block": pa.array([i for i, _ in parts], pa.int32()),
+                "share": pa.array([task[0] % _SHARES if task else 0] * len(parts), pa.int32()),
+                "counts": pa.array([c.tobytes() for _, c in parts], pa.binary()),
+            }
+        )
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = np.zeros(0, dtype=np.uint64)
+        for counts in table.column("counts").to_pylist():
+            more = np.frombuffer(counts, np.uint32)
+            sums = more.astype(np.uint64) if not len(sums) else sums + more
+        sums = np.minimum(sums, np.iinfo(np.uint32).max).astype(np.uint32)
+        first = table.slice(0, 1)
+        return first.set_column(first.schema.get_field_index("counts"), "counts", pa.array([sums.tobytes()], pa.binary()))
+
+    schema = "block int, share int, counts binary"
+    counted = documents.select(F.spark_partition_id().alias("id"), "text").mapInArrow(count, schema)
+    summed = counted.groupBy("block", "share").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
+    out = np.zeros(1 << bits, dtype=np.uint32)
+    for block, _, counts in summed.collect():
+        found = np.frombuffer(bytes(counts), np.uint32)
+        out[block * len(found) : (block + 1) * len(found)] = found
+    return out
 
 
 def _prefixes(documents: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
@@ -119,19 +144,64 @@ def _pairs(rows: DataFrame) -> DataFrame:
     return rows.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
 
 
+def _bit_table(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
+    """A table of 2^bits bits with the given places set; it is as large whatever the input's size."""
+    spots = rows.select(spot.cast("bigint").alias("spot"))
+    blocks = spots.groupBy(F.floor(F.col("spot") / _BLOCK).alias("block"))
+    maps = blocks.agg(F.bitmap_construct_agg(F.col("spot") % _BLOCK).alias("bits")).toArrow()
+    table = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for block, found in zip(maps.column("block").to_pylist(), maps.column("bits").to_pylist(), strict=True):
+        start = block * (_BLOCK // 8)
+        table[start : start + _BLOCK // 8] = np.frombuffer(found, dtype=np.uint8)
+    return table
+
+
+def _members(placed: DataFrame) -> DataFrame:
+    """(token, node, size, spot, pos): the prefix shingles that two rows may have in common.
+
+    The first 32 bits of all prefix shingles are counted; a bit table then says of a whole shingle whether
+    they came twice. It lets some through that came once, which find no partner.
+    """
+    folded = placed.select(F.explode("prefix").alias("token"))
+    folded = folded.select(F.shiftright("token", 32).cast("int").alias("fold"))
+    twice = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    spot = F.shiftright(F.col("fold").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - TOKEN_BITS)
+    shared = Shared(_bit_table(twice, spot, TOKEN_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.get()
+        for batch in slices(batches, 4096):
+            lists = batch.column(3)
+            token = lists.flatten().to_numpy().view(np.uint64)
+            sizes = np.diff(lists.offsets.to_numpy())
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            place = (token >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
+            kept = np.flatnonzero(wanted[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            found = pa.array(row[kept])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(token[kept].view(np.int64)), *(batch.column(k).take(found) for k in range(3)),
+                    pa.array(pos[kept].astype(np.int32)),
+                ],
+                ["token", "node", "size", "spot", "pos"],
+            )
+
+    rows = placed.where("node is not null").select("node", "size", "spot", "prefix")
+    members = rows.mapInArrow(run, "token bigint, node binary, size bigint, spot bigint, pos int")
+    return cut(members.distinct())  # texts with equal sets are one node
+
+
 def _texts(documents: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
-    """(node, text), one text for each of `nodes` (node, spot).
+    """(node, text), one text for each of `nodes`.
 
     A bit table of fixed size says which texts may be wanted, so that the others never move; the join
     leaves out those that it let through by chance.
     """
-    blocks = nodes.groupBy(F.floor(F.col("spot") / _BLOCK).alias("block"))
-    maps = blocks.agg(F.bitmap_construct_agg(F.col("spot") % _BLOCK).alias("bits")).collect()
-    table = np.zeros((1 << FILTER_BITS) // 8, dtype=np.uint8)
-    for r in maps:
-        start = r["block"] * (_BLOCK // 8)
-        table[start : start + _BLOCK // 8] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    shared = Shared(table)
+    # A node's first bytes are a uniform number; this is `_spot`, little end first.
+    turned = F.concat(*(F.substring("node", k, 1) for k in range(8, 0, -1)))
+    spot = F.shiftrightunsigned(F.conv(F.hex(turned), 16, -10).cast("bigint"), 64 - FILTER_BITS)
+    shared = Shared(_bit_table(nodes, spot, FILTER_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, sent = shared.get(), set()
@@ -201,28 +271,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def links(documents: DataFrame, nodes: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def links(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that have the same components as all links together."""
-    tokens = nodes.select("node", "size", "spot", F.posexplode("prefix").alias("pos", "token"))
-    shared = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("token")
-    members = cut(tokens.join(shared, "token"))
+    members = _members(placed)
     leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node")).alias("l"))
     stars = members.join(leader, "token").select(
         "node", "size", "pos", F.col("l.node").alias("node2"), F.col("l.size").alias("size2"), F.col("l.pos").alias("pos2")
     )
     tested = cut(_pairs(stars.where((F.col("node") != F.col("node2")) & _possible(percent))))
-    # Only nodes that some filter left a chance take part from here on.
-    texts = _texts(documents, members.select("node", "spot").distinct(), n)
-    found = cut(_verified(tested, texts, n, percent))
+    found = cut(_verified(tested, _texts(documents, _ends(tested), n), n, percent))
     groups = components(found)
-    placed = members.join(groups.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-    sizes = placed.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
+    grouped = members.join(groups.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+    sizes = grouped.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "group")).alias("l"), F.count(F.lit(1)).alias("groups"))
-    open_ = cut(placed.join(largest.where("groups > 1").select("token", F.col("l.group").alias("main")), "token"))
+    open_ = cut(grouped.join(largest.where("groups > 1").select("token", F.col("l.group").alias("main")), "token"))
     outside = open_.where("group != main").select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "pos", "group")])
     rest = open_.join(outside, "token").where((F.col("group") != F.col("group2")) & _possible(percent))
     fresh = cut(_pairs(rest).join(tested, ["a", "b"], "left_anti"))
-    return found.unionByName(_verified(fresh, texts, n, percent))
+    if fresh.isEmpty():
+        return found
+    return cut(found.unionByName(_verified(fresh, _texts(documents, _ends(fresh), n), n, percent)))
 
 
 def join_digest(
@@ -241,10 +313,8 @@ def join_digest(
     """
     rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     placed = cut(_prefixes(rows, rarity(rows, n), n, percent))
-    alike = placed.where("node is not null").groupBy("node", "size", "spot")
-    # Equal sets have equal prefixes; the one of any row serves.
-    groups = components(links(rows, alike.agg(F.first("prefix").alias("prefix")), n, percent))
-    nodes = alike.agg(F.min("doc_id").alias("low"))
+    groups = components(links(rows, placed, n, percent))
+    nodes = placed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     rooted = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     of = rooted.join(lows, "root").select("node", "component_id")
