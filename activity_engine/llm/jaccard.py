@@ -35,7 +35,7 @@ SKETCH_BITS = 20
 # The filter that picks the texts to verify has this many bits at most.
 FILTER_BITS = 25
 # So has the filter that picks the prefix shingles that two texts may have.
-TOKEN_BITS = 27
+TOKEN_BITS = 26
 # Ranges whose counts travel together, and groups of tasks that are summed up first.
 _COUNTS, _SHARES = 4096, 64
 _BLOCK = 4096 * 8  # bits of one of Spark's bitmaps

@@ -9,7 +9,7 @@ import numpy as np
 from activity_engine.llm.common import mix64
 
 # Bytes that are hashed together; longer texts are cut at white space.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 18
 
 _PRIME = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, dtype=bool)
