@@ -29,6 +29,10 @@ MALFORMED = [
     (without(workout(1), "workout_type"), "missing/null ['workout_type']"),
     (workout(1, samples=None), "samples is not a list"),
     (workout(1, samples={"a": 1}), "samples is not a list"),
+    (workout(1, samples=[{"ts": "oops", "heart_rate_bpm": 1}]), "bad samples value"),
+    (workout(1, samples=[{"heart_rate_bpm": "abc"}]), "bad samples value"),
+    (workout(1, samples=[1, 2]), "bad samples value"),
+    (workout(1, samples=[{"lat": 1.5}, None]), "bad samples value"),
     (workout(1, distance_meters=[]), "bad distance_meters value"),
     (workout(1, start_time="soon"), "bad start_time value"),
     (without(workout(1, device_id=None), "workout_type"), "missing/null ['workout_type', 'device_id']"),
@@ -150,6 +154,18 @@ def test_activities(spark):
     assert len(rejects) == 2
 
 
+@pytest.mark.parametrize(
+    "name,data",
+    [("time", ["x"]), ("time", 5), ("heartrate", [90, "fast"]), ("latlng", [["a", 2]]), ("latlng", [3]), ("altitude", [{}])],
+)
+def test_bad_streams_are_rejected(spark, name, data):
+    record = {"id": 5, "athlete": {"id": 9}, "type": "Run", "start_date": "2024-03-01T06:00:00Z", "elapsed_time": 90}
+    fine = {"time": {"data": [0, None]}, "heartrate": {"data": [None, 99.5]}, "latlng": {"data": [None, [1, None]]}, "altitude": None}
+    records = [{**record, "_streams": fine}, {**record, "_streams": {**fine, name: {"data": data}}}]
+    valid, rejects = split(nz.normalize_activities(texts(spark, records), now()))
+    assert len(valid) == 1 and [r["error"] for r in rejects] == [f"malformed activity record 5: bad {name} stream"]
+
+
 def test_records_are_parsed_once(spark):
     shaped = nz.normalize_workouts(texts(spark, [workout(1)]), "app")
     plan = nz.valid_rows(shaped)._jdf.queryExecution().optimizedPlan().toString()
