@@ -4,13 +4,15 @@ A text is read as its tokens: the words, each closed by a space, then one end sy
 contexts of up to `ORDER` bytes inside a word and its opening space, with the counts of the symbols that
 followed in the training texts. A symbol's probability is looked up in the longest known context; each
 escape to a shorter one costs the escape estimate, and symbols that the longer context has are left out
-of the shorter one (symbol exclusion). Because contexts end at the word's opening space, a word's
-code length is the same wherever it stands, so each distinct word is coded once.
-
-Counts come from all training texts. The trie keeps what occurs at least once per 2^NODE_BITS symbols,
-which bounds its size whatever the input's; what it leaves out is paid for by the escapes, so that
-probabilities still add up to one. Frequent words are sent to all executors, again those above a share
-of all tokens, so that their number is bounded; the others are joined by a shuffle.
+of the shorter one (symbol exclusion).
+
+Counts come from all training texts and every counted node is kept. A symbol and the bytes its contexts
+may hold are a window; the nodes of all orders are sums over windows. Windows are dealt into buckets by
+the last `LOW + 1` bytes of the context, so that a bucket has all nodes of its longer contexts. The nodes
+of the orders up to `LOW` are bounded by the alphabet of bytes and are sent to all. The number of buckets
+grows with the input. Texts are coded by the bucket: what they need of it travels there in blocks, only
+sums per text come back. Frequent windows and words are sent to all executors, again those above a share
+of all, so that their number is bounded.
 """
 
 from __future__ import annotations
@@ -19,21 +21,32 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, cut, slices
+from activity_engine.llm.common import Shared, cut, mix64, slices
 
 ORDER = 6
-NODE_BITS = 20
 HEAD_BITS = 20
+# The same for windows, which are looked up in sorted arrays.
+WINDOW_HEAD_BITS = 22
+# Nodes up to this order are sent to all tasks.
+LOW = 2
 # Words counted in a task before the counts are passed on.
 COUNTER_WORDS = 300_000
-# Words that are coded together.
+# Windows counted in a task before the counts are passed on, and those of one row.
+COUNTER_WINDOWS = 1 << 21
+ROW_WINDOWS = 1 << 14
+# Words that travel in one row at most.
 WORDS_TOGETHER = 20_000
+# Bytes of text whose windows are made together; longer texts are read in pieces.
+PIECE_BYTES = 1 << 20
+# Tokens for each bucket of the model, and the least number of buckets.
+BUCKET_TOKENS, BUCKETS = 1 << 23, 48
 
 END = b"\n"  # no word has a line break
 _SPACE = 0x20
@@ -120,21 +133,25 @@ class Trie:
     def log10(self, tokens: list[bytes]) -> np.ndarray:
         """log10 probability of each token, its closing space included."""
         p = places(tokens)
-        n = len(p.depth)
+        return np.bincount(p.token, self.symbols_log10(p.codes, p.depth), len(tokens))
+
+    def symbols_log10(self, codes: list[np.ndarray], depth: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol; see `Places` for `codes` and `depth`."""
+        n = len(depth)
         out, mass, kinds = np.zeros(n), np.zeros(n), np.zeros(n)  # mass and kinds: what is excluded
         left = np.arange(n)
         for k in range(ORDER, -1, -1):
             if not len(self.nodes[k]):
                 continue
-            here = left[p.depth[left] >= k]
-            context, known = _find(self.contexts[k], p.codes[k][here] >> _CODE)
+            here = left[depth[left] >= k]
+            context, known = _find(self.contexts[k], codes[k][here] >> _CODE)
             here, context = here[known], context[known]
             if not len(here):
                 continue
             # Half a count of each kind goes to the escape, beside what the trie has left out.
             room = self.total[k][context] - mass[here]
             escape = room - (self.kept[k][context] - mass[here]) + 0.5 * (self.kinds[k][context] - kinds[here])
-            node, hit = _find(self.nodes[k], p.codes[k][here])
+            node, hit = _find(self.nodes[k], codes[k][here])
             useful = (room > 1e-9) & (hit | (escape > 1e-9))
             share = np.where(hit, self.counts[k][node] - 0.5, escape)
             out[here[useful]] += np.log10(share[useful] / room[useful])
@@ -143,7 +160,7 @@ class Trie:
             done[here[hit]] = True
             left = left[~done[left]]
         out[left] -= np.log10(np.maximum(1.0, 256.0 - kinds[left]))
-        return np.bincount(p.token, out, len(tokens))
+        return out
 
 
 def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,92 +203,291 @@ def token_counts(documents: DataFrame, learned: Column, text: Column) -> DataFra
     return cut(counted.groupBy("token").agg(F.sum("trained").alias("trained"), F.sum("n").alias("n")))
 
 
-def train(counts: DataFrame, node_bits: int = NODE_BITS) -> Trie:
-    """The trie of the training tokens. Kept nodes come to the driver; their number is bounded."""
+def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, bytes, int]]]:
+    """Groups of (text, bytes, how many of them only stand in front): tokens with their closing spaces."""
+    group, size = [], 0
+    for row, text in enumerate(texts):
+        words = tokens_of(text)
+        line = b" " + b" ".join(words)
+        for start in range(0, len(line), PIECE_BYTES):
+            front = min(ORDER, start) or 1
+            piece = line[max(0, start - front) : start + PIECE_BYTES]
+            group.append((row, piece, front))
+            size += len(piece)
+            if size >= PIECE_BYTES:
+                yield group
+                group, size = [], 0
+    if group:
+        yield group
+
+
+def windows(group: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The window of each symbol, as depth << 56 | bytes, and its text."""
+    raw = np.frombuffer(b"".join(piece for _, piece, _ in group), dtype=np.uint8)
+    sizes = np.array([len(piece) for _, piece, _ in group])
+    at = np.arange(len(raw))
+    place = at - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    last = np.maximum.accumulate(np.where(raw == _SPACE, at, 0))
+    depth = np.minimum(np.minimum(place, at - np.concatenate([[0], last[:-1]])), ORDER)
+    wide = raw.astype(np.uint64)
+    codes = wide.copy()
+    for k in range(1, ORDER + 1):
+        codes[k:] |= wide[:-k] << np.uint64(8 * k)
+    symbol = np.flatnonzero(place >= np.repeat([front for _, _, front in group], sizes))
+    depth = depth[symbol].astype(np.uint64)
+    keys = (codes[symbol] & _MASKS[depth]) | (depth << np.uint64(56))
+    return keys, np.repeat([row for row, _, _ in group], sizes)[symbol]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, sums = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in slices(batches, WORDS_TOGETHER):
-            more = node_counts(batch.column(0).to_pylist(), batch.column(1).to_numpy().astype(np.float64))
-            keys, inverse = np.unique(np.concatenate([keys, more[0]]), return_inverse=True)
-            sums = np.bincount(inverse, np.concatenate([sums, more[1]]), len(keys)).astype(np.int64)
-            if len(keys) > 1 << 21:
-                yield _node_rows(keys, sums)
-                keys, sums = keys[:0], sums[:0]
-        yield _node_rows(keys, sums)
 
-    rows = counts.where("trained > 0").select("token", "trained").mapInArrow(run, "node bigint, n bigint")
-    nodes = cut(rows.groupBy("node").agg(F.sum("n").alias("n")))
-    symbols = nodes.where(F.shiftrightunsigned("node", 56) == 0).agg(F.sum("n")).first()[0] or 0
-    tokens = counts.agg(F.sum("trained")).first()[0] or 0
-    kept = nodes.where(F.col("n") >= symbols / (1 << node_bits)).toArrow()
-    return Trie(kept.column("node").to_numpy().view(np.uint64), kept.column("n").to_numpy(), symbols, tokens)
+_MASKS = np.array([(1 << (8 * (k + 1))) - 1 for k in range(ORDER + 1)], dtype=np.uint64)
 
 
-def _node_rows(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"node": pa.array(keys.view(np.int64)), "n": pa.array(sums)})
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """By the last LOW + 1 bytes of the context; shorter contexts need the low orders only."""
+    context = (keys & _MASKS[ORDER]) >> _CODE
+    return (mix64(context & _MASKS[LOW]) % np.uint64(buckets)).astype(np.int64)
 
 
-def token_scores(counts: DataFrame, trie: Trie, base: Column) -> DataFrame:
-    """`counts` with each token's base score and its log10 probability under the trie."""
-    shared = Shared(trie)
+def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket with its places, in order."""
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, first[1:]), strict=True) if len(found) else ()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.get()
-        for batch in slices(batches, WORDS_TOGETHER):
-            logs = own.log10(batch.column(0).to_pylist()) if batch.num_rows else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(logs)], [*batch.schema.names, "log"])
 
-    rows = counts.select("token", "trained", "n", base.alias("base"))
-    return cut(rows.mapInArrow(run, "token binary, trained bigint, n bigint, base double, log double"))
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, inverse = np.unique(np.concatenate([*keys, np.zeros(0, np.uint64)]), return_inverse=True)
+    return found, np.bincount(inverse, np.concatenate([*counts, np.zeros(0)]), len(found))
 
 
-_TEXT_ROW = "struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,log:double>"
+def window_nodes(keys: np.ndarray, counts: np.ndarray, orders: range) -> tuple[np.ndarray, np.ndarray]:
+    """The trie nodes of some orders that the windows make up, as `node_counts` gives them."""
+    depth = keys >> np.uint64(56)
+    out = [(np.zeros(0, np.uint64), np.zeros(0))]
+    for k in orders:
+        fits = depth >= np.uint64(k)
+        nodes, sums = _merged([keys[fits] & _MASKS[k]], [counts[fits]])
+        out.append((nodes | np.uint64(k << 56), sums))
+    return np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
+
+
+def _coded(trie: Trie, keys: np.ndarray) -> np.ndarray:
+    return trie.symbols_log10([keys & mask for mask in _MASKS], (keys >> np.uint64(56)).astype(np.int64))
+
+
+# A row of the model (kind 0), of what texts need from a bucket (1), or of a text itself (2).
 _TEXT_TYPE = pa.struct(
     [
         ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
         ("base", pa.float64()), ("log", pa.float64()),
     ]
 )
+_TEXT_ROW = "struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,log:double>"
+_BLOCK_TYPE = pa.schema(
+    [
+        ("bucket", pa.int32()), ("kind", pa.int32()), ("windows", pa.binary()), ("counts", pa.binary()),
+        ("tokens", pa.list_(pa.binary())), ("k", pa.list_(pa.int64())), ("base", pa.list_(pa.float64())),
+        ("owners", pa.list_(pa.int64())), ("runs", pa.list_(pa.int64())), ("key", pa.int64()), ("text", _TEXT_TYPE),
+    ]
+)
+_BLOCK_ROW = (
+    "bucket int, kind int, windows binary, counts binary, tokens array<binary>, k array<bigint>, base array<double>, "
+    f"owners array<bigint>, runs array<bigint>, key bigint, text {_TEXT_ROW}"
+)
+
+
+def _blocks(rows: list[dict]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(rows, _BLOCK_TYPE)
+
+
+def _window_blocks(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    for bucket, places_ in _by_bucket(_bucket(keys, buckets)):
+        for start in range(0, len(places_), ROW_WINDOWS):
+            at = places_[start : start + ROW_WINDOWS]
+            yield _blocks([{"bucket": bucket, "kind": 0, "windows": keys[at].tobytes(), "counts": counts[at].tobytes()}])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.ndarray], list[np.ndarray]]]:
+    """The window blocks of each bucket; rows are in order of buckets."""
+    last, keys, counts = None, [], []
+    for batch in slices(batches, 64):
+        for bucket, more, n in zip(*(batch.column(c).to_pylist() for c in ("bucket", "windows", "counts")), strict=True):
+            if bucket != last and keys:
+                yield last, keys, counts
+                keys, counts = [], []
+            last = bucket
+            keys.append(np.frombuffer(more, np.uint64)), counts.append(np.frombuffer(n, np.float64))
+    if keys:
+        yield last, keys, counts
+
+
+def _dealt(rows: DataFrame, *then: str) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket", *then)
+
+
+def window_model(documents: DataFrame, learned: Column, text: Column, buckets: int) -> DataFrame:
+    """The windows of the training texts with their counts, as blocks of one bucket; no window is left out."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, new = [], [], 0
+        for batch in slices(batches):
+            for group in _pieces(batch.column(0).to_pylist()):
+                found, n = np.unique(windows(group)[0], return_counts=True)
+                keys.append(found), counts.append(n.astype(np.float64))
+                new += len(found)
+                if new > COUNTER_WINDOWS:
+                    keys, counts = ([x] for x in _merged(keys, counts))
+                    new = 0
+                    if len(keys[0]) > COUNTER_WINDOWS:
+                        yield from _window_blocks(keys[0], counts[0], buckets)
+                        keys, counts = [], []
+        yield from _window_blocks(*_merged(keys, counts), buckets)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, keys, counts in _gathered(batches):
+            yield from _window_blocks(*_merged(keys, counts), buckets)
+
+    rows = documents.where(F.coalesce(learned, F.lit(False))).select(text.alias("text"))
+    counted = rows.mapInArrow(count, _BLOCK_ROW).select("bucket", "windows", "counts")
+    return cut(_dealt(counted).mapInArrow(merge, _BLOCK_ROW).select("bucket", "windows", "counts"))
+
+
+def low_nodes(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of the orders up to LOW; the bytes' alphabet bounds their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, keys, counts in _gathered(batches):
+            nodes, sums = window_nodes(*_merged(keys, counts), range(LOW + 1))
+            yield pa.RecordBatch.from_pydict({"node": pa.array(nodes.view(np.int64)), "n": pa.array(sums)})
+
+    nodes = model.mapInArrow(run, "node bigint, n double").groupBy("node").agg(F.sum("n").alias("n")).toArrow()
+    return nodes.column("node").to_numpy().view(np.uint64), nodes.column("n").to_numpy()
+
+
+def _bucket_trie(low: tuple[np.ndarray, np.ndarray], keys: list[np.ndarray], counts: list[np.ndarray]) -> Trie:
+    nodes, sums = window_nodes(*_merged(keys, counts), range(LOW + 1, ORDER + 1))
+    return Trie(np.concatenate([low[0], nodes]), np.concatenate([low[1], sums]))
+
+
+def head_windows(model: DataFrame, low: Shared, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The windows seen at least `least` times, sorted, and the log10 of their symbols."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = low.get()
+        for _, keys, counts in _gathered(batches):
+            found, n = _merged(keys, counts)
+            found, trie = found[n >= least], _bucket_trie(own, keys, counts)
+            yield pa.RecordBatch.from_pydict({"window": pa.array(found.view(np.int64)), "log": pa.array(_coded(trie, found))})
+
+    rows = _dealt(model).mapInArrow(run, "window bigint, log double").toArrow()
+    keys, logs = rows.column("window").to_numpy().view(np.uint64), rows.column("log").to_numpy()
+    order = np.argsort(keys)
+    return keys[order], logs[order]
+
+
+def _token_blocks(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, WORDS_TOGETHER):
+            tokens, known, base = (batch.column(k).to_pylist() for k in range(3))
+            bucket = np.array([crc32(t) % buckets for t in tokens], dtype=np.int64)
+            yield _blocks(
+                [
+                    {"bucket": b, "kind": 0, "tokens": [tokens[i] for i in at], "k": [known[i] for i in at], "base": [base[i] for i in at]}
+                    for b, at in _by_bucket(bucket)
+                ]
+            )
+
+    return run
 
 
-def _looked_up(head: Shared):
-    """For each text one row with the sums over its frequent tokens, and a row for each other token."""
+def _needs(words: Shared, head: Shared, buckets: int):
+    """For each text one row with the sums over what is frequent; what else it needs, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, known, base, log = head.get()
+        tokens, known, base = words.get()
         place = {t: i for i, t in enumerate(tokens)}
+        often, logs = head.get()
         for batch in slices(batches):
             keys, ids, held, texts = (batch.column(k).to_pylist() for k in range(4))
-            owner: list[int] = []
-            rest: list[bytes] = []
-            count: list[int] = []
-            sums = []
+            key = np.array(keys, dtype=np.int64)
+            log = np.zeros(len(texts))
+            for group in _pieces(texts):
+                found, owner = windows(group)
+                at, hit = _find(often, found)
+                log += np.bincount(owner[hit], logs[at[hit]], len(texts))
+                found, owner = found[~hit], owner[~hit]
+                rows = []
+                for bucket, some in _by_bucket(_bucket(found, buckets)):
+                    first = np.flatnonzero(np.diff(owner[some], prepend=-1))
+                    rows.append(
+                        {
+                            "bucket": bucket, "kind": 1, "windows": found[some].tobytes(),
+                            "owners": key[owner[some][first]], "runs": np.diff(first, append=len(some)),
+                        }
+                    )
+                yield _blocks(rows)
+            rows, wanted, count, of = [], [], [], []
             for row, text in enumerate(texts):
-                words = tokens_of(text)
-                at = np.fromiter(map(place.get, words, repeat(-1)), np.int64, len(words))
-                unknown = np.flatnonzero(at < 0)
-                at = at[at >= 0]
-                sums.append(
-                    {
-                        "doc_id": ids[row], "held_out": held[row], "n_tokens": len(words),
-                        "n_known": int(known[at].sum()), "base": float(base[at].sum()), "log": float(log[at].sum()),
-                    }
-                )
-                others = Counter([words[i] for i in unknown.tolist()])
-                owner += [row] * len(others)
-                rest += others.keys()
+                own = tokens_of(text)
+                at = np.fromiter(map(place.get, own, repeat(-1)), np.int64, len(own))
+                others = Counter([own[i] for i in np.flatnonzero(at < 0).tolist()])
+                wanted += others.keys()
                 count += others.values()
-            # A text's own row has a space in front of its key in place of a token, which no token has.
-            own = [b" %d" % k for k in keys]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "key": pa.array(keys + [keys[r] for r in owner], pa.int64()),
-                    "token": pa.array(own + rest, pa.binary()),
-                    "k": pa.array([0] * len(keys) + count, pa.int64()),
-                    "text": pa.array(sums + [None] * len(rest), _TEXT_TYPE),
-                }
-            )
+                of += [keys[row]] * len(others)
+                at = at[at >= 0]
+                sums = {
+                    "doc_id": ids[row], "held_out": held[row], "n_tokens": len(own),
+                    "n_known": int(known[at].sum()), "base": float(base[at].sum()), "log": float(log[row]),
+                }
+                rows.append({"bucket": keys[row] % buckets, "kind": 2, "key": keys[row], "text": sums})
+            for bucket, some in _by_bucket(np.array([crc32(t) % buckets for t in wanted], dtype=np.int64)):
+                rows.append(
+                    {"bucket": bucket, "kind": 1, "tokens": [wanted[i] for i in some], "k": [count[i] for i in some], "owners": [of[i] for i in some]}
+                )
+            yield _blocks(rows)
+
+    return run
+
+
+def _settled(low: Shared):
+    """Rows of each bucket, the model's first, to sums per text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, last = low.get(), None
+        known: dict[bytes, tuple[int, float]] = {}
+        keys: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        trie = None
+        for batch in slices(batches, 64):
+            out = []
+            for row in batch.to_pylist():
+                if row["bucket"] != last:
+                    last, known, keys, counts, trie = row["bucket"], {}, [], [], None
+                if row["kind"] == 2:
+                    out.append({"key": row["key"], **row["text"]})
+                elif row["kind"] == 0 and row["tokens"] is None:
+                    keys.append(np.frombuffer(row["windows"], np.uint64))
+                    counts.append(np.frombuffer(row["counts"], np.float64))
+                elif row["kind"] == 0:
+                    known.update(zip(row["tokens"], zip(row["k"], row["base"], strict=True), strict=True))
+                elif row["tokens"] is None:
+                    if trie is None:
+                        trie = _bucket_trie(own, keys, counts)
+                        keys, counts = [], []
+                    # A window that comes often in a block is coded once.
+                    found, inverse = np.unique(np.frombuffer(row["windows"], np.uint64), return_inverse=True)
+                    runs = np.array(row["runs"])
+                    logs = np.add.reduceat(_coded(trie, found)[inverse], np.cumsum(runs) - runs)
+                    out += [{"key": k, "log": v} for k, v in zip(row["owners"], logs.tolist(), strict=True)]
+                else:
+                    sums: dict[int, list] = {}
+                    for token, k, owner in zip(row["tokens"], row["k"], row["owners"], strict=True):
+                        seen, base = known[token]
+                        so_far = sums.setdefault(owner, [0, 0.0])
+                        so_far[0] += k * seen
+                        so_far[1] += k * base
+                    out += [{"key": key, "n_known": n, "base": b} for key, (n, b) in sums.items()]
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.int64()), *_TEXT_TYPE]))
 
     return run
 
@@ -293,30 +509,35 @@ def score_digest(
     counts = token_counts(documents, learned, F.col(text_col))
     total, kinds, everything = counts.agg(F.sum("trained"), F.count_if(F.col("trained") > 0), F.sum("n")).first()
     total, kinds, everything = total or 0, kinds or 0, everything or 0
+    buckets = max(BUCKETS, everything // BUCKET_TOKENS)
+    model = window_model(documents, learned, F.col(text_col), buckets)
+    nodes = low_nodes(model)
+    symbols = float(nodes[1][nodes[0] >> np.uint64(56) == 0].sum())
+    low = Shared(nodes)
+    head = Shared(head_windows(model, low, symbols / (1 << min(WINDOW_HEAD_BITS, head_bits + 2))))
     base = F.log10((F.col("trained") + 1) / F.lit(float(total + kinds + 1)))
-    scores = token_scores(counts, train(counts), base)
     often = F.col("n") >= everything / (1 << head_bits)
-    top = scores.where(often).select("token", F.col("trained") > 0, "base", "log").toArrow()
-    arrays = [top.column(k).to_numpy() for k in (1, 2, 3)]
-    head = Shared((top.column(0).to_pylist(), *arrays))
+    scores = counts.select("token", (F.col("trained") > 0).cast("bigint").alias("known"), base.alias("base"), often.alias("often"))
+    top = scores.where("often").toArrow()
+    words = Shared((top.column(0).to_pylist(), top.column(1).to_numpy(), top.column(2).to_numpy()))
+    others = scores.where(~F.col("often")).select("token", "known", "base").mapInArrow(_token_blocks(buckets), _BLOCK_ROW)
     texts = documents.select(
         F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("bigint").alias("doc_id"),
         held_out.alias("held_out"), F.col(text_col).alias("text"),
     )
-    rows = texts.mapInArrow(_looked_up(head), f"key bigint, token binary, k bigint, text {_TEXT_ROW}")
-    others = scores.where(~often).select("token", (F.col("trained") > 0).cast("bigint").alias("known"), "base", "log")
-    joined = rows.join(others, "token", "left")
-
-    def summed(name: str, column: str) -> Column:
-        return F.sum(F.coalesce(F.col("text")[name], F.col("k") * F.col(column), F.lit(0)))
-
-    found = joined.groupBy("key").agg(
-        F.max("text.doc_id").alias("doc_id"),
-        F.max("text.held_out").alias("held_out"),
-        F.max("text.n_tokens").alias("n_tokens"),
-        summed("n_known", "known").alias("n_known"),
+    needs = texts.mapInArrow(_needs(words, head, buckets), _BLOCK_ROW)
+    of_model = model.withColumn("kind", F.lit(0))
+    rows = needs.unionByName(others).unionByName(of_model, allowMissingColumns=True)
+    sums = _dealt(rows, "kind").mapInArrow(
+        _settled(low), "key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, log double"
+    )
+    found = sums.groupBy("key").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("held_out").alias("held_out"),
+        F.max("n_tokens").alias("n_tokens"),
+        F.sum("n_known").alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
-        summed("base", "base").alias("base_score"),
-        summed("log", "log").alias("score"),
+        F.sum("base").alias("base_score"),
+        F.sum("log").alias("score"),
     )
     return found.drop("key")

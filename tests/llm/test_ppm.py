@@ -142,3 +142,19 @@ def test_odd_rows(odd):
     assert by[1].n_tokens == by[2].n_tokens == by[3].n_tokens == 1 and by[5].n_tokens == 360_001
     assert all(r.score < 0 and r.base_score < 0 for r in found)
     assert ppm.score_digest(odd.where("false"), F.lit(True), F.lit(False)).count() == 0
+
+
+def test_no_counted_node_is_left_out(documents):
+    """Beyond 2^20 training symbols a context seen once still counts."""
+    rng = random.Random(5)
+    common = ["the", "of", "and", "to", "in"]
+    texts = [" ".join(rng.choices(common, k=6000)) + f" qx{i}zyv" for i in range(64)]
+    rows = list(enumerate(texts))
+    learned = F.col("doc_id") < 63
+    found = {r.doc_id: r for r in ppm.score_digest(documents(rows), learned, ~learned).collect()}
+    counts = counts_of(texts[:63])
+    assert sum((len(w) + (w != b"\n")) * n for w, n in counts.items()) > 1 << 20
+    trie = trie_of(counts)
+    for doc in (0, 40, 63):
+        words = texts[doc].encode().split() + [b"\n"]
+        assert found[doc].score == pytest.approx(float(trie.log10(words).sum()), rel=1e-9)
