@@ -1,8 +1,9 @@
 """Prediction by partial matching over bytes, and a word unigram as its base.
 
 A text is read as its tokens: the words, each closed by a space, then one end symbol. The trie holds the
-contexts of up to `ORDER` bytes inside a word and its opening space, with the counts of the symbols that
-followed in the training texts. A symbol's probability is looked up in the longest known context; each
+contexts of up to `ORDER` bytes, with the counts of the symbols that followed in the training texts.
+Contexts run over spaces through the whole text (`through`), or else stay inside a word and its opening
+space; a text starts behind a space that is not coded. A symbol's probability is looked up in the longest known context; each
 escape to a shorter one costs the escape estimate, and symbols that the longer context has are left out
 of the shorter one (symbol exclusion).
 
@@ -221,14 +222,16 @@ def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, bytes, int]]]:
         yield group
 
 
-def windows(group: list[tuple[int, bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+def windows(group: list[tuple[int, bytes, int]], through: bool) -> tuple[np.ndarray, np.ndarray]:
     """The window of each symbol, as depth << 56 | bytes, and its text."""
     raw = np.frombuffer(b"".join(piece for _, piece, _ in group), dtype=np.uint8)
     sizes = np.array([len(piece) for _, piece, _ in group])
     at = np.arange(len(raw))
     place = at - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    last = np.maximum.accumulate(np.where(raw == _SPACE, at, 0))
-    depth = np.minimum(np.minimum(place, at - np.concatenate([[0], last[:-1]])), ORDER)
+    depth = np.minimum(place, ORDER)
+    if not through:
+        last = np.maximum.accumulate(np.where(raw == _SPACE, at, 0))
+        depth = np.minimum(depth, at - np.concatenate([[0], last[:-1]]))
     wide = raw.astype(np.uint64)
     codes = wide.copy()
     for k in range(1, ORDER + 1):
@@ -325,14 +328,14 @@ def _dealt(rows: DataFrame, *then: str) -> DataFrame:
     return rows.repartition("bucket").sortWithinPartitions("bucket", *then)
 
 
-def window_model(documents: DataFrame, learned: Column, text: Column, buckets: int) -> DataFrame:
+def window_model(documents: DataFrame, learned: Column, text: Column, buckets: int, through: bool) -> DataFrame:
     """The windows of the training texts with their counts, as blocks of one bucket; no window is left out."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, new = [], [], 0
         for batch in slices(batches):
             for group in _pieces(batch.column(0).to_pylist()):
-                found, n = np.unique(windows(group)[0], return_counts=True)
+                found, n = np.unique(windows(group, through)[0], return_counts=True)
                 keys.append(found), counts.append(n.astype(np.float64))
                 new += len(found)
                 if new > COUNTER_WINDOWS:
@@ -400,7 +403,7 @@ def _token_blocks(buckets: int):
     return run
 
 
-def _needs(words: Shared, head: Shared, buckets: int):
+def _needs(words: Shared, head: Shared, buckets: int, through: bool):
     """For each text one row with the sums over what is frequent; what else it needs, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,7 +415,7 @@ def _needs(words: Shared, head: Shared, buckets: int):
             key = np.array(keys, dtype=np.int64)
             log = np.zeros(len(texts))
             for group in _pieces(texts):
-                found, owner = windows(group)
+                found, owner = windows(group, through)
                 at, hit = _find(often, found)
                 log += np.bincount(owner[hit], logs[at[hit]], len(texts))
                 found, owner = found[~hit], owner[~hit]
@@ -499,10 +502,11 @@ def score_digest(
     id_col: str = "doc_id",
     text_col: str = "text",
     head_bits: int = HEAD_BITS,
+    through: bool = False,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row.
 
-    `learned` says which rows the counts come from. Null and empty texts consist of the end alone.
+    `learned` says which rows the counts come from, `through` whether contexts run over spaces. Null and empty texts consist of the end alone.
     Without any training rows N, V and all counts are 0 and every symbol is equally likely. Repeated
     rows and ids are scored each for itself; further columns are not looked at.
     """
@@ -510,7 +514,7 @@ def score_digest(
     total, kinds, everything = counts.agg(F.sum("trained"), F.count_if(F.col("trained") > 0), F.sum("n")).first()
     total, kinds, everything = total or 0, kinds or 0, everything or 0
     buckets = max(BUCKETS, everything // BUCKET_TOKENS)
-    model = window_model(documents, learned, F.col(text_col), buckets)
+    model = window_model(documents, learned, F.col(text_col), buckets, through)
     nodes = low_nodes(model)
     symbols = float(nodes[1][nodes[0] >> np.uint64(56) == 0].sum())
     low = Shared(nodes)
@@ -525,7 +529,7 @@ def score_digest(
         F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("bigint").alias("doc_id"),
         held_out.alias("held_out"), F.col(text_col).alias("text"),
     )
-    needs = texts.mapInArrow(_needs(words, head, buckets), _BLOCK_ROW)
+    needs = texts.mapInArrow(_needs(words, head, buckets, through), _BLOCK_ROW)
     of_model = model.withColumn("kind", F.lit(0))
     rows = needs.unionByName(others).unionByName(of_model, allowMissingColumns=True)
     sums = _dealt(rows, "kind").mapInArrow(

@@ -50,7 +50,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ppm.score_digest(table(spark, sf_dir, "documents"), bucket("doc_id", 7) != 2, _held_out(7, 2))
+    return ppm.score_digest(table(spark, sf_dir, "documents"), bucket("doc_id", 7) != 2, _held_out(7, 2), through=True)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -158,3 +158,59 @@ def test_no_counted_node_is_left_out(documents):
     for doc in (0, 40, 63):
         words = texts[doc].encode().split() + [b"\n"]
         assert found[doc].score == pytest.approx(float(trie.log10(words).sum()), rel=1e-9)
+
+
+def stream(text):
+    """A whole text as it is coded; its first space is not."""
+    return b" " + b" ".join((text or "").encode().lower().split() + [b"\n"])
+
+
+def slow_through(texts, text):
+    """From the definition, with contexts that run through whole texts."""
+    table: dict[bytes, Counter] = {}
+    for line in map(stream, texts):
+        for i in range(1, len(line)):
+            for k in range(min(ppm.ORDER, i) + 1):
+                table.setdefault(line[i - k : i], Counter())[line[i]] += 1
+    line, out = stream(text), 0.0
+    for i in range(1, len(line)):
+        excluded: set = set()
+        for k in range(min(ppm.ORDER, i), -1, -1):
+            here = table.get(line[i - k : i])
+            if not here:
+                continue
+            free = {s: n for s, n in here.items() if s not in excluded}
+            room = sum(free.values())
+            if line[i] in free:
+                out += math.log10((free[line[i]] - 0.5) / room)
+                break
+            if free:
+                out += math.log10(0.5 * len(free) / room)
+            excluded = set(here)
+        else:
+            out -= math.log10(256 - len(excluded))
+    return out
+
+
+def test_contexts_run_over_spaces(documents):
+    rng = random.Random(3)
+    phrases = ["the cat sat on a mat", "né dans la rue", "one two three four", "a b c d e f g"]
+    texts = [" ".join(rng.choices(phrases, k=rng.randrange(1, 9))) for _ in range(60)]
+    shuffled = texts[0].split() + phrases[0].split() * 3
+    texts += [" ".join([texts[0], *[phrases[0]] * 3]), " ".join(rng.sample(shuffled, len(shuffled))), None, "", "zzz the"]
+    docs = documents(list(enumerate(texts)))
+    found = {r.doc_id: r for r in ppm.score_digest(docs, F.col("doc_id") < 50, F.lit(False), head_bits=4, through=True).collect()}
+    for doc, text in enumerate(texts):
+        assert found[doc].score == pytest.approx(slow_through(texts[:50], text), rel=1e-9), text
+    assert found[60].score > found[61].score + 1 and found[60].base_score == pytest.approx(found[61].base_score)
+
+
+@pytest.mark.parametrize("through", [True, False])
+def test_pieces_of_long_texts_have_the_same_windows(monkeypatch, through):
+    texts = ["the theme of them all " * 9, None, "né " * 30 + "x" * 50, "a"]
+    whole = [ppm.windows(g, through) for g in ppm._pieces(texts)]
+    monkeypatch.setattr(ppm, "PIECE_BYTES", 17)
+    cut = [ppm.windows(g, through) for g in ppm._pieces(texts)]
+    assert len(cut) > 10 and len(whole) == 1
+    for k in (0, 1):
+        assert np.array_equal(whole[0][k], np.concatenate([c[k] for c in cut]))
