@@ -9,7 +9,8 @@ A shingle that many near copies share does not make all pairs of them. First eve
 with the shingle's leader, the node with the fewest rarer shingles (an unedited copy has the fewest).
 After verification, pairs are made only between nodes that are not yet in one component, around the
 nodes outside the shingle's largest component. A link within a component changes nothing, so the
-components are exact.
+components are exact. All links lie inside components: to have every one of them, a component's nodes
+are dealt into blocks, and each pair of blocks tests all its pairs on the whole shingle sets.
 
 Rarity is the shingle's count in a table of fixed size, filled from all rows. Shingles that share a
 place count together: that can only change the order, which any fixed order would serve.
@@ -36,6 +37,8 @@ SKETCH_BITS = 20
 FILTER_BITS = 25
 # So has the filter that picks the prefix shingles that two texts may have.
 TOKEN_BITS = 26
+# Nodes and shingles of one block of a component, about.
+BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 20
 # Ranges whose counts travel together, and groups of tasks that are summed up first.
 _COUNTS, _SHARES = 4096, 64
 _BLOCK = 4096 * 8  # bits of one of Spark's bitmaps
@@ -275,7 +278,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
 
 
-def links(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+def connections(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that have the same components as all links together."""
     members = _members(placed)
     leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node")).alias("l"))
@@ -297,14 +300,98 @@ def links(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, perce
     return cut(found.unionByName(_verified(fresh, _texts(documents, _ends(fresh), n), n, percent)))
 
 
+def _cells(documents: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
+    """(root, i, j, side, node, copies, found) of `nodes` (node, root, size, copies): the block pairs i <= j.
+
+    Side 0 of a cell is block i and side 1 block j; a cell of one block has side 0 only.
+    """
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    large = nodes.groupBy("root").agg(F.count(F.lit(1)).alias("members"), parts.alias("parts")).where("members > 1")
+    rows = cut(nodes.join(large, "root"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in slices(batches):
+            found = [shingles(w, n).tobytes() for w in hasher.texts(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["node", "found"])
+
+    sets = _texts(documents, rows, n).mapInArrow(run, "node binary, found binary")
+    block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    dealt = rows.join(sets, "node").withColumn("block", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.select(
+        "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "node", "copies", "found",
+    )
+
+
+def _linked(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a cell with the later rows that it is linked with, all pairs of the cell being tested."""
+    sets = [np.frombuffer(found, np.uint64) for found in table.column("found").to_pylist()]
+    side = table.column("side").to_numpy()
+    sizes = np.array([len(s) for s in sets])
+    kinds, spots = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.cumsum(sizes) - sizes
+    crossed = side.any()
+    first = int((side == 0).sum())  # rows are in order of sides
+    seen = np.zeros(len(kinds), dtype=np.int64)
+    for k in range(first):
+        after = first if crossed else k + 1
+        if after == len(sets):
+            break
+        own = spots[start[k] : start[k] + sizes[k]]
+        seen[own] = 1
+        both = np.add.reduceat(seen[spots[start[after] :]], start[after:] - start[after])
+        seen[own] = 0
+        yield k, after + np.flatnonzero(100 * both >= percent * (sizes[k] + sizes[after:] - both))
+
+
+def _copied(placed: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, root, size, copies) of the nodes that are linked with others; copies are rows of equal sets."""
+    nodes = placed.where("node is not null").groupBy("node").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("copies"))
+    return nodes.join(groups, "node")
+
+
+def links(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
+    """All links (a, b) between different nodes, a being the greater."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("side")
+        names = table.column("node").to_pylist()
+        found = [(max(names[k], names[o]), min(names[k], names[o])) for k, others in _linked(table, percent) for o in others.tolist()]
+        return pa.table({"a": pa.array([p[0] for p in found], pa.binary()), "b": pa.array([p[1] for p in found], pa.binary())})
+
+    nodes = _copied(placed, components(connections(documents, placed, n, percent)))
+    return _cells(documents, nodes, n).groupBy("root", "i", "j").applyInArrow(run, "a binary, b binary")
+
+
+def link_counts(documents: DataFrame, placed: DataFrame, groups: DataFrame, n: int, percent: int) -> DataFrame:
+    """(node, linked): the rows of the other nodes that each node is linked with, summed up cell by cell."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("side")
+        copies = table.column("copies").to_numpy()
+        linked = np.zeros(len(copies), dtype=np.int64)
+        for k, others in _linked(table, percent):
+            linked[k] += copies[others].sum()
+            linked[others] += copies[k]
+        return pa.table({"node": table.column("node"), "linked": pa.array(linked)})
+
+    cells = _cells(documents, _copied(placed, groups), n).groupBy("root", "i", "j")
+    return cells.applyInArrow(run, "node binary, linked bigint").groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 def join_digest(
     documents: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     n: int = SHINGLE_WORDS,
     percent: int = PERCENT,
+    n_links: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row.
+    """(doc_id, n_shingles, component_id) of each row, and `n_links` where asked for.
+
+    `n_links` is the number of other rows that the row is linked with, copies each counted.
 
     Defined results: a text without words, and null, has no shingle, is linked with nothing and is its
     own component. Equal sets are always linked. The component's id is its smallest id that is not
@@ -313,11 +400,17 @@ def join_digest(
     """
     rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     placed = cut(_prefixes(rows, rarity(rows, n), n, percent))
-    groups = components(links(rows, placed, n, percent))
-    nodes = placed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
+    groups = components(connections(rows, placed, n, percent))
+    nodes = placed.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies"))
     rooted = nodes.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.join(lows, "root").select("node", "component_id")
+    of = rooted.join(lows, "root").select("node", "component_id", "copies")
+    if n_links:
+        of = of.join(link_counts(rows, placed, groups, n, percent), "node", "left")
     found = placed.select("doc_id", "node", "size").join(of, "node", "left")
     alone = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", F.col("size").alias("n_shingles"), alone.alias("component_id"))
+    columns = [F.col("doc_id"), F.col("size").alias("n_shingles"), alone.alias("component_id")]
+    if n_links:
+        others = F.coalesce(F.col("linked"), F.lit(0)) + F.col("copies") - 1
+        columns.append(F.coalesce(others, F.lit(0)).alias("n_links"))
+    return found.select(*columns)

@@ -43,6 +43,11 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_digest(table(spark, sf_dir, "documents"))
 
 
+def op5_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole join: `op5_jaccard` and the number of links of each document, which its SQL has not."""
+    return jaccard.join_digest(table(spark, sf_dir, "documents"), n_links=True)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.where(bucket("doc_id", 5) != 0))
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_language": op4_language,
     "op5_jaccard": op5_jaccard,
+    "op5_links": op5_links,
     "op6_toxicity": op6_toxicity,
     "op7_ppm": op7_ppm,
     "op8_quality": op8_quality,

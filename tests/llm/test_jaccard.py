@@ -125,3 +125,35 @@ def test_components_of_chains_and_stars(spark):
     expected = {(k, 0) for k in range(41)} | {(100 + k, 100) for k in range(30)} | {(300, 300), (301, 300)}
     assert {tuple(r) for r in found} == expected
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def brute_links(rows, n, percent):
+    sets = sets_of(rows, n)
+    return {
+        (i, j)
+        for i in range(len(rows))
+        for j in range(i)
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])
+    }
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_every_link_is_returned(documents, large):
+    """Links inside a component too, over several blocks; copies count each."""
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(120)]
+    rows = [(i, " ".join(edit(rng, base, rng.choice([0, 1, 2, 3, 5])))) for i in range(700 if large else 60)]
+    rows += [(5000 + i, t) for i, (_, t) in enumerate(corpus(6))] if not large else []
+    found = jaccard.join_digest(documents(rows), n_links=True).collect()
+    pairs = brute_links(rows, 3, 90)
+    counts = [0] * len(rows)
+    for i, j in pairs:
+        counts[i] += 1
+        counts[j] += 1
+    assert {r.doc_id: r.n_links for r in found} == {doc: counts[i] for i, (doc, _) in enumerate(rows)}
+    docs = documents(rows).select("doc_id", "text")
+    placed = jaccard._prefixes(docs, jaccard.rarity(docs), 3, 90)
+    sets = sets_of(rows, 3)
+    different = {frozenset((frozenset(sets[i]), frozenset(sets[j]))) for i, j in pairs if sets[i] != sets[j]}
+    returned = [(bytes(r.a), bytes(r.b)) for r in jaccard.links(docs, placed).collect()]
+    assert len(returned) == len(set(returned)) == len(different)
