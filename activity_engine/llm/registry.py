@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, search, toxicity
+from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, runs, search, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -78,6 +78,11 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", runs.digest(F.col("text"), F.col("doc_id")).alias("r")).select("doc_id", "r.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_search": op1_search,
     "op2_licenses": op2_licenses,
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pages": op9_pages,
     "op10_mixture": op10_mixture,
+    "op13_runs": op13_runs,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -103,6 +103,7 @@ COLUMNS = {
     "op8_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_pages": "page_id bigint, url string, text string, n_chars bigint",
     "op10_mixture": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op13_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
