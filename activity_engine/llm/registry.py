@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from activity_engine.llm import decontaminate, jaccard, language, licenses, mixture, pages, ppm, quality, runs, search, toxicity
+from activity_engine.llm import codes, decontaminate, fingerprints, jaccard, language, licenses, mixture, pages, ppm, quality, runs, search, toxicity
 from activity_engine.llm.common import bucket, table
 
 
@@ -78,6 +78,14 @@ def op10_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.code_digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_digest(table(spark, sf_dir, "documents"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", runs.digest(F.col("text"), F.col("doc_id")).alias("r")).select("doc_id", "r.*")
@@ -95,12 +103,76 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_pages": op9_pages,
     "op10_mixture": op10_mixture,
+    "op11_codes": op11_codes,
+    "op12_fingerprints": op12_fingerprints,
     "op13_runs": op13_runs,
 }
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-# The others have no SQL: fitted models, edits, alignments, a trie, and an order by Spark's own hash.
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Plain assigning and averaging, a table expression for each round."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} as (
+  select vec_id, p, min(struct_pack(d := d, e := e)) as best from (
+    select x.vec_id, x.p, b.e, cast(sum((x.x - b.x) * (x.x - b.x)) as bigint) as d
+    from parts x join book{r} b on b.p = x.p and b.i = x.i group by 1, 2, 3) group by 1, 2)""")
+        if r < rounds:
+            steps.append(f"""
+book{r + 1} as (
+  select b.p, b.e, b.i, coalesce(m.x, b.x) as x from book{r} b left join (
+    select x.p, n.best.e as e, x.i, cast(floor(sum(x.x) / count(*)) as bigint) as x
+    from parts x join near{r} n on n.vec_id = x.vec_id and n.p = x.p group by 1, 2, 3) m on m.p = b.p and m.e = b.e and m.i = b.i)""")
+    return f"""
+with kept as (
+  select vec_id, label, embedding as v, len(embedding) // 8 as w from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (
+  select vec_id, (k - 1) // w as p, (k - 1) % w as i, cast(floor(4096 * cast(v[k] as double)) as bigint) as x
+  from (select vec_id, v, w, unnest(range(1, len(v) + 1)) as k from kept)),
+book0 as (
+  select p, e, i, x from parts join (select vec_id, row_number() over (order by vec_id) - 1 as e from kept order by vec_id limit 16) using (vec_id)),
+{",".join(steps)},
+coded as (
+  select vec_id, string_agg(printf('%02x', best.e), '' order by p) as code, cast(sum(best.d) as bigint) as error from near{rounds} group by 1)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+  (select sha256(string_agg(cast(x as varchar), ',' order by p, e, i)) from book{rounds}) as codebooks_sha256
+from coded join kept using (vec_id)"""
+
+
+def _fingerprints_sql() -> str:
+    """Exact sets in place of peeling, and the cells by grouping."""
+    keys = f"list_distinct(list_transform(regexp_extract_all($, '{fingerprints.PARAGRAPH}'), lambda p: cast('0x' || substr(md5(p), 1, 15) as bigint)))"
+    cells = "".join(
+        f"""
+{name} as (
+  select doc_id, string_agg(printf('%x:%x:%x:%x', at, n, k, s), ';' order by at) as {name} from (
+    select doc_id, t * 8 + cast('0x' || substr(h, 9 + 8 * t, 8) as bigint) % 8 as at, count(*) as n, bit_xor(k) as k,
+      bit_xor(cast('0x' || substr(h, 1, 8) as bigint)) as s
+    from (select doc_id, k, md5(k || ':0') as h, unnest([0, 1, 2]) as t from (select doc_id, unnest({column}) as k from keyed))
+    group by 1, 2) group by 1),"""
+        for name, column in (("fingerprint", "own"), ("edited_fingerprint", "changed"))
+    )
+    return f"""
+with docs as (select doc_id, coalesce(text, '') as t, length(coalesce(text, '')) as n from documents),
+followed as (
+  select doc_id, t, n, coalesce(lead(t) over (order by doc_id desc), first_value(t) over (order by doc_id desc)) as after from docs),
+edits as (select *, substr(t, 1, n - n // 2) || substr(after, 1, n // 2) as edited from followed),
+keyed as (
+  select doc_id, n, sha256(edited) as sha, {keys.replace("$", "t")} as own, {keys.replace("$", "edited")} as changed,
+    {keys.replace("$", "after")} as next from edits),{cells}
+sizes as (
+  select *, len(own) as a, len(changed) as b, len(next) as c, len(list_intersect(own, changed)) as ab, len(list_intersect(own, next)) as ac from keyed)
+select doc_id, n as n_chars, sha as edited_sha256, coalesce(fingerprint, '') as fingerprint, coalesce(edited_fingerprint, '') as edited_fingerprint,
+  case when a + b = 0 then 1.0 else ab / (a + b - ab) end as near_edited,
+  case when a + c = 0 then 1.0 else ac / (a + c - ac) end as near_next
+from sizes left join fingerprint using (doc_id) left join edited_fingerprint using (doc_id)"""
+
+
+# The others have no SQL: fitted models, edits, alignments, a trie, an order by Spark's own hash, and all periods of a text.
 ORACLE_SQL: dict[str, str] = {
     "op1_search": f"""
 with words as (
@@ -116,6 +188,8 @@ scores as (
   where q.doc_id % 20 = 0 group by 1, 2)
 select query_id, rank, doc_id, round(score, 6) as score
 from (select *, cast(row_number() over (partition by query_id order by score desc, doc_id) as integer) as rank from scores) where rank <= 10""",
+    "op11_codes": _codes_sql(),
+    "op12_fingerprints": _fingerprints_sql(),
     "op5_jaccard": f"""
 with recursive texts as (
   select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),

@@ -103,6 +103,8 @@ COLUMNS = {
     "op8_quality": "doc_id bigint, held_out boolean, score double, predicted int",
     "op9_pages": "page_id bigint, url string, text string, n_chars bigint",
     "op10_mixture": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op12_fingerprints": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op13_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
@@ -114,7 +116,7 @@ def test_registered_queries(spark, name):
     for column in COLUMNS.get(name, "doc_id bigint").split(", "):
         wanted, kind = column.split()
         assert types[wanted] == kind, column
-    table = "pages" if name == "op9_pages" else "documents"
+    table = {"op9_pages": "pages", "op11_codes": "embeddings"}.get(name, "documents")
     rows = found.count()
     if name in COLUMNS:
         assert rows == spark.read.parquet(f"{SF_DIR}/{table}.parquet").count()
