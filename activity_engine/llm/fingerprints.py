@@ -5,8 +5,8 @@ three tables of `width` cells; each digest is put into one cell of each table, a
 of its digests, their exclusive or and that of their check sums. Sketches subtract cell by cell, which
 cancels what both texts have; what is left is peeled: a cell with one digest, which its check sum proves,
 gives that digest away, which is then taken out of the other two tables. If nothing is left, exactly the
-differing digests have come out. If something is, the pair is sketched again with a width that follows
-the number of its digests, then with twice that, and with other places each time, until it peels.
+differing digests have come out. If something is, the pair is sketched again with twice the width and
+other places, until it peels. The first width follows the number of digests of both texts.
 
 The sketch of fixed width is the fingerprint of a text. All aggregations of a pair run where its row lies:
 rows are dealt out once, by ranges of the id, together with the row that follows.
@@ -24,6 +24,8 @@ PARAGRAPH = r"[^\n.!? ][^\n.!?]*[.!?]*|[.!?]+"
 WIDTH = 8
 # Tables are peeled in turn, so many in all, before a pair counts as failed.
 PEELS = 7
+# Failed pairs that are sent to all tasks; more are joined.
+BROADCAST_ROWS = 100_000
 # Characters of a chunk of rows about, chunks of a task, chunks and quantiles of the id at most.
 CHUNK_CHARS, TASK_CHUNKS, MOST_CHUNKS, QUANTILES = 1 << 19, 4, 1 << 16, 1024
 
@@ -93,34 +95,41 @@ def peel(cells: DataFrame, by: list[str], salt: int = 0, peels: int = PEELS, lis
     return cells
 
 
-def compare(rows: DataFrame, by: list[str], pairs: dict[str, tuple[str, str]], width: int = WIDTH, peels: int = PEELS) -> DataFrame:
+def compare(rows: DataFrame, by: list[str], pairs: dict[str, tuple[str, str]], tasks: int | None = None, factor: float = 1.0, peels: int = PEELS) -> DataFrame:
     """(*by, pair, differing): how many digests only one side of each pair has, for every row and pair.
 
-    `by` tells the rows apart and `pairs` names two columns of digests for each pair. Pairs that do not
-    peel are tried again with a table for about every digest of both sides, then with twice as many, and
-    so on; those that are left are counted in each turn, and only that count comes to the driver.
+    `by` tells the rows apart and `pairs` names two columns of digests for each pair. The width is the power of
+    two that holds `factor` times the digests of both sides; pairs that do not peel are tried again with
+    twice the width and other places, and so on. Only the number of failed pairs comes to the driver. Rows are
+    dealt out by the first of `by`, and all cells of a row stay where it is. Pairs without any difference
+    may be missing.
     """
+    columns = list(dict.fromkeys(c for pair in pairs.values() for c in pair))
     sides = F.array(*(F.struct(F.lit(p).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b")) for p, (a, b) in pairs.items()))
-    every = rows.select(*by, F.explode(sides).alias("_p")).select(*by, "_p.*")
-    key = [*by, "pair"]
-    open_, found, salt = every.withColumn("width", F.lit(width).cast("bigint")), None, 0
+    key, found, failed, salt = [*by, "pair"], None, None, 0
     while True:
-        held = open_.select(*key, "width", F.size("a").alias("_a"), F.posexplode(F.concat("a", "b")).alias("_at", "key"))
+        held = rows.select(*by, *columns)
+        if failed is not None:
+            again = failed.groupBy(*by).agg(F.collect_set("pair").alias("_open"))
+            held = held.join(F.broadcast(again) if count <= BROADCAST_ROWS else again, by)
+        held = held.repartition(tasks, by[0]) if tasks else held.repartition(by[0])
+        every = held.select(*by, *([] if failed is None else ["_open"]), F.explode(sides).alias("_p"))
+        every = every if failed is None else every.where(F.array_contains("_open", F.col("_p.pair")))
+        digits = F.greatest(F.lit(2.0), (F.size("_p.a") + F.size("_p.b")) * F.lit(float(factor)))
+        width = F.pow(F.lit(2.0), F.ceil(F.log2(digits)) + salt).cast("bigint")
+        put = every.select(
+            *by, "_p.pair", width.alias("width"), F.size("_p.a").alias("_a"), F.posexplode(F.concat("_p.a", "_p.b")).alias("_at", "key")
+        )
         sign = F.when(F.col("_at") < F.col("_a"), F.lit(1)).otherwise(F.lit(-1))
-        cells = sketch(held, key, salt, sign).where("n != 0 or key != 0 or sum != 0")
-        state = peel(cells, key, salt, peels).groupBy(*key)
+        cells = sketch(put, key, salt, sign).where("n != 0 or key != 0 or sum != 0")
         came = F.coalesce(F.sum(F.when(F.col("part") == 3, F.abs("n"))), F.lit(0).cast("bigint"))
-        # Pairs without a cell, being equal, have no row here.
+        state = peel(cells, key, salt, peels).groupBy(*key)
         done = cut(state.agg(came.alias("differing"), F.count_if(F.col("part") < 3).alias("left")))
         found = done if found is None else found.unionByName(done)
-        failed = done.where("left > 0")
-        if failed.isEmpty():
+        failed, salt = done.where("left > 0"), salt + 1
+        count = failed.count()
+        if not count:
             return found.where("left = 0").drop("left")
-        again = every.join(failed.select(*key), key)
-        digits = F.greatest(F.lit(2), F.size("a") + F.size("b")).cast("double")
-        # The power of two that holds all digests, doubled with every further turn.
-        open_ = again.select(*key, "a", "b", F.pow(F.lit(2.0), F.ceil(F.log2(digits)) + salt).cast("bigint").alias("width"))
-        salt += 1
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -129,16 +138,33 @@ def likeness(a: Column, b: Column, differing: Column) -> Column:
     return F.when(both == 0, F.lit(1.0)).otherwise((both - differing) / (both + differing))
 
 
-def fingerprint(rows: DataFrame, by: list[str], column: str, width: int = WIDTH) -> DataFrame:
-    """(*by, print): the sketch of fixed width as text, `place:n:digests:check sums` in hexadecimal digits.
+def fingerprint(keys: Column, width: int = WIDTH) -> Column:
+    """The sketch of fixed width of an array of digests, as text: `place:n:digests:check sums` in hexadecimal digits.
 
-    Cells are in order and empty ones left out, so a text without paragraphs has an empty fingerprint.
+    Cells are in order and empty ones left out, so a text without paragraphs has an empty fingerprint. Every
+    row is sketched by itself, cell by cell, in one pass over its digests for each cell.
     """
-    held = rows.select(*by, F.lit(width).cast("bigint").alias("width"), F.explode(column).alias("key"))
-    hexed = [F.lower(F.hex(c)) for c in (F.col("part") * width + F.col("place"), F.col("n"), F.col("key"), F.col("sum"))]
-    cells = sketch(held, by).select(*by, (F.col("part") * width + F.col("place")).alias("_at"), F.concat_ws(":", *hexed).alias("_t"))
-    ordered = F.array_sort(F.collect_list(F.struct("_at", "_t")))
-    return cells.groupBy(*by).agg(F.concat_ws(";", F.transform(ordered, lambda c: c["_t"])).alias("print"))
+
+    def put(member: Column) -> Column:
+        places = [_cell(member["h"], t, F.lit(width)).alias(f"c{t}") for t in range(3)]
+        return F.struct(member["key"].alias("key"), _number(member["h"], 1, 8).alias("sum"), *places)
+
+    def cell(members: Column, at: int) -> Column:
+        none = F.struct(*(F.lit(0).cast("bigint").alias(c) for c in ("n", "key", "sum")))
+
+        def add(held: Column, member: Column) -> Column:
+            more = F.struct((held["n"] + 1).alias("n"), held["key"].bitwiseXOR(member["key"]).alias("key"), held["sum"].bitwiseXOR(member["sum"]).alias("sum"))
+            return F.when(member[f"c{at // width}"] == at % width, more).otherwise(held)
+
+        def text(held: Column) -> Column:
+            return F.when(held["n"] > 0, F.concat_ws(":", F.lit(f"{at:x}"), *(F.lower(F.hex(held[c])) for c in ("n", "key", "sum"))))
+
+        return F.aggregate(members, none, add, text)
+
+    # The members are worked out once: an array of one array, taken apart by a lambda.
+    hashed = F.transform(keys, lambda key: F.struct(key.alias("key"), _hash(key, 0).alias("h")))
+    whole = F.transform(F.array(F.transform(hashed, put)), lambda members: F.concat_ws(";", *(cell(members, at) for at in range(3 * width))))
+    return whole[0]
 
 
 def _chunked(documents: DataFrame) -> tuple[DataFrame, int]:
@@ -170,8 +196,8 @@ def _chunked(documents: DataFrame) -> tuple[DataFrame, int]:
     return placed.drop("_q"), chunks
 
 
-def with_next(documents: DataFrame) -> DataFrame:
-    """(chunk, rn, doc_id, text, next): each row with the text that follows in descending order of the id.
+def with_next(documents: DataFrame) -> tuple[DataFrame, int]:
+    """(chunk, rn, doc_id, text, next), and a number of tasks for as many rows: each row with the text that follows in descending order of the id.
 
     After the last row comes the first. Equal ids stand in the order of their texts' hash, rows without an
     id at the end. The whole table moves once: the first row of each chunk is sent to the chunk before it,
@@ -188,10 +214,11 @@ def with_next(documents: DataFrame) -> DataFrame:
     here = F.struct("chunk", F.lit(False).alias("ghost"))
     there = F.struct(F.col("_to").alias("chunk"), F.lit(True).alias("ghost"))
     sent = marked.select("doc_id", "text", "_h", F.explode(F.when(is_first, F.array(here, there)).otherwise(F.array(here))).alias("_c"))
-    sent = sent.select("_c.*", "doc_id", "text", "_h").repartition(-(-chunks // TASK_CHUNKS), "chunk")
+    tasks = -(-chunks // TASK_CHUNKS)
+    sent = sent.select("_c.*", "doc_id", "text", "_h").repartition(tasks, "chunk")
     order = Window.partitionBy("chunk").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.col("_h").desc(), "text")
     rows = sent.withColumn("next", F.lead("text").over(order)).withColumn("rn", F.row_number().over(order))
-    return rows.where("not ghost").select("chunk", "rn", "doc_id", "text", "next")
+    return rows.where("not ghost").select("chunk", "rn", "doc_id", "text", "next"), tasks
 
 
 def fingerprint_digest(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,7 +232,8 @@ def fingerprint_digest(documents: DataFrame, id_col: str = "doc_id", text_col: s
     rows. Further columns are not looked at.
     """
     docs = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    rows = with_next(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    rows, tasks = with_next(docs)
+    rows = rows.withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - half), F.substring("next", F.lit(1), half))
     rows = rows.withColumn("edited", edited)
@@ -216,15 +244,13 @@ def fingerprint_digest(documents: DataFrame, id_col: str = "doc_id", text_col: s
         )
     )
     by = ["chunk", "rn"]
-    found = compare(rows, by, {"edited": ("own", "changed"), "next": ("own", "after")})
+    found = compare(rows, by, {"edited": ("own", "changed"), "next": ("own", "after")}, tasks)
     found = found.groupBy(*by).agg(*(F.max(F.when(F.col("pair") == p, F.col("differing"))).alias(f"_{p}") for p in ("edited", "next")))
-    out = rows.join(found, by, "left")
-    for column, name in (("own", "fingerprint"), ("changed", "edited_fingerprint")):
-        out = out.join(fingerprint(rows, by, column).withColumnRenamed("print", name), by, "left")
-    sizes = {c: F.size(c) for c in ("own", "changed", "after")}
+    sizes = [F.size(c).alias(f"_n_{c}") for c in ("own", "changed", "after")]
+    out = rows.select(*by, "doc_id", "n_chars", "edited_sha256", "own", "changed", *sizes).join(found, by, "left")
     near = [
-        likeness(sizes["own"], sizes[other], F.coalesce(differing, F.lit(0))).alias(name)
+        likeness(F.col("_n_own"), F.col(f"_n_{other}"), F.coalesce(differing, F.lit(0))).alias(name)
         for other, differing, name in (("changed", "_edited", "near_edited"), ("after", "_next", "near_next"))
     ]
-    prints = [F.coalesce(c, F.lit("")).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    prints = [fingerprint(F.col(c)).alias(name) for c, name in (("own", "fingerprint"), ("changed", "edited_fingerprint"))]
     return out.select("doc_id", "n_chars", "edited_sha256", *prints, *near)

@@ -149,8 +149,8 @@ def _fingerprints_sql() -> str:
     cells = "".join(
         f"""
 {name} as (
-  select doc_id, string_agg(printf('%x:%x:%x:%x', at, n, k, s), ';' order by at) as {name} from (
-    select doc_id, t * 8 + cast('0x' || substr(h, 9 + 8 * t, 8) as bigint) % 8 as at, count(*) as n, bit_xor(k) as k,
+  select doc_id, string_agg(printf('%x:%x:%x:%x', spot, n, k, s), ';' order by spot) as {name} from (
+    select doc_id, t * 8 + cast('0x' || substr(h, 9 + 8 * t, 8) as bigint) % 8 as spot, count(*) as n, bit_xor(k) as k,
       bit_xor(cast('0x' || substr(h, 1, 8) as bigint)) as s
     from (select doc_id, k, md5(k || ':0') as h, unnest([0, 1, 2]) as t from (select doc_id, unnest({column}) as k from keyed))
     group by 1, 2) group by 1),"""

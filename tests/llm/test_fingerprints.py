@@ -82,7 +82,7 @@ def test_pairs_that_do_not_peel_are_tried_again(spark):
     rng = random.Random(6)
     rows = [(i, [rng.getrandbits(60) for _ in range(n)], [rng.getrandbits(60) for _ in range(n // 2)]) for i, n in enumerate([0, 1, 3, 30, 300, 3000])]
     frame = spark.createDataFrame(rows, "id int, a array<bigint>, b array<bigint>")
-    found = {r.id: r.differing for r in fp.compare(frame, ["id"], {"p": ("a", "b")}, width=2).collect()}
+    found = {r.id: r.differing for r in fp.compare(frame, ["id"], {"p": ("a", "b")}, factor=0.1).collect()}
     assert found == {i: len(a) + len(b) for i, a, b in rows if a}
 
 
@@ -100,5 +100,5 @@ def test_odd_rows(odd):
 
 
 def test_a_row_moves_once_and_runs_no_python(documents, rows):
-    plan = fp.with_next(documents(rows))._jdf.queryExecution().toString()
+    plan = fp.with_next(documents(rows))[0]._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
