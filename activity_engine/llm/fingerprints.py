@@ -22,6 +22,7 @@ from activity_engine.llm.common import cut
 # Sentences of a line; what stands between line ends and closing marks, without leading spaces.
 PARAGRAPH = r"[^\n.!? ][^\n.!?]*[.!?]*|[.!?]+"
 WIDTH = 8
+PRIME = (1 << 31) - 1
 # Tables are peeled in turn, so many in all, before a pair counts as failed.
 PEELS = 7
 # Failed pairs that are sent to all tasks; more are joined.
@@ -30,22 +31,29 @@ BROADCAST_ROWS = 100_000
 CHUNK_CHARS, TASK_CHUNKS, MOST_CHUNKS, QUANTILES = 1 << 19, 4, 1 << 16, 1024
 
 
-def _number(digest: Column, at: int, digits: int) -> Column:
-    return F.conv(F.substring(digest, at, digits), 16, 10).cast("bigint")
-
-
 def digests(text: Column, paragraph: str = PARAGRAPH) -> Column:
     """The distinct digests of a text's paragraphs, as whole numbers of 60 bits."""
     found = F.regexp_extract_all(text, F.lit(paragraph), F.lit(0))
-    return F.array_distinct(F.transform(found, lambda p: _number(F.md5(p.cast("binary")), 1, 15)))
+    return F.array_distinct(F.transform(found, lambda p: F.conv(F.substring(F.md5(p.cast("binary")), 1, 15), 16, 10).cast("bigint")))
+
+
+def multipliers(number: int, salt: int) -> tuple[int, int]:
+    """Two factors for the number-th hash of a turn: powers of 48271, a primitive root modulo the prime."""
+    return pow(48271, 11 + 8 * salt + 2 * number, PRIME), pow(48271, 12 + 8 * salt + 2 * number, PRIME)
+
+
+def _hash(key: Column, number: int, salt: int) -> Column:
+    """A hash of a digest under the prime: a sum of its halves' multiples, which stays within 63 bits."""
+    low, high = multipliers(number, salt)
+    return (key % F.lit(1 << 30) * F.lit(low) + F.shiftright(key, 30) * F.lit(high)) % F.lit(PRIME)
 
 
-def _hash(key: Column, salt: int) -> Column:
-    return F.md5(F.concat(key.cast("string"), F.lit(f":{salt}")).cast("binary"))
+def _check(key: Column, salt: int) -> Column:
+    return _hash(key, 3, salt)
 
 
-def _cell(hashed: Column, table: int, width: Column) -> Column:
-    return F.pmod(_number(hashed, 9 + 8 * table, 8), width)
+def _cell(key: Column, table: int, width: Column, salt: int) -> Column:
+    return _hash(key, table, salt) % width
 
 
 def sketch(rows: DataFrame, by: list[str], salt: int = 0, sign: Column | None = None) -> DataFrame:
@@ -54,9 +62,9 @@ def sketch(rows: DataFrame, by: list[str], salt: int = 0, sign: Column | None =
     `rows` has `by`, `width` and `key`, one row a digest; `sign` is what a digest counts, 1 if not given.
     Summing the sketches of two texts with opposite signs subtracts them.
     """
-    hashed = rows.select(*by, "width", "key", (F.lit(1) if sign is None else sign).cast("bigint").alias("n"), _hash(F.col("key"), salt).alias("_h"))
-    places = F.array(*(F.struct(F.lit(t).alias("part"), _cell(F.col("_h"), t, F.col("width")).alias("place")) for t in range(3)))
-    put = hashed.select(*by, "width", "n", "key", _number(F.col("_h"), 1, 8).alias("sum"), F.explode(places).alias("_c"))
+    key, count = F.col("key"), (F.lit(1) if sign is None else sign).cast("bigint")
+    places = F.array(*(F.struct(F.lit(t).alias("part"), _cell(key, t, F.col("width"), salt).alias("place")) for t in range(3)))
+    put = rows.select(*by, "width", count.alias("n"), "key", _check(key, salt).alias("sum"), F.explode(places).alias("_c"))
     put = put.select(*by, "width", "_c.part", "_c.place", "n", "key", "sum")
     return _added(put, by)
 
@@ -75,9 +83,7 @@ def peel(cells: DataFrame, by: list[str], salt: int = 0, peels: int = PEELS, lis
     """
     for turn in range(peels):
         part = turn % 3
-        hashed = _hash(F.col("key"), salt)
-        pure = (F.col("part") == part) & (F.abs("n") == 1) & (F.col("sum") == _number(hashed, 1, 8))
-        came = cells.withColumn("_h", F.when(pure, hashed))
+        pure = (F.col("part") == part) & (F.abs("n") == 1) & (F.col("sum") == _check(F.col("key"), salt))
         out_place = F.col("key") if listed else F.when(F.col("n") > 0, F.lit(0)).otherwise(F.lit(1)).cast("bigint")
         out_key = F.col("key") if listed else F.lit(0).cast("bigint")
 
@@ -87,10 +93,10 @@ def peel(cells: DataFrame, by: list[str], salt: int = 0, peels: int = PEELS, lis
         others = [t for t in range(3) if t != part]
         moved = F.array(
             row(F.lit(3), out_place, F.col("n"), out_key, F.lit(0).cast("bigint")),
-            *(row(F.lit(t), _cell(F.col("_h"), t, F.col("width")), -F.col("n"), F.col("key"), F.col("sum")) for t in others),
+            *(row(F.lit(t), _cell(F.col("key"), t, F.col("width"), salt), -F.col("n"), F.col("key"), F.col("sum")) for t in others),
         )
         stays = F.array(row(F.col("part"), F.col("place"), F.col("n"), F.col("key"), F.col("sum")))
-        dealt = came.select(*by, "width", F.explode(F.when(F.col("_h").isNotNull(), moved).otherwise(stays)).alias("_c"))
+        dealt = cells.select(*by, "width", F.explode(F.when(pure, moved).otherwise(stays)).alias("_c"))
         cells = _added(dealt.select(*by, "width", "_c.*"), by).where("part = 3 or n != 0 or key != 0 or sum != 0")
     return cells
 
@@ -145,9 +151,8 @@ def fingerprint(keys: Column, width: int = WIDTH) -> Column:
     row is sketched by itself, cell by cell, in one pass over its digests for each cell.
     """
 
-    def put(member: Column) -> Column:
-        places = [_cell(member["h"], t, F.lit(width)).alias(f"c{t}") for t in range(3)]
-        return F.struct(member["key"].alias("key"), _number(member["h"], 1, 8).alias("sum"), *places)
+    def put(key: Column) -> Column:
+        return F.struct(key.alias("key"), _check(key, 0).alias("sum"), *(_cell(key, t, F.lit(width), 0).alias(f"c{t}") for t in range(3)))
 
     def cell(members: Column, at: int) -> Column:
         none = F.struct(*(F.lit(0).cast("bigint").alias(c) for c in ("n", "key", "sum")))
@@ -162,8 +167,7 @@ def fingerprint(keys: Column, width: int = WIDTH) -> Column:
         return F.aggregate(members, none, add, text)
 
     # The members are worked out once: an array of one array, taken apart by a lambda.
-    hashed = F.transform(keys, lambda key: F.struct(key.alias("key"), _hash(key, 0).alias("h")))
-    whole = F.transform(F.array(F.transform(hashed, put)), lambda members: F.concat_ws(";", *(cell(members, at) for at in range(3 * width))))
+    whole = F.transform(F.array(F.transform(keys, put)), lambda members: F.concat_ws(";", *(cell(members, at) for at in range(3 * width))))
     return whole[0]
 
 

@@ -146,13 +146,17 @@ from coded join kept using (vec_id)"""
 def _fingerprints_sql() -> str:
     """Exact sets in place of peeling, and the cells by grouping."""
     keys = f"list_distinct(list_transform(regexp_extract_all($, '{fingerprints.PARAGRAPH}'), lambda p: cast('0x' || substr(md5(p), 1, 15) as bigint)))"
+    hashes = []
+    for number in range(4):
+        low, high = fingerprints.multipliers(number, 0)
+        hashes.append(f"(k % 1073741824 * {low} + (k >> 30) * {high}) % {fingerprints.PRIME}")
     cells = "".join(
         f"""
 {name} as (
   select doc_id, string_agg(printf('%x:%x:%x:%x', spot, n, k, s), ';' order by spot) as {name} from (
-    select doc_id, t * 8 + cast('0x' || substr(h, 9 + 8 * t, 8) as bigint) % 8 as spot, count(*) as n, bit_xor(k) as k,
-      bit_xor(cast('0x' || substr(h, 1, 8) as bigint)) as s
-    from (select doc_id, k, md5(k || ':0') as h, unnest([0, 1, 2]) as t from (select doc_id, unnest({column}) as k from keyed))
+    select doc_id, spot, count(*) as n, bit_xor(k) as k, bit_xor(s) as s
+    from (select doc_id, k, {hashes[3]} as s, unnest([{hashes[0]} % 8, 8 + {hashes[1]} % 8, 16 + {hashes[2]} % 8]) as spot
+          from (select doc_id, unnest({column}) as k from keyed))
     group by 1, 2) group by 1),"""
         for name, column in (("fingerprint", "own"), ("edited_fingerprint", "changed"))
     )

@@ -36,11 +36,11 @@ def brute(rows):
 def prints(text, width=fp.WIDTH):
     cells: dict = {}
     for k in keys(text):
-        h = hashlib.md5(f"{k}:0".encode()).hexdigest()
+        *places, own = ((k % 2**30 * a + (k >> 30) * b) % (2**31 - 1) for a, b in (fp.multipliers(t, 0) for t in range(4)))
         for t in range(3):
-            at = t * width + int(h[8 + 8 * t : 16 + 8 * t], 16) % width
+            at = t * width + places[t] % width
             n, key, check = cells.get(at, (0, 0, 0))
-            cells[at] = (n + 1, key ^ k, check ^ int(h[:8], 16))
+            cells[at] = (n + 1, key ^ k, check ^ own)
     return ";".join(f"{at:x}:{n:x}:{k:x}:{c:x}" for at, (n, k, c) in sorted(cells.items()))
 
 
