@@ -1,11 +1,14 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
 Every source gets a target number of words: shares of the whole by weight, with a ceiling per source
-whose excess is shared out again among the others. The schedule has 2^m slots of equally many words.
-Slot s takes the s-th van der Corput point (s with its bits reversed), which is mapped through the
-cumulated targets to a source; the r-th slot of a source takes the r-th block of that source's words,
-in an order shuffled by a hash, and a second pass over the source follows the first. Since the 2^m
-points are an even grid, each source gets its share of slots to within one.
+whose excess is shared out again among the others. A source has as many slots of equally many words as its
+target needs, the last one cut at the target. The slots of all sources, one source after the other, are the
+points of an even grid, and the van der Corput sequence (slot s takes the point whose bits are those of s
+reversed) deals them out, so every stretch of the schedule holds each source close to its share. Points
+behind the last source's are nobody's, and their slots are left out. The r-th slot of a source takes the
+r-th block of that source's words, in an order shuffled by a hash, and a second pass over the source
+follows the first. Which slot is the r-th among a range of points is worked out from r by halving, bit by
+bit, so there is no table of slots to make, rank or join.
 
 Only DataFrame functions are used. Orders within a source (which may hold a third of all rows) are
 built in two levels: counts per chunk are summed up first and rows are ordered inside a chunk only.
@@ -18,10 +21,9 @@ from pyspark.sql import functions as F
 
 from activity_engine.llm.common import cut
 
-# Words of a slot at most, rows of a chunk on average, and slots of a chunk.
+# Words of a slot, and rows of a chunk on average.
 BLOCK_WORDS = 64
 CHUNK_ROWS = 4096
-CHUNK_SLOTS = 1 << 12
 
 _RUNNING = (Window.unboundedPreceding, Window.currentRow)
 
@@ -89,47 +91,42 @@ def _with_start(rows: DataFrame, by: list[str], amount: str, order: list[str]) -
     return joined.drop("_base", "_in", *[f"_{c}" for c in [*by, "chunk"]])
 
 
-def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, float]:
-    """(slot, source, rank), which source each slot draws from and its rank there; the words of a slot.
+def slot_ranges(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """`targets` with `most`, the whole words to take, and the grid points [lo, hi) of each source.
 
-    The points of 2^m slots are the grid (g + 0.5) / 2^m, g being the slot with its bits reversed. A
-    source owns the grid points in its range of the cumulated targets, so its slots are these points
-    reversed back; no slot is searched for. One scalar, the total, comes to the driver.
+    Input: one row per source, so the single ordered window is small.
     """
-    total = float(targets.agg(F.sum("target")).first()[0] or 0.0)
-    bits = 0
-    while total / (1 << bits) > block_words:
-        bits += 1
-    slots = 1 << bits
-    upto = F.sum("target").over(Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(*_RUNNING))
-    per_word = slots / total if total > 0 else 0.0
-
-    def first_point(words: Column) -> Column:
-        return F.least(F.lit(slots), F.ceil(words * F.lit(per_word) - 0.5))
-
-    ranges = (
-        targets.where("target > 0")
-        .withColumn("hi", upto)
-        .select("source", first_point(F.col("hi") - F.col("target")).alias("lo"), first_point(F.col("hi")).alias("hi"))
-        .where("hi > lo")
-    )
-    # A source's points are dealt out in pieces, so that a large one does not come from one task.
-    piece = F.explode(F.sequence(F.floor(F.col("lo") / CHUNK_SLOTS), F.floor((F.col("hi") - 1) / CHUNK_SLOTS)))
-    dealt = ranges.withColumn("piece", piece).repartition("piece", "source")
-    points = dealt.select(
-        "source",
-        F.explode(
-            F.sequence(
-                F.greatest("lo", F.col("piece") * CHUNK_SLOTS), F.least(F.col("hi"), (F.col("piece") + 1) * CHUNK_SLOTS) - 1
-            )
-        ).alias("point"),
-    )
-    width = max(1, bits)
-    slot = F.conv(F.reverse(F.lpad(F.bin("point"), width, "0")), 2, 10).cast("bigint")
-    numbered = points.select("source", slot.alias("slot"), F.lit(1).cast("bigint").alias("one"))
-    numbered = numbered.withColumn("chunk", F.floor(F.col("slot") / CHUNK_SLOTS))
-    ranked = _with_start(numbered, ["source"], "one", ["slot"])
-    return ranked.select("slot", "source", F.col("start").alias("rank")), total / slots
+    slots = F.ceil(F.floor("target") / block_words).cast("bigint")
+    upto = F.sum("_slots").over(Window.orderBy(F.col("source").asc_nulls_last()).rowsBetween(*_RUNNING))
+    ranges = targets.withColumn("most", F.floor("target").cast("bigint")).withColumn("_slots", slots).withColumn("hi", upto)
+    return ranges.withColumn("lo", F.col("hi") - F.col("_slots")).drop("_slots")
+
+
+def slot_of(rank: Column, lo: Column, hi: Column, bits: int) -> Column:
+    """The slot of the given rank among the points [lo, hi): the rank-th smallest of them with their bits reversed.
+
+    A slot's highest bit is its point's lowest one. At each bit the points of the range that go on with a 0
+    are counted, and the rank says whether the slot is one of them.
+    """
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(rank.cast("bigint").alias("rank"), zero.alias("low"), zero.alias("slot"), lo.alias("lo"), hi.alias("hi"))
+
+    def step(state: Column, size: Column) -> Column:
+        def below(end: Column) -> Column:
+            """How many points under `end` have the low bits found so far and then a 0."""
+            return F.greatest(zero, F.floor((end - state["low"] + 2 * size - 1) / (2 * size)))
+
+        count = below(state["hi"]) - below(state["lo"])
+
+        def next_(rank: Column, low: Column, bit: int) -> Column:
+            return F.struct(rank.alias("rank"), low.alias("low"), (state["slot"] * 2 + bit).alias("slot"), state["lo"].alias("lo"), state["hi"].alias("hi"))
+
+        return F.when(state["rank"] < count, next_(state["rank"], state["low"], 0)).otherwise(
+            next_(state["rank"] - count, state["low"] + size, 1)
+        )
+
+    sizes = F.array(*(F.lit(1 << k).cast("bigint") for k in range(bits)))
+    return F.aggregate(sizes, start, step, lambda s: s["slot"]) if bits else zero
 
 
 def prepare(
@@ -155,47 +152,51 @@ def mix(
     of which document to read; `round` counts the passes over the source. `prepared` is `prepare`'s.
 
     Defined results: documents without words take part in nothing; a null source is a source of its own
-    and comes last; an empty table gives an empty mix; repeated rows count each for itself.
+    and comes last; every source's words are its target without the fraction; an empty table gives an empty
+    mix; repeated rows count each for itself.
     """
     sizes = prepared.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = cut(source_targets(sizes, list(weights), share, ceiling))
-    slots, words = schedule(targets, block_words)
-    bound = targets.select(
-        F.col("source").alias("_s"), "source_size", F.floor(F.col("source_size") * F.lit(float(ceiling))).alias("_most")
-    )
+    targets = cut(slot_ranges(source_targets(sizes, list(weights), share, ceiling), block_words))
+    slots = targets.agg(F.max("hi")).first()[0] or 0
+    bits = max(0, slots - 1).bit_length()
+    own = targets.select(F.col("source").alias("_s"), "source_size", "most", "lo", "hi")
     full = prepared.where("size > 0")
     rounds = None
     for number in range(int(-(-ceiling // 1))):
         placed = _shuffled(full, number).withColumn("round", F.lit(number))
         rounds = placed if rounds is None else rounds.unionByName(placed)
     spans = (
-        rounds.join(bound, F.col("source").eqNullSafe(F.col("_s")))
+        rounds.join(own, F.col("source").eqNullSafe(F.col("_s")))
         .withColumn("a", F.col("start") + F.col("round") * F.col("source_size"))
-        .withColumn("b", F.least(F.col("a") + F.col("size"), F.col("_most")))
+        .withColumn("b", F.least(F.col("a") + F.col("size"), F.col("most")))
         .where("b > a")
     )
-    step = F.lit(words or 1.0)
-    blocks = F.sequence(F.greatest(F.lit(0), F.floor(F.col("a") / step) - 1), F.floor(F.col("b") / step) + 1)
+    step = F.lit(block_words)
+    blocks = F.sequence(F.floor(F.col("a") / step), F.floor((F.col("b") - 1) / step))
     cuts = spans.withColumn("rank", F.explode(blocks))
-    cuts = cuts.withColumn("p", F.greatest("a", F.floor(F.col("rank") * step))).withColumn(
-        "q", F.least("b", F.floor((F.col("rank") + 1) * step))
-    )
-    cuts = cuts.where("q > p").select(
-        "twin", "doc_id", "round", F.col("source").alias("_s"), F.col("rank").alias("_r"),
+    cuts = cuts.withColumn("p", F.greatest("a", F.col("rank") * step)).withColumn("q", F.least("b", (F.col("rank") + 1) * step))
+    mixed = cuts.select(
+        slot_of(F.col("rank"), F.col("lo"), F.col("hi"), bits).alias("slot"), "rank", "twin", "doc_id", "source", "round",
         (F.col("p") - F.col("a")).alias("from_word"), (F.col("q") - F.col("a")).alias("to_word"),
     )
-    mixed = cuts.join(slots, F.col("source").eqNullSafe(F.col("_s")) & (F.col("rank") == F.col("_r")))
-    return mixed.select("slot", "rank", "twin", "doc_id", "source", "round", "from_word", "to_word"), targets
+    return mixed, targets
 
 
 def mix_digest(documents: DataFrame, **settings: object) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken (words the mix takes)."""
+    """One row per document: doc_id, size, source_size, target, taken (words the mix takes), first_slot, n_slots.
+
+    `first_slot` is the first slot of the schedule that reads the document (null if none does), `n_slots` the
+    number of its pieces.
+    """
     prepared = prepare(documents)
     mixed, targets = mix(prepared, **settings)
-    taken = mixed.groupBy(F.col("twin").alias("_t")).agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
+    taken = mixed.groupBy(F.col("twin").alias("_t")).agg(
+        F.sum(F.col("to_word") - F.col("from_word")).alias("taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_slots")
+    )
     facts = targets.select(F.col("source").alias("_s"), "source_size", "target")
+    none = F.lit(0).cast("bigint")
     return (
         prepared.join(taken, F.col("twin") == F.col("_t"), "left")
         .join(facts, F.col("source").eqNullSafe(F.col("_s")))
-        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("bigint")).alias("taken"))
+        .select("doc_id", "size", "source_size", "target", F.coalesce("taken", none).alias("taken"), "first_slot", F.coalesce("n_slots", none).alias("n_slots"))
     )
