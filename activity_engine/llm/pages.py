@@ -28,7 +28,8 @@ EPOCHS = 6
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|template|noscript|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    # A quote opens a value only right after the equals sign; elsewhere it is a character like others.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))?+)*+)(?:>|\Z)",
     re.S | re.I,
 )
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -54,15 +55,56 @@ _TELLING = re.compile(
 @dataclass
 class Block:
     text: str
-    ancestors: tuple[str, ...]  # open tags, outermost first
-    names: tuple[str, ...]  # words of their class, id and role
+    ancestors: tuple[str, ...]  # the kinds of open tags, each where it is innermost, outermost first
+    names: tuple[str, ...]  # the distinct words of their class, id and role, in order
     linked: float  # share of the text inside links
 
 
-@dataclass
-class _Open:
-    tag: str
-    names: tuple[str, ...] = ()
+class _Stack:
+    """The open tags, with what a block asks about them: both are worked out again only where a tag changed."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self._words: list[tuple[str, ...]] = []
+        self._places: dict[str, list[int]] = {}
+        self._counts: dict[str, int] = {}
+        self._known: tuple[tuple[str, ...], tuple[str, ...]] | None = None
+
+    def push(self, tag: str, words: tuple[str, ...]) -> None:
+        self._places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+        self._words.append(words)
+        for w in words:
+            self._counts[w] = self._counts.get(w, 0) + 1
+        self._known = None
+
+    def has(self, tag: str) -> bool:
+        return tag in self._places
+
+    def cut(self, depth: int) -> None:
+        while len(self.tags) > depth:
+            tag = self.tags.pop()
+            self._places[tag].pop()
+            if not self._places[tag]:
+                del self._places[tag]
+            for w in self._words.pop():
+                self._counts[w] -= 1
+                if not self._counts[w]:
+                    del self._counts[w]
+        self._known = None
+
+    def end(self, tag: str, within: tuple[str, ...] = ()) -> None:
+        """Close the innermost `tag` and what is open inside it, unless one of `within` is further in."""
+        if tag in self._places:
+            depth = self._places[tag][-1]
+            if all(self._places[w][-1] < depth for w in within if w in self._places):
+                self.cut(depth)
+
+    def seen(self) -> tuple[tuple[str, ...], tuple[str, ...]]:
+        if self._known is None:
+            kinds = sorted((places[-1], tag) for tag, places in self._places.items() if tag not in _INLINE)
+            self._known = tuple(tag for _, tag in kinds), tuple(sorted(self._counts))
+        return self._known
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -71,7 +113,7 @@ def blocks_of(page: str | None) -> list[Block]:
     Missing end tags are made up as browsers do in the common cases, and a page may end anywhere.
     """
     out: list[Block] = []
-    stack: list[_Open] = []
+    stack = _Stack()
     parts: list[str] = []
     linked = plain = 0
 
@@ -79,8 +121,7 @@ def blocks_of(page: str | None) -> list[Block]:
         nonlocal parts, linked, plain
         text = " ".join("".join(parts).split())
         if text:
-            tags = tuple(o.tag for o in stack if o.tag not in _INLINE)
-            out.append(Block(text, tags, tuple(n for o in stack for n in o.names), linked / max(1, linked + plain)))
+            out.append(Block(text, *stack.seen(), linked / max(1, linked + plain)))
         parts, linked, plain = [], 0, 0
 
     def put(raw: str) -> None:
@@ -88,7 +129,7 @@ def blocks_of(page: str | None) -> list[Block]:
         if raw:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if any(o.tag == "a" for o in stack):
+            if stack.has("a"):
                 linked += len(text)
             else:
                 plain += len(text)
@@ -104,36 +145,24 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag not in _INLINE or tag == "img":
             close()
         if m[2]:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            stack.end(tag)
             continue
         if tag in _VOID:
             continue
         if tag in _ENDS_P:
-            _pop(stack, "p", ("body", "article", "div", "td", "section", "li"))
+            stack.end("p", ("body", "article", "div", "td", "section", "li"))
         elif tag in _SAME_KIND:
-            _pop(stack, tag, _SAME_KIND[tag])
+            stack.end(tag, _SAME_KIND[tag])
         names: tuple[str, ...] = ()
         if m[4] and "=" in m[4]:
             found = {w for x in _NAMES.finditer(m[4]) for w in _NAME_WORD.findall((x[2] or x[3] or x[4] or "").lower())}
             names = tuple(sorted(found))
-        stack.append(_Open(tag, names))
+        stack.push(tag, names)
     put(page[at:])
     close()
     return out
 
 
-def _pop(stack: list[_Open], tag: str, within: tuple[str, ...]) -> None:
-    for depth in range(len(stack) - 1, -1, -1):
-        if stack[depth].tag == tag:
-            del stack[depth:]
-            return
-        if stack[depth].tag in within:
-            return
-
-
 def features(blocks: list[Block]) -> list[list[str]]:
     """Names of the features that hold, block by block."""
     out = []

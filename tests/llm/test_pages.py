@@ -29,6 +29,20 @@ def test_blocks():
     assert pages.blocks_of(None) == pages.blocks_of("") == pages.blocks_of("<p> </p><!-- x") == []
 
 
+def test_quotes_that_open_no_value():
+    texts = lambda page: [b.text for b in pages.blocks_of(page)]
+    assert texts("<p title=it's>Hello there friend.</p><p>World is round.</p>") == ["Hello there friend.", "World is round."]
+    assert texts("<p 'x\">One</p><p a= 'b>c' d=\"'>\">Two</p><p class='never closed>Three</p>") == ["One", "Two"]
+    assert pages.blocks_of("<p class=it's id='a b'>x")[0].names == ("a", "b", "it", "s")
+
+
+def test_deep_pages_take_linear_time():
+    page = "".join(f"<div class='a b{i % 7}'>t{i} <i>" for i in range(100_000))
+    found = pages.blocks_of(page)
+    assert len(found) == 100_000 and found[-1].ancestors == ("div",) and found[-1].names == ("a", "b")
+    assert len(pages.features(found[:50])) == 50
+
+
 def test_viterbi_and_marginals_match_all_labellings():
     rng = np.random.default_rng(2)
     for n in range(1, 7):
