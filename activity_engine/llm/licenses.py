@@ -9,6 +9,8 @@ inside a notice do not count as edits.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -97,30 +99,41 @@ class Scanner:
         self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n.text, literal_spaces=True)}){{e<={n.edits}}}") for n in wanted]
 
     def spans(self, joined: str) -> list[tuple[str, int, int, int]]:
-        """(label, start, end, edits) of every notice in text of words joined by spaces."""
-        windows: dict[int, list[list[int]]] = {}
+        """(label, start, end, edits) of every notice in text of words joined by spaces.
+
+        Each seed says where its notice would start. Starts of one notice that the allowed edits may have
+        moved apart share a window, which is too short for two notices, so the best match inside is the one.
+        """
+        starts: dict[int, list[int]] = {}
         for end, (length, places) in self.automaton.iter(joined):
             for number, offset in places:
-                notice = self.wanted[number]
-                start = end + 1 - length - offset
-                lo = max(0, start - notice.edits)
-                hi = min(len(joined), start + len(notice.text) + notice.edits)
-                known = windows.setdefault(number, [])
-                if known and known[-1][1] >= lo:
-                    known[-1] = [min(known[-1][0], lo), max(known[-1][1], hi)]
-                else:
-                    known.append([lo, hi])
-        found = []
-        for number, ranges in windows.items():
-            for lo, hi in ranges:
-                for m in self.patterns[number].finditer(joined, lo, hi):
-                    found.append((self.wanted[number].label, m.start(), m.end(), sum(m.fuzzy_counts)))
+                starts.setdefault(number, []).append(end + 1 - length - offset)
+        found = set()
+        for number, places in starts.items():
+            notice = self.wanted[number]
+            places.sort()
+            first = 0
+            for k, start in enumerate(places):
+                if k + 1 < len(places) and places[k + 1] - places[first] <= notice.edits:
+                    continue
+                lo, hi = max(0, places[first] - notice.edits), min(len(joined), start + len(notice.text) + notice.edits)
+                first = k + 1
+                m = self.patterns[number].search(joined, lo, hi)
+                if m is not None:
+                    found.add((notice.label, m.start(), m.end(), sum(m.fuzzy_counts)))
         # Of notices that overlap the one with the fewest edits is meant, the longest among equals.
-        kept: list[tuple[str, int, int, int]] = []
-        for span in sorted(set(found), key=lambda s: (s[3], s[1] - s[2], s[1], s[0])):
-            if all(span[2] <= k[1] or span[1] >= k[2] for k in kept):
-                kept.append(span)
-        return sorted(kept, key=lambda s: s[1])
+        kept: list[tuple[int, int, str, int]] = []
+        for label, start, end, edits in sorted(found, key=lambda s: (s[3], s[1] - s[2], s[1], s[0])):
+            # Those kept do not overlap, so only the neighbours in order can.
+            at = bisect_left(kept, (start, end))
+            if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or kept[at][0] >= end):
+                kept.insert(at, (start, end, label, edits))
+        return [(label, start, end, edits) for start, end, label, edits in kept]
+
+
+def _ranks(places: list[int], gaps: list[int]) -> list[int]:
+    """How many gaps lie before each place."""
+    return [bisect_left(gaps, p) for p in places]
 
 
 def scan_text(text: str | None, scanner: Scanner, phrases: dict[str, str] = PHRASES) -> dict:
@@ -134,15 +147,18 @@ def scan_text(text: str | None, scanner: Scanner, phrases: dict[str, str] = PHRA
         at = joined.find(wanted)
         while at >= 0:
             if (at == 0 or joined[at - 1] == 0x20) and (at + size == len(joined) or joined[at + size] == 0x20):
-                starts.append(joined.count(b" ", 0, at))
+                starts.append(at)
                 labels.add(label)
             at = joined.find(wanted, at + 1)
+    # Places in bytes, then in characters, as numbers of words, all found in one pass.
+    starts = _ranks(starts, [m.start() for m in re.finditer(b" ", joined)]) if starts else []
     line = joined.decode("utf-8", "replace")
     spans = []
     best = 1.0 if starts else 0.0
-    for label, a, b, edits in scanner.spans(line):
-        # Spans are given in words, as a reader of the text counts them.
-        first = line.count(" ", 0, a + (line[a : a + 1] == " "))
+    matched = scanner.spans(line)
+    # Spans are given in words, as a reader of the text counts them.
+    firsts = _ranks([a + (line[a : a + 1] == " ") for _, a, _, _ in matched], [m.start() for m in re.finditer(" ", line)]) if matched else []
+    for first, (label, a, b, edits) in zip(firsts, matched, strict=True):
         spans.append({"label": label, "start": first, "end": first + line[a:b].strip().count(" ") + 1, "edits": edits})
         best = max(best, 1.0 - edits / max(1, b - a))
     return {

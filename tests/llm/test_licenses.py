@@ -95,3 +95,40 @@ def test_odd_rows(odd):
     assert len(rows) == 10 and all(r.labels == "" and r.score == 0 for r in rows)
     assert {r.n_words for r in rows if r.doc_id == 5} == {360_000}
     assert odd.where("false").select(licenses.scan(F.col("text"))).count() == 0
+
+
+def test_notices_side_by_side_are_all_found():
+    scanner = licenses.Scanner(licenses.notices())
+    spans = scanner.spans("licensed under the mit licence licensed under the mit license")
+    assert [(label, edits) for label, _, _, edits in spans] == [("mit", 1), ("mit", 0)]
+    rng = random.Random(11)
+    for _ in range(60):
+        wanted = [rng.choice(scanner.wanted) for _ in range(rng.randrange(2, 5))]
+        text = " ".join(edited(rng, n.text, rng.randrange(0, 2)) for n in wanted)
+        assert len(scanner.spans(text)) >= len(wanted), text
+
+
+def test_every_place_of_a_notice_is_in_a_span():
+    """Wherever the dynamic program ends a notice within its edits, a span of no more edits covers that place."""
+    rng = random.Random(13)
+    wanted = licenses.notices((("mit", "released under the mit license"),))
+    scanner, notice = licenses.Scanner(wanted), wanted[0]
+    for _ in range(25):
+        parts = [edited(rng, notice.text, rng.randrange(0, notice.edits + 2)) if rng.random() < 0.5 else "some other words" for _ in range(5)]
+        text = " ".join(parts)
+        row, ends = [0] * (len(text) + 1), []
+        for i, p in enumerate(notice.text, 1):
+            new = [i]
+            for j, c in enumerate(text, 1):
+                new.append(min(row[j - 1] + (p != c), row[j] + 1, new[j - 1] + 1))
+            row = new
+        ends = [j for j, cost in enumerate(row) if cost <= notice.edits]
+        spans = scanner.spans(text)
+        for j in ends:
+            assert any(a < j <= b + notice.edits and edits <= row[j] for _, a, b, edits in spans), (text, j)
+
+
+def test_long_texts_with_many_notices_take_linear_time():
+    text = "released under the mit license and then " * 20_000
+    found = licenses.scan_text(text, licenses.Scanner(licenses.notices()))
+    assert len(found["spans"]) == 20_000 == found["n_base"] and found["spans"][-1]["start"] == 7 * 19_999
