@@ -20,15 +20,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose score is under 0.5. The classifier learns from `documents` and its labels."""
     labels = table(spark, sf_dir, "labels").where(bucket("doc_id", 5) != 0)
     model = toxicity.train(table(spark, sf_dir, "documents"), labels)
-    scored = docs.withColumn("_score", toxicity.score(F.col("text"), model))
-    return scored.where("_score < 0.5").drop("_score")
+    return docs.where(toxicity.score(F.col("text"), model) < 0.5)
 
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text reads as one of the languages learned from the rows themselves."""
     model = language.train(docs.where(bucket("doc_id", 4) != 2))
-    found = docs.withColumn("_language", language.identify(F.col("text"), model))
-    return found.where("not _language.rejected").drop("_language")
+    return docs.where(~language.identify(F.col("text"), model)["rejected"])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
