@@ -2,8 +2,11 @@
 
 Texts with the same shingle set are one node. A node's shingles are ordered rare first; two sets of the
 wanted similarity must share one of their first few shingles (prefix filter), so nodes meet on those.
-Pairs whose lengths or whose places of the shared shingle rule the similarity out are never made, and
-each pair left is verified once, behind a suffix filter, on the shingles of both whole texts.
+Pairs whose lengths or whose places of the shared shingle rule the similarity out are never made. The
+suffix filter cuts the space of shingles into ranges: the numbers of shingles that two sets have there
+differ in sum by no more than the sets do. These numbers travel with a node, 32 bytes, so pairs that share a
+shingle by chance end before a text is moved for them. Each pair left is verified once on the shingles of
+both whole texts, behind a finer suffix filter.
 
 A shingle that many near copies share does not make all pairs of them. First every node is paired only
 with the shingle's leader, the node with the fewest rarer shingles (an unedited copy has the fewest).
@@ -37,6 +40,8 @@ SKETCH_BITS = 20
 FILTER_BITS = 25
 # So has the filter that picks the prefix shingles that two texts may have.
 TOKEN_BITS = 26
+# Ranges of the suffix filter that travels with a node.
+RANGES = 32
 # Nodes and shingles of one block of a component, about.
 BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 20
 # Ranges whose counts travel together, and groups of tasks that are summed up first.
@@ -65,6 +70,12 @@ def _spot(node: bytes) -> int:
     return int.from_bytes(node[:8], "little") >> (64 - FILTER_BITS)
 
 
+def _spread(found: np.ndarray) -> bytes:
+    """How many shingles of a set lie in each range, 255 at most: that can only bring two sets closer."""
+    counts = np.bincount((found >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def rarity(documents: DataFrame, n: int = SHINGLE_WORDS, bits: int = SKETCH_BITS) -> np.ndarray:
     """How many texts have a shingle of each of 2^bits hash ranges; counted by task, then summed up.
 
@@ -106,7 +117,7 @@ def rarity(documents: DataFrame, n: int = SHINGLE_WORDS, bits: int = SKETCH_BITS
 
 
 def _prefixes(documents: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(doc_id, node, size, spot, prefix) of each row; the prefix is in rare-first order."""
+    """(doc_id, node, size, spread, prefix) of each row; the prefix is in rare-first order."""
     shared = Shared(counts)
     shift = np.uint64(64 - (len(counts).bit_length() - 1))
 
@@ -127,13 +138,13 @@ def _prefixes(documents: DataFrame, counts: np.ndarray, n: int, percent: int) ->
                     "doc_id": pa.array(ids, pa.int64()),
                     "node": pa.array([_node(s) if len(s) else None for s in found], pa.binary()),
                     "size": pa.array([len(s) for s in found], pa.int64()),
-                    "spot": pa.array([_spot(_node(s)) for s in found], pa.int64()),
+                    "spread": pa.array([_spread(s) for s in found], pa.binary()),
                     "prefix": pa.array(prefix, pa.list_(pa.int64())),
                 }
             )
 
     rows = documents.select(F.col("doc_id").cast("bigint"), "text")
-    return rows.mapInArrow(run, "doc_id bigint, node binary, size bigint, spot bigint, prefix array<bigint>")
+    return rows.mapInArrow(run, "doc_id bigint, node binary, size bigint, spread binary, prefix array<bigint>")
 
 
 def _possible(percent: int) -> Column:
@@ -143,7 +154,19 @@ def _possible(percent: int) -> Column:
     return lengths & (F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2")) >= needed)
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs (a, b) of (node, size, spread, pos) and (node2, ...) that no filter rules out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spread, spread2 = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, RANGES) for k in (4, 5))
+            size, size2 = (batch.column(k).to_numpy() for k in (2, 3))
+            apart = np.abs(spread.astype(np.int16) - spread2.astype(np.int16)).sum(axis=1)
+            kept = pa.array(np.flatnonzero(apart <= size + size2 - 2 * _needed(size, size2, percent)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["node", "node2"])
+
+    asked = rows.where(_possible(percent)).select("node", "node2", "size", "size2", "spread", "spread2")
+    rows = asked.mapInArrow(run, "node binary, node2 binary")
     return rows.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
 
 
@@ -160,7 +183,7 @@ def _bit_table(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
 
 
 def _members(placed: DataFrame) -> DataFrame:
-    """(token, node, size, spot, pos): the prefix shingles that two rows may have in common.
+    """(token, node, size, spread, pos): the prefix shingles that two rows may have in common.
 
     The first 32 bits of all prefix shingles are counted; a bit table then says of a whole shingle whether
     they came twice. It lets some through that came once, which find no partner.
@@ -187,11 +210,11 @@ def _members(placed: DataFrame) -> DataFrame:
                     pa.array(token[kept].view(np.int64)), *(batch.column(k).take(found) for k in range(3)),
                     pa.array(pos[kept].astype(np.int32)),
                 ],
-                ["token", "node", "size", "spot", "pos"],
+                ["token", "node", "size", "spread", "pos"],
             )
 
-    rows = placed.where("node is not null").select("node", "size", "spot", "prefix")
-    members = rows.mapInArrow(run, "token bigint, node binary, size bigint, spot bigint, pos int")
+    rows = placed.where("node is not null").select("node", "size", "spread", "prefix")
+    members = rows.mapInArrow(run, "token bigint, node binary, size bigint, spread binary, pos int")
     return cut(members.distinct())  # texts with equal sets are one node
 
 
@@ -281,20 +304,19 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def connections(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that have the same components as all links together."""
     members = _members(placed)
-    leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node")).alias("l"))
-    stars = members.join(leader, "token").select(
-        "node", "size", "pos", F.col("l.node").alias("node2"), F.col("l.size").alias("size2"), F.col("l.pos").alias("pos2")
-    )
-    tested = cut(_pairs(stars.where((F.col("node") != F.col("node2")) & _possible(percent))))
+    leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node", "spread")).alias("l"))
+    led = [F.col(f"l.{c}").alias(f"{c}2") for c in ("node", "size", "spread", "pos")]
+    stars = members.join(leader, "token").select("node", "size", "spread", "pos", *led)
+    tested = cut(_pairs(stars.where(F.col("node") != F.col("node2")), percent))
     found = cut(_verified(tested, _texts(documents, _ends(tested), n), n, percent))
     groups = components(found)
     grouped = members.join(groups.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     sizes = grouped.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "group")).alias("l"), F.count(F.lit(1)).alias("groups"))
     open_ = cut(grouped.join(largest.where("groups > 1").select("token", F.col("l.group").alias("main")), "token"))
-    outside = open_.where("group != main").select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "pos", "group")])
-    rest = open_.join(outside, "token").where((F.col("group") != F.col("group2")) & _possible(percent))
-    fresh = cut(_pairs(rest).join(tested, ["a", "b"], "left_anti"))
+    outside = open_.where("group != main").select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "spread", "pos", "group")])
+    rest = open_.join(outside, "token").where(F.col("group") != F.col("group2"))
+    fresh = cut(_pairs(rest, percent).join(tested, ["a", "b"], "left_anti"))
     if fresh.isEmpty():
         return found
     return cut(found.unionByName(_verified(fresh, _texts(documents, _ends(fresh), n), n, percent)))
