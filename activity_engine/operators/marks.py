@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_engine.operators.upsert import upsert_newest
+from activity_engine.schemas import SUPPORT
 
 
 def bound(value: Column | datetime | str | None) -> Column | None:
@@ -19,14 +20,24 @@ def bound(value: Column | datetime | str | None) -> Column | None:
 
 
 def window_scan(
-    df: DataFrame, version: str, since: Column | datetime | str | None = None, until: Column | datetime | str | None = None
+    df: DataFrame,
+    version: str,
+    since: Column | datetime | str | None = None,
+    until: Column | datetime | str | None = None,
+    day: str | None = None,
 ) -> DataFrame:
-    """Rows with `since < version <= until`; either bound may be open."""
+    """Rows with `since < version <= until`; either bound may be open.
+
+    `day` names a column that holds the version's day as text, such as a partition `dt`: the bounds' own days
+    then bound it too, so that the folders of other days are not read.
+    """
     lo, hi = bound(since), bound(until)
     if lo is not None:
         df = df.where(F.col(version) > lo)
+        df = df if day is None else df.where(F.col(day) >= F.date_format(lo, "yyyy-MM-dd"))
     if hi is not None:
         df = df.where(F.col(version) <= hi)
+        df = df if day is None else df.where(F.col(day) <= F.date_format(hi, "yyyy-MM-dd"))
     return df
 
 
@@ -36,6 +47,14 @@ def backfill_bounds(start: date, end: date) -> tuple[datetime, datetime]:
     return datetime.combine(start, midnight), datetime.combine(end + timedelta(days=1), midnight)
 
 
+def offered(source: Column, entity: Column) -> Column:
+    """Whether a source offers an entity (W-5), row by row."""
+    found = F.lit(False)
+    for name, sources in SUPPORT.items():
+        found = found | ((entity == name) & source.isin(*sorted(sources)))
+    return F.coalesce(found, F.lit(False))
+
+
 def read_mark(marks: DataFrame, source: str, entity: str) -> datetime | None:
     """The mark of one source and entity, or None when it has never run."""
     row = marks.where((F.col("source") == source) & (F.col("entity") == entity)).agg(F.max("mark")).first()
@@ -47,6 +66,12 @@ def high_water(df: DataFrame, version: str, by: Sequence[str] = ()) -> DataFrame
     return df.groupBy(*by).agg(F.max(version).alias("mark"))
 
 
+def mark_row(spark: SparkSession, source: str, entity: str, mark: datetime | None) -> DataFrame:
+    """A mark that a batch was observed to reach, as a table of one row."""
+    row = spark.createDataFrame([(source, entity, None if mark is None else mark.isoformat())], "source string, entity string, mark string")
+    return row.withColumn("mark", F.col("mark").cast("timestamp"))
+
+
 def advance_mark(marks: DataFrame, seen: DataFrame) -> DataFrame:
     """Marks after a live run; a mark never moves back, and a run that saw nothing moves none.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -78,5 +79,24 @@ def _followed_in_chunks(log: DataFrame, hot: DataFrame, keys: Sequence[str], ver
     )
 
 
+def snapshots_at(
+    log: DataFrame, keys: Sequence[str], version: str, moments: Sequence[datetime | str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """What snapshot runs at the given moments leave behind, in one pass over the log.
+
+    A run sees the newest version of each key up to its moment. So a version is recorded if a moment lies
+    between it and the next one, and it ends where the next recorded one begins. (keys, version) must be
+    unique; versions after the last moment are not seen. Both windows share the key's one exchange, and hot
+    keys are split as in `scd2_history`.
+    """
+    kind = dict(log.dtypes)[version]
+    runs = F.array(*(F.lit(m).cast(kind) for m in sorted(moments, key=str)))
+    seen = log.where(F.col(version) <= F.array_max(runs))
+    followed = scd2_history(seen, keys, version, hot_rows)
+    until = F.coalesce("valid_to", F.array_max(runs) + F.expr("interval 1 day"))
+    caught = F.exists(runs, lambda m: (m >= F.col(version)) & (m < until))
+    return scd2_history(followed.where(caught).drop("valid_from", "valid_to"), keys, version, hot_rows)
+
+
 def current_versions(dim: DataFrame) -> DataFrame:
     return dim.where(F.col("is_current"))

@@ -8,14 +8,14 @@ executor costs at most the model being built.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activity_engine.operators.marks import advance_mark, backfill_bounds, high_water, read_mark, window_scan
+from activity_engine.operators.marks import advance_mark, backfill_bounds, mark_row, read_mark, window_scan
 from activity_engine.operators.normalize import normalizer
 from activity_engine.operators.quality import (
     duplicate_keys,
@@ -24,8 +24,9 @@ from activity_engine.operators.quality import (
     stale_keys,
     volume_anomaly,
 )
-from activity_engine.operators.scd2 import first_snapshot, snapshot_timestamp
+from activity_engine.operators.scd2 import current_versions, first_snapshot, snapshot_timestamp
 from activity_engine.plans import dims, facts, marts, staging
+from activity_engine.plans.refresh import DailyModels
 from activity_engine.plans.checks import DECLARED, source_freshness
 from activity_engine.schemas import ENTITIES, MARKS, entities_for
 from activity_engine.sources import landing
@@ -55,6 +56,14 @@ class Warehouse:
     def raw(self, entity: str) -> str:
         return f"{self.root}/raw/{entity}"
 
+    def feed(self, entity: str) -> str | None:
+        """Where merges leave what they changed; only workouts have a reader."""
+        return f"{self.root}/state/feed/{entity}" if entity == "workouts" else None
+
+    @property
+    def daily(self) -> str:
+        return f"{self.root}/state/daily"
+
     def model(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
@@ -72,8 +81,9 @@ def ingest(
     as_of: datetime,
     since: datetime | None = None,
     until: datetime | None = None,
+    modified_after: datetime | None = None,
 ) -> str:
-    """Land one entity of one source and return the run id.
+    """Land one entity of one source and return the run id. Raw files not written after `modified_after` are skipped.
 
     Live (no `until`): everything after the mark, which then moves. Replay (`until` given): exactly
     `since < version <= until`, written over an earlier replay of the same window; the mark stays.
@@ -87,7 +97,7 @@ def ingest(
     lower = since if replay else read_mark(marks, source, entity)
     run, _ = landing.run_id(lower, until)
 
-    shaped = normalizer(entity, source, now_column(as_of))(landing.read_raw(spark, raw_path))
+    shaped = normalizer(entity, source, now_column(as_of))(landing.read_raw(spark, raw_path, modified_after))
     in_window = window_scan(shaped, "mark", lower, until)
     if lower is not None and not replay:
         # A record without a readable version has no place in time; a live run must still reject it, but
@@ -95,12 +105,12 @@ def ingest(
         known = landing.read_rejects(spark, wh.landing, entity, source).select("raw").distinct()
         undated = shaped.where(F.col("mark").isNull()).join(known, "raw", "left_anti")
         in_window = in_window.unionByName(undated.select(*in_window.columns))
-    # Parsed once, used for both sides and the mark. Lost blocks are recomputed from the raw files.
+    # Parsed once, used for both sides. Lost blocks are recomputed from the raw files. The mark is observed.
     batch = in_window.persist(StorageLevel.DISK_ONLY)
-    landing.land(batch, wh.landing, entity, source, now_column(as_of), run, replay)
+    landed = landing.land(batch, wh.landing, entity, source, now_column(as_of), run, replay)
     if not replay:
-        seen = high_water(batch, "mark").select(F.lit(source).alias("source"), F.lit(entity).alias("entity"), "mark")
-        replace_table(advance_mark(marks, seen), wh.marks)
+        seen = mark_row(spark, source, entity, landed.mark)
+        replace_partitions(advance_mark(marks, seen), wh.marks, ["source", "entity"])
     batch.unpersist()
     return run
 
@@ -112,7 +122,8 @@ def load(
     """Merge landed rows into the raw table; a dry run only returns what it would merge."""
     rows = landing.read_landing(spark, wh.landing, entity, source, dt, run)
     if not dry_run:
-        merge_table(spark, wh.raw(entity), rows, ENTITIES[entity])
+        feed = wh.feed(entity)
+        merge_table(spark, wh.raw(entity), rows, ENTITIES[entity], feed and f"{feed}/{landing.run_id()[0]}")
     return rows
 
 
@@ -124,7 +135,7 @@ def take_in(spark: SparkSession, wh: Warehouse, raw_path: str, entity: str, sour
         return
     state = f"{wh.root}/state/files/{source}/{entity}"
     stream_ingest(
-        spark, raw_path, wh.landing, wh.raw(entity), entity, source, now_column(as_of), state, marks=wh.marks
+        spark, raw_path, wh.landing, wh.raw(entity), entity, source, now_column(as_of), state, marks=wh.marks, feed=wh.feed(entity)
     ).awaitTermination()
 
 
@@ -149,8 +160,8 @@ def raw_tables(spark: SparkSession, wh: Warehouse) -> dict[str, DataFrame]:
 def take_snapshot(spark: SparkSession, wh: Warehouse, users: DataFrame) -> DataFrame:
     """Run the user snapshot. Two rows for one user would fork its timeline, so that fails loudly.
 
-    Closed versions never change: only the open ones are read and written, and what a run closes is put
-    beside what earlier runs have closed.
+    Closed versions never change: only the open ones are read and written, and what a run closes goes into
+    a partition of that run beside what earlier runs have closed.
     """
     gate(duplicate_keys(users, ["user_id"]), "user_id is not unique across sources")
     path = wh.model("users_snapshot")
@@ -159,12 +170,16 @@ def take_snapshot(spark: SparkSession, wh: Warehouse, users: DataFrame) -> DataF
         schema = T.StructType([*after.schema.fields, T.StructField("state", T.StringType())])
         is_open = read_table(spark, path, schema).where("state = 'open'").drop("state")
         after = snapshot_timestamp(is_open, users, "user_id", "updated_at")
-    state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit("closed"))
-    return replace_partitions(after.withColumn("state", state), path, "state", "closed").drop("state")
+    state = F.when(F.col("valid_to").isNull(), F.lit("open")).otherwise(F.lit(f"closed-{landing.run_id()[0]}"))
+    return replace_partitions(after.withColumn("state", state), path, ["state"]).drop("state")
 
 
-def build_models(spark: SparkSession, wh: Warehouse, as_of: datetime) -> dict[str, DataFrame]:
-    """Build every model from the raw tables; returns raw, staging and mart tables by name."""
+def build_models(spark: SparkSession, wh: Warehouse, as_of: datetime, incremental: bool = False) -> dict[str, DataFrame]:
+    """Build every model from the raw tables; returns raw, staging and mart tables by name.
+
+    With `incremental` the daily fact and the records are kept up from what the merges changed
+    (`refresh.DailyModels`); the rows are the same.
+    """
     now = now_column(as_of)
     tables = raw_tables(spark, wh)
     tables["stg_workouts"] = staging.stg_workouts(tables["raw_workouts"], unique=True)
@@ -183,13 +198,19 @@ def build_models(spark: SparkSession, wh: Warehouse, as_of: datetime) -> dict[st
         "fact_workout",
         facts.fact_workout(tables["stg_workouts"], users, types, days, broadcast_rows=SMALL_USER_VERSIONS),
     )
-    # The stored fact holds the same workouts as staging, already deduplicated.
-    by_month = facts.fact_daily_metrics(workouts, users, now).withColumn("month", F.date_format("date_day", "yyyy-MM"))
-    daily = store("fact_daily_metrics", by_month, ("month",))
-    first_month = F.date_format(F.date_sub(now.cast("date"), marts.WEEK_DAYS - 1), "yyyy-MM")
-    recent = daily.where(F.col("month") >= first_month)
+    since = as_of.date() - timedelta(days=marts.WEEK_DAYS - 1)
+    if incremental:
+        models = DailyModels(spark, wh.daily)
+        models.consume(wh.feed("workouts"), tables["stg_workouts"], current_versions(users), as_of)
+        tables["fact_daily_metrics"], recent = models.daily_metrics(users), models.daily_metrics(users, since)
+        tables["personal_records"] = models.personal_records()
+    else:
+        # The stored fact holds the same workouts as staging, already deduplicated.
+        by_month = facts.fact_daily_metrics(workouts, users, now).withColumn("month", F.date_format("date_day", "yyyy-MM"))
+        daily = store("fact_daily_metrics", by_month, ("month",))
+        recent = daily.where(F.col("month") >= f"{since:%Y-%m}")
+        store("personal_records", marts.personal_records(workouts))
     store("leaderboard", marts.leaderboard(tables["stg_friendships"], users, recent, now))
-    store("personal_records", marts.personal_records(workouts))
     return tables
 
 
@@ -203,7 +224,8 @@ def verify(tables: dict[str, DataFrame], as_of: datetime) -> None:
 
 
 def run_pipeline(
-    spark: SparkSession, root: str, raw_paths: dict[str, dict[str, str]], as_of: datetime, check: bool = True
+    spark: SparkSession, root: str, raw_paths: dict[str, dict[str, str]], as_of: datetime, check: bool = True,
+    incremental: bool = False,
 ) -> dict[str, DataFrame]:
     """One refresh. `raw_paths` maps source to entity to raw folder; an absent source is skipped.
 
@@ -213,7 +235,7 @@ def run_pipeline(
     for source, paths in raw_paths.items():
         for entity, path in paths.items():
             take_in(spark, wh, path, entity, source, as_of)
-    tables = build_models(spark, wh, as_of)
+    tables = build_models(spark, wh, as_of, incremental)
     if check:
         verify(tables, as_of)
     return tables

@@ -206,10 +206,14 @@ SQL["u1_latest_per_key"] = """
 select * exclude (rn) from (
   select *, row_number() over (partition by user_id, event_type order by ts desc, event_id desc) as rn from events) where rn = 1"""
 
+SQL["u1_late_rows"] = SQL["u1_latest_per_key"]
+
 SQL["u4_stg_workouts"] = f"""
 select workout_id, user_id, source_system, workout_type, start_time, end_time, duration_minutes, device_id, synced_at,
   distance_meters, calories, {SAMPLE_TEXT} as samples from clean_workouts"""
 
+SQL["u4_late_rows"] = SQL["u4_stg_workouts"]
+
 SQL["u5_stg_users"] = f"select * replace ({rounded('weight_kg, height_cm')}) from clean_users"
 
 SQL["u6_stg_friendships"] = "select * from clean_edges"
@@ -244,6 +248,18 @@ from (select distinct b.custkey, b.changed_at, b.price, b.priority
       from buyer_log b, (values (timestamp '1997-01-01'), (timestamp '1999-06-01'), (timestamp '2001-12-31')) run(moment)
       where b.changed_at = (select max(c.changed_at) from buyer_log c where c.custkey = b.custkey and c.changed_at <= run.moment))"""
 
+# A version is recorded if some run's moment falls between it and the next version.
+VIEWS["run_moments"] = """
+select 3 as runs, moment from (values (timestamp '1997-01-01'), (timestamp '1999-06-01'), (timestamp '2001-12-31')) t(moment)
+union all
+select 84, unnest(generate_series(timestamp '1992-01-01', timestamp '1998-12-01', interval 1 month))"""
+
+SQL["v1_snapshots_one_pass"] = """
+select custkey, changed_at, price, priority, changed_at as valid_from,
+  lead(changed_at) over (partition by runs, custkey order by changed_at) as valid_to, cast(runs as integer) as runs
+from (select distinct r.runs, b.* from run_moments r join buyer_log b
+      on b.changed_at = (select max(c.changed_at) from buyer_log c where c.custkey = b.custkey and c.changed_at <= r.moment))"""
+
 SQL["v2_scd2_history"] = "select * from buyer_versions"
 SQL["v2_null_keys_split"] = """
 select key, ts, ts as valid_from, (select min(o.ts) from keyed o where o.key is not distinct from k.key and o.ts > k.ts) as valid_to
@@ -318,8 +334,30 @@ SQL["m6_leaderboard"] = "select * replace (round(distance_7d, 6) as distance_7d)
 
 SQL["m6_leaderboard_split"] = SQL["m6_leaderboard"]
 
+SQL["x3_sparse_rolling"] = """
+select user_id, cast(unnest(range(cast(cast(start_time as date) as timestamp), cast(start_time as date) + interval 7 day, interval 1 day)) as date) as date_day,
+  duration_minutes, distance_meters from clean_workouts"""
+SQL["x3_sparse_rolling"] = f"""
+select user_id, date_day, cast(sum(duration_minutes) as bigint) as minutes, round(sum(distance_meters), 6) as metres
+from ({SQL["x3_sparse_rolling"]}) group by 1, 2"""
+
+SQL["a4_weekly_sparse"] = """
+select user_id, round(sum(distance_meters), 6) as distance_7d, count(*) as workouts_7d from clean_workouts, last_day
+where cast(start_time as date) between today - 6 and today group by 1"""
+
 SQL["m7_records"] = f"select * replace ({rounded('best_pace_min_per_km')}) from records"
 
+SQL["m5_incremental"] = SQL["m5_daily_metrics"]
+
+SQL["m7_incremental"] = SQL["m7_records"]
+
+SQL["a1_day_totals"] = """
+select user_id, workout_type, cast(start_time as date) as date_day, count(*) as n, cast(sum(duration_minutes) as bigint) as total_duration_minutes,
+  round(sum(distance_meters), 6) as total_distance_meters, round(sum(calories), 6) as total_calories,
+  max(distance_meters) as best_distance_meters, max(duration_minutes) as longest_duration_minutes, max(calories) as most_calories_burned,
+  round(min(case when distance_meters > 0 then duration_minutes / (distance_meters / 1000) end), 6) as best_pace_min_per_km
+from clean_workouts group by 1, 2, 3"""
+
 SQL["a3_best_per_group"] = """
 select l_suppkey, l_returnflag, max(l_extendedprice) as best_price, max(l_shipdate) as last_ship,
   round(min(case when l_tax > 0 then l_quantity / l_tax end), 6) as lowest_ratio
@@ -506,6 +544,15 @@ SQL["s8_window_scan"] = """
 select event_id, ts, user_id from events
 where ts > (select min(ts) from events where event_type = 'click') and ts <= (select max(ts) from events where event_type = 'click')"""
 
+SQL["s8_landed_window"] = """
+select workout_id, synced_at, strftime(synced_at, '%Y-%m-%d') as dt from workout_records, first_day
+where error is null and synced_at > first_event + interval 6 day + interval 5 hour and synced_at <= first_event + interval 10 day - interval 5 hour"""
+
+SQL["w6_observed_batch"] = """
+select count(*) as total, count(*) filter (error is null) as valid, count(*) filter (error is not null) as rejected,
+  (select min(ts + to_minutes(k)) from ev where k <> 20) as first, (select max(ts + to_minutes(k)) from ev where k <> 20) as mark
+from workout_records"""
+
 SQL["w2_high_water"] = """
 select 'app' as source, 'users' as entity, max(ts) as mark from ev where event_type = 'signup' and k <> 37
 union all
@@ -517,6 +564,11 @@ SQL["w4_backfill_range"] = """
 select workout_id, user_id, source, workout_type, start_time, end_time, device_id, synced_at, distance_meters, calories
 from app_workouts, first_day where synced_at > first_event + 9 and synced_at <= first_event + 12"""
 
+SQL["w5_support"] = """
+select source, entity, count(*) as n, (entity <> 'friendships' and source <> 'app') or (entity = 'friendships' and source = 'synthetic') as offered
+from (select case k % 3 when 0 then 'strava' when 1 then 'synthetic' else 'app' end as source,
+      case when event_type = 'signup' then 'users' when k > 60 then 'friendships' else 'workouts' end as entity from ev) group by 1, 2"""
+
 SQL["w6_batch_stats"] = """
 select count(*) as total,
   cast((select count(workout_id) - count(distinct workout_id) from twice where error is null) as bigint) as duplicate,
@@ -537,6 +589,8 @@ select * replace (strftime(synced_at, '%Y-%m-%d') as dt) from (
   select {WORKOUT_COLUMNS.replace("synced_at,", "synced_at + to_hours(case when k < 14 then 1 else 0 end) as synced_at,")}, '' as dt
   from workout_records where error is null)"""
 
+SQL["t2_stream_state"] = SQL["t2_stream_upsert"]
+
 SQL["t3_stream_rejects"] = """
 select error, 'app' as source, sum(case when k < 14 then 2 else 1 end) as n from workout_records where error is not null group by 1"""
 
@@ -660,6 +714,11 @@ SQL["q3_user_freshness"] = """
 select user_id, max(synced_at) as last_synced_at, date_sub('hour', max(synced_at), (select this_moment from last_day)) as hours_since_sync
 from app_workouts group by 1 having hours_since_sync > 48"""
 
+SQL["q3_stale_users"] = """
+select user_id, max(synced_at) as last_synced_at,
+  date_sub('hour', max(synced_at), (select this_moment + interval 3 day from last_day)) as hours_since_sync
+from app_workouts group by 1 having hours_since_sync > 48"""
+
 VIEWS["thin_days"] = """
 select cast(ts as date) as day, count(*) as n from events
 where cast(ts as date) < (select today from last_day) or event_type = 'click' group by 1"""

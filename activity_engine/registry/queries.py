@@ -6,7 +6,7 @@ Every query reads its tables whole. Fractions are rounded at the very end, for c
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,21 +18,23 @@ from activity_engine.operators import marks as mk
 from activity_engine.operators import normalize as nz
 from activity_engine.operators import quality as qa
 from activity_engine.operators.asof import asof_validity_join
-from activity_engine.operators.dedupe import latest_per_key
+from activity_engine.operators.dedupe import latest_per_key, latest_per_key_late
 from activity_engine.operators.grid import densify
 from activity_engine.operators.ranking import best_per_group, rank_desc
-from activity_engine.operators.scd2 import current_versions, first_snapshot, scd2_history, snapshot_timestamp
+from activity_engine.operators.rolling import rolling_at, sparse_rolling_sums
+from activity_engine.operators.scd2 import current_versions, first_snapshot, scd2_history, snapshot_timestamp, snapshots_at
 from activity_engine.operators.upsert import upsert_newest
 from activity_engine.plans import dims, facts, feeds, marts, staging
 from activity_engine.plans.checks import DECLARED, source_freshness
 from activity_engine.plans.pipeline import Warehouse, load
+from activity_engine.plans.refresh import DAY_TOTALS, DailyModels
 from activity_engine.registry import standins as si
-from activity_engine.schemas import CANONICAL_SOURCE, ENTITIES
+from activity_engine.schemas import CANONICAL_SOURCE, ENTITIES, THIRD_PARTY_SOURCE
 from activity_engine.session import scratch_dir
 from activity_engine.sources import landing
 from activity_engine.sources.seeds import exercise_types, read_seed
 from activity_engine.sources.tables import merge_table, read_entity, replace_table
-from activity_engine.streaming.ingest import stream_ingest
+from activity_engine.streaming.ingest import stream_ingest, stream_newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -77,6 +79,21 @@ def u1_latest_per_key(spark: SparkSession, d: str) -> DataFrame:
     return latest_per_key(si.read(spark, d, "events"), ["user_id", "event_type"], "ts", ["event_id"])
 
 
+@query
+def u1_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The same ranked on the rows' places in the file; far more rows lose than may be broadcast."""
+    return latest_per_key_late(si.read(spark, d, "events"), ["user_id", "event_type"], "ts", ["event_id"], broadcast_rows=100)
+
+
+@query
+def u4_late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Stored deliveries with their nested samples, collapsed without moving a sample."""
+    path = f"{scratch_dir(spark, 'deliveries')}/workouts"
+    si.raw_workouts(spark, d).write.parquet(path)
+    newest = latest_per_key_late(spark.read.parquet(path), ["workout_id"], "synced_at", TIE)
+    return staging.stg_workouts(newest, unique=True).withColumn("samples", sample_text())
+
+
 @query
 def u4_stg_workouts(spark: SparkSession, d: str) -> DataFrame:
     """Re-delivered workouts are collapsed to the corrected version."""
@@ -136,6 +153,16 @@ def v1_snapshot_three_batches(spark: SparkSession, d: str) -> DataFrame:
     return history
 
 
+@query
+def v1_snapshots_one_pass(spark: SparkSession, d: str) -> DataFrame:
+    """The same three runs, and then one for each month of seven years, in one pass over the log."""
+    log = si.customer_log(spark, d)
+    months = [f"{y}-{m:02}-01" for y in range(1992, 1999) for m in range(1, 13)]
+    three = snapshots_at(log, ["custkey"], "changed_at", ["1997-01-01", "1999-06-01", "2001-12-31"])
+    monthly = snapshots_at(log, ["custkey"], "changed_at", months, hot_rows=14)
+    return three.withColumn("runs", F.lit(3)).unionByName(monthly.withColumn("runs", F.lit(len(months))))
+
+
 @query
 def v2_scd2_history(spark: SparkSession, d: str) -> DataFrame:
     return scd2_history(si.customer_log(spark, d), ["custkey"], "changed_at")
@@ -209,7 +236,7 @@ def j2_overlap_both(spark: SparkSession, d: str) -> DataFrame:
     bought = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     ways = [
         asof_validity_join(bought, versions, ["user_id"], "ts", **settings).withColumn("way", F.lit(way))
-        for way, settings in (("broadcast", {"broadcast_rows": 10**9}), ("merge", {"hot_rows": 5}))
+        for way, settings in (("broadcast", {"broadcast_rows": 1_000_000}), ("merge", {"hot_rows": 5}))
     ]
     return ways[0].unionByName(ways[1]).select("way", "event_id", "version")
 
@@ -338,7 +365,8 @@ def m5_daily_metrics(spark: SparkSession, d: str) -> DataFrame:
 def m6_leaderboard(spark: SparkSession, d: str) -> DataFrame:
     users = dim_user(spark, d)
     edges = staging.stg_friendships(si.raw_friendships(spark, d))
-    return marts.leaderboard(edges, users, daily_metrics(spark, d, users), si.last_day(spark, d))
+    active = facts.daily_activity(stg_workouts(spark, d))  # idle days add nothing to a week's totals
+    return marts.leaderboard(edges, users, active, si.last_day(spark, d))
 
 
 @query
@@ -346,8 +374,25 @@ def m6_leaderboard_split(spark: SparkSession, d: str) -> DataFrame:
     """The same with a threshold that popular users pass, so ranks come from distinct values."""
     users = dim_user(spark, d)
     edges = staging.stg_friendships(si.raw_friendships(spark, d))
-    daily = daily_metrics(spark, d, users)
-    return marts.leaderboard(edges, users, daily, si.last_day(spark, d), hot_rows=100)
+    active = facts.daily_activity(stg_workouts(spark, d))
+    return marts.leaderboard(edges, users, active, si.last_day(spark, d), hot_rows=100)
+
+
+@query
+def x3_sparse_rolling(spark: SparkSession, d: str) -> DataFrame:
+    """Rolling sums where they change, spread over their days: the active weeks of all users."""
+    active = facts.daily_activity(stg_workouts(spark, d))
+    sums = {"minutes": "total_duration_minutes", "metres": "total_distance_meters"}
+    rolling = sparse_rolling_sums(active, "user_id", "date_day", sums)
+    return rolling.select("user_id", F.explode(F.sequence("from_day", "to_day")).alias("date_day"), *sums)
+
+
+@query
+def a4_weekly_sparse(spark: SparkSession, d: str) -> DataFrame:
+    """Totals of the last seven days straight from the change points."""
+    active = facts.daily_activity(stg_workouts(spark, d))
+    rolling = sparse_rolling_sums(active, "user_id", "date_day", {"distance_7d": "total_distance_meters", "workouts_7d": "workout_count"})
+    return rolling_at(rolling, si.last_day(spark, d))
 
 
 @query
@@ -355,6 +400,47 @@ def m7_records(spark: SparkSession, d: str) -> DataFrame:
     return marts.personal_records(stg_workouts(spark, d))
 
 
+def refreshed(spark: SparkSession, d: str) -> DailyModels:
+    """Daily models kept up over three merges: early versions of some workouts, days off and with three times
+    the distance, for half of the users and an earlier today; then all first deliveries; then all repeats."""
+    base, spec = scratch_dir(spark, "refresh"), ENTITIES["workouts"]
+    models, users = DailyModels(spark, f"{base}/models"), current_versions(dim_user(spark, d))
+    first = si.first_deliveries(spark, d)
+    early = {c: sc.plus_seconds(c, F.lit(-172800)) for c in ("start_time", "end_time", "synced_at")}
+    early["distance_meters"] = F.col("distance_meters") * 3
+    today = si.read(spark, d, "events").agg(F.date_trunc("day", F.max("ts"))).first()[0]
+    batches = [first.where(F.col("k") < 30).withColumns(early), first, si.raw_workouts(spark, d)]
+    for run, batch in enumerate(batches):
+        feed = f"{base}/feed/{run}"
+        merge_table(spark, f"{base}/raw", batch, spec, feed)
+        workouts = staging.stg_workouts(read_entity(spark, f"{base}/raw", spec).drop("dt"), unique=True)
+        if run:
+            models.refresh(workouts, users, today, run, spark.read.parquet(feed))
+        else:
+            models.refresh(workouts, users.where(F.crc32("user_id") % 2 == 0), today - timedelta(days=9), run)
+    return models
+
+
+@query
+def m5_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The daily fact after three batches that rewrote only the rows they touched."""
+    return refreshed(spark, d).daily_metrics(dim_user(spark, d))
+
+
+@query
+def m7_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """Records raised batch by batch, and lowered where one corrected them."""
+    return refreshed(spark, d).personal_records()
+
+
+@query
+def a1_day_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Totals and bests per user, type and day from the logged partial rows, after compaction."""
+    models = refreshed(spark, d)
+    models.compact()
+    return DAY_TOTALS.state(models.log())
+
+
 @query
 def a3_best_per_group(spark: SparkSession, d: str) -> DataFrame:
     """Bests per supplier and return flag; the ratio counts only where a tax is due."""
@@ -588,6 +674,27 @@ def s8_window_scan(spark: SparkSession, d: str) -> DataFrame:
     return mk.window_scan(e, "ts", lo, hi).select("event_id", "ts", "user_id")
 
 
+@query
+def s8_landed_window(spark: SparkSession, d: str) -> DataFrame:
+    """Landed records between two moments; only the folders of the days between them are read."""
+    base = scratch_dir(spark, "window")
+    shaped = nz.normalize_workouts(si.damaged_workouts(spark, d), SOURCE)
+    landing.land(shaped, base, "workouts", SOURCE, si.last_day(spark, d), "run-1")
+    since, until = mk.backfill_bounds(nth_day(spark, d, 6), nth_day(spark, d, 9))
+    landed = landing.read_window(spark, base, "workouts", SOURCE, since + timedelta(hours=5), until - timedelta(hours=5))
+    return landed.select("workout_id", "synced_at", "dt")
+
+
+@query
+def w6_observed_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Counts and marks of one batch as the job that landed it saw them."""
+    shaped = nz.normalize_workouts(si.damaged_workouts(spark, d), SOURCE)
+    seen = landing.land(shaped, scratch_dir(spark, "observed"), "workouts", SOURCE, si.last_day(spark, d), "run-1")
+    row = [(seen.total, seen.valid, seen.rejected, str(seen.first), str(seen.mark))]
+    found = spark.createDataFrame(row, "total bigint, valid bigint, rejected bigint, first string, mark string")
+    return found.withColumns({c: F.col(c).cast("timestamp") for c in ("first", "mark")})
+
+
 @query
 def w2_high_water(spark: SparkSession, d: str) -> DataFrame:
     """Marks of three old runs, moved by what valid and rejected records show; one stays ahead."""
@@ -617,6 +724,17 @@ def w4_backfill_range(spark: SparkSession, d: str) -> DataFrame:
     return mk.window_scan(feed(spark, d), "synced_at", since, until)
 
 
+@query
+def w5_support(spark: SparkSession, d: str) -> DataFrame:
+    """Records by source and entity, and whether that source offers the entity."""
+    e = si.events(spark, d)
+    source = F.when(F.col("k") % 3 == 0, F.lit(THIRD_PARTY_SOURCE)).when(F.col("k") % 3 == 1, F.lit(CANONICAL_SOURCE)).otherwise(F.lit(SOURCE))
+    entity = F.when(F.col("event_type") == "signup", F.lit("users")).when(F.col("k") > 60, F.lit("friendships")).otherwise(F.lit("workouts"))
+    return e.groupBy(source.alias("source"), entity.alias("entity")).agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "offered", mk.offered(F.col("source"), F.col("entity"))
+    )
+
+
 @query
 def w6_batch_stats(spark: SparkSession, d: str) -> DataFrame:
     """Counts of one batch: the damaged records, and the same ones delivered again for some users."""
@@ -660,6 +778,20 @@ def t2_stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     return nested_as_numbers(read_entity(spark, f"{streamed(spark, d)}/table", ENTITIES["workouts"]))
 
 
+@query
+def t2_stream_state(spark: SparkSession, d: str) -> DataFrame:
+    """Newest rows from the stream's own state, over three starts and several files a batch, merged key by key."""
+    base = scratch_dir(spark, "state")
+    as_of = F.lit("2024-02-01").cast("timestamp")
+    for again in (True, False, None):  # the corrected deliveries first, the stale ones after them
+        if again is not None:
+            si.damaged_workouts(spark, d, again).write.mode("append").text(f"{base}/raw")
+        stream_newest(
+            spark, f"{base}/raw", f"{base}/table", "workouts", SOURCE, as_of, f"{base}/checkpoint", 4, ["calories"]
+        ).awaitTermination()
+    return nested_as_numbers(read_entity(spark, f"{base}/table", ENTITIES["workouts"]))
+
+
 @query
 def t3_stream_rejects(spark: SparkSession, d: str) -> DataFrame:
     """The other side of the same stream."""
@@ -822,6 +954,13 @@ def q3_user_freshness(spark: SparkSession, d: str) -> DataFrame:
     return stale.orderBy(F.desc("hours_since_sync"), "user_id")
 
 
+@query
+def q3_stale_users(spark: SparkSession, d: str) -> DataFrame:
+    """The same three days later, when some users have fallen silent."""
+    later = sc.plus_seconds(si.last_moment(spark, d), F.lit(3 * 86400))
+    return qa.stale_keys(si.raw_workouts(spark, d), "user_id", "synced_at", later)
+
+
 def thinned(spark: SparkSession, d: str) -> DataFrame:
     """Events as if most of the last day had failed to arrive."""
     e = si.read(spark, d, "events")

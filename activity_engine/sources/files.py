@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Observation, SparkSession
 
 
 def _fs(spark: SparkSession, path: str):
@@ -25,31 +24,15 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
-def create_text(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file that is seen whole or not at all; an error if it exists.
-
-    Two writers are told apart by the rename, which must fail where the target exists (HDFS does so).
-    """
-    fs, p = _fs(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
-    out = fs.create(draft, False)
-    out.write(bytearray(text.encode()))
-    out.close()
-    if fs.exists(p) or not fs.rename(draft, p):
-        fs.delete(draft, False)
-        raise FileExistsError(path)
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    return "\n".join(r.value for r in spark.read.text(path).collect())
-
-
-def modified(spark: SparkSession, path: str) -> float:
-    """When a file or folder last changed, in seconds."""
-    fs, p = _fs(spark, path)
-    return fs.getFileStatus(p).getModificationTime() / 1000
-
-
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def observed(metrics: Observation, **empty: object) -> dict:
+    """What was observed while a job ran. An input that is known to be empty beforehand is optimised away together
+    with its metrics; then the given values count."""
+    try:
+        return {**empty, **metrics.get}
+    except Py4JJavaError:
+        return empty

@@ -6,24 +6,32 @@ Rejects lie under `_rejects/` in the same layout.
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timezone
+from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from activity_engine.operators.marks import window_scan
 from activity_engine.operators.normalize import enforce_required, reject_rows, valid_rows
 from activity_engine.schemas import ENTITIES, LANDING_PARTITIONS, REJECT
-from activity_engine.sources.files import exists
+from activity_engine.sources.files import exists, observed
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Raw records as text, one per row in `value`, with nothing assumed about their fields."""
+def read_raw(spark: SparkSession, path: str, modified_after: datetime | None = None) -> DataFrame:
+    """Raw records as text, one per row in `value`, with nothing assumed about their fields.
+
+    With `modified_after`, files that were last written at or before that moment (UTC) are not opened.
+    """
     if not exists(spark, path):
         return spark.createDataFrame([], "value string")
-    return spark.read.text(path)
+    reader = spark.read
+    if modified_after is not None:
+        reader = reader.option("modifiedAfter", f"{modified_after:%Y-%m-%dT%H:%M:%S}").option("timeZone", "UTC")
+    return reader.text(path)
 
 
 def _landed(schema: T.StructType) -> T.StructType:
@@ -54,6 +62,13 @@ def read_landing(
     return enforce_required(df.select(*spec.columns, "dt", "run"), spec.required)
 
 
+def read_window(
+    spark: SparkSession, base: str, entity: str, source: str, since: datetime | str | None, until: datetime | str | None
+) -> DataFrame:
+    """Landed records with `since < version <= until`; only the days between the bounds are read."""
+    return window_scan(read_landing(spark, base, entity, source), ENTITIES[entity].version, since, until, day="dt")
+
+
 def read_rejects(spark: SparkSession, base: str, entity: str, source: str | None = None) -> DataFrame:
     df = _read(spark, f"{base}/_rejects/{entity}", REJECT)
     return df if source is None else df.where(F.col("source") == source)
@@ -92,9 +107,35 @@ def write_rejects(rejects: DataFrame, base: str, entity: str, source: str, run:
     _write(rejects, f"{base}/_rejects/{entity}", source, run, replay)
 
 
+@dataclass(frozen=True)
+class Landed:
+    """What one batch held, seen by the job that wrote it."""
+
+    total: int
+    rejected: int
+    first: datetime | None
+    mark: datetime | None
+
+    @property
+    def valid(self) -> int:
+        return self.total - self.rejected
+
+
 def land(
     shaped: DataFrame, base: str, entity: str, source: str, as_of: Column, run: str, replay: bool = False
-) -> None:
-    """Both sides of a normalised batch."""
-    write_landing(valid_rows(shaped), base, entity, source, run, replay)
+) -> Landed:
+    """Both sides of a normalised batch. Its counts, and the lowest and highest version of all its records, are
+    observed while the valid side is written, so no pass is made for them."""
+    seen = Observation()
+    watched = shaped.observe(
+        seen,
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("error").isNotNull()).alias("rejected"),
+        F.min(F.unix_micros("mark")).alias("first"),
+        F.max(F.unix_micros("mark")).alias("mark"),
+    )
+    write_landing(valid_rows(watched), base, entity, source, run, replay)
     write_rejects(reject_rows(shaped, as_of), base, entity, source, run, replay)
+    found = observed(seen, total=0, rejected=0, first=None, mark=None)
+    moment = lambda us: None if us is None else datetime(1970, 1, 1) + timedelta(microseconds=us)
+    return Landed(found["total"], found["rejected"], moment(found["first"]), moment(found["mark"]))

@@ -1,113 +1,66 @@
-"""Parquet tables that are replaced or merged safely (S-7, K-5 to K-7).
+"""Parquet tables that are replaced or merged (S-7, K-5 to K-7).
 
-Plain Parquet has no MERGE, and a folder must not be overwritten while it is read. A table is
-therefore a folder of generations, `gen=<n>-<attempt>[/dt=<day>]`, and a list of the directories that
-count. A write fills a generation of its own, which no other attempt shares, and then creates the next
-list, which is the commit: a job that dies before it leaves the table as it was, and running it again is
-safe. Of two writers one commits first; a merge that comes second starts again from the new state, a
-replace that comes second fails, and neither touches a committed file. A merge rewrites only the days
-that hold a touched key. Files that no list names any more are removed when they are RETENTION_HOURS old.
-
-The commit needs a file system whose rename fails where the target exists, as HDFS's does.
+Folders of plain Parquet, written by Spark: a replace overwrites the folder, a merge overwrites only the
+partitions that hold a touched key (dynamic partition overwrite stages the files of a job and puts them in
+place when all tasks are done, so a table may be read by the job that rewrites part of it). Atomic commits,
+writers at the same time, old states and clean-up are left to the table format a deployment runs; the
+functions here are the place to plug one in.
 """
 
 from __future__ import annotations
 
-import json
-import time
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from activity_engine.operators.dedupe import latest_per_key
 from activity_engine.operators.upsert import upsert_newest
 from activity_engine.schemas import Entity
-from activity_engine.sources.files import create_text, list_names, modified, read_text, remove
+from activity_engine.sources.files import exists, observed, remove
 
 DAY = "dt"
-# Readers of an older state have so long before its files go.
-RETENTION_HOURS = 7 * 24
-MERGE_ATTEMPTS = 5
-
-
-def _lists(spark: SparkSession, path: str) -> list[str]:
-    return [n for n in list_names(spark, f"{path}/_lists") if n.endswith(".json")]
-
-
-def _state(spark: SparkSession, path: str) -> tuple[int, list[str]]:
-    """Number and directories of the current list; (0, []) before the first write."""
-    names = _lists(spark, path)
-    if not names:
-        return 0, []
-    return int(names[-1].removesuffix(".json")), json.loads(read_text(spark, f"{path}/_lists/{names[-1]}"))
-
-
-def _commit(spark: SparkSession, path: str, number: int, dirs: Sequence[str]) -> None:
-    create_text(spark, f"{path}/_lists/{number:010d}.json", json.dumps(sorted(dirs)))
+# Column of a change feed: what a row is the image of.
+CHANGE, BEFORE, AFTER = "_change", "before", "after"
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_lists(spark, path))
+    return exists(spark, path)
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The current state of a table. Without one, an empty table of the declared schema."""
-    _, dirs = _state(spark, path)
-    reader = spark.read.option("basePath", path)
-    if schema is not None:
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-        if not dirs:
-            return spark.createDataFrame([], nullable)
-        reader = reader.schema(nullable)
-    return reader.parquet(*(f"{path}/{d}" for d in dirs)).drop("gen")
-
-
-def _new_generation(number: int) -> str:
-    return f"gen={number + 1}-{uuid.uuid4().hex[:12]}"
-
-
-def remove_old(spark: SparkSession, path: str, hours: float = RETENTION_HOURS) -> None:
-    """Remove generations that the current list does not name, and earlier lists, once they are that old."""
-    _, dirs = _state(spark, path)
-    named = {d.split("/")[0] for d in dirs}
-    before = time.time() - hours * 3600
-    for name in list_names(spark, path):
-        if name.startswith("gen=") and name not in named and modified(spark, f"{path}/{name}") < before:
-            remove(spark, f"{path}/{name}")
-    for name in _lists(spark, path)[:-1]:
-        if modified(spark, f"{path}/_lists/{name}") < before:
-            remove(spark, f"{path}/_lists/{name}")
+    """A table in the columns of the declared schema; an absent one is empty then."""
+    if schema is None:
+        return spark.read.parquet(path)
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    if not exists(spark, path):
+        return spark.createDataFrame([], nullable)
+    return spark.read.schema(nullable).parquet(path).select(*nullable.names)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Write the whole table as a new generation, switch to it, and read it back.
-
-    Reading it back also cuts the lineage: later models start from these files. Raises FileExistsError
-    when another writer committed meanwhile; its table stays as it is.
-    """
-    spark = df.sparkSession
-    number, _ = _state(spark, path)
-    gen = _new_generation(number)
+    """Write the whole table and read it back, which also cuts the lineage. `df` must not read the same table."""
     writer = df.hint("rebalance", *partition_by) if partition_by else df
-    writer.write.mode("errorifexists").partitionBy(*partition_by).parquet(f"{path}/{gen}")
-    _commit(spark, path, number + 1, [gen])
-    remove_old(spark, path)
-    return read_table(spark, path, df.schema)
+    writer.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    return read_table(df.sparkSession, path, df.schema)
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, kept: str) -> DataFrame:
-    """Like `replace_table`, but directories of the partition value `kept` stay and `df` comes beside them."""
-    spark = df.sparkSession
-    number, dirs = _state(spark, path)
-    gen = _new_generation(number)
-    df.hint("rebalance", partition).write.mode("errorifexists").partitionBy(partition).parquet(f"{path}/{gen}")
-    written = [f"{gen}/{name}" for name in list_names(spark, f"{path}/{gen}") if name.startswith(f"{partition}=")]
-    _commit(spark, path, number + 1, [*(d for d in dirs if d.endswith(f"/{partition}={kept}")), *written])
-    remove_old(spark, path)
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], touched: Iterable[str] | None = None) -> DataFrame:
+    """Overwrite the partitions that `df` has rows of and leave the others; `df` may read the same table.
+
+    With `touched`, values of a single partition column, those of them that no row is left of go. Which ones
+    have rows is observed while they are written.
+    """
+    spark, written = df.sparkSession, Observation()
+    rows = df.hint("rebalance", *partition_by)
+    if touched is not None:
+        rows = rows.observe(written, F.collect_set(F.col(partition_by[0]).cast("string")).alias("values"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    if touched is not None:
+        for value in set(map(str, touched)) - set(observed(written, values=())["values"]):
+            remove(spark, f"{path}/{partition_by[0]}={value}")
     return read_table(spark, path, df.schema)
 
 
@@ -117,38 +70,33 @@ def _with_day(schema: T.StructType) -> T.StructType:
 
 def read_entity(spark: SparkSession, path: str, entity: Entity) -> DataFrame:
     """A raw table with its partition day `dt`."""
-    return read_table(spark, path, _with_day(entity.schema)).select(*entity.columns, DAY)
+    return read_table(spark, path, _with_day(entity.schema))
 
 
-def merge_table(spark: SparkSession, path: str, source: DataFrame, entity: Entity) -> None:
+def merge_table(spark: SparkSession, path: str, source: DataFrame, entity: Entity, feed: str | None = None) -> None:
     """Newest-wins upsert of `source` into the raw table, partitioned by the day of the version.
 
     The first pass reads only keys and versions and finds the days to rewrite. Days are few, so their
     list may come to the driver; rows never do. Of source rows with a key's same version the one that is
     greatest by its columns counts.
+
+    With `feed`, a folder of this merge alone, the images of all changed rows before and after it are
+    written there first, without their nested columns. A merge that is run again after it was done changes
+    nothing and leaves the feed as it is.
     """
     keys, version = list(entity.keys), entity.version
     rest = [c for c in entity.columns if c not in (*keys, version)]
     fresh = latest_per_key(source.select(*entity.columns), keys, version, rest)
-    # Read three times below; kept on disk, and worked out again where an executor is lost.
+    # Read several times below; kept on disk, and worked out again where an executor is lost.
     fresh = fresh.withColumn(DAY, F.date_format(version, "yyyy-MM-dd")).persist(StorageLevel.DISK_ONLY)
     try:
-        for attempt in range(1, MERGE_ATTEMPTS + 1):
-            try:
-                _merge(spark, path, fresh, entity)
-                break
-            except FileExistsError:
-                # Another writer committed first; the merge starts again from what is there now.
-                if attempt == MERGE_ATTEMPTS:
-                    raise
-        remove_old(spark, path)
+        _merge(spark, path, fresh, entity, feed)
     finally:
         fresh.unpersist()
 
 
-def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity) -> None:
+def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity, feed: str | None) -> None:
     keys, version = list(entity.keys), entity.version
-    number, dirs = _state(spark, path)
     target = read_entity(spark, path, entity)
 
     # The batch's keys thin out the target before anything is joined to it; Spark broadcasts few keys.
@@ -159,22 +107,18 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity) ->
     newer = F.col("_old").isNull() | (F.col(version) > F.col("_old"))
     moved = news.where(newer).select(F.explode(F.array_compact(F.array(DAY, "_old_day"))).alias(DAY))
     days = [r[0] for r in moved.distinct().collect()]
+    flat = [f.name for f in entity.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if not days:
+        if feed is not None and not exists(spark, feed):
+            fresh.select(*flat, F.lit(AFTER).alias(CHANGE)).where(F.lit(False)).write.parquet(feed)
         return
 
     touched = target.where(F.col(DAY).isin(days)).drop(DAY)
     # A stale source row must not come in again beside its newer target row on an untouched day.
     applied = fresh.join(news.where(newer).select(*keys), keys, "left_semi").drop(DAY)
+    if feed is not None:
+        before = touched.join(applied.select(*keys), keys, "left_semi").select(*flat, F.lit(BEFORE).alias(CHANGE))
+        images = before.unionByName(applied.select(*flat, F.lit(AFTER).alias(CHANGE)))
+        images.write.mode("overwrite").parquet(feed)
     merged = upsert_newest(touched, applied, keys, version)
-    gen = _new_generation(number)
-    (
-        merged.withColumn(DAY, F.date_format(version, "yyyy-MM-dd"))
-        .hint("rebalance", DAY)
-        .write.mode("errorifexists")
-        .partitionBy(DAY)
-        .parquet(f"{path}/{gen}")
-    )
-    rewritten = {f"{DAY}={d}" for d in days}
-    kept = [d for d in dirs if d.split("/")[-1] not in rewritten]
-    written = [f"{gen}/{name}" for name in list_names(spark, f"{path}/{gen}") if name.startswith(f"{DAY}=")]
-    _commit(spark, path, number + 1, [*kept, *written])
+    replace_partitions(merged.withColumn(DAY, F.date_format(version, "yyyy-MM-dd")), path, [DAY], days)

@@ -14,9 +14,8 @@ from activity_engine.operators.quality import ChecksFailed
 from activity_engine.plans import pipeline as pl
 from activity_engine.schemas import ENTITIES, MARKS
 from activity_engine.sources import landing
-from activity_engine.sources import tables as tables_module
 from activity_engine.sources.seeds import EXERCISE_TYPES, exercise_types, read_seed
-from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_table
+from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_partitions, replace_table
 from activity_engine.streaming.ingest import stream_ingest
 
 NOW = datetime(2024, 3, 2, 0, 0)
@@ -118,56 +117,28 @@ def test_merge_moves_days_and_leaves_others_alone(spark, tmp_path):
     assert [r[3] for r in table_rows(spark, path)] == ["2024-03-04", "2024-03-01", "2024-03-07"]
 
 
-def test_an_uncommitted_write_is_not_seen(spark, tmp_path):
+def test_tables_are_replaced_whole_or_in_part(spark, tmp_path):
     path = str(tmp_path / "t")
-    replace_table(spark.range(3), path)
-    spark.range(100).write.parquet(f"{path}/gen=2")  # a job that died before its commit
-    assert read_table(spark, path).count() == 3
-    again = replace_table(read_table(spark, path).where("id > 0"), path)
-    assert rows(again) == [(1,), (2,)]
-
-
-def test_the_losing_writer_changes_nothing(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    replace_table(spark.range(3), path)
-    state = tables_module._state
-    with monkeypatch.context() as m:
-        # B looks at the table, A commits, then B writes.
-        stale = state(spark, path)
-        replace_table(spark.range(10), path)
-        m.setattr(tables_module, "_state", lambda *_: stale)
-        with pytest.raises(FileExistsError):
-            replace_table(spark.range(1), path)
-    assert read_table(spark, path).count() == 10
-
-
-def test_a_merge_that_comes_second_starts_again(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    merge_table(spark, path, valid(spark, [workout(1)]), WORKOUTS)
-    state, calls = tables_module._state, []
-
-    def late(*args):
-        found = state(*args)
-        calls.append(1)
-        if len(calls) == 1:
-            with monkeypatch.context() as m:
-                m.setattr(tables_module, "_state", state)
-                merge_table(spark, path, valid(spark, [workout(2)]), WORKOUTS)
-        return found
-
-    monkeypatch.setattr(tables_module, "_state", late)
-    merge_table(spark, path, valid(spark, [workout(3)]), WORKOUTS)
-    assert [r[0] for r in table_rows(spark, path)] == ["w-1", "w-2", "w-3"]
-
-
-def test_old_generations_go_when_they_are_old(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for n in (1, 2, 3):
-        replace_table(spark.range(n), path)
-    count = lambda: len(list((tmp_path / "t").glob("gen=*")))
-    assert count() == 3
-    tables_module.remove_old(spark, path, hours=-1)
-    assert count() == 1 and read_table(spark, path).count() == 3
+    parts = lambda df, n: df.select("id", (F.col("id") % n).alias("p"))
+    replace_table(parts(spark.range(9), 3), path, ["p"])
+    kept = {p.name for p in (tmp_path / "t").rglob("p=0/*.parquet")}
+    # The job reads the partition that it rewrites; the other one that it touches has no row left.
+    again = read_table(spark, path).where("p = 1 and id > 1")
+    assert rows(replace_partitions(again, path, ["p"], ["1", "2"]).select("id")) == [(0,), (3,), (4,), (6,), (7,)]
+    assert {p.name for p in (tmp_path / "t").rglob("p=0/*.parquet")} == kept
+    assert rows(replace_table(spark.range(2), path)) == [(0,), (1,)]
+    assert read_table(spark, str(tmp_path / "none"), WORKOUTS.schema).isEmpty()
+
+
+def test_a_merge_writes_what_it_changed(spark, tmp_path):
+    path, feed = str(tmp_path / "t"), str(tmp_path / "feed")
+    merge_table(spark, path, valid(spark, [workout(1), workout(2)]), WORKOUTS, f"{feed}/a")
+    news = valid(spark, [workout(1, synced_at=iso(T0 + timedelta(days=3)), calories=1), workout(2, synced_at=iso(T0)), workout(3)])
+    for _ in range(2):  # the second time nothing is newer, and the feed stays
+        merge_table(spark, path, news, WORKOUTS, f"{feed}/b")
+    seen = {r: rows(spark.read.parquet(f"{feed}/{r}").select("_change", "workout_id", "calories")) for r in "ab"}
+    assert seen["a"] == [("after", "w-1", 300.5), ("after", "w-2", 300.5)]
+    assert seen["b"] == [("after", "w-1", 1.0), ("after", "w-3", 300.5), ("before", "w-1", 300.5)]
 
 
 def test_equal_versions_go_by_the_other_columns(spark, tmp_path):
@@ -274,6 +245,26 @@ def test_full_run_and_rerun(spark, tmp_path):
     assert fact["w-5"].user_sk == versions[T0 - timedelta(days=20), False]
 
 
+def test_an_incremental_run_gives_the_same_marts(spark, tmp_path):
+    paths = raw_records(tmp_path)
+    roots = {kept: str(tmp_path / f"wh-{kept}") for kept in (True, False)}
+
+    def both(now):
+        names = ["fact_daily_metrics", "leaderboard", "personal_records"]
+        tables = {kept: pl.run_pipeline(spark, root, paths, now, check=False, incremental=kept) for kept, root in roots.items()}
+        for n in names:
+            columns = [c for c in tables[True][n].columns if c != "month"]
+            assert rows(tables[True][n].select(*columns)) == rows(tables[False][n].select(*columns)), n
+
+    both(NOW)
+    # A late workout, a correction that lowers a record, a new user's profile, and another day.
+    late = [workout(400, "u-2", T0 - timedelta(days=6)), workout(10, "u-1", T0, minutes=5, synced_at=iso(T0 + timedelta(hours=9)))]
+    put(tmp_path / "raw/workouts", "3.jsonl", late)
+    put(tmp_path / "raw/users", "3.jsonl", [user("u-3", T0)])
+    both(NOW + timedelta(days=1))
+    both(NOW + timedelta(days=1))
+
+
 def test_backfill_replays_and_leaves_the_mark(spark, tmp_path):
     edge = datetime(2024, 3, 3)  # midnight after the last day comes in, midnight of the first does not
     records = [workout(i, synced_at=iso(ts)) for i, ts in enumerate([datetime(2024, 3, 1), datetime(2024, 3, 1, 1), datetime(2024, 3, 2, 5), edge, edge + timedelta(seconds=1)])]
