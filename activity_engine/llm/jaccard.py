@@ -4,8 +4,8 @@ Texts with the same shingle set are one node. A node's shingles are ordered rare
 wanted similarity must share one of their first few shingles (prefix filter), so nodes meet on those.
 Pairs whose lengths or whose places of the shared shingle rule the similarity out are never made. The
 suffix filter cuts the space of shingles into ranges: the numbers of shingles that two sets have there
-differ in sum by no more than the sets do. These numbers travel with a node, 32 bytes, so pairs that share a
-shingle by chance end before a text is moved for them. Each pair left is verified once on the shingles of
+differ in sum by no more than the sets do. These numbers, 32 bytes a node, are joined to the pairs, so pairs
+that share a shingle by chance end before a text is moved for them. Each pair left is verified once on the shingles of
 both whole texts, behind a finer suffix filter.
 
 A shingle that many near copies share does not make all pairs of them. First every node is paired only
@@ -38,9 +38,9 @@ PERCENT = 90
 SKETCH_BITS = 20
 # The filter that picks the texts to verify has this many bits at most.
 FILTER_BITS = 25
-# So has the filter that picks the prefix shingles that two texts may have.
+# So has the filter that picks the prefix shingles that two nodes may have.
 TOKEN_BITS = 26
-# Ranges of the suffix filter that travels with a node.
+# Ranges of the suffix filter on pairs.
 RANGES = 32
 # Nodes and shingles of one block of a component, about.
 BLOCK_NODES, BLOCK_SHINGLES = 256, 1 << 20
@@ -154,8 +154,12 @@ def _possible(percent: int) -> Column:
     return lengths & (F.least(F.col("size") - F.col("pos"), F.col("size2") - F.col("pos2")) >= needed)
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """The distinct pairs (a, b) of (node, size, spread, pos) and (node2, ...) that no filter rules out."""
+def _pairs(rows: DataFrame) -> DataFrame:
+    return rows.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
+
+
+def _near(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the suffix filter on the nodes' ranges does not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,11 +167,12 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
             size, size2 = (batch.column(k).to_numpy() for k in (2, 3))
             apart = np.abs(spread.astype(np.int16) - spread2.astype(np.int16)).sum(axis=1)
             kept = pa.array(np.flatnonzero(apart <= size + size2 - 2 * _needed(size, size2, percent)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["node", "node2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], ["a", "b"])
 
-    asked = rows.where(_possible(percent)).select("node", "node2", "size", "size2", "spread", "spread2")
-    rows = asked.mapInArrow(run, "node binary, node2 binary")
-    return rows.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")).distinct()
+    first = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("spread").alias("spread_a"))
+    second = nodes.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("spread").alias("spread_b"))
+    rows = pairs.join(second, "b").join(first, "a").select("a", "b", "size_a", "size_b", "spread_a", "spread_b")
+    return rows.mapInArrow(run, "a binary, b binary")
 
 
 def _bit_table(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
@@ -182,22 +187,30 @@ def _bit_table(rows: DataFrame, spot: Column, bits: int) -> np.ndarray:
     return table
 
 
-def _members(placed: DataFrame) -> DataFrame:
-    """(token, node, size, spread, pos): the prefix shingles that two rows may have in common.
+def _distinct(placed: DataFrame) -> DataFrame:
+    """(node, size, spread, prefix), one row for all texts with the same set."""
+    rows = placed.where("node is not null").groupBy("node")
+    return cut(rows.agg(*(F.first(c).alias(c) for c in ("size", "spread", "prefix"))))
+
 
-    The first 32 bits of all prefix shingles are counted; a bit table then says of a whole shingle whether
-    they came twice. It lets some through that came once, which find no partner.
+def _members(nodes: DataFrame) -> DataFrame:
+    """(token, node, size, pos): the prefix shingles that two nodes may have in common.
+
+    All prefix shingles are counted. Those of two nodes go into a bit table that is sent to the tasks, as long
+    as an eighth of it suffices for them; it lets some through that only one node has, which find no
+    partner. If they are more, they are joined.
     """
-    folded = placed.select(F.explode("prefix").alias("token"))
-    folded = folded.select(F.shiftright("token", 32).cast("int").alias("fold"))
-    twice = folded.groupBy("fold").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    spot = F.shiftright(F.col("fold").cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)), 32 - TOKEN_BITS)
-    shared = Shared(_bit_table(twice, spot, TOKEN_BITS))
+    tokens = nodes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+    twice = cut(tokens.where("k > 1").select("token"))
+    if twice.count() > (1 << TOKEN_BITS) // 8:
+        exploded = nodes.select("node", "size", F.posexplode("prefix").alias("pos", "token"))
+        return cut(exploded.join(twice, "token", "left_semi").select("token", "node", "size", "pos"))
+    shared = Shared(_bit_table(twice, F.shiftrightunsigned("token", 64 - TOKEN_BITS), TOKEN_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.get()
         for batch in slices(batches, 4096):
-            lists = batch.column(3)
+            lists = batch.column(2)
             token = lists.flatten().to_numpy().view(np.uint64)
             sizes = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(sizes)), sizes)
@@ -206,16 +219,11 @@ def _members(placed: DataFrame) -> DataFrame:
             kept = np.flatnonzero(wanted[place >> 3] >> (place & 7).astype(np.uint8) & 1)
             found = pa.array(row[kept])
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(token[kept].view(np.int64)), *(batch.column(k).take(found) for k in range(3)),
-                    pa.array(pos[kept].astype(np.int32)),
-                ],
-                ["token", "node", "size", "spread", "pos"],
-            )
+                [pa.array(token[kept].view(np.int64)), batch.column(0).take(found), batch.column(1).take(found), pa.array(pos[kept].astype(np.int32))],
+                ["token", "node", "size", "pos"],
+            )
 
-    rows = placed.where("node is not null").select("node", "size", "spread", "prefix")
-    members = rows.mapInArrow(run, "token bigint, node binary, size bigint, spread binary, pos int")
-    return cut(members.distinct())  # texts with equal sets are one node
+    return cut(nodes.select("node", "size", "prefix").mapInArrow(run, "token bigint, node binary, size bigint, pos int"))
 
 
 def _texts(documents: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -303,20 +311,21 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def connections(documents: DataFrame, placed: DataFrame, n: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between nodes that have the same components as all links together."""
-    members = _members(placed)
-    leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node", "spread")).alias("l"))
-    led = [F.col(f"l.{c}").alias(f"{c}2") for c in ("node", "size", "spread", "pos")]
-    stars = members.join(leader, "token").select("node", "size", "spread", "pos", *led)
-    tested = cut(_pairs(stars.where(F.col("node") != F.col("node2")), percent))
+    nodes = _distinct(placed)
+    members = _members(nodes)
+    leader = members.groupBy("token").agg(F.min(F.struct("pos", "size", "node")).alias("l"))
+    led = [F.col(f"l.{c}").alias(f"{c}2") for c in ("node", "size", "pos")]
+    stars = members.join(leader, "token").select("node", "size", "pos", *led)
+    tested = cut(_near(_pairs(stars.where((F.col("node") != F.col("node2")) & _possible(percent))), nodes, percent))
     found = cut(_verified(tested, _texts(documents, _ends(tested), n), n, percent))
     groups = components(found)
     grouped = members.join(groups.withColumnRenamed("root", "group"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     sizes = grouped.groupBy("token", "group").agg(F.count(F.lit(1)).alias("k"))
     largest = sizes.groupBy("token").agg(F.max(F.struct("k", "group")).alias("l"), F.count(F.lit(1)).alias("groups"))
     open_ = cut(grouped.join(largest.where("groups > 1").select("token", F.col("l.group").alias("main")), "token"))
-    outside = open_.where("group != main").select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "spread", "pos", "group")])
-    rest = open_.join(outside, "token").where(F.col("group") != F.col("group2"))
-    fresh = cut(_pairs(rest, percent).join(tested, ["a", "b"], "left_anti"))
+    outside = open_.where("group != main").select("token", *[F.col(c).alias(f"{c}2") for c in ("node", "size", "pos", "group")])
+    rest = open_.join(outside, "token").where((F.col("group") != F.col("group2")) & _possible(percent))
+    fresh = cut(_near(_pairs(rest), nodes, percent).join(tested, ["a", "b"], "left_anti"))
     if fresh.isEmpty():
         return found
     return cut(found.unionByName(_verified(fresh, _texts(documents, _ends(fresh), n), n, percent)))
