@@ -131,3 +131,80 @@ def test_nothing_to_learn_from(spark, documents):
     for labels in (none, none.where("false")):
         (row,) = docs.select(toxicity.score(F.col("text"), toxicity.train(docs, labels)).alias("t"), quality.score(F.col("text"), quality.train(docs, labels)).alias("q")).collect()
         assert 0 <= row.t < 0.5 and row.q == 0.5
+
+
+def test_forward_pass_matches_a_plain_one():
+    """Both directions, attention pooling and the logit, one word and one window at a time."""
+    import math
+
+    rng = np.random.default_rng(4)
+    hidden, width = toxicity.HIDDEN, toxicity.WORD_DIM + toxicity.CHAR_DIM
+    shapes = {
+        "Wf": (width, 3 * hidden), "Wb": (width, 3 * hidden), "Uf": (hidden, 3 * hidden), "Ub": (hidden, 3 * hidden), "bf": (3 * hidden,),
+        "bb": (3 * hidden,), "A": (2 * hidden, toxicity.ATTENTION), "v": (toxicity.ATTENTION,), "o": (2 * hidden,), "c": (1,),
+    }
+    p = {k: rng.normal(size=s).astype(np.float32) * np.float32(0.4) for k, s in shapes.items()}
+    words = np.concatenate([rng.normal(size=(5, width)), np.zeros((1, width))]).astype(np.float32)
+    windows = [[0, 1, 2, 3], [4], [2, 2, 2, 2, 1, 0]]
+    ids = np.full((3, 6), -1)
+    for k, w in enumerate(windows):
+        ids[k, : len(w)] = w
+
+    def gate(x):
+        return 1 / (1 + math.exp(-x))
+
+    def run(inputs, w, u, b):
+        h, out = [0.0] * hidden, []
+        for x in inputs:
+            a = x @ p[w] + p[b]
+            g = np.array(h) @ p[u]
+            new = []
+            for i in range(hidden):
+                z, r = gate(a[i] + g[i]), gate(a[hidden + i] + g[hidden + i])
+                c = math.tanh(a[2 * hidden + i] + r * g[2 * hidden + i])
+                new.append((1 - z) * c + z * h[i])
+            h = new
+            out.append(h)
+        return out
+
+    network = toxicity.Network({**p, "word": np.zeros((1, 1)), "char": np.zeros((1, 1))})
+    found = network.logits(network.project(words), ids)
+    for k, w in enumerate(windows):
+        # Blank words stand behind a short window: the backward pass comes through them first.
+        inputs = [words[i] for i in w] + [words[5]] * (6 - len(w))
+        ahead, behind = run(inputs, "Wf", "Uf", "bf"), run(inputs[::-1], "Wb", "Ub", "bb")[::-1]
+        states = [np.array(a + b) for a, b in zip(ahead, behind)][: len(w)]
+        scores = [math.exp(float(np.tanh(s @ p["A"]) @ p["v"])) for s in states]
+        pooled = sum(e / sum(scores) * s for e, s in zip(scores, states))
+        assert found[k] == pytest.approx(float(pooled @ p["o"] + p["c"][0]), abs=1e-4)
+
+
+def test_ftrl_matches_a_plain_one():
+    """Updates coordinate by coordinate with dictionaries, in the same order of rows."""
+    import math
+
+    rows = [(f"good words number {i % 3} and {i}", 1) for i in range(6)] + [(f"bad noise {i % 2} {i} !!", 0) for i in range(5)]
+    settings = {"bits": 10, "updates": 60, "alpha": 0.6, "beta": 1.0, "l1": 0.02, "l2": 0.01}
+    found = quality.fit(rows, **settings)
+    hashes, size = quality.Hashes(), 1 << 10
+    rng = np.random.default_rng(7)
+    orders = [rng.permutation([i for i, r in enumerate(rows) if r[1] == y]).tolist() for y in (0, 1)]
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        return 0.0 if abs(zi) <= 0.02 else -(zi - math.copysign(0.02, zi)) / ((1.0 + math.sqrt(n.get(i, 0.0))) / 0.6 + 0.01)
+
+    for turn in range(60):
+        order = orders[turn % 2]
+        text, y = rows[order[turn // 2 % len(order)]]
+        places, values = quality.features(text, hashes, 10)
+        active = [*zip(places.tolist(), values.tolist()), (size, 0.3)]
+        error = 1 / (1 + math.exp(-sum(weight(i) * v for i, v in active))) - y
+        for i, v, w in [(i, v, weight(i)) for i, v in active]:
+            g = error * v
+            step = (math.sqrt(n.get(i, 0.0) + g * g) - math.sqrt(n.get(i, 0.0))) / 0.6
+            z[i], n[i] = z.get(i, 0.0) + g - step * w, n.get(i, 0.0) + g * g
+    for i in range(size):
+        assert found[i] == pytest.approx(weight(i), abs=1e-5)
+    assert found[size] == pytest.approx(0.3 * weight(size), abs=1e-5) and np.count_nonzero(found) > 10
