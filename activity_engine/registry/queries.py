@@ -5,6 +5,7 @@ Every query reads its tables whole. Fractions are rounded at the very end, for c
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
 
@@ -32,6 +33,7 @@ from activity_engine.registry import standins as si
 from activity_engine.schemas import CANONICAL_SOURCE, ENTITIES, THIRD_PARTY_SOURCE
 from activity_engine.session import scratch_dir
 from activity_engine.sources import landing
+from activity_engine.sources.bucketed import asof_colocated, upsert_colocated, write_bucketed
 from activity_engine.sources.seeds import exercise_types, read_seed
 from activity_engine.sources.tables import merge_table, read_entity, replace_table
 from activity_engine.streaming.ingest import stream_ingest, stream_newest
@@ -136,6 +138,23 @@ def u2_upsert_equal_version(spark: SparkSession, d: str) -> DataFrame:
     return upsert_newest(upsert_target(spark, d), source, ["user_id", "event_type"], "ts", ["value"])
 
 
+def bucketed(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
+    """`df` stored by its keys, in a table of its own."""
+    path = scratch_dir(spark, "bucketed")
+    return write_bucketed(df, f"b_{uuid.uuid4().hex}", f"{path}/t", keys, 8)
+
+
+@query
+def u2_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The same upsert on stored buckets: the source is deduplicated and joined where it lies."""
+    keys = ["user_id", "event_type"]
+    source = si.events(spark, d).select(
+        *keys, sc.plus_seconds("ts", (F.col("k") - 50) * 3600).alias("ts"), (F.col("value") + 1000).alias("value")
+    )
+    newest = latest_per_key(bucketed(spark, source, keys), keys, "ts", ["value"])
+    return upsert_colocated(bucketed(spark, upsert_target(spark, d), keys), newest, keys, "ts")
+
+
 # --- type-2 history ----------------------------------------------------------------------------
 
 
@@ -250,6 +269,13 @@ def j2_asof_split(spark: SparkSession, d: str) -> DataFrame:
     return joined.drop("valid_to")
 
 
+@query
+def j2_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The same on lines and versions that are stored by customer."""
+    lines, versions = (bucketed(spark, df, ["custkey"]) for df in (shipped(spark, d), customer_versions(spark, d)))
+    return asof_colocated(lines, versions, ["custkey"], "l_shipdate").drop("valid_to")
+
+
 @query
 def j2_asof_small_dim(spark: SparkSession, d: str) -> DataFrame:
     """The same as an inner join, broadcast if the versions are counted to be few."""

@@ -48,3 +48,19 @@ def test_samples_are_shuffled_once(spark):
     text = plan(spark, "m4_fact_workout")
     # The dedupe moves the samples; type and date are broadcast, the user link is joined in place.
     assert text.count("SortMergeJoin") == 1 and "SortMergeJoin [workout_id" in text
+
+
+@pytest.mark.parametrize("name", ["u2_bucketed", "j2_bucketed"])
+def test_stored_buckets_are_joined_where_they_lie(spark, name):
+    # Broadcasting would hide it.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(spark, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in text and "SortMergeJoin" in text
+
+
+def test_a_week_needs_no_grid(spark):
+    assert "posexplode" not in plan(spark, "m6_leaderboard").lower()
