@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from activity_engine.llm import decontaminate, jaccard, language, mixture, toxicity
 from activity_engine.llm.common import bucket, shared_root, table
+from activity_engine.sources.files import remove
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,10 +64,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages one after the other; each one's rows are written to the shared folder and read again."""
+    """The stages one after the other; each one's rows are written to the shared folder and read again.
+
+    A stage's folder goes when the next one is written; the last is read by the result and stays.
+    """
     folder = f"{shared_root(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before is not None:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
