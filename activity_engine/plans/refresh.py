@@ -134,38 +134,44 @@ class DailyModels:
         feed of the batch; without it, and the first time, everything counts as new. Batches are numbered
         upwards; the same batch again gives the same tables.
         """
+        touched = self.log_batch(workouts, run, changes)
+        months = self.refresh_metrics(users, as_of, touched)
+        self.refresh_records(touched)
+        if touched is not None:
+            touched.unpersist()
+        return months
+
+    def log_batch(self, workouts: DataFrame, run: int, changes: DataFrame | None = None) -> DataFrame | None:
+        """Log a batch's partial rows; the groups it touched, with the kinds of images, or None for all."""
         rows = workout_days(workouts)
         new = not self.runs()
         if new or changes is None:
             delta, touched = DAY_TOTALS.of(rows).withColumn(BASE, F.lit(True)), None
         else:
-            images = workout_days(changes).persist()
-            delta, touched = DAY_TOTALS.delta(images, rows), images.select(*DAY_TOTALS.keys, CHANGE).distinct()
+            images = workout_days(changes)
+            delta, touched = DAY_TOTALS.delta(images, rows), images.select(*DAY_TOTALS.keys, CHANGE).distinct().persist()
         if touched is None and not new:
             # All groups anew: those that are gone need an empty base row.
             gone = among(DAY_TOTALS.state(self.log().where(F.col(RUN) < run)), delta, DAY_TOTALS.keys, "left_anti")
             gone = gone.withColumns({m: F.lit(0 if m == COUNT else None).cast(dict(gone.dtypes)[m]) for m in DAY_TOTALS.measures})
             delta = delta.unionByName(gone.withColumn(BASE, F.lit(True)))
         replace_partitions(delta.withColumn(RUN, F.lit(run)), self.log_path, [RUN])
-        months = self._refresh_metrics(users, as_of, touched)
-        self._refresh_records(touched)
-        if touched is not None:
-            images.unpersist()
-        return months
+        return touched
 
     def compact(self) -> None:
-        """Log all groups as base rows of a run of their own and let the earlier runs go."""
+        """Log all groups as base rows of the last run, in place of its own rows, and let the earlier runs go."""
         before = self.runs()
-        state = DAY_TOTALS.state(self.log()).withColumn(BASE, F.lit(True)).withColumn(RUN, F.lit(before[-1] + 1))
+        state = DAY_TOTALS.state(self.log()).withColumn(BASE, F.lit(True)).withColumn(RUN, F.lit(before[-1]))
         replace_partitions(state, self.log_path, [RUN])
-        for run in before:
+        for run in before[:-1]:
             remove(self.spark, f"{self.log_path}/{RUN}={run}")
 
     def _calendar(self) -> tuple | None:
         rows = self.spark.read.parquet(self.calendar_path).collect() if table_exists(self.spark, self.calendar_path) else []
         return (rows[0].first_day, rows[0].last_day) if rows else None
 
-    def _refresh_metrics(self, users: DataFrame, as_of: datetime, touched: DataFrame | None) -> list[str]:
+    def refresh_metrics(self, users: DataFrame, as_of: datetime, touched: DataFrame | None) -> list[str]:
+        """Work out the rows of the daily fact that a batch changed and rewrite their months, which are returned."""
         spark, known = self.spark, table_exists(self.spark, self.metrics_path)
         totals = totals_by_day(self.log())
         last_day = as_of.date()
@@ -203,7 +209,8 @@ class DailyModels:
         replace_table(spark.createDataFrame([(first_day, last_day)], "first_day date, last_day date"), self.calendar_path)
         return months
 
-    def _refresh_records(self, touched: DataFrame | None) -> None:
+    def refresh_records(self, touched: DataFrame | None) -> None:
+        """Raise the records of the groups a batch touched, or work them out again where it corrected one."""
         keys = ["user_id", "workout_type"]
         log = self.log()
         bucket = F.pmod(F.xxhash64(*keys), F.lit(RECORD_BUCKETS)).cast("int")

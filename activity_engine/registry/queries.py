@@ -426,8 +426,8 @@ def m7_records(spark: SparkSession, d: str) -> DataFrame:
     return marts.personal_records(stg_workouts(spark, d))
 
 
-def refreshed(spark: SparkSession, d: str) -> DailyModels:
-    """Daily models kept up over three merges: early versions of some workouts, days off and with three times
+def refreshed(spark: SparkSession, d: str, *models_kept: str) -> DailyModels:
+    """Day totals, and the models asked for, kept up over three merges: early versions of some workouts, days off and with three times
     the distance, for half of the users and an earlier today; then all first deliveries; then all repeats."""
     base, spec = scratch_dir(spark, "refresh"), ENTITIES["workouts"]
     models, users = DailyModels(spark, f"{base}/models"), current_versions(dim_user(spark, d))
@@ -440,23 +440,25 @@ def refreshed(spark: SparkSession, d: str) -> DailyModels:
         feed = f"{base}/feed/{run}"
         merge_table(spark, f"{base}/raw", batch, spec, feed)
         workouts = staging.stg_workouts(read_entity(spark, f"{base}/raw", spec).drop("dt"), unique=True)
-        if run:
-            models.refresh(workouts, users, today, run, spark.read.parquet(feed))
-        else:
-            models.refresh(workouts, users.where(F.crc32("user_id") % 2 == 0), today - timedelta(days=9), run)
+        touched = models.log_batch(workouts, run, spark.read.parquet(feed) if run else None)
+        if "metrics" in models_kept:
+            known = users if run else users.where(F.crc32("user_id") % 2 == 0)
+            models.refresh_metrics(known, today if run else today - timedelta(days=9), touched)
+        if "records" in models_kept:
+            models.refresh_records(touched)
     return models
 
 
 @query
 def m5_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The daily fact after three batches that rewrote only the rows they touched."""
-    return refreshed(spark, d).daily_metrics(dim_user(spark, d))
+    return refreshed(spark, d, "metrics").daily_metrics(dim_user(spark, d))
 
 
 @query
 def m7_incremental(spark: SparkSession, d: str) -> DataFrame:
     """Records raised batch by batch, and lowered where one corrected them."""
-    return refreshed(spark, d).personal_records()
+    return refreshed(spark, d, "records").personal_records()
 
 
 @query
