@@ -38,8 +38,11 @@ def digests(text: Column, paragraph: str = PARAGRAPH) -> Column:
 
 
 def multipliers(number: int, salt: int) -> tuple[int, int]:
-    """Two factors for the number-th hash of a turn: powers of 48271, a primitive root modulo the prime."""
-    return pow(48271, 11 + 8 * salt + 2 * number, PRIME), pow(48271, 12 + 8 * salt + 2 * number, PRIME)
+    """Two factors for the number-th hash of a turn: powers of two primitive roots modulo the prime.
+
+    Their ratio is another one for each hash, so digests that one hash puts together are parted by the next.
+    """
+    return pow(48271, 11 + 8 * salt + 2 * number, PRIME), pow(16807, 13 + 5 * salt + 3 * number, PRIME)
 
 
 def _hash(key: Column, number: int, salt: int) -> Column:

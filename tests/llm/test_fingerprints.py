@@ -86,6 +86,23 @@ def test_pairs_that_do_not_peel_are_tried_again(spark):
     assert found == {i: len(a) + len(b) for i, a, b in rows if a}
 
 
+def test_hashes_do_not_agree_on_what_they_put_together():
+    """Digests with the same place under one hash have other places under the others and in later turns."""
+    rng = random.Random(4)
+    ratios = {(fp.multipliers(n, s)[1] * pow(fp.multipliers(n, s)[0], -1, fp.PRIME)) % fp.PRIME for n in range(4) for s in range(30)}
+    assert len(ratios) == 120
+    value = lambda k, n, s: (k % 2**30 * fp.multipliers(n, s)[0] + (k >> 30) * fp.multipliers(n, s)[1]) % fp.PRIME
+    for _ in range(50):
+        low, high = rng.randrange(2**30), rng.randrange(2**30 - 1)
+        # One more of the high half is made up for by the low half under hash 0 of turn 0.
+        a, b = fp.multipliers(0, 0)
+        other = (low - b * pow(a, -1, fp.PRIME)) % fp.PRIME
+        if other < 2**30:
+            one, two = (high << 30) + low, ((high + 1) << 30) + other
+            assert value(one, 0, 0) == value(two, 0, 0)
+            assert all(value(one, n, s) != value(two, n, s) for n in range(4) for s in range(5) if (n, s) != (0, 0))
+
+
 def test_odd_rows(odd):
     found = fp.fingerprint_digest(odd).collect()
     assert len(found) == 10
