@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 # Rows that are held as Python objects at a time; a batch of Arrow rows is cut into such slices.
 SLICE_ROWS = 256
+# Rows of an Arrow batch at most.
+BATCH_ROWS = 1024
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -82,11 +84,20 @@ def bounded_sample(rows: DataFrame, label: str, key: str, most: int) -> DataFram
     return rows.where(kept)
 
 
+def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Let no Arrow batch have more rows than that: whole texts go to Python, and a task holds a batch twice."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 class Shared:
     """Something of bounded size that is sent to each executor once."""
 
     def __init__(self, value: object) -> None:
-        self._sent = SparkSession.getActiveSession().sparkContext.broadcast(cloudpickle.dumps(value))
+        spark = SparkSession.getActiveSession()
+        bound_batches(spark)
+        self._sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
     def get(self) -> object:
         return cloudpickle.loads(self._sent.value)

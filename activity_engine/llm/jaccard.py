@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, cut, slices
+from activity_engine.llm.common import Shared, bound_batches, cut, slices
 from activity_engine.llm.components import components
 from activity_engine.llm.words import WordHasher, shingles
 
@@ -106,6 +106,7 @@ def rarity(documents: DataFrame, n: int = SHINGLE_WORDS, bits: int = SKETCH_BITS
         first = table.slice(0, 1)
         return first.set_column(first.schema.get_field_index("counts"), "counts", pa.array([sums.tobytes()], pa.binary()))
 
+    bound_batches(documents.sparkSession)
     schema = "block int, share int, counts binary"
     counted = documents.select(F.spark_partition_id().alias("id"), "text").mapInArrow(count, schema)
     summed = counted.groupBy("block", "share").applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
