@@ -199,14 +199,15 @@ def _members(nodes: DataFrame) -> DataFrame:
 
     All prefix shingles are counted. Those of two nodes go into a bit table that is sent to the tasks, as long
     as an eighth of it suffices for them; it lets some through that only one node has, which find no
-    partner. If they are more, they are joined.
+    partner. If they are more, they are joined. A place is a shingle's low bits: of equally rare shingles the
+    prefix takes the smallest, so their high bits crowd.
     """
     tokens = nodes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     twice = cut(tokens.where("k > 1").select("token"))
     if twice.count() > (1 << TOKEN_BITS) // 8:
         exploded = nodes.select("node", "size", F.posexplode("prefix").alias("pos", "token"))
         return cut(exploded.join(twice, "token", "left_semi").select("token", "node", "size", "pos"))
-    shared = Shared(_bit_table(twice, F.shiftrightunsigned("token", 64 - TOKEN_BITS), TOKEN_BITS))
+    shared = Shared(_bit_table(twice, F.col("token").bitwiseAND(F.lit((1 << TOKEN_BITS) - 1)), TOKEN_BITS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = shared.get()
@@ -216,7 +217,7 @@ def _members(nodes: DataFrame) -> DataFrame:
             sizes = np.diff(lists.offsets.to_numpy())
             row = np.repeat(np.arange(len(sizes)), sizes)
             pos = np.arange(len(token)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            place = (token >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
+            place = (token & np.uint64((1 << TOKEN_BITS) - 1)).astype(np.int64)
             kept = np.flatnonzero(wanted[place >> 3] >> (place & 7).astype(np.uint8) & 1)
             found = pa.array(row[kept])
             yield pa.RecordBatch.from_arrays(
