@@ -192,7 +192,9 @@ def _shape(
     values: dict[str, Column],
     version: str,
     version_default: Column | None = None,
+    once: dict[str, Column] | None = None,
 ) -> DataFrame:
+    """`once` names columns of the parsed record that `error` and `values` look at more than once."""
     record = F.struct(*(values[f.name].cast(f.dataType).alias(f.name) for f in ENTITIES[entity].schema.fields))
     given = F.nullif(field(version), F.lit(""))
     day, mark = F.substring(given, 1, 10), given.try_cast("timestamp")
@@ -201,7 +203,7 @@ def _shape(
         mark = F.when(given.isNull(), version_default.cast("timestamp")).otherwise(mark)
     schema = f"{RAW_SCHEMA[raw]}, {BROKEN} string"
     parsed = F.from_json(F.col(text), schema, {"columnNameOfCorruptRecord": BROKEN})
-    fields = _fenced(records.select(F.col(text).alias("raw"), parsed.alias(PARSED)))
+    fields = _fenced(records.select(F.col(text).alias("raw"), parsed.alias(PARSED))).withColumns(once or {})
     shaped = fields.select("raw", day.alias("dt"), mark.alias("mark"), error.alias("error"), record.alias("record"))
     return _fenced(shaped.withColumn("record", F.when(F.col("error").isNull(), F.col("record"))))
 
@@ -250,30 +252,37 @@ def normalize_workouts(records: DataFrame, source: str = CANONICAL_SOURCE, text:
 
     So is a list with a sample that is no object, or one of whose members cannot be read.
     """
-    listed, typed = inside("samples", "$", "array<variant>"), inside("samples", "$", EMPTY_SAMPLES)
+    once = {
+        "_listed": inside("samples", "$", "array<variant>"),
+        "_typed": inside("samples", "$", EMPTY_SAMPLES),
+        **{f"_{name}": number(name) for name in ("calories", "distance_meters")},
+        **{f"_{name}": instant(name) for name in ("start_time", "end_time", "synced_at")},
+    }
+    listed, typed = F.col("_listed"), F.col("_typed")
     not_a_list = field("samples").isNotNull() & listed.isNull()
     checks = [
         (not_a_list, "samples is not a list"),
         (listed.isNotNull() & F.coalesce(_bad_samples(listed, typed), F.lit(True)), "bad samples value"),
-        _unreadable("workouts", "calories", number("calories")),
-        _unreadable("workouts", "distance_meters", number("distance_meters")),
-        *(_unreadable("workouts", name, instant(name)) for name in ("start_time", "end_time", "synced_at")),
+        *(
+            _unreadable("workouts", name, F.col(f"_{name}"))
+            for name in ("calories", "distance_meters", "start_time", "end_time", "synced_at")
+        ),
     ]
     values = {
         "workout_id": field("workout_id"),
         "user_id": field("user_id"),
         "source": F.lit(source),
         "workout_type": field("workout_type"),
-        "start_time": instant("start_time"),
-        "end_time": instant("end_time"),
+        "start_time": F.col("_start_time"),
+        "end_time": F.col("_end_time"),
         "device_id": field("device_id"),
-        "synced_at": instant("synced_at"),
-        "distance_meters": number("distance_meters"),
-        "calories": number("calories"),
+        "synced_at": F.col("_synced_at"),
+        "distance_meters": F.col("_distance_meters"),
+        "calories": F.col("_calories"),
         "samples": F.coalesce(typed, F.array().cast(EMPTY_SAMPLES)),
     }
     error = _problems("workouts", _subject("workout", "workout_id"), "missing/null", checks)
-    return _shape(records, text, "workouts", "workouts", error, values, "synced_at")
+    return _shape(records, text, "workouts", "workouts", error, values, "synced_at", once=once)
 
 
 def map_type(activity_type: Column) -> Column:

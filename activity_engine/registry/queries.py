@@ -529,7 +529,10 @@ def d4_heart_rate_trend(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def d5_volume(spark: SparkSession, d: str) -> DataFrame:
+    """The records are normalised once and stored; both sides read of them what they need."""
     shaped = nz.normalize_workouts(si.damaged_workouts(spark, d), SOURCE)
+    shaped = shaped.withColumn("record", F.when(F.col("error").isNull(), F.struct("record.source")))
+    shaped = replace_table(shaped, f"{scratch_dir(spark, 'volume')}/workouts")
     source = F.lit(SOURCE).alias("source")
     rejects = nz.reject_rows(shaped, si.last_day(spark, d)).select(source, "dt")
     return feeds.ingestion_volume(nz.valid_rows(shaped).select("source", "dt"), rejects)

@@ -47,6 +47,12 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
 
 
+def dealt(rows: DataFrame, key: str) -> DataFrame:
+    """The same rows dealt out by a key. A file in few row groups is read by as few tasks, whatever its size, and
+    the texts made of its rows would be parsed by these alone; the plain rows move before they are made."""
+    return rows.repartition(key)
+
+
 def prefixed(prefix: str, col: Column | str) -> Column:
     return F.concat(F.lit(prefix), F.col(col).cast("string") if isinstance(col, str) else col.cast("string"))
 
@@ -185,7 +191,7 @@ def damaged_workouts(spark: SparkSession, sf_dir: str, again: bool = False) -> D
     hours = F.lit(0)
     if again:
         e, hours = e.where(F.col("k") < 14), F.lit(1)
-    k, value = F.col("k"), F.col("value").cast("string")
+    e, k, value = dealt(e, "event_id"), F.col("k"), F.col("value").cast("string")
     reading = F.concat(
         F.lit('[{"ts":'), iso("ts"), F.lit(',"heart_rate_bpm":'), k.cast("string"), F.lit("}]")
     )
@@ -216,7 +222,7 @@ def damaged_workouts(spark: SparkSession, sf_dir: str, again: bool = False) -> D
 
 def damaged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw user JSON, one text per signup: absent, null or unreadable fields by k."""
-    e = events(spark, sf_dir).where(F.col("event_type") == "signup")
+    e = dealt(events(spark, sf_dir).where(F.col("event_type") == "signup"), "event_id")
     k, value = F.col("k"), F.col("value").cast("string")
     body = json_object(
         member("user_id", quoted(prefixed("u-", "user_id"))),
@@ -233,7 +239,7 @@ def damaged_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def damaged_friendships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw friendship JSON, one text per event; some friends are missing by k."""
-    e = events(spark, sf_dir)
+    e = dealt(events(spark, sf_dir), "event_id")
     k = F.col("k")
     body = json_object(
         member("user_id", quoted(prefixed("u-", "user_id"))),
@@ -246,7 +252,7 @@ def damaged_friendships(spark: SparkSession, sf_dir: str) -> DataFrame:
 def athletes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Third-party athlete JSON from customers: the name is cut in two, and segment decides what is
     given: first name only, last name only, neither, an empty mail, or no weight."""
-    c = read(spark, sf_dir, "customer")
+    c = dealt(read(spark, sf_dir, "customer"), "c_custkey")
     segment = F.col("c_mktsegment")
     first, last = F.substring_index("c_name", "#", 1), F.substring_index("c_name", "#", -1)
     weight = F.when(F.col("c_acctbal") < 0, F.lit("0")).otherwise(F.col("c_acctbal").cast("string"))
@@ -264,7 +270,7 @@ def athletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Third-party activity JSON from orders: the priority decides type and streams, the status what
     is missing."""
-    o = read(spark, sf_dir, "orders")
+    o = dealt(read(spark, sf_dir, "orders"), "o_orderkey")
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
     odd = F.col("o_orderkey") % 50
     streams = (
