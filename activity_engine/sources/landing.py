@@ -9,6 +9,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,17 +126,22 @@ def land(
     shaped: DataFrame, base: str, entity: str, source: str, as_of: Column, run: str, replay: bool = False
 ) -> Landed:
     """Both sides of a normalised batch. Its counts, and the lowest and highest version of all its records, are
-    observed while the valid side is written, so no pass is made for them."""
+    observed while the valid side is written, so no pass is made for them. The records are normalised once: what
+    the sides need of them is kept on disk, and worked out again where an executor is lost."""
     seen = Observation()
-    watched = shaped.observe(
+    kept = shaped.withColumn("raw", F.when(F.col("error").isNotNull(), F.col("raw"))).persist(StorageLevel.DISK_ONLY)
+    watched = kept.observe(
         seen,
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("error").isNotNull()).alias("rejected"),
         F.min(F.unix_micros("mark")).alias("first"),
         F.max(F.unix_micros("mark")).alias("mark"),
     )
-    write_landing(valid_rows(watched), base, entity, source, run, replay)
-    write_rejects(reject_rows(shaped, as_of), base, entity, source, run, replay)
+    try:
+        write_landing(valid_rows(watched), base, entity, source, run, replay)
+        write_rejects(reject_rows(kept, as_of), base, entity, source, run, replay)
+    finally:
+        kept.unpersist()
     found = observed(seen, total=0, rejected=0, first=None, mark=None)
     moment = lambda us: None if us is None else datetime(1970, 1, 1) + timedelta(microseconds=us)
     return Landed(found["total"], found["rejected"], moment(found["first"]), moment(found["mark"]))

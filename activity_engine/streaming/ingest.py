@@ -9,7 +9,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -36,21 +35,18 @@ def split_and_merge(
 
     The run is named after the stream and the batch and written in replace mode, and neither the upsert
     nor the mark changes anything the second time, so a retried batch leaves the same state. Records are
-    parsed once: both sides read the kept batch, which is worked out again where it is lost, and the mark is
-    observed while it is written.
+    parsed once, by the landing, and the mark is observed while they are written.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = f"stream-{name}-{batch_id:010d}"
-        kept = batch.persist(StorageLevel.DISK_ONLY)
-        seen_rows = landing.land(kept, base, entity, source, as_of, run, replay=True)
+        seen_rows = landing.land(batch, base, entity, source, as_of, run, replay=True)
         landed = landing.read_landing(spark, base, entity, source, run=run)
         merge_table(spark, table, landed, ENTITIES[entity], None if feed is None else f"{feed}/{run}")
         if marks is not None:
             seen = mark_row(spark, source, entity, seen_rows.mark)
             replace_partitions(advance_mark(read_table(spark, marks, MARKS), seen), marks, ["source", "entity"])
-        kept.unpersist()
 
     return apply
 

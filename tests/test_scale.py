@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
+from pyspark.sql import functions as F
 
 from activity_engine.operators import normalize as nz
 from activity_engine.registry import queries, standins
+from activity_engine.sources import landing
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -41,3 +45,13 @@ def test_values_of_a_workout_are_read_once(spark):
     records = spark.createDataFrame([("{}",)], "value string")
     plan = nz.normalize_workouts(records)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("start_time as timestamp") == 1
+
+
+def test_landing_normalises_each_record_once(spark, normalised, tmp_path):
+    records = standins.damaged_workouts(spark, SF_DIR)
+    shaped = nz.normalize_workouts(records, "app")
+    seen = landing.land(shaped, str(tmp_path), "workouts", "app", F.lit(datetime(2024, 2, 1)), "run-1")
+    assert normalised.value == seen.total == records.count()
+    assert landing.read_landing(spark, str(tmp_path), "workouts").count() == seen.valid
+    rejects = landing.read_rejects(spark, str(tmp_path), "workouts")
+    assert rejects.count() == seen.rejected == rejects.where("length(raw) > 2").count() > 0
