@@ -42,6 +42,8 @@ COUNTER_WORDS = 300_000
 # Windows counted in a task before the counts are passed on, and those of one row.
 COUNTER_WINDOWS = 1 << 21
 ROW_WINDOWS = 1 << 14
+# Windows of a bucket that are coded together.
+CODED_TOGETHER = 1 << 18
 # Words that travel in one row at most.
 WORDS_TOGETHER = 20_000
 # Bytes of text whose windows are made together; longer texts are read in pieces.
@@ -52,6 +54,7 @@ BUCKET_TOKENS, BUCKETS = 1 << 23, 48
 END = b"\n"  # no word has a line break
 _SPACE = 0x20
 _CODE = np.uint64(8)
+_FREE = np.uint64((1 << 64) - 1)  # a place of a table without a window; no window is as large
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -171,6 +174,40 @@ def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == wanted
 
 
+class Head:
+    """The log10 of some windows' symbols in a table with open addresses.
+
+    Nearly every symbol of every text is looked up here: one or two places of the table are read for it, where a
+    sorted array is halved some twenty times.
+    """
+
+    def __init__(self, keys: np.ndarray, logs: np.ndarray) -> None:
+        self.mask = (1 << max(4, (2 * len(keys)).bit_length())) - 1
+        self.keys = np.full(self.mask + 1, _FREE)
+        self.logs = np.zeros(self.mask + 1)
+        at, left = self._first(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[at[left]] == _FREE]
+            self.keys[at[free]] = keys[free]  # of several that want a place one gets it
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & self.mask
+        self.logs[at] = logs
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys) & np.uint64(self.mask)).astype(np.int64)
+
+    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log10 of each window, 0 for one that is not here, and whether it is."""
+        at = self._first(wanted)
+        there = self.keys[at]
+        left = np.flatnonzero((there != wanted) & (there != _FREE))
+        while len(left):
+            at[left] = (at[left] + 1) & self.mask
+            there[left] = self.keys[at[left]]
+            left = left[(there[left] != wanted[left]) & (there[left] != _FREE)]
+        return self.logs[at], there == wanted
+
+
 def _token_rows(tokens: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(
         {
@@ -224,22 +261,24 @@ def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, bytes, int]]]:
 
 def windows(group: list[tuple[int, bytes, int]], through: bool) -> tuple[np.ndarray, np.ndarray]:
     """The window of each symbol, as depth << 56 | bytes, and its text."""
-    raw = np.frombuffer(b"".join(piece for _, piece, _ in group), dtype=np.uint8)
+    # Symbol and context are the eight bytes that end here, read at once.
+    raw = np.frombuffer(b"".join([bytes(7), *(piece for _, piece, _ in group)]), dtype=np.uint8)
+    keys = np.ndarray((len(raw) - 7,), ">u8", raw.data, 0, (1,)).astype(np.uint64) & _MASKS[ORDER]
     sizes = np.array([len(piece) for _, piece, _ in group])
-    at = np.arange(len(raw))
-    place = at - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    depth = np.minimum(place, ORDER)
+    first, fronts = np.cumsum(sizes) - sizes, np.array([front for _, _, front in group])
+    depth = np.full(len(keys), ORDER, dtype=np.uint8)
+    symbol = np.ones(len(keys), dtype=bool)
+    for k in range(ORDER):
+        depth[first[sizes > k] + k] = k
+        symbol[first[(sizes > k) & (fronts > k)] + k] = False
     if not through:
+        raw, at = raw[7:], np.arange(len(keys))
         last = np.maximum.accumulate(np.where(raw == _SPACE, at, 0))
-        depth = np.minimum(depth, at - np.concatenate([[0], last[:-1]]))
-    wide = raw.astype(np.uint64)
-    codes = wide.copy()
-    for k in range(1, ORDER + 1):
-        codes[k:] |= wide[:-k] << np.uint64(8 * k)
-    symbol = np.flatnonzero(place >= np.repeat([front for _, _, front in group], sizes))
-    depth = depth[symbol].astype(np.uint64)
-    keys = (codes[symbol] & _MASKS[depth]) | (depth << np.uint64(56))
-    return keys, np.repeat([row for row, _, _ in group], sizes)[symbol]
+        depth = np.minimum(depth, at - np.concatenate([[0], last[:-1]])).astype(np.uint8)
+    short = np.flatnonzero(depth < ORDER)
+    keys[short] &= _MASKS[depth[short]]
+    keys |= depth.astype(np.uint64) << np.uint64(56)
+    return keys[symbol], np.repeat([row for row, _, _ in group], np.maximum(sizes - fronts, 0))
 
 
 _MASKS = np.array([(1 << (8 * (k + 1))) - 1 for k in range(ORDER + 1)], dtype=np.uint64)
@@ -259,8 +298,11 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    found, inverse = np.unique(np.concatenate([*keys, np.zeros(0, np.uint64)]), return_inverse=True)
-    return found, np.bincount(inverse, np.concatenate([*counts, np.zeros(0)]), len(found))
+    found, n = np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*counts, np.zeros(0)])
+    order = np.argsort(found)
+    found = found[order]
+    first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[: len(found)])
+    return found[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
 def window_nodes(keys: np.ndarray, counts: np.ndarray, orders: range) -> tuple[np.ndarray, np.ndarray]:
@@ -285,6 +327,7 @@ _TEXT_TYPE = pa.struct(
         ("base", pa.float64()), ("log", pa.float64()),
     ]
 )
+_SUMS_TYPE = pa.schema([("key", pa.int64()), *_TEXT_TYPE])
 _TEXT_ROW = "struct<doc_id:bigint,held_out:boolean,n_tokens:bigint,n_known:bigint,base:double,log:double>"
 _BLOCK_TYPE = pa.schema(
     [
@@ -409,15 +452,15 @@ def _needs(words: Shared, head: Shared, buckets: int, through: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, known, base = words.get()
         place = {t: i for i, t in enumerate(tokens)}
-        often, logs = head.get()
+        often = Head(*head.get())
         for batch in slices(batches):
             keys, ids, held, texts = (batch.column(k).to_pylist() for k in range(4))
             key = np.array(keys, dtype=np.int64)
             log = np.zeros(len(texts))
             for group in _pieces(texts):
                 found, owner = windows(group, through)
-                at, hit = _find(often, found)
-                log += np.bincount(owner[hit], logs[at[hit]], len(texts))
+                logs, hit = often.find(found)
+                log += np.bincount(owner, logs, len(texts))
                 found, owner = found[~hit], owner[~hit]
                 rows = []
                 for bucket, some in _by_bucket(_bucket(found, buckets)):
@@ -461,10 +504,23 @@ def _settled(low: Shared):
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         trie = None
+        asked: list[tuple[np.ndarray, list[int], list[int]]] = []
+        size = 0
+
+        def answers() -> list[dict]:
+            # A window that comes often is coded once.
+            found, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+            runs = np.array([n for a in asked for n in a[2]])
+            logs = np.add.reduceat(_coded(trie, found)[inverse], np.cumsum(runs) - runs)
+            return [{"key": k, "log": v} for k, v in zip((o for a in asked for o in a[1]), logs.tolist(), strict=True)]
+
         for batch in slices(batches, 64):
             out = []
             for row in batch.to_pylist():
                 if row["bucket"] != last:
+                    if asked:
+                        out += answers()
+                    asked, size = [], 0
                     last, known, keys, counts, trie = row["bucket"], {}, [], [], None
                 if row["kind"] == 2:
                     out.append({"key": row["key"], **row["text"]})
@@ -477,11 +533,11 @@ def _settled(low: Shared):
                     if trie is None:
                         trie = _bucket_trie(own, keys, counts)
                         keys, counts = [], []
-                    # A window that comes often in a block is coded once.
-                    found, inverse = np.unique(np.frombuffer(row["windows"], np.uint64), return_inverse=True)
-                    runs = np.array(row["runs"])
-                    logs = np.add.reduceat(_coded(trie, found)[inverse], np.cumsum(runs) - runs)
-                    out += [{"key": k, "log": v} for k, v in zip(row["owners"], logs.tolist(), strict=True)]
+                    asked.append((np.frombuffer(row["windows"], np.uint64), row["owners"], row["runs"]))
+                    size += len(asked[-1][0])
+                    if size >= CODED_TOGETHER:
+                        out += answers()
+                        asked, size = [], 0
                 else:
                     sums: dict[int, list] = {}
                     for token, k, owner in zip(row["tokens"], row["k"], row["owners"], strict=True):
@@ -490,7 +546,9 @@ def _settled(low: Shared):
                         so_far[0] += k * seen
                         so_far[1] += k * base
                     out += [{"key": key, "n_known": n, "base": b} for key, (n, b) in sums.items()]
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.int64()), *_TEXT_TYPE]))
+            yield pa.RecordBatch.from_pylist(out, _SUMS_TYPE)
+        if asked:
+            yield pa.RecordBatch.from_pylist(answers(), _SUMS_TYPE)
 
     return run
 

@@ -214,3 +214,56 @@ def test_pieces_of_long_texts_have_the_same_windows(monkeypatch, through):
     assert len(cut) > 10 and len(whole) == 1
     for k in (0, 1):
         assert np.array_equal(whole[0][k], np.concatenate([c[k] for c in cut]))
+
+
+@pytest.mark.parametrize("n", [0, 1, 7, 5000])
+def test_the_head_finds_what_a_dictionary_finds(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 7 << 56, n, dtype=np.uint64))
+    known = dict(zip(keys.tolist(), (-rng.random(len(keys))).tolist(), strict=True))
+    head = ppm.Head(keys, np.array([known[k] for k in keys.tolist()]))
+    wanted = np.concatenate([keys, keys ^ np.uint64(1), rng.integers(0, 7 << 56, 500, dtype=np.uint64), keys[:3]])
+    logs, hit = head.find(wanted)
+    assert hit.tolist() == [w in known for w in wanted.tolist()]
+    assert logs.tolist() == [known.get(w, 0.0) for w in wanted.tolist()]
+
+
+class Sent:
+    def __init__(self, value):
+        self.get = lambda: value
+
+
+def test_blocks_of_a_bucket_are_coded_together(monkeypatch):
+    """Many small blocks cost one look at the trie, and each text gets its own sums; a full buffer changes neither."""
+    found, n = np.unique(ppm.windows([(0, b" the theme of them all " * 3, 1)], True)[0], return_counts=True)
+    low = ppm.window_nodes(found, n.astype(float), range(ppm.LOW + 1))
+    words = [b" them ", b" theme", b" fall ", b" zzz them "]
+
+    def block(bucket, word, owner):
+        keys = ppm.windows([(0, word, 1)], True)[0]
+        return {"bucket": bucket, "kind": 1, "windows": keys.tobytes(), "owners": [owner, owner + 100], "runs": [2, len(keys) - 2]}
+
+    rows = []
+    for bucket in (0, 1):
+        rows.append({"bucket": bucket, "kind": 0, "windows": found.tobytes(), "counts": n.astype(float).tobytes()})
+        rows += [block(bucket, words[i % 4], 10 * bucket + i % 4) for i in range(200)]
+    trie, calls = ppm._bucket_trie(low, [found], [n.astype(float)]), []
+    coded = ppm._coded
+    monkeypatch.setattr(ppm, "_coded", lambda *a: calls.append(1) or coded(*a))
+
+    def sums():
+        out = Counter()
+        for batch in ppm._settled(Sent(low))(iter([ppm._blocks(rows)])):
+            for row in batch.to_pylist():
+                out[row["key"]] += row["log"]
+        return out
+
+    together = sums()
+    assert len(calls) == 2
+    monkeypatch.setattr(ppm, "CODED_TOGETHER", 1)
+    assert sums() == pytest.approx(together) and len(calls) == 402
+    for bucket in (0, 1):
+        for i, word in enumerate(words):
+            logs = coded(trie, ppm.windows([(0, word, 1)], True)[0])
+            assert together[10 * bucket + i] == pytest.approx(50 * logs[:2].sum())
+            assert together[10 * bucket + i + 100] == pytest.approx(50 * logs[2:].sum())
