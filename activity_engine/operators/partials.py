@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from activity_engine.sources.tables import AFTER, BEFORE, CHANGE
+from activity_engine.sources.tables import BEFORE, CHANGE
 
 RUN, BASE, COUNT = "run", "base", "n"
 
@@ -46,13 +46,14 @@ class Partials:
     def measures(self) -> list[str]:
         return [COUNT, *self.sums, *self.maxima, *self.minima]
 
-    def of(self, rows: DataFrame) -> DataFrame:
-        """One partial row per group of plain rows."""
+    def of(self, rows: DataFrame, counted: Column | None = None, *more: Column) -> DataFrame:
+        """One partial row per group of plain rows; rows whose `counted` is NULL add nothing to their number."""
         return rows.groupBy(*self.keys).agg(
-            F.count(F.lit(1)).alias(COUNT),
+            F.count(F.lit(1) if counted is None else counted).alias(COUNT),
             *(F.sum(F.expr(e)).alias(name) for name, e in self.sums.items()),
             *(F.max(F.expr(e)).alias(name) for name, e in self.maxima.items()),
             *(F.min(F.expr(e)).alias(name) for name, e in self.minima.items()),
+            *more,
         )
 
     def combine(self, partial: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
@@ -70,13 +71,14 @@ class Partials:
         now; only rows of groups that lost or changed one are read from it. A group that is empty now gets a
         base row with no rows.
         """
-        spoiled = changes.where(F.col(CHANGE) == BEFORE).select(*self.keys).distinct()
-        grown = self.of(among(changes.where(F.col(CHANGE) == AFTER), spoiled, self.keys, "left_anti"))
-        redone = self.of(among(current, spoiled, self.keys))
-        empty = among(spoiled, redone, self.keys, "left_anti")
-        for name, kind in redone.drop(*self.keys).dtypes:
-            empty = empty.withColumn(name, (F.lit(0) if name == COUNT else F.lit(None)).cast(kind))
-        return grown.withColumn(BASE, F.lit(False)).unionByName(redone.unionByName(empty).withColumn(BASE, F.lit(True)))
+        # A group that lost nothing has only images of what it gained: its partial row is theirs.
+        groups = self.of(changes, None, F.count_if(F.col(CHANGE) == BEFORE).alias("_lost"))
+        grown = groups.where("_lost = 0").drop("_lost")
+        spoiled = groups.where("_lost > 0").select(*self.keys)
+        # Beside the rows of a spoiled group stands one of its keys alone, so that an empty group has a row too.
+        rows = among(current, spoiled, self.keys).withColumn("_real", F.lit(1))
+        redone = self.of(rows.unionByName(spoiled, allowMissingColumns=True), F.col("_real"))
+        return grown.withColumn(BASE, F.lit(False)).unionByName(redone.withColumn(BASE, F.lit(True)))
 
     def state(self, log: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
         """One row per group that has rows, from the logged rows (keys, measures, base, run); runs are in order.

@@ -55,8 +55,11 @@ def workout_days(workouts: DataFrame) -> DataFrame:
 
 
 def totals_by_day(log: DataFrame) -> DataFrame:
-    """Totals per user and active day, in the names of the daily fact."""
-    days = DAY_TOTALS.state(log, ("user_id", "date_day"))
+    """Totals per user and active day, in the names of the daily fact.
+
+    The log is dealt out by user, whose rows are bounded by days, types and runs; nothing is moved after that.
+    """
+    days = DAY_TOTALS.state(log.repartition("user_id"), ("user_id", "date_day"))
     return days.select("user_id", "date_day", F.col(COUNT).alias("workout_count"), *DAY_TOTALS.sums)
 
 
@@ -66,44 +69,38 @@ def affected_days(touched: DataFrame, totals: DataFrame, last: Column) -> DataFr
     Every window ends on its own day, so these are the touched day, the days up to the end of the widest
     window, and the next active day, whose gap counts from a touched day or used to.
     """
-    days = touched.where(F.col("user_id").isNotNull() & F.col("date_day").isNotNull()).distinct()
-    ahead = days.select("user_id", F.explode(F.sequence("date_day", F.least(F.date_add("date_day", 2 * WINDOW_DAYS - 1), F.greatest(last, "date_day")))).alias("date_day"))
+    days = touched.where(F.col("user_id").isNotNull() & F.col("date_day").isNotNull()).select("user_id", "date_day").distinct()
     of_user = Window.partitionBy("user_id").orderBy(F.col("date_day").desc(), F.col("_touched").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    active = among(totals, days.select("user_id").distinct(), ["user_id"]).select("user_id", "date_day", F.lit(False).alias("_touched"))
-    both = active.unionByName(days.withColumn("_touched", F.lit(True)))
+    active = totals.join(days.select("user_id").distinct(), "user_id", "left_semi")
+    both = active.select("user_id", "date_day", F.lit(False).alias("_touched")).unionByName(days.withColumn("_touched", F.lit(True)))
     # Going back in time, the last active day seen before a touched day is the next one after it.
-    following = both.withColumn("_next", F.last(F.when(~F.col("_touched"), F.col("date_day")), ignorenulls=True).over(of_user))
-    following = following.where(F.col("_touched") & F.col("_next").isNotNull()).select("user_id", F.col("_next").alias("date_day"))
-    return ahead.unionByName(following).where(F.col("date_day") <= last).distinct()
+    following = F.last(F.when(~F.col("_touched"), F.col("date_day")), ignorenulls=True).over(of_user)
+    ahead = F.sequence("date_day", F.least(F.date_add("date_day", 2 * WINDOW_DAYS - 1), F.greatest(last, "date_day")))
+    # All days of a user are made where its rows already are, so telling them apart moves nothing.
+    looking = both.withColumn("_next", following).where("_touched").select("user_id", F.explode(F.array_append(ahead, F.col("_next"))).alias("date_day"))
+    return looking.where(F.col("date_day") <= last).distinct()
 
 
 def metric_rows(days: DataFrame, totals: DataFrame, first: Column) -> DataFrame:
     """The daily fact's rows of the given (user_id, date_day), without the user's version.
 
-    Each active day is sent to the days whose windows hold it, so one row costs its window and nothing is
-    made dense. `first` is the first day of the calendar.
+    Each asked day looks back over the active days of its windows, so nothing is made dense, and rows move once, by
+    user. `first` is the first day of the calendar.
     """
-    users = days.select("user_id").distinct()
-    known = among(totals, users, ["user_id"])
-    lagged = F.lag("date_day").over(Window.partitionBy("user_id").orderBy("date_day"))
-    known = known.where(F.col("date_day") >= first).withColumn("_previous", lagged)
-    own = known.select("user_id", "date_day", F.lit(0).alias("_age"), "total_duration_minutes", "workout_count", "total_distance_meters", "total_calories", "_previous")
-    ages = F.explode(F.sequence(F.lit(1), F.lit(2 * WINDOW_DAYS - 1))).alias("_age")
-    later = known.select("user_id", "date_day", "total_duration_minutes", ages)
-    later = later.withColumn("date_day", F.date_add("date_day", F.col("_age")))
+    known = among(totals, days.select("user_id").distinct(), ["user_id"]).where(F.col("date_day") >= first)
     asked = days.select("user_id", "date_day", F.lit(True).alias("_asked"))
-    minutes, age = F.col("total_duration_minutes"), F.col("_age")
-    rows = own.unionByName(later, allowMissingColumns=True).unionByName(asked, allowMissingColumns=True)
-    rows = rows.groupBy("user_id", "date_day").agg(
-        F.max("_asked").alias("_asked"),
-        or_zero(F.max(F.when(age == 0, F.col("workout_count")))).alias("workout_count"),
-        or_zero(F.sum(F.when(age == 0, minutes))).alias("total_duration_minutes"),
-        or_zero(F.max(F.when(age == 0, F.col("total_distance_meters")))).alias("total_distance_meters"),
-        or_zero(F.max(F.when(age == 0, F.col("total_calories")))).alias("total_calories"),
-        or_zero(F.sum(F.when(age < WINDOW_DAYS, minutes))).alias("_week"),
-        or_zero(F.sum(F.when(age >= WINDOW_DAYS, minutes))).alias("_before"),
-        F.max("_previous").alias("_previous"),
-    )
+    rows = known.unionByName(asked, allowMissingColumns=True).repartition("user_id")
+    rows = rows.groupBy("user_id", "date_day").agg(F.max("_asked").alias("_asked"), *(F.max(c).alias(f"_{c}") for c in METRICS[2:6]))
+    in_time = Window.partitionBy("user_id").orderBy(F.unix_date("date_day"))
+    minutes = F.sum("_total_duration_minutes")
+    earlier = F.last(F.when(F.col("_workout_count").isNotNull(), F.col("date_day")), ignorenulls=True)
+    rows = rows.select(
+        "user_id", "date_day", "_asked",
+        *(or_zero(F.col(f"_{c}")).alias(c) for c in METRICS[2:6]),
+        or_zero(minutes.over(in_time.rangeBetween(1 - WINDOW_DAYS, 0))).alias("_week"),
+        or_zero(minutes.over(in_time.rangeBetween(1 - 2 * WINDOW_DAYS, -WINDOW_DAYS))).alias("_before"),
+        earlier.over(in_time.rowsBetween(Window.unboundedPreceding, -1)).alias("_previous"),
+    )
     width = F.least(F.lit(WINDOW_DAYS), F.date_diff(F.col("date_day"), first) + 1)
     return rows.where("_asked").select(
         *METRICS[:6],
@@ -172,9 +169,16 @@ class DailyModels:
 
     def refresh_metrics(self, users: DataFrame, as_of: datetime, touched: DataFrame | None) -> list[str]:
         """Work out the rows of the daily fact that a batch changed and rewrite their months, which are returned."""
-        spark, known = self.spark, table_exists(self.spark, self.metrics_path)
-        totals = totals_by_day(self.log())
-        last_day = as_of.date()
+        known = table_exists(self.spark, self.metrics_path)
+        # Looked at for the calendar, the affected days and their metrics; the log is summed up once.
+        totals = totals_by_day(self.log()).persist()
+        try:
+            return self._refresh_metrics(users, as_of, touched, totals, known)
+        finally:
+            totals.unpersist()
+
+    def _refresh_metrics(self, users: DataFrame, as_of: datetime, touched: DataFrame | None, totals: DataFrame, known: bool) -> list[str]:
+        spark, last_day = self.spark, as_of.date()
         first_day = totals.agg(F.greatest(F.min("date_day"), F.lit(SPINE_START).cast("date"))).first()[0]
         if first_day is None:
             return []
@@ -186,7 +190,7 @@ class DailyModels:
             days = every(members, first, last)
         else:
             old_first, old_last = calendar
-            days = affected_days(touched.select("user_id", "date_day"), totals, last)
+            days = affected_days(touched.select("user_id", "date_day").join(members, "user_id", "left_semi"), totals, last)
             stored = read_table(spark, self.metrics_path, METRICS_SCHEMA).select("user_id").distinct()
             days = days.unionByName(every(members.join(stored, "user_id", "left_anti"), first, last))
             if last_day > old_last:
@@ -195,7 +199,7 @@ class DailyModels:
                 # The calendar begins elsewhere: windows of its first days have another width.
                 edge = F.date_add(F.greatest(first, F.lit(old_first)), 2 * WINDOW_DAYS - 1)
                 days = days.unionByName(every(members, F.least(first, F.lit(old_first)), F.least(edge, last)))
-            days = among(days, members, ["user_id"]).distinct()
+            days = days.distinct()
         month = F.date_format("date_day", "yyyy-MM")
         days = days.withColumn("month", month).persist()
         months = sorted(r[0] for r in days.select("month").distinct().collect())  # a dozen for each year

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from activity_engine.operators.partials import Partials
 from activity_engine.plans.facts import fact_daily_metrics
 from activity_engine.plans.marts import personal_records
-from activity_engine.plans.refresh import METRICS, RECORDS, DailyModels
+from activity_engine.plans.refresh import METRICS, RECORDS, DailyModels, affected_days, metric_rows
 from activity_engine.plans.staging import stg_workouts
 from activity_engine.schemas import ENTITIES
 from activity_engine.sources.tables import merge_table, read_entity
@@ -102,3 +102,51 @@ def test_a_correction_lowers_only_its_group(spark):
     assert {(r.k, r.n, r.base) for r in delta.collect()} == {("x", 2, True), ("z", 0, True), (None, 1, False), ("n", 1, False)}
     state = spec.state(log.unionByName(delta.withColumn("run", F.lit(1))))
     assert sorted(map(tuple, state.collect()), key=str) == sorted(map(tuple, spec.of(now).collect()), key=str)
+
+
+def moves(df):
+    """Exchanges of the plan as it is before the run."""
+    spark = df.sparkSession
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in kept.items():
+            spark.conf.set(key, value)
+    return plan
+
+
+def test_metrics_of_asked_days_move_by_user_only(spark):
+    """Windows look back in place: active days are not copied to the thirteen days after them, nor moved by day."""
+    rng = random.Random(4)
+    first, day = date(2024, 2, 1), lambda i: date(2024, 2, 1) + timedelta(days=i)
+    made = {(u, d): (rng.randrange(1, 4), rng.choice([None, rng.randrange(90)])) for u in ("a", "b", None) for d in rng.sample(range(-3, 50), 18)}
+    rows = [(u, day(d), n, m, None, float(n)) for (u, d), (n, m) in made.items()]
+    totals = spark.createDataFrame(rows, "user_id string, date_day date, workout_count long, total_duration_minutes long, total_distance_meters double, total_calories double")
+    days = [(u, d) for u in ("a", None, "new") for d in range(55) if rng.random() < 0.6]
+    asked = spark.createDataFrame([(u, day(d)) for u, d in days], "user_id string, date_day date")
+    found = metric_rows(asked, totals, F.lit(first))
+    plan = moves(found)
+    assert "Exchange hashpartitioning(user_id" in plan and "date_day" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+    assert "Generate explode" not in plan
+    got = {(r.user_id, (r.date_day - first).days): r for r in found.collect()}
+    assert sorted(got, key=str) == sorted(days, key=str)
+    for (u, d), r in got.items():
+        minutes = lambda lo, hi: sum(made.get((u, e), (0, 0))[1] or 0 for e in range(max(0, d - lo), d - hi + 1))  # noqa: B023, E731
+        week, before = minutes(6, 0), minutes(13, 7)
+        last = [e for v, e in made if v == u and 0 <= e < d]
+        assert r.workout_count == made.get((u, d), (0,))[0] and r.total_duration_minutes == (made.get((u, d), (0, 0))[1] or 0)
+        assert abs(r.rolling_7d_avg_duration_minutes - week / min(7, d + 1)) < 1e-9
+        assert r.week_over_week_duration_pct_change == ((week - before) / before if before else None)
+        assert r.days_since_previous_workout == (d - max(last) if last and (u, d) in made else None)
+    touched = spark.createDataFrame([("a", day(5)), ("b", day(20)), ("b", day(48)), (None, day(3))], "user_id string, date_day date")
+    looking = affected_days(touched, totals, F.lit(day(54)))
+    # Touched days, their users, and both kinds of days by user: four moves, none of the days that are made.
+    assert sum("Exchange hashpartitioning" in line for line in moves(looking).splitlines()) <= 5
+    wanted = set()
+    for u, d in (("a", 5), ("b", 20), ("b", 48)):
+        later = [e for v, e in made if v == u and e > d]
+        wanted |= {(u, e) for e in [*range(d, min(d + 13, 54) + 1), *([min(later)] if later else [])]}
+    assert sorted((r.user_id, (r.date_day - first).days) for r in looking.collect()) == sorted(wanted)
