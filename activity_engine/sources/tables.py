@@ -104,8 +104,18 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity, fee
     found = found.join(fresh.select(*keys), keys, "left_semi")
     # Rows that are not newer than the target change nothing.
     news = fresh.select(*keys, version, DAY).join(found, keys, "left")
-    newer = F.col("_old").isNull() | (F.col(version) > F.col("_old"))
-    moved = news.where(newer).select(F.explode(F.array_compact(F.array(DAY, "_old_day"))).alias(DAY))
+    newer = news.where(F.col("_old").isNull() | (F.col(version) > F.col("_old"))).select(*keys, DAY, "_old_day")
+    # The keys that count are looked for in the target once and kept for all three passes.
+    newer = newer.persist(StorageLevel.DISK_ONLY)
+    try:
+        _apply(spark, path, fresh, newer, target, entity, feed)
+    finally:
+        newer.unpersist()
+
+
+def _apply(spark: SparkSession, path: str, fresh: DataFrame, newer: DataFrame, target: DataFrame, entity: Entity, feed: str | None) -> None:
+    keys, version = list(entity.keys), entity.version
+    moved = newer.select(F.explode(F.array_compact(F.array(DAY, "_old_day"))).alias(DAY))
     days = [r[0] for r in moved.distinct().collect()]
     flat = [f.name for f in entity.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
     if not days:
@@ -115,9 +125,9 @@ def _merge(spark: SparkSession, path: str, fresh: DataFrame, entity: Entity, fee
 
     touched = target.where(F.col(DAY).isin(days)).drop(DAY)
     # A stale source row must not come in again beside its newer target row on an untouched day.
-    applied = fresh.join(news.where(newer).select(*keys), keys, "left_semi").drop(DAY)
+    applied = fresh.join(newer.select(*keys), keys, "left_semi").drop(DAY)
     if feed is not None:
-        before = touched.join(applied.select(*keys), keys, "left_semi").select(*flat, F.lit(BEFORE).alias(CHANGE))
+        before = touched.join(newer.select(*keys), keys, "left_semi").select(*flat, F.lit(BEFORE).alias(CHANGE))
         images = before.unionByName(applied.select(*flat, F.lit(AFTER).alias(CHANGE)))
         images.write.mode("overwrite").parquet(feed)
     merged = upsert_newest(touched, applied, keys, version)

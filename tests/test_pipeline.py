@@ -13,7 +13,7 @@ from activity_engine.operators.normalize import normalize_workouts
 from activity_engine.operators.quality import ChecksFailed
 from activity_engine.plans import pipeline as pl
 from activity_engine.schemas import ENTITIES, MARKS
-from activity_engine.sources import landing
+from activity_engine.sources import landing, tables
 from activity_engine.sources.seeds import EXERCISE_TYPES, exercise_types, read_seed
 from activity_engine.sources.tables import merge_table, read_entity, read_table, replace_partitions, replace_table
 from activity_engine.streaming.ingest import stream_ingest
@@ -141,6 +141,25 @@ def test_a_merge_writes_what_it_changed(spark, tmp_path):
     assert seen["b"] == [("after", "w-1", 1.0), ("after", "w-3", 300.5), ("before", "w-1", 300.5)]
 
 
+def test_a_merge_looks_for_its_keys_once(spark, tmp_path, monkeypatch):
+    """What the batch changes is kept for the days, the feed and the rewrite, and let go afterwards."""
+    kept, apply = [], tables._apply
+
+    def watched(*args):
+        kept.append(args[3])
+        apply(*args)
+        assert args[3].storageLevel.useDisk
+
+    monkeypatch.setattr(tables, "_apply", watched)
+    one = lambda i, hour: (f"u{i}", "app", None, None, None, None, None, None, datetime(2024, 3, 1, hour))
+    spec = ENTITIES["users"]
+    for run, sent in enumerate([[one(1, 1), one(2, 1)], [one(1, 2), one(2, 0), one(3, 2)]]):
+        merge_table(spark, f"{tmp_path}/t", spark.createDataFrame(sent, spec.schema), spec, f"{tmp_path}/feed/{run}")
+    images = spark.read.parquet(f"{tmp_path}/feed/1").select("user_id", "_change").collect()
+    assert sorted(map(tuple, images)) == [("u1", "after"), ("u1", "before"), ("u3", "after")]
+    assert len(kept) == 2 and not any(newer.storageLevel.useDisk for newer in kept)
+
+
 def test_equal_versions_go_by_the_other_columns(spark, tmp_path):
     same = [workout(1, calories=c) for c in (5, 9, 7)]
     for order in (same, same[::-1]):
