@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from activity_engine.sources.tables import BEFORE, CHANGE
 
 RUN, BASE, COUNT = "run", "base", "n"
+# Rows that a group of changed rows lost or that were replaced in it.
+LOST = "_lost"
 
 
 def same_keys(left: Sequence[str], right: Sequence[str]) -> Column:
@@ -71,10 +73,17 @@ class Partials:
         now; only rows of groups that lost or changed one are read from it. A group that is empty now gets a
         base row with no rows.
         """
+        return self.delta_of(self.changed(changes), current)
+
+    def changed(self, changes: DataFrame) -> DataFrame:
+        """One row per group that has images of changed rows, with the measures over them and how many rows it lost."""
+        return self.of(changes, None, F.count_if(F.col(CHANGE) == BEFORE).alias(LOST))
+
+    def delta_of(self, groups: DataFrame, current: DataFrame) -> DataFrame:
+        """`delta` from the `changed` groups, which are looked at several times."""
         # A group that lost nothing has only images of what it gained: its partial row is theirs.
-        groups = self.of(changes, None, F.count_if(F.col(CHANGE) == BEFORE).alias("_lost"))
-        grown = groups.where("_lost = 0").drop("_lost")
-        spoiled = groups.where("_lost > 0").select(*self.keys)
+        grown = groups.where(F.col(LOST) == 0).drop(LOST)
+        spoiled = groups.where(F.col(LOST) > 0).select(*self.keys)
         # Beside the rows of a spoiled group stands one of its keys alone, so that an empty group has a row too.
         rows = among(current, spoiled, self.keys).withColumn("_real", F.lit(1))
         redone = self.of(rows.unionByName(spoiled, allowMissingColumns=True), F.col("_real"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from activity_engine.functions.scalars import minutes_between, or_zero, ratio_change, surrogate_key
-from activity_engine.operators.partials import BASE, COUNT, RUN, Partials, among
+from activity_engine.operators.partials import BASE, COUNT, LOST, RUN, Partials, among
 from activity_engine.operators.scd2 import current_versions
 from activity_engine.plans.dims import SPINE_START
 from activity_engine.schemas import ENTITIES
@@ -139,14 +139,14 @@ class DailyModels:
         return months
 
     def log_batch(self, workouts: DataFrame, run: int, changes: DataFrame | None = None) -> DataFrame | None:
-        """Log a batch's partial rows; the groups it touched, with the kinds of images, or None for all."""
+        """Log a batch's partial rows; the groups it touched, with the number of rows each lost, or None for all."""
         rows = workout_days(workouts)
         new = not self.runs()
         if new or changes is None:
             delta, touched = DAY_TOTALS.of(rows).withColumn(BASE, F.lit(True)), None
         else:
-            images = workout_days(changes)
-            delta, touched = DAY_TOTALS.delta(images, rows), images.select(*DAY_TOTALS.keys, CHANGE).distinct().persist()
+            touched = DAY_TOTALS.changed(workout_days(changes)).persist()
+            delta = DAY_TOTALS.delta_of(touched, rows)
         if touched is None and not new:
             # All groups anew: those that are gone need an empty base row.
             gone = among(DAY_TOTALS.state(self.log().where(F.col(RUN) < run)), delta, DAY_TOTALS.keys, "left_anti")
@@ -223,8 +223,8 @@ class DailyModels:
             replace_table(best.withColumn("bucket", bucket), self.records_path, ["bucket"])
             return
         stored = self.spark.read.parquet(self.records_path)
-        corrected = touched.where(F.col(CHANGE) == "before").select(*keys).distinct()
-        grown = among(touched.select(*DAY_TOTALS.keys).distinct(), corrected, keys, "left_anti")
+        corrected = touched.where(F.col(LOST) > 0).select(*keys).distinct()
+        grown = among(touched.select(*DAY_TOTALS.keys), corrected, keys, "left_anti")
         # Raised by the days a batch brought, or, where it corrected one, worked out from all their days.
         brought = DAY_TOTALS.state(among(log, grown, DAY_TOTALS.keys)).select(*keys, *RECORDS)
         redone = DAY_TOTALS.state(among(log, corrected, keys), keys).select(*keys, *RECORDS)

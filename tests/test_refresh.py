@@ -150,3 +150,16 @@ def test_metrics_of_asked_days_move_by_user_only(spark):
         later = [e for v, e in made if v == u and e > d]
         wanted |= {(u, e) for e in [*range(d, min(d + 13, 54) + 1), *([min(later)] if later else [])]}
     assert sorted((r.user_id, (r.date_day - first).days) for r in looking.collect()) == sorted(wanted)
+
+
+def test_images_of_a_batch_are_summed_up_once(spark):
+    """The groups a batch changed are kept, and its partial rows come from them without its images."""
+    spec = Partials(("k",), sums={"s": "v"})
+    changes = spark.createDataFrame([("x", 9, "before"), ("x", 1, "after"), (None, 4, "after"), ("z", 3, "before")], "k string, v int, _change string")
+    now = spark.createDataFrame([("x", 1), ("x", 5), (None, 4)], "k string, v int")
+    groups = spec.changed(changes).persist()
+    assert {(r.k, r._lost) for r in groups.collect()} == {("x", 1), (None, 0), ("z", 1)}
+    delta = spec.delta_of(groups, now)
+    assert "InMemoryTableScan" in moves(delta)
+    assert {(r.k, r.n, r.s, r.base) for r in delta.collect()} == {("x", 2, 6, True), ("z", 0, None, True), (None, 1, 4, False)}
+    groups.unpersist()
