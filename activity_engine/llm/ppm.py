@@ -43,7 +43,7 @@ COUNTER_WORDS = 300_000
 COUNTER_WINDOWS = 1 << 21
 ROW_WINDOWS = 1 << 14
 # Windows of a bucket that are coded together.
-CODED_TOGETHER = 1 << 18
+CODED_TOGETHER = 1 << 16
 # Words that travel in one row at most.
 WORDS_TOGETHER = 20_000
 # Bytes of text whose windows are made together; longer texts are read in pieces.
