@@ -18,18 +18,17 @@ of all, so that their number is bounded.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from activity_engine.llm.common import Shared, cut, mix64, slices
+from activity_engine.llm.common import BATCH_ROWS, Shared, cut, mix64, slices
 
 ORDER = 6
 HEAD_BITS = 20
@@ -44,6 +43,8 @@ COUNTER_WINDOWS = 1 << 21
 ROW_WINDOWS = 1 << 14
 # Windows of a bucket that are coded together.
 CODED_TOGETHER = 1 << 16
+# Windows that are looked up together, so that what is worked out for them stays near.
+FOUND_TOGETHER = 1 << 15
 # Words that travel in one row at most.
 WORDS_TOGETHER = 20_000
 # Bytes of text whose windows are made together; longer texts are read in pieces.
@@ -64,6 +65,16 @@ def tokens_of(text: str | None) -> list[bytes]:
     return words
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of some texts, and the place among them and the text of each word; ends are not counted."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    words = split.flatten()
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an edge splits off an empty one
+    owner = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))[some.to_numpy(zero_copy_only=False)]
+    found = words.filter(some).dictionary_encode()
+    return found.dictionary.cast(pa.binary()), found.indices.to_numpy(), owner
+
+
 @dataclass
 class Places:
     """The symbols of some tokens: `codes[k]` joins the k bytes in front of each symbol and the symbol."""
@@ -198,6 +209,13 @@ class Head:
 
     def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The log10 of each window, 0 for one that is not here, and whether it is."""
+        logs, hit = np.empty(len(wanted)), np.empty(len(wanted), dtype=bool)
+        for start in range(0, len(wanted), FOUND_TOGETHER):
+            part = slice(start, start + FOUND_TOGETHER)
+            logs[part], hit[part] = self._find(wanted[part])
+        return logs, hit
+
+    def _find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self._first(wanted)
         there = self.keys[at]
         left = np.flatnonzero((there != wanted) & (there != _FREE))
@@ -208,30 +226,28 @@ class Head:
         return self.logs[at], there == wanted
 
 
-def _token_rows(tokens: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {
-            "token": pa.array([k[0] for k in tokens], pa.binary()),
-            "trained": pa.array([n if k[1] else 0 for k, n in tokens.items()], pa.int64()),
-            "n": pa.array(list(tokens.values()), pa.int64()),
-        }
-    )
-
-
 def _count_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (text, whether it is learned from) to tokens with their counts, a task's words at a time."""
-    seen: dict[bool, Counter] = {True: Counter(), False: Counter()}
-    for batch in slices(batches):
-        for text, learned in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            seen[bool(learned)].update(tokens_of(text))
-        if len(seen[True]) + len(seen[False]) > COUNTER_WORDS:
-            yield from (_token_rows(_marked(c, k)) for k, c in seen.items())
-            seen = {True: Counter(), False: Counter()}
-    yield from (_token_rows(_marked(c, k)) for k, c in seen.items())
-
-
-def _marked(counter: Counter, learned: bool) -> Counter:
-    return Counter({(token, learned): n for token, n in counter.items()})
+    seen: list[pa.Table] = []
+    for batch in slices(batches, BATCH_ROWS):
+        learned = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+        words, at, owner = words_of(batch.column(0))
+        trained = np.bincount(at[learned[owner]], minlength=len(words))
+        seen.append(pa.table({"token": words, "trained": trained, "n": np.bincount(at, minlength=len(words))}))
+        # The end is a word of every text.
+        seen.append(pa.table({"token": pa.array([END], pa.binary()), "trained": [int(learned.sum())], "n": [len(learned)]}))
+        if sum(len(t) for t in seen) > 2 * COUNTER_WORDS:
+            seen = [_summed(seen)]
+            if len(seen[0]) > COUNTER_WORDS:
+                yield from seen[0].to_batches()
+                seen = []
+    if seen:
+        yield from _summed(seen).to_batches()
+
+
+def _summed(counts: list[pa.Table]) -> pa.Table:
+    sums = pa.concat_tables(counts).group_by("token").aggregate([("trained", "sum"), ("n", "sum")])
+    return sums.select(["token", "trained_sum", "n_sum"]).rename_columns(["token", "trained", "n"])
 
 
 def token_counts(documents: DataFrame, learned: Column, text: Column) -> DataFrame:
@@ -299,7 +315,7 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     found, n = np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*counts, np.zeros(0)])
-    order = np.argsort(found)
+    order = np.argsort(found, kind="stable")  # sorted runs are merged
     found = found[order]
     first = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]])[: len(found)])
     return found[first], np.add.reduceat(n[order], first) if len(first) else n
@@ -446,14 +462,32 @@ def _token_blocks(buckets: int):
     return run
 
 
+def _wanted(words: pa.Array, pairs: np.ndarray, counts: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket with the words that are wanted of it; a pair joins a text's place and a word's."""
+    owner, at = np.divmod(pairs, len(words))
+    kinds, at = np.unique(at, return_inverse=True)
+    words = words.take(pa.array(kinds))
+    bucket = np.array([crc32(t) % buckets for t in words.to_pylist()], dtype=np.int64)[at]
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    ends = pa.array(np.append(first, len(order)), pa.int32())
+    columns = {
+        "bucket": pa.array(found, pa.int32()), "kind": pa.array(np.ones(len(found)), pa.int32()),
+        "tokens": pa.ListArray.from_arrays(ends, words.take(pa.array(at[order]))),
+        "k": pa.ListArray.from_arrays(ends, pa.array(counts[order], pa.int64())),
+        "owners": pa.ListArray.from_arrays(ends, pa.array(key[owner[order]], pa.int64())),
+    }
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(found), f.type)) for f in _BLOCK_TYPE], schema=_BLOCK_TYPE)
+
+
 def _needs(words: Shared, head: Shared, buckets: int, through: bool):
     """For each text one row with the sums over what is frequent; what else it needs, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, known, base = words.get()
-        place = {t: i for i, t in enumerate(tokens)}
+        frequent = pa.array(tokens, pa.binary())
         often = Head(*head.get())
-        for batch in slices(batches):
+        for batch in slices(batches, BATCH_ROWS):
             keys, ids, held, texts = (batch.column(k).to_pylist() for k in range(4))
             key = np.array(keys, dtype=np.int64)
             log = np.zeros(len(texts))
@@ -472,83 +506,111 @@ def _needs(words: Shared, head: Shared, buckets: int, through: bool):
                         }
                     )
                 yield _blocks(rows)
-            rows, wanted, count, of = [], [], [], []
-            for row, text in enumerate(texts):
-                own = tokens_of(text)
-                at = np.fromiter(map(place.get, own, repeat(-1)), np.int64, len(own))
-                others = Counter([own[i] for i in np.flatnonzero(at < 0).tolist()])
-                wanted += others.keys()
-                count += others.values()
-                of += [keys[row]] * len(others)
-                at = at[at >= 0]
-                sums = {
-                    "doc_id": ids[row], "held_out": held[row], "n_tokens": len(own),
-                    "n_known": int(known[at].sum()), "base": float(base[at].sum()), "log": float(log[row]),
-                }
-                rows.append({"bucket": keys[row] % buckets, "kind": 2, "key": keys[row], "text": sums})
-            for bucket, some in _by_bucket(np.array([crc32(t) % buckets for t in wanted], dtype=np.int64)):
-                rows.append(
-                    {"bucket": bucket, "kind": 1, "tokens": [wanted[i] for i in some], "k": [count[i] for i in some], "owners": [of[i] for i in some]}
-                )
-            yield _blocks(rows)
+            found, at, owner = words_of(batch.column(3))
+            # The end is a word of every text.
+            at, owner = np.append(at, np.full(len(texts), len(found))), np.append(owner, np.arange(len(texts)))
+            found = pa.concat_arrays([found, pa.array([END], pa.binary())])
+            place = pc.index_in(found, frequent).fill_null(-1).to_numpy().astype(np.int64)
+            n_tokens, hit = np.bincount(owner, minlength=len(texts)), place[at] >= 0
+            own = place[at[hit]]
+            n_known = np.bincount(owner[hit], known[own], len(texts)).astype(np.int64)
+            sums = np.bincount(owner[hit], base[own], len(texts))
+            yield _blocks(
+                [
+                    {
+                        "bucket": keys[row] % buckets, "kind": 2, "key": keys[row],
+                        "text": {
+                            "doc_id": ids[row], "held_out": held[row], "n_tokens": int(n_tokens[row]),
+                            "n_known": int(n_known[row]), "base": float(sums[row]), "log": float(log[row]),
+                        },
+                    }
+                    for row in range(len(texts))
+                ]
+            )
+            yield _wanted(found, *np.unique(owner[~hit] * len(found) + at[~hit], return_counts=True), key, buckets)
 
     return run
 
 
+def _sums(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)) for f in _SUMS_TYPE], schema=_SUMS_TYPE)
+
+
 def _settled(low: Shared):
     """Rows of each bucket, the model's first, to sums per text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, last = low.get(), None
-        known: dict[bytes, tuple[int, float]] = {}
         keys: list[np.ndarray] = []
         counts: list[np.ndarray] = []
         trie = None
-        asked: list[tuple[np.ndarray, list[int], list[int]]] = []
+        words: list[pa.Table] = []
+        asked: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        wanted: list[pa.Table] = []
         size = 0
 
-        def answers() -> list[dict]:
-            # A window that comes often is coded once.
-            found, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-            runs = np.array([n for a in asked for n in a[2]])
-            logs = np.add.reduceat(_coded(trie, found)[inverse], np.cumsum(runs) - runs)
-            return [{"key": k, "log": v} for k, v in zip((o for a in asked for o in a[1]), logs.tolist(), strict=True)]
+        def answers() -> pa.RecordBatch:
+            nonlocal trie, keys, counts
+            owners, known, base, log = [], [], [], []
+            if asked:
+                if trie is None:
+                    trie = _bucket_trie(own, keys, counts)
+                    keys, counts = [], []
+                # A window that comes often is coded once.
+                found, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+                runs = np.concatenate([a[2] for a in asked])
+                log.append(np.add.reduceat(_coded(trie, found)[inverse], np.cumsum(runs) - runs))
+                owners.append(np.concatenate([a[1] for a in asked]))
+                known.append(np.zeros(len(runs))), base.append(np.zeros(len(runs)))
+            if wanted:
+                model, some = pa.concat_tables(words), pa.concat_tables(wanted)
+                at = pc.index_in(some["token"], model["token"]).to_numpy()
+                times = some["k"].to_numpy()
+                owners.append(some["owner"].to_numpy())
+                known.append(times * model["k"].to_numpy()[at]), base.append(times * model["base"].to_numpy()[at])
+                log.append(np.zeros(len(some)))
+            key, inverse = np.unique(np.concatenate(owners), return_inverse=True)
+            known, base, log = (np.bincount(inverse, np.concatenate(x), len(key)) for x in (known, base, log))
+            columns = {"key": key, "n_known": known.astype(np.int64), "base": base, "log": log}
+            return _sums({k: pa.array(v) for k, v in columns.items()}, len(key))
 
         for batch in slices(batches, 64):
-            out = []
-            for row in batch.to_pylist():
-                if row["bucket"] != last:
-                    if asked:
-                        out += answers()
-                    asked, size = [], 0
-                    last, known, keys, counts, trie = row["bucket"], {}, [], [], None
-                if row["kind"] == 2:
-                    out.append({"key": row["key"], **row["text"]})
-                elif row["kind"] == 0 and row["tokens"] is None:
-                    keys.append(np.frombuffer(row["windows"], np.uint64))
-                    counts.append(np.frombuffer(row["counts"], np.float64))
-                elif row["kind"] == 0:
-                    known.update(zip(row["tokens"], zip(row["k"], row["base"], strict=True), strict=True))
-                elif row["tokens"] is None:
-                    if trie is None:
-                        trie = _bucket_trie(own, keys, counts)
-                        keys, counts = [], []
-                    asked.append((np.frombuffer(row["windows"], np.uint64), row["owners"], row["runs"]))
-                    size += len(asked[-1][0])
-                    if size >= CODED_TOGETHER:
-                        out += answers()
-                        asked, size = [], 0
+            texts = batch.filter(pc.equal(batch.column("kind"), 2))
+            if texts.num_rows:
+                fields = texts.column("text")
+                columns = {f.name: fields.field(f.name) for f in _TEXT_TYPE}
+                yield _sums({"key": texts.column("key"), **columns}, len(texts))
+            places_ = zip(batch.column("bucket").to_pylist(), batch.column("kind").to_pylist(), strict=True)
+            for i, (bucket, kind) in enumerate(places_):
+                row = {name: batch.column(name)[i] for name in ("windows", "tokens")} if kind < 2 else {}
+                if bucket != last:
+                    if size:
+                        yield answers()
+                    last, size = bucket, 0
+                    keys, counts, trie, words, asked, wanted = [], [], None, [], [], []
+                if kind == 2:
+                    continue
+                if row["tokens"].is_valid:
+                    tokens = row["tokens"].values
+                    k = batch.column("k")[i].values
+                    if kind == 0:
+                        part = pa.table({"token": tokens, "k": k, "base": batch.column("base")[i].values})
+                        words.append(part.take(np.arange(len(part))))  # a copy, so that the batch with the windows can go
+                    else:
+                        wanted.append(pa.table({"token": tokens, "k": k, "owner": batch.column("owners")[i].values}))
+                        size += len(tokens)
                 else:
-                    sums: dict[int, list] = {}
-                    for token, k, owner in zip(row["tokens"], row["k"], row["owners"], strict=True):
-                        seen, base = known[token]
-                        so_far = sums.setdefault(owner, [0, 0.0])
-                        so_far[0] += k * seen
-                        so_far[1] += k * base
-                    out += [{"key": key, "n_known": n, "base": b} for key, (n, b) in sums.items()]
-            yield pa.RecordBatch.from_pylist(out, _SUMS_TYPE)
-        if asked:
-            yield pa.RecordBatch.from_pylist(answers(), _SUMS_TYPE)
+                    found = np.frombuffer(row["windows"].as_py(), np.uint64)
+                    if kind == 0:
+                        keys.append(found), counts.append(np.frombuffer(batch.column("counts")[i].as_py(), np.float64))
+                    else:
+                        asked.append((found, *(batch.column(c)[i].values.to_numpy() for c in ("owners", "runs"))))
+                        size += len(found)
+                if size >= CODED_TOGETHER:
+                    yield answers()
+                    asked, wanted, size = [], [], 0
+        if size:
+            yield answers()
 
     return run
 

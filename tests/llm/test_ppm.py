@@ -267,3 +267,44 @@ def test_blocks_of_a_bucket_are_coded_together(monkeypatch):
             logs = coded(trie, ppm.windows([(0, word, 1)], True)[0])
             assert together[10 * bucket + i] == pytest.approx(50 * logs[:2].sum())
             assert together[10 * bucket + i + 100] == pytest.approx(50 * logs[2:].sum())
+
+
+def test_words_of_a_column_are_those_of_each_text():
+    texts = ["The  the\tTHE\x0bcafé É\x1cx", None, "", " \r\n ", " né e f ", "a\x85b\x00 c", "z" * 5000]
+    words, at, owner = ppm.words_of(ppm.pa.array(["cut off", *texts])[1:])
+    names = words.to_pylist()
+    assert len(set(names)) == len(names)
+    for row, text in enumerate(texts):
+        assert [names[i] for i in at[owner == row]] == ppm.tokens_of(text)[:-1]
+
+
+@pytest.mark.parametrize("most", [1, 300_000])
+def test_counts_of_a_task_are_passed_on_in_parts(monkeypatch, most):
+    monkeypatch.setattr(ppm, "COUNTER_WORDS", most)
+    batch = ppm.pa.record_batch({"text": TEXTS, "learned": [True, False, True, True, False, True]})
+    parts = list(ppm._count_tokens(iter([batch] * 3)))
+    assert len(parts) == (3 if most == 1 else 1)
+    found, trained = Counter(), Counter()
+    for row in (r for p in parts for r in p.to_pylist()):
+        found[row["token"]] += row["n"]
+        trained[row["token"]] += row["trained"]
+    assert found == counts_of(TEXTS * 3) and +trained == counts_of([TEXTS[i] for i in (0, 2, 3, 5)] * 3)
+
+
+def test_a_bucket_gives_one_row_for_what_a_text_asks_of_it():
+    found, n = np.unique(ppm.windows([(0, b" the theme ", 1)], True)[0], return_counts=True)
+    low = ppm.window_nodes(found, n.astype(float), range(ppm.LOW + 1))
+    text = {"doc_id": 70, "held_out": True, "n_tokens": 3, "n_known": 1, "base": -1.0, "log": -2.0}
+    rows = [
+        {"bucket": 3, "kind": 0, "windows": found.tobytes(), "counts": n.astype(float).tobytes()},
+        {"bucket": 3, "kind": 0, "tokens": [b"the", b"no"], "k": [1, 0], "base": [-0.5, -4.0]},
+        {"bucket": 3, "kind": 1, "windows": found[:3].tobytes(), "owners": [7, 8], "runs": [2, 1]},
+        {"bucket": 3, "kind": 1, "tokens": [b"no", b"the", b"the"], "k": [1, 2, 5], "owners": [7, 7, 9]},
+        {"bucket": 3, "kind": 2, "key": 7, "text": text},
+    ]
+    got = [r for b in ppm._settled(Sent(low))(iter([ppm._blocks(rows)])) for r in b.to_pylist()]
+    logs = ppm._coded(ppm._bucket_trie(low, [found], [n.astype(float)]), found[:3])
+    assert [r for r in got if r["doc_id"] is not None] == [{"key": 7, **text}]
+    sums = sorted((r["key"], r["n_known"], r["base"], r["log"]) for r in got if r["doc_id"] is None)
+    assert [r[:3] for r in sums] == [(7, 2, -5.0), (8, 0, 0.0), (9, 5, -2.5)]
+    assert [r[3] for r in sums] == pytest.approx([logs[:2].sum(), logs[2], 0.0])
